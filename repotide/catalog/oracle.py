@@ -281,6 +281,7 @@ _register("open_items_per_day", "log start issues open_items", "SELECT * FROM op
 _register("open_pull_requests_per_day", "log start pulls open_items", "SELECT * FROM open_items")
 _DENSITY = f"{_SIZES} last size_day start issues open_items density"
 _register("issue_density_per_day", _DENSITY, "SELECT * FROM density")
+_register("issue_density_from_daily_tables", _DENSITY, "SELECT * FROM density")
 _register(
     "issue_density_ratio",
     _DENSITY,

@@ -251,6 +251,17 @@ def open_pull_requests_per_day(spark, sf_dir):
 
 @query
 def issue_density_per_day(spark, sf_dir):
+    log_rows = b.commit_log(spark, sf_dir)
+    return open_items.issue_density_from_steps(
+        size.size_steps(size_commit_log_join(spark, sf_dir), b.LOG_ORDER, b.REPO),
+        open_items.open_item_steps(b.issues(spark, sf_dir), log_rows, b.REPO, b.ORDERS_AS_OF),
+        b.REPO,
+        b.ORDERS_AS_OF,
+    )
+
+
+@query
+def issue_density_from_daily_tables(spark, sf_dir):
     return open_items.issue_density_per_day(
         size_per_day(spark, sf_dir), open_items_per_day(spark, sf_dir), b.REPO
     )
@@ -290,8 +301,7 @@ def committers_dim(spark, sf_dir):
 @query
 def surrogate_keys(spark, sf_dir):
     events = b.table(spark, sf_dir, "events").select("ts", "event_id")
-    order = ["ts", "event_id"]
-    return dense_ids(range_chunks(events, order), order).select("id", "event_id")
+    return dense_ids(range_chunks(events, ["ts", "event_id"])).select("id", "event_id")
 
 
 @query

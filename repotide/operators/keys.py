@@ -66,7 +66,7 @@ def dimension(
         seen = first_seen(df, key, attributes, order, by)
     if stored is not None:
         seen = without_known(seen, stored, [*by, key])
-    numbered = dense_ids(range_chunks(seen, seen_order, by), seen_order, by)
+    numbered = dense_ids(range_chunks(seen, seen_order, by), by)
     columns = ["id", *by, *attributes, key]
     if stored is None:
         return numbered.select(*columns)

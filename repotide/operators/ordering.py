@@ -3,8 +3,8 @@
 A window over a whole repository, or over all rows, puts every row of it into
 one task. Instead the rows are cut into key-sorted ranges of even size, each
 range is handled by its own task, and what a range needs from the ones before
-it (the last row, or the number of rows) is added to it as one extra *seed*
-row. The seeds come from a table with one row per range and group.
+it (the last row, or the number of rows) comes from a table with one row per
+range and group.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from repotide.session import shared_dir
 
 CHUNK = "_chunk"
+PLACE = "_place"
+# monotonically_increasing_id keeps the row's place in its partition there.
+_PLACE_BITS = (1 << 33) - 1
 
 
 def order_key(order: Sequence[str], grouped: Sequence[str] = ()) -> Column:
@@ -29,82 +32,70 @@ def order_key(order: Sequence[str], grouped: Sequence[str] = ()) -> Column:
 
 
 def range_chunks(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Cut ``df`` into ranges of (by, order) and number them in ``_chunk``.
+    """Cut ``df`` into sorted ranges of (by, order).
 
-    Range bounds are sampled anew by every run of a plan, so the numbers are
-    pinned with a checkpoint in the shared folder before anyone relies on them.
-    ``order`` must be unique within ``by`` for even cuts and stable results.
+    ``_chunk`` numbers the ranges and ``_place`` the rows of a range. Range
+    bounds are sampled anew by every run of a plan, so both are pinned with a
+    checkpoint in the shared folder before anyone relies on them. ``order``
+    must be unique within ``by`` for even cuts and stable results.
     """
     shared_dir(df.sparkSession)
     return (
         df.repartitionByRange(*by, *order)
-        .withColumn(CHUNK, F.spark_partition_id())
+        .sortWithinPartitions(*by, *order)
+        .withColumns(
+            {
+                CHUNK: F.spark_partition_id(),
+                PLACE: F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)),
+            }
+        )
         .checkpoint()
     )
 
 
 def with_previous(
-    chunked: DataFrame,
-    columns: Sequence[str],
-    order: Sequence[str],
-    by: Sequence[str] = (),
-    prefix: str = "previous_",
+    chunked: DataFrame, columns: Sequence[str], by: Sequence[str] = (), prefix: str = "previous_"
 ) -> DataFrame:
-    """Add each row's predecessor within ``by`` for ``columns``; null at the start."""
+    """Add each row's predecessor within ``by`` for ``columns``; null at the start.
+
+    The last row of a range is added to the group's next range as a seed row,
+    ahead of its own rows.
+    """
     cut = [*by, CHUNK]
-    per_group = Window.partitionBy(*by).orderBy(CHUNK)
-    tails = chunked.groupBy(*cut).agg(
-        F.max(F.struct(*order, *[c for c in columns if c not in order])).alias("_tail")
-    )
+    following = F.lead(CHUNK).over(Window.partitionBy(*by).orderBy(CHUNK))
     seeds = (
-        tails.select(*by, F.lead(CHUNK).over(per_group).alias(CHUNK), "_tail")
+        chunked.groupBy(*cut)
+        .agg(*[F.max_by(c, PLACE).alias(c) for c in columns])
+        .select(*by, following.alias(CHUNK), *columns, F.lit(-1).cast("long").alias(PLACE))
         .filter(F.col(CHUNK).isNotNull())
-        .select(*cut, *[F.col(f"_tail.{c}").alias(c) for c in columns], F.lit(0).alias("_own"))
     )
-    rows = chunked.withColumn("_own", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
-    in_chunk = Window.partitionBy(*cut).orderBy("_own", *order)
+    in_chunk = Window.partitionBy(*cut).orderBy(PLACE)
     return (
-        rows.select("*", *[F.lag(c).over(in_chunk).alias(prefix + c) for c in columns])
-        .filter("_own = 1")
-        .drop("_own", CHUNK)
+        chunked.unionByName(seeds, allowMissingColumns=True)
+        .select("*", *[F.lag(c).over(in_chunk).alias(prefix + c) for c in columns])
+        .filter(F.col(PLACE) >= 0)
+        .drop(CHUNK, PLACE)
     )
 
 
 def dense_ids(
-    chunked: DataFrame,
-    order: Sequence[str],
-    by: Sequence[str] = (),
-    id_column: str = "id",
-    first: Column | None = None,
+    chunked: DataFrame, by: Sequence[str] = (), id_column: str = "id"
 ) -> DataFrame:
-    """Number the rows of each ``by`` from 0 in ``order``, without gaps.
+    """Number the rows of each ``by`` from 0 in their order, without gaps.
 
-    ``first`` replaces the 0 where numbering continues a stored table.
+    A row's id is its place in the range plus a shift that is the same for all
+    rows of a group in a range, so the rows themselves are not sorted again.
     """
     cut = [*by, CHUNK]
-    before = (
-        Window.partitionBy(*by)
-        .orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    seeds = (
-        chunked.groupBy(*cut)
-        .agg(F.count(F.lit(1)).alias("_weight"))
-        .select(*cut, F.sum("_weight").over(before).alias("_weight"), F.lit(0).alias("_own"))
-        .filter(F.col("_weight").isNotNull())
+    spans = chunked.groupBy(*cut).agg(
+        F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    rows = chunked.select("*", F.lit(1).cast("long").alias("_weight"), F.lit(1).alias("_own"))
-    in_chunk = (
-        Window.partitionBy(*cut)
-        .orderBy("_own", *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    number = F.sum("_weight").over(in_chunk) - 1
-    if first is not None:
-        number = number + first
-    return (
-        rows.unionByName(seeds, allowMissingColumns=True)
-        .select(number.cast("long").alias(id_column), *[c for c in chunked.columns if c != CHUNK], "_own")
-        .filter("_own = 1")
-        .drop("_own")
+    rows_before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    shifts = spans.select(*cut, (rows_before - F.col("_first")).alias("_shift"))
+    kept = [c for c in chunked.columns if c not in (CHUNK, PLACE)]
+    return chunked.join(shifts, cut).select(
+        (F.col(PLACE) + F.col("_shift")).alias(id_column), *kept
     )

@@ -95,11 +95,16 @@ def normalise(
     stored = stored or {}
     known = stored.get("commit_hashes")
     fresh = revisions if known is None else new_revisions(revisions, known, by)
-    hashes = dimension(fresh, "commit_hash", [], order, by, known, distinct=True)
-    authors = dimension(fresh, "author_email", ["author"], order, by, stored.get("authors"))
+    # each dimension feeds several lookups, so it is worked out once
+    hashes = dimension(
+        fresh, "commit_hash", [], order, by, known, distinct=True
+    ).checkpoint()
+    authors = dimension(
+        fresh, "author_email", ["author"], order, by, stored.get("authors")
+    ).checkpoint()
     committers = dimension(
         fresh, "committer_email", ["committer"], order, by, stored.get("committers")
-    )
+    ).checkpoint()
     return {
         "commit_hashes": hashes,
         "authors": authors,

@@ -17,7 +17,7 @@ def project_start(log: DataFrame, by: Sequence[str] = (), day: str = "day") -> D
     return log.groupBy(*by).agg(F.min(day).alias("start"))
 
 
-def open_items_per_day(
+def open_item_steps(
     items: DataFrame,
     log: DataFrame,
     by: Sequence[str] = (),
@@ -26,7 +26,7 @@ def open_items_per_day(
     closed: str = "closed",
     day: str = "day",
 ) -> DataFrame:
-    """Items open on each day from the project's start to the day before ``as_of``.
+    """Number of open items on each day on which it may change.
 
     ``created`` and ``closed`` are days; an item without ``closed`` is open
     until ``as_of``. It counts from its creation to the day before it closes.
@@ -64,8 +64,21 @@ def open_items_per_day(
         "day",
         F.sum("_change").over(so_far).alias("open_events"),
         F.min(F.when(F.col("_commit"), F.col("day"))).over(group).alias("_start"),
-    ).filter("day >= _start")
-    daily = hold_until(counted, ["open_events"], by, F.date_sub(until, 1))
+    )
+    return counted.filter((F.col("day") >= F.col("_start")) & (F.col("day") < until)).select(
+        *by, "day", "open_events"
+    )
+
+
+def open_items_per_day(
+    items: DataFrame, log: DataFrame, by: Sequence[str] = (), as_of: AsOf = None, **columns: str
+) -> DataFrame:
+    """Open items per day from the project's start to the day before ``as_of``.
+
+    Arguments are those of ``open_item_steps``.
+    """
+    steps = open_item_steps(items, log, by, as_of, **columns)
+    daily = hold_until(steps, ["open_events"], by, F.date_sub(day_or_today(as_of), 1))
     return daily.select(
         *by,
         day_start(F.col("day")).alias("start"),
@@ -93,6 +106,35 @@ def issue_density_per_day(
     return filled.select(*by, "start", *MEASURES, "end", "open_events")
 
 
+def issue_density_from_steps(
+    sizes: DataFrame, open_items: DataFrame, by: Sequence[str] = (), as_of: AsOf = None
+) -> DataFrame:
+    """``issue_density_per_day`` from ``size_steps`` and ``open_item_steps``.
+
+    Both series are merged and filled while they hold only the days with a
+    change; the calendar is expanded last, so no daily row is ever shuffled.
+    """
+    until = day_or_today(as_of)
+    values = [*MEASURES, "open_events"]
+    sized = sizes.filter(F.col("day") <= until).withColumn("_sized", F.col("day"))
+    merged = (
+        sized.unionByName(open_items.filter(F.col("day") < until), allowMissingColumns=True)
+        .groupBy(*by, "day")
+        .agg(*[F.max(v).alias(v) for v in values], F.min("_sized").alias("_sized"))
+        .withColumn("_start", F.min("_sized").over(Window.partitionBy(*by)))
+    )
+    filled = forward_fill(merged, values, by).filter("day >= _start")
+    daily = hold_until(filled, values, by, until)
+    last_counted = F.least(F.col("day"), F.date_sub(until, 1))
+    return daily.select(
+        *by,
+        F.col("day").alias("start"),
+        *MEASURES,
+        F.when(F.col("open_events").isNotNull(), last_counted).alias("end"),
+        "open_events",
+    )
+
+
 def issue_density_ratio(density: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Open items per thousand lines; our extension, null without lines."""
     per_kline = F.col("open_events") * 1000 / F.nullif(F.col("lines"), F.lit(0))

@@ -23,7 +23,7 @@ def productivity_per_commit(
     """
     needed = list(dict.fromkeys([*by, *keep, *order, *MEASURES]))
     chunked = range_chunks(sizes.select(*needed), order, by)
-    compared = with_previous(chunked, MEASURES, order, by)
+    compared = with_previous(chunked, MEASURES, by)
     return compared.select(
         *dict.fromkeys([*by, *keep, *order]),
         *[

@@ -37,6 +37,21 @@ def last_of_day(
     )
 
 
+def size_steps(
+    sizes: DataFrame, order: Sequence[str], by: Sequence[str] = (), day: str = "day"
+) -> DataFrame:
+    """The days on which the size changes, as far as they belong to the series.
+
+    It starts at the day that comes first in commit order; days before it,
+    where a log runs backwards, are cut.
+    """
+    daily = last_of_day(sizes, order, by, day)
+    place = order_key([day, "_last"]) if day in order else F.col("_last")
+    first = F.min_by(day, place).over(Window.partitionBy(*by))
+    started = daily.withColumn("_start", first).filter(F.col(day) >= F.col("_start"))
+    return started.select(*by, day, *MEASURES)
+
+
 def size_per_day(
     sizes: DataFrame,
     order: Sequence[str],
@@ -44,14 +59,6 @@ def size_per_day(
     as_of: AsOf = None,
     day: str = "day",
 ) -> DataFrame:
-    """Daily size, held until the next day with a commit and up to ``as_of``.
-
-    The series starts at the day that comes first in commit order; days before
-    it, where a log runs backwards, are cut.
-    """
-    daily = last_of_day(sizes, order, by, day)
-    place = order_key([day, "_last"]) if day in order else F.col("_last")
-    started = daily.withColumn("_start", F.min_by(day, place).over(Window.partitionBy(*by)))
-    return hold_until(
-        started.filter(F.col(day) >= F.col("_start")), MEASURES, by, day_or_today(as_of), day
-    )
+    """Daily size, held until the next day with a commit and up to ``as_of``."""
+    steps = size_steps(sizes, order, by, day)
+    return hold_until(steps, MEASURES, by, day_or_today(as_of), day)

@@ -16,7 +16,7 @@ ITEM_ORDER = ["page", "pos"]
 def item_ids(items: DataFrame, id_column: str, by: Sequence[str] = ()) -> DataFrame:
     """All item ids numbered in page order; a repeated id keeps all its rows."""
     slim = items.select(*by, *ITEM_ORDER, id_column)
-    return dense_ids(range_chunks(slim, ITEM_ORDER, by), ITEM_ORDER, by).select("id", *by, id_column)
+    return dense_ids(range_chunks(slim, ITEM_ORDER, by), by).select("id", *by, id_column)
 
 
 def normalised_items(
