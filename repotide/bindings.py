@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from repotide.schemas import LONG, TEXT, struct
 from repotide.session import scratch_path
 from repotide.sources.pages import PAGE_SIZE
+from repotide.sources.tables import scan_table
 
 ORDERS_AS_OF = "2001-12-31"
 # Revisions before this instant count as loaded by an earlier run.
@@ -22,8 +25,44 @@ REVISION_ORDER = ["committed_datetime", "seq"]
 REPO = ["repo"]
 
 
+_INT, _DOUBLE, _WALL_CLOCK = T.IntegerType(), T.DoubleType(), T.TimestampNTZType()
+
+# The given tables; declared, so that opening one reads no file.
+GIVEN = {
+    "customer": struct(
+        c_custkey=LONG, c_name=TEXT, c_nationkey=_INT, c_acctbal=_DOUBLE, c_mktsegment=TEXT
+    ),
+    "documents": struct(doc_id=LONG, text=TEXT, lang=TEXT, source=TEXT, n_chars=LONG),
+    "events": struct(
+        event_id=LONG, ts=_WALL_CLOCK, user_id=LONG, event_type=TEXT, value=_DOUBLE, props=TEXT
+    ),
+    "lineitem": struct(
+        l_orderkey=LONG,
+        l_partkey=LONG,
+        l_suppkey=LONG,
+        l_linenumber=_INT,
+        l_quantity=_DOUBLE,
+        l_extendedprice=_DOUBLE,
+        l_discount=_DOUBLE,
+        l_tax=_DOUBLE,
+        l_returnflag=TEXT,
+        l_linestatus=TEXT,
+        l_shipdate=_WALL_CLOCK,
+    ),
+    "orders": struct(
+        o_orderkey=LONG,
+        o_custkey=LONG,
+        o_orderstatus=TEXT,
+        o_totalprice=_DOUBLE,
+        o_orderdate=_WALL_CLOCK,
+        o_orderpriority=TEXT,
+    ),
+    "pages": struct(page_id=LONG, url=TEXT, html=TEXT),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan_table(spark, f"{sf_dir}/{name}.parquet", GIVEN[name])
 
 
 def _long(column: Column) -> Column:

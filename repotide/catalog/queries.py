@@ -17,7 +17,7 @@ from repotide.operators.keys import dimension, lookup, lookup_list, orphans
 from repotide.operators.ordering import dense_ids, range_chunks
 from repotide.operators.quality import violations
 from repotide.plans import contribution, log, open_items, productivity, size, tracker
-from repotide.schemas import LONG, MEASURES, TABLES, TEXT, struct
+from repotide.schemas import MEASURES, TABLES
 from repotide.session import configure, scratch_path
 from repotide.sources import pages, revisions, sizes, tables
 from repotide.streaming import activity
@@ -37,17 +37,11 @@ def query(run: Query) -> Query:
 
 # --- scans, sources, sinks ------------------------------------------------
 
-CUSTOMER = struct(
-    c_custkey=LONG, c_name=TEXT, c_nationkey=T.IntegerType(), c_acctbal=T.DoubleType(), c_mktsegment=TEXT
-)
-EVENTS = struct(
-    event_id=LONG, ts=T.TimestampNTZType(), user_id=LONG, event_type=TEXT, value=T.DoubleType(), props=TEXT
-)
-
-
 @query
 def scan_table(spark, sf_dir):
-    return tables.scan_table(spark, f"{sf_dir}/customer.parquet", CUSTOMER, checked=True)
+    return tables.scan_table(
+        spark, f"{sf_dir}/customer.parquet", b.GIVEN["customer"], checked=True, keys=["c_custkey"]
+    )
 
 
 @query
@@ -432,7 +426,11 @@ def orphan_keys(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return (
+        spark.readStream.schema(b.GIVEN["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
 
 
 @query

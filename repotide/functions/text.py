@@ -74,7 +74,7 @@ def _comment_pattern(rule: CommentRule) -> str | None:
 def _mask(body: Column, rule: CommentRule) -> Column:
     """Replace each comment by a mark, and by two marked lines if it spans lines."""
     pattern = _comment_pattern(rule)
-    clean = F.translate(body, _MARK, "x")
+    clean = F.replace(body, F.lit(_MARK), F.lit("x"))
     if pattern is None:
         return clean
     kept = "".join(f"${i + 1}" for i in range(len(rule.block)))
@@ -82,7 +82,7 @@ def _mask(body: Column, rule: CommentRule) -> Column:
 
 
 def _newlines(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, "\n", ""))
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
 def measure_texts(
