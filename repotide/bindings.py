@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repotide.schemas import LONG, TEXT, struct
+from repotide.schemas import LONG, MEASURES, TEXT, struct
 from repotide.session import scratch_path
 from repotide.sources.pages import PAGE_SIZE
 from repotide.sources.tables import scan_table
@@ -175,6 +175,68 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commit log as raw revisions of many repositories."""
+    log = commit_log(spark, sf_dir)
+    person = F.concat(F.lit("c"), F.col("committer_id"))
+    nobody = F.array().cast("array<string>")
+    return log.select(
+        "repo",
+        "day",
+        "commit_id",
+        person.alias("author"),
+        F.concat(person, F.lit("@x")).alias("author_email"),
+        nobody.alias("co_author_emails"),
+        F.concat(F.lit("o"), F.col("commit_id")).alias("commit_hash"),
+        F.col("day").cast("timestamp").alias("authored_datetime"),
+        F.col("day").cast("timestamp").alias("committed_datetime"),
+        person.alias("committer"),
+        F.concat(person, F.lit("@x")).alias("committer_email"),
+        F.lit("UTF-8").alias("encoding"),
+        F.lit("").alias("message"),
+        F.lit(None).cast("string").alias("gpgsign"),
+        nobody.alias("parents"),
+    )
+
+
+def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release tags on the urgent orders."""
+    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    return urgent.join(
+        commit_log(spark, sf_dir), urgent.o_orderkey == F.col("commit_id")
+    ).select(
+        "repo",
+        F.concat(F.lit("r"), F.col("commit_id")).alias("tag"),
+        F.concat(F.lit("o"), F.col("commit_id")).alias("commit_hash"),
+    )
+
+
+def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file sizes with repository and commit hash, one row per file of a commit."""
+    files, log = file_size(spark, sf_dir), commit_log(spark, sf_dir).select("repo", "commit_id")
+    return (
+        files.join(log, "commit_id")
+        .withColumn("commit_hash", F.concat(F.lit("o"), F.col("commit_id")))
+        .groupBy("repo", "commit_hash", "provider")
+        .agg(F.min("language").alias("language"), *[F.sum(m).alias(m) for m in MEASURES])
+    )
+
+
+def order_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issues as tracker items; the given rows have no unique key to order by."""
+    spans = issues(spark, sf_dir)
+    counted = spans.groupBy("repo", "created", "closed").count()
+    copies = F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("count"))).alias("pos", "_copy")
+    return counted.select("repo", "created", "closed", copies).select(
+        "repo",
+        F.unix_date("created").cast("long").alias("page"),
+        F.concat_ws("/", F.coalesce(F.col("closed").cast("string"), F.lit("open")), "pos").alias("pos"),
+        F.concat_ws("/", "created", F.coalesce(F.col("closed").cast("string"), F.lit("open")), "pos").alias("issue_id"),
+        F.col("created").cast("timestamp").alias("created_at"),
+        F.col("closed").cast("timestamp").alias("closed_at"),
+    )
+
+
 def earlier_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     until = F.lit(EARLIER_LOAD_UNTIL).cast("timestamp")
     return revisions(spark, sf_dir).filter(F.col("committed_datetime") < until)

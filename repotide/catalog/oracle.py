@@ -257,15 +257,16 @@ _register(
                {_each('coalesce(abs("{m}" - lag("{m}") OVER w), 0)::bigint AS delta_{m}')}
         FROM joined WINDOW w AS (ORDER BY day, commit_id)""",
 )
-_register(
-    "productivity_per_day",
-    f"{_SIZES} changes",
-    f"""SELECT s.repo, s.day, {_each("coalesce(sum({m}), 0)::bigint AS {m}", DELTAS)}
-        FROM (SELECT repo, unnest(generate_series(min(day), DATE '{ORDERS_AS_OF}',
-                                                  INTERVAL 1 DAY))::date AS day
-              FROM changes GROUP BY repo) s
-        LEFT JOIN changes c ON c.repo = s.repo AND c.day = s.day GROUP BY s.repo, s.day""",
-)
+for _name, _day in (("productivity_per_day", "day"), ("stored_productivity_per_day", "date")):
+    _register(
+        _name,
+        f"{_SIZES} changes",
+        f"""SELECT s.repo, s.day AS "{_day}", {_each("coalesce(sum({m}), 0)::bigint AS {m}", DELTAS)}
+            FROM (SELECT repo, unnest(generate_series(min(day), DATE '{ORDERS_AS_OF}',
+                                                      INTERVAL 1 DAY))::date AS day
+                  FROM changes GROUP BY repo) s
+            LEFT JOIN changes c ON c.repo = s.repo AND c.day = s.day GROUP BY s.repo, s.day""",
+    )
 _register(
     "contribution_per_day",
     f"{_SIZES} changes",
@@ -282,6 +283,7 @@ _register("open_pull_requests_per_day", "log start pulls open_items", "SELECT *
 _DENSITY = f"{_SIZES} last size_day start issues open_items density"
 _register("issue_density_per_day", _DENSITY, "SELECT * FROM density")
 _register("issue_density_from_daily_tables", _DENSITY, "SELECT * FROM density")
+_register("stored_issue_density_per_day", _DENSITY, "SELECT * FROM density")
 _register(
     "issue_density_ratio",
     _DENSITY,

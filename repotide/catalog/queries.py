@@ -22,6 +22,7 @@ from repotide.session import configure, scratch_path
 from repotide.sources import pages, revisions, sizes, tables
 from repotide.streaming import activity
 from repotide.streaming.revisions import load_new_revisions
+from repotide.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,7 +41,7 @@ def query(run: Query) -> Query:
 @query
 def scan_table(spark, sf_dir):
     return tables.scan_table(
-        spark, f"{sf_dir}/customer.parquet", b.GIVEN["customer"], checked=True, keys=["c_custkey"]
+        spark, f"{sf_dir}/customer.parquet", b.GIVEN["customer"], checked=True
     )
 
 
@@ -394,6 +395,36 @@ def pull_requests_normalised(spark, sf_dir):
     return _normalised(spark, sf_dir, pages.PULL_REQUESTS, "pull_request_id")
 
 
+def _stored(spark, sf_dir):
+    """Log and file sizes loaded into stored tables, in two loads."""
+    house = Warehouse(
+        spark, scratch_path(spark, "tables"), {"repo": T.LongType()}, b.ORDERS_AS_OF
+    )
+    raw = b.order_revisions(spark, sf_dir)
+    tags = b.order_tags(spark, sf_dir)
+    house.load_log(raw.filter(F.col("day") < "1998-01-01"), tags, b.LOG_ORDER)
+    house.load_log(raw, tags, b.LOG_ORDER)
+    house.load_file_sizes(b.order_files(spark, sf_dir))
+    house.project_size()
+    return house
+
+
+@query
+def stored_productivity_per_day(spark, sf_dir):
+    house = _stored(spark, sf_dir)
+    house.project_productivity()
+    return house.read("project_productivity_per_day")
+
+
+@query
+def stored_issue_density_per_day(spark, sf_dir):
+    house = _stored(spark, sf_dir)
+    house.load_issues(b.order_issues(spark, sf_dir))
+    house.issue_spoilage()
+    house.issue_density()
+    return house.read("issue_density_per_day")
+
+
 # --- quality ----------------------------------------------------------------
 
 
@@ -413,8 +444,7 @@ def schema_violations(spark, sf_dir):
         F.col("l_tax").alias("blanks"),
         F.col("l_extendedprice").alias("bytes"),
     )
-    model = T.StructType([f for f in TABLES["file_size_per_commit"].fields if f.name != "id"])
-    return violations(suspect, model, keys)
+    return violations(suspect, TABLES["file_size_per_commit"], keys)
 
 
 @query

@@ -43,7 +43,7 @@ def first_seen(
     )
 
 
-def dimension(
+def new_members(
     df: DataFrame,
     key: str,
     attributes: Sequence[str],
@@ -52,10 +52,9 @@ def dimension(
     stored: DataFrame | None = None,
     distinct: bool = False,
 ) -> DataFrame:
-    """Distinct keys numbered in first-seen order.
+    """Distinct keys not in ``stored``, numbered in first-seen order.
 
-    With a ``stored`` dimension (of one repository, or of the same ``by``) its
-    rows keep their ids and new keys continue after the largest one.
+    Ids start at 0, or after the largest stored id of the same ``by``.
     ``distinct`` says that no key repeats in ``df`` and saves the aggregation.
     """
     seen_order = [f"_order_{i}" for i in range(len(order))]
@@ -67,10 +66,22 @@ def dimension(
     if stored is not None:
         seen = without_known(seen, stored, [*by, key])
     numbered = dense_ids(range_chunks(seen, seen_order, by), by)
-    columns = ["id", *by, *attributes, key]
-    if stored is None:
-        return numbered.select(*columns)
-    return stored.select(*columns).unionByName(_after_stored(numbered.select(*columns), stored, by))
+    numbered = numbered.select("id", *by, *attributes, key)
+    return numbered if stored is None else _after_stored(numbered, stored, by)
+
+
+def dimension(
+    df: DataFrame,
+    key: str,
+    attributes: Sequence[str],
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    stored: DataFrame | None = None,
+    distinct: bool = False,
+) -> DataFrame:
+    """All members: the ``stored`` ones with their ids, and the new ones."""
+    fresh = new_members(df, key, attributes, order, by, stored, distinct)
+    return fresh if stored is None else stored.select(fresh.columns).unionByName(fresh)
 
 
 def _after_stored(numbered: DataFrame, stored: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -38,27 +38,47 @@ def _problem(column: str, have: T.DataType, want: T.StructField) -> Column:
 def violations(df: DataFrame, model: T.StructType, keys: Sequence[str]) -> DataFrame:
     """One row per broken rule: the row's key, the column, the rule.
 
-    Rules are ``missing`` (no such column), ``null``, ``type`` and
-    ``fraction``. Columns the model does not name are ignored.
+    Rules are ``null``, ``type`` and ``fraction``, and ``missing`` for a column
+    the table lacks, reported once without a key. Columns the model does not
+    name are ignored.
     """
     kinds = {field.name: field.dataType for field in df.schema.fields}
-    entries = []
-    for want in model.fields:
-        if want.name not in kinds:
-            rule = F.lit("missing")
-        else:
-            rule = _problem(want.name, kinds[want.name], want)
-        entries.append(F.struct(F.lit(want.name).alias("column"), rule.alias("rule")))
-    return (
-        df.select(*keys, F.explode(F.array(*entries)).alias("_check"))
+    present = [want for want in model.fields if want.name in kinds]
+    checks = [
+        F.struct(
+            F.lit(want.name).alias("column"),
+            _problem(want.name, kinds[want.name], want).alias("rule"),
+        )
+        for want in present
+    ]
+    report = (
+        df.select(*keys, F.explode(F.array(*checks)).alias("_check"))
         .select(*keys, "_check.column", "_check.rule")
         .filter(F.col("rule").isNotNull())
     )
+    absent = [want.name for want in model.fields if want.name not in kinds]
+    if not absent:
+        return report
+    no_key = (None,) * len(keys)
+    rows = [(*no_key, name, "missing") for name in absent]
+    fields = [T.StructField(f.name, f.dataType) for f in report.schema.fields]
+    return report.unionByName(df.sparkSession.createDataFrame(rows, T.StructType(fields)))
+
 
+def require(df: DataFrame, model: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """``df`` in the model's columns and types; the first bad row fails the job.
 
-def require(df: DataFrame, model: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
-    """``df`` in the model's columns and types; raises if a row breaks a rule."""
-    bad = violations(df, model, keys).first()
-    if bad is not None:
-        raise ValueError(f"row does not fit its table: {bad.asDict()}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.fields])
+    The check rides along with the job that reads or writes the rows instead
+    of passing over them once more. ``keep`` lists columns beside the model's.
+    """
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    absent = [want.name for want in model.fields if want.name not in kinds]
+    if absent:
+        raise ValueError(f"columns missing: {absent}")
+    columns = [F.col(name) for name in keep]
+    for want in model.fields:
+        rule = _problem(want.name, kinds[want.name], want)
+        failure = F.raise_error(F.concat(F.lit(f"column {want.name} breaks rule "), rule))
+        value = F.col(want.name).try_cast(want.dataType)
+        columns.append(F.when(rule.isNotNull(), failure).otherwise(value).alias(want.name))
+    return df.select(*columns)

@@ -17,6 +17,16 @@ def new_revisions(
     return without_known(revisions, stored_hashes, [*by, "commit_hash"])
 
 
+def loaded_hashes(
+    hashes: DataFrame, logs: DataFrame | None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Stored hashes that have a log row; a broken-off load may leave some without."""
+    if logs is None:
+        return hashes
+    logged = logs.select(*by, F.col("commit_hash_id").alias("id"))
+    return hashes.join(logged, [*by, "id"], "left_semi")
+
+
 def releases(tags: DataFrame, hashes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Commit ids of all tags that resolve to a known commit, one row per tag."""
     resolved = tags.filter(F.col("commit_hash").isNotNull())
@@ -64,7 +74,6 @@ def commit_logs(
         log.join(co_authors, keys)
         .join(parents, keys)
         .select(
-            F.col("commit_hash_id").alias("id"),
             *by,
             "commit_hash_id",
             "author_id",
@@ -90,11 +99,13 @@ def normalise(
     stored ids stay, and parents and people resolve against stored and new
     rows alike, so loading a log in parts equals loading it at once.
     ``commit_logs`` and ``releases`` hold the new rows only; the dimensions
-    hold all rows.
+    hold all rows. With stored ``commit_logs`` a revision counts as known only
+    if it has a row there, not by its hash alone.
     """
     stored = stored or {}
     known = stored.get("commit_hashes")
-    fresh = revisions if known is None else new_revisions(revisions, known, by)
+    loaded = None if known is None else loaded_hashes(known, stored.get("commit_logs"), by)
+    fresh = revisions if loaded is None else new_revisions(revisions, loaded, by)
     hashes = dimension(fresh, "commit_hash", [], order, by, known, distinct=True)
     authors = dimension(fresh, "author_email", ["author"], order, by, stored.get("authors"))
     committers = dimension(
@@ -106,6 +117,6 @@ def normalise(
         "committers": committers,
         "commit_logs": commit_logs(fresh, hashes, authors, committers, by),
         "releases": releases(tags, hashes, by)
-        if known is None
-        else new_releases(tags, hashes, known, by),
+        if loaded is None
+        else new_releases(tags, hashes, loaded, by),
     }

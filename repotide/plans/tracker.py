@@ -20,7 +20,10 @@ def item_ids(items: DataFrame, id_column: str, by: Sequence[str] = ()) -> DataFr
 
 
 def normalised_items(
-    items: DataFrame, id_column: str, ids: DataFrame, by: Sequence[str] = ()
+    items: DataFrame,
+    id_column: str,
+    ids: DataFrame,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Items with ``<id_column>_key`` in place of the id; of repeated ids the last counts."""
     keyed = lookup(items, id_column, ids, id_column, f"{id_column}_key", by)

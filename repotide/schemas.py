@@ -26,17 +26,18 @@ _CHANGES = dict.fromkeys(DELTAS, LONG)
 _OPEN = {"start": INSTANT, "end": INSTANT, "open_events": LONG}
 _ITEM = {"created_at": INSTANT, "closed_at": INSTANT}
 
-# Table and column names of the stored tables. Reference lists
-# are native arrays; JSON text is made only at the edge. An open item has no
-# closing time, most commits carry no signature, and days before the first
-# item have no count, so those columns may be null.
+# Table and column names of the stored tables. Running ids are
+# kept where other tables refer to them; elsewhere commit, path or day tell
+# rows apart, and numbering them would sort the largest tables for nothing.
+# Reference lists are native arrays; JSON text is made only at the edge. An
+# open item has no closing time, most commits carry no signature, and days
+# before the first item have no count, so those columns may be null.
 TABLES: dict[str, T.StructType] = {
     "commit_hashes": struct(id=LONG, commit_hash=TEXT),
-    "releases": struct(id=LONG, commit_hash_id=LONG),
+    "releases": struct(commit_hash_id=LONG),
     "authors": struct(id=LONG, author=TEXT, author_email=TEXT),
     "committers": struct(id=LONG, committer=TEXT, committer_email=TEXT),
     "commit_logs": struct(
-        id=LONG,
         commit_hash_id=LONG,
         author_id=LONG,
         committer_id=LONG,
@@ -50,7 +51,7 @@ TABLES: dict[str, T.StructType] = {
         nullable=("gpgsign",),
     ),
     "file_size_per_commit": struct(
-        id=LONG, commit_hash_id=LONG, language=TEXT, provider=TEXT, **_SIZES
+        commit_hash_id=LONG, language=TEXT, provider=TEXT, **_SIZES
     ),
     "project_size_per_commit": struct(commit_hash_id=LONG, **_SIZES),
     "project_size_per_day": struct(date=DAY, **_SIZES),
@@ -58,9 +59,9 @@ TABLES: dict[str, T.StructType] = {
     "project_productivity_per_day": struct(date=DAY, **_CHANGES),
     "bus_factor_per_day": struct(committer_id=LONG, date=DAY, **_CHANGES),
     "issue_ids": struct(id=LONG, issue_id=TEXT),
-    "issues": struct(id=LONG, issue_id_key=LONG, **_ITEM, nullable=("closed_at",)),
+    "issues": struct(issue_id_key=LONG, **_ITEM, nullable=("closed_at",)),
     "pull_request_ids": struct(id=LONG, pull_request_id=TEXT),
-    "pull_requests": struct(id=LONG, pull_request_id_key=LONG, **_ITEM, nullable=("closed_at",)),
+    "pull_requests": struct(pull_request_id_key=LONG, **_ITEM, nullable=("closed_at",)),
     "issue_spoilage_per_day": struct(**_OPEN),
     "pull_request_spoilage_per_day": struct(**_OPEN),
     "issue_density_per_day": struct(

@@ -13,11 +13,11 @@ from repotide.operators.quality import require
 
 
 def scan_table(
-    spark: SparkSession, path: str, schema: T.StructType, checked: bool = False, keys: Sequence[str] = ()
+    spark: SparkSession, path: str, schema: T.StructType, checked: bool = False
 ) -> DataFrame:
-    """Read a table with its declared schema; ``checked`` raises on a bad row."""
+    """Read a table with its declared schema; ``checked`` fails on a bad row."""
     table = spark.read.schema(schema).parquet(path)
-    return require(table, schema, keys) if checked else table
+    return require(table, schema) if checked else table
 
 
 def sql_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
