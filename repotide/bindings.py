@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repotide.schemas import LONG, MEASURES, TEXT, struct
+from repotide.schemas import LONG, MEASURES, TEXT, WALL_CLOCK, struct
 from repotide.session import scratch_path
 from repotide.sources.pages import PAGE_SIZE
 from repotide.sources.tables import scan_table
@@ -25,7 +25,7 @@ REVISION_ORDER = ["committed_datetime", "seq"]
 REPO = ["repo"]
 
 
-_INT, _DOUBLE, _WALL_CLOCK = T.IntegerType(), T.DoubleType(), T.TimestampNTZType()
+_INT, _DOUBLE = T.IntegerType(), T.DoubleType()
 
 # The given tables; declared, so that opening one reads no file.
 GIVEN = {
@@ -34,7 +34,7 @@ GIVEN = {
     ),
     "documents": struct(doc_id=LONG, text=TEXT, lang=TEXT, source=TEXT, n_chars=LONG),
     "events": struct(
-        event_id=LONG, ts=_WALL_CLOCK, user_id=LONG, event_type=TEXT, value=_DOUBLE, props=TEXT
+        event_id=LONG, ts=WALL_CLOCK, user_id=LONG, event_type=TEXT, value=_DOUBLE, props=TEXT
     ),
     "lineitem": struct(
         l_orderkey=LONG,
@@ -47,14 +47,14 @@ GIVEN = {
         l_tax=_DOUBLE,
         l_returnflag=TEXT,
         l_linestatus=TEXT,
-        l_shipdate=_WALL_CLOCK,
+        l_shipdate=WALL_CLOCK,
     ),
     "orders": struct(
         o_orderkey=LONG,
         o_custkey=LONG,
         o_orderstatus=TEXT,
         o_totalprice=_DOUBLE,
-        o_orderdate=_WALL_CLOCK,
+        o_orderdate=WALL_CLOCK,
         o_orderpriority=TEXT,
     ),
     "pages": struct(page_id=LONG, url=TEXT, html=TEXT),

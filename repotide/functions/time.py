@@ -41,9 +41,10 @@ def day_or_today(as_of: AsOf) -> Column:
 
 
 def day_start(day: Column) -> Column:
-    return day.cast("timestamp")
+    """Midnight of a UTC day as a time without zone, the same in any session."""
+    return day.cast("timestamp_ntz")
 
 
 def day_end(day: Column) -> Column:
     """Last whole second of the day."""
-    return day.cast("timestamp") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    return day_start(day) + F.make_dt_interval(F.lit(0), F.lit(23), F.lit(59), F.lit(59))

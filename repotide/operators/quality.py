@@ -22,7 +22,7 @@ def _problem(column: str, have: T.DataType, want: T.StructField) -> Column:
             checks.append((number != F.floor(number), "fraction"))
         elif not isinstance(have, (T.IntegralType, T.BooleanType)):
             checks.append((value.isNotNull(), "type"))
-    elif isinstance(want.dataType, (T.TimestampType, T.DateType)):
+    elif isinstance(want.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         if isinstance(have, T.StringType):
             checks.append((value.isNotNull() & value.try_cast("timestamp").isNull(), "type"))
         elif not isinstance(have, (T.TimestampType, T.TimestampNTZType, T.DateType)):

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 MEASURES = ["lines", "code", "comments", "blanks", "bytes"]
 DELTAS = [f"delta_{name}" for name in MEASURES]
 
-LONG, TEXT, DAY, INSTANT = T.LongType(), T.StringType(), T.DateType(), T.TimestampType()
+LONG, TEXT, DAY = T.LongType(), T.StringType(), T.DateType()
+INSTANT, WALL_CLOCK = T.TimestampType(), T.TimestampNTZType()
 
 
 def struct(*, nullable: tuple[str, ...] = (), **columns: T.DataType) -> T.StructType:
@@ -23,7 +24,7 @@ def _references(key: str) -> T.ArrayType:
 
 _SIZES = dict.fromkeys(MEASURES, LONG)
 _CHANGES = dict.fromkeys(DELTAS, LONG)
-_OPEN = {"start": INSTANT, "end": INSTANT, "open_events": LONG}
+_OPEN = {"start": WALL_CLOCK, "end": WALL_CLOCK, "open_events": LONG}
 _ITEM = {"created_at": INSTANT, "closed_at": INSTANT}
 
 # Table and column names of the stored tables. Running ids are
