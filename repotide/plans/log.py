@@ -58,9 +58,7 @@ def commit_logs(
     """Revisions with ids in place of hashes and people."""
     keys = [*by, "commit_hash"]
     plain = ["authored_datetime", "committed_datetime", "encoding", "message", "gpgsign"]
-    log = revisions.select(
-        *keys, "author_email", "committer_email", *[c for c in plain if c in revisions.columns]
-    )
+    log = revisions.select(*keys, "author_email", "committer_email")
     log = lookup(log, "author_email", authors, "author_email", "author_id", by, unique=True)
     log = lookup(log, "committer_email", committers, "committer_email", "committer_id", by, unique=True)
     log = lookup(log, "commit_hash", hashes, "commit_hash", "commit_hash_id", by, unique=True)
@@ -70,19 +68,11 @@ def commit_logs(
     parents = lookup_list(
         revisions, keys, "parents", hashes, "commit_hash", "parent_hash_ids", by, unique=True
     )
-    return (
-        log.join(co_authors, keys)
-        .join(parents, keys)
-        .select(
-            *by,
-            "commit_hash_id",
-            "author_id",
-            "committer_id",
-            "co_author_ids",
-            "parent_hash_ids",
-            *[c for c in plain if c in revisions.columns],
-        )
-    )
+    ids = ["commit_hash_id", "author_id", "committer_id", "co_author_ids", "parent_hash_ids"]
+    narrow = log.join(co_authors, keys).join(parents, keys).select(*keys, *ids)
+    # messages are wide: they are moved once, past all lookups
+    carried = [c for c in plain if c in revisions.columns]
+    return revisions.select(*keys, *carried).join(narrow, keys).select(*by, *ids, *carried)
 
 
 def normalise(

@@ -27,15 +27,30 @@ def sql_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) ->
     return spark.sql(sql)
 
 
+def _within_bounds(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored keys that lie between the smallest and largest of the batch.
+
+    The bounds are constants, so files and row groups of a table that grows
+    along its key are skipped unread.
+    """
+    ends = [f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]
+    bounds = batch.agg(*ends).first()
+    for k in keys:
+        low, high = bounds[f"min_{k}"], bounds[f"max_{k}"]
+        if low is not None:
+            stored = stored.filter(F.col(k).between(F.lit(low), F.lit(high)) | F.col(k).isNull())
+    return stored
+
+
 def new_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` with an unknown key, one per key.
 
-    The stored keys are first cut to those of the batch, so a small batch is
-    broadcast to the large table and the table itself is not shuffled.
+    The stored keys are first cut to those of the batch, so a batch small
+    enough to be broadcast spares the large table a shuffle.
     """
     wanted = batch.select(*[F.col(k).alias(f"_want_{k}") for k in keys]).distinct()
     pairs = [(k, f"_want_{k}") for k in keys]
-    known = stored.select(*keys)
+    known = _within_bounds(stored.select(*keys), batch, keys)
     known = known.join(wanted, null_safe(known, wanted, pairs), "left_semi")
     fresh = without_known(batch, known, keys)
     rest = [c for c in batch.columns if c not in keys]

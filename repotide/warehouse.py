@@ -33,13 +33,19 @@ class Warehouse:
         root: str,
         by: Mapping[str, T.DataType] | None = None,
         as_of: AsOf = None,
+        partition_by: Sequence[str] = (),
     ) -> None:
-        """``by`` gives the columns that tell repositories apart; none for one."""
+        """``by`` gives the columns that tell repositories apart; none for one.
+
+        ``partition_by`` names those of them that become folders; choose one
+        with few values, such as a hash bucket of the repository.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.by_types = dict(by or {})
         self.by = list(self.by_types)
         self.as_of = as_of
+        self.partition_by = list(partition_by)
 
     def _schema(self, name: str) -> T.StructType:
         own = [T.StructField(column, kind, False) for column, kind in self.by_types.items()]
@@ -61,7 +67,8 @@ class Warehouse:
             raise
 
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
-        require(df, self._schema(name)).write.mode(mode).parquet(self._path(name))
+        writer = require(df, self._schema(name)).write.mode(mode)
+        writer.partitionBy(*self.partition_by).parquet(self._path(name))
 
     # --- loads ----------------------------------------------------------------
 
