@@ -9,20 +9,26 @@ from pyspark.sql import functions as F
 
 from repotide.functions.time import AsOf, day_or_today
 from repotide.operators.calendar import fill_constant
-from repotide.operators.ordering import order_key, range_chunks, with_previous
+from repotide.operators.ordering import id_chunks, order_key, range_chunks, with_previous
 from repotide.schemas import DELTAS, MEASURES
 
 
 def productivity_per_commit(
-    sizes: DataFrame, order: Sequence[str], by: Sequence[str] = (), keep: Sequence[str] = ()
+    sizes: DataFrame,
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    keep: Sequence[str] = (),
+    dense: bool = False,
 ) -> DataFrame:
     """Absolute change of each measure against the previous measured commit.
 
     The first commit, and a change from or to null, count as 0. ``keep`` lists
-    further columns to carry along, such as day and committer.
+    further columns to carry along, such as day and committer. ``dense`` says
+    that the order is one column numbering the commits of ``by`` from 0, as
+    the ids of the normalised log do.
     """
-    needed = list(dict.fromkeys([*by, *keep, *order, *MEASURES]))
-    chunked = range_chunks(sizes.select(*needed), order, by)
+    slim = sizes.select(*dict.fromkeys([*by, *keep, *order, *MEASURES]))
+    chunked = id_chunks(slim, order[0]) if dense else range_chunks(slim, order, by)
     compared = with_previous(chunked, MEASURES, by)
     return compared.select(
         *dict.fromkeys([*by, *keep, *order]),

@@ -141,7 +141,7 @@ class Warehouse:
 
     def project_productivity(self) -> None:
         sizes = self.read("project_size_per_commit")
-        changes = productivity.productivity_per_commit(sizes, [COMMIT], self.by)
+        changes = productivity.productivity_per_commit(sizes, [COMMIT], self.by, dense=True)
         self._write("project_productivity_per_commit", changes, "overwrite")
         changes = self._with_log("project_productivity_per_commit")
         daily = productivity.productivity_per_day(changes, [COMMIT], self.by, self.as_of)

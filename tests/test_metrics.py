@@ -203,6 +203,13 @@ def test_as_of_before_the_first_day_gives_nothing(files, log, items):
     assert open_items.open_items_per_day(items, log, as_of=early).count() == 0
 
 
+def test_as_of_is_today_in_utc_by_default(spark):
+    today = dt.datetime.now(dt.timezone.utc).date()
+    sizes = one_measure(spark, [(0, today - dt.timedelta(days=2), 0, 5)])
+    days = [r.day for r in size.size_per_day(sizes, ORDER).collect()]
+    assert max(days) in (today, today + dt.timedelta(days=1)) and len(days) in (3, 4)
+
+
 def test_single_commit(spark, log):
     sizes = one_measure(spark, [(0, day("2024-01-04"), 0, 5)])
     assert rows_of(productivity.productivity_per_commit(sizes, ORDER), "commit_id", "delta_lines") == [(0, 0)]

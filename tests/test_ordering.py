@@ -7,7 +7,7 @@ import random
 import pytest
 
 from repotide.operators.keys import dimension, lookup, lookup_list, orphans, without_known
-from repotide.operators.ordering import CHUNK, dense_ids, range_chunks, with_previous
+from repotide.operators.ordering import CHUNK, dense_ids, id_chunks, range_chunks, with_previous
 
 
 def skewed(n=4000, seed=3):
@@ -41,6 +41,22 @@ def test_previous_and_ids(spark, many_ranges, by):
     assert len(ids) == len(previous) == len(rows)
 
 
+@pytest.mark.parametrize("rows_per_range", [1, 7, 1000])
+@pytest.mark.parametrize("by", [["g"], []])
+def test_previous_along_a_dense_id(spark, by, rows_per_range):
+    """Gaps, such as commits without files, may empty whole ranges."""
+    rng = random.Random(8)
+    rows = [(g, i, rng.randrange(50)) for g in ("hot", "b", "c") for i in range(300) if rng.random() < 0.2]
+    rows = rows if by else [(g, k, v) for k, (g, _, v) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "g string, id long, v long").repartition(3)
+    got = with_previous(id_chunks(df, "id", rows_per_range), ["v"], by)
+    want, last = {}, {}
+    for g, i, v in sorted(rows, key=lambda r: (r[0] if by else "", r[1])):
+        want[g, i] = last.get(g if by else "")
+        last[g if by else ""] = v
+    assert {(r.g, r.id): r.previous_v for r in got.collect()} == want
+
+
 def test_hot_group_is_cut_into_many_ranges(spark, many_ranges):
     df = spark.range(20000).selectExpr("'only' AS g", "id")
     sizes = [r["count"] for r in range_chunks(df, ["id"], ["g"]).groupBy(CHUNK).count().collect()]
