@@ -54,13 +54,17 @@ class Warehouse:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, checked: bool = True) -> DataFrame:
         """A stored table; a row that does not fit its schema fails the job."""
-        return scan_table(self.spark, self._path(name), self._schema(name), checked=True)
+        return scan_table(self.spark, self._path(name), self._schema(name), checked)
 
-    def _read_if_any(self, name: str) -> DataFrame | None:
+    def _stored(self, name: str) -> DataFrame:
+        """A table of our own, whose rows were checked when they were written."""
+        return self.read(name, checked=False)
+
+    def _stored_if_any(self, name: str) -> DataFrame | None:
         try:
-            return self.read(name)
+            return self._stored(name)
         except AnalysisException as problem:
             if problem.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -78,10 +82,10 @@ class Warehouse:
         The log itself is written last. A load that breaks off is thus done
         again, with the ids of the hashes and people it had already stored.
         """
-        hashes = self._read_if_any("commit_hashes")
+        hashes = self._stored_if_any("commit_hashes")
         fresh = revisions
         if hashes is not None:
-            logs = self._read_if_any("commit_logs")
+            logs = self._stored_if_any("commit_logs")
             if logs is not None:
                 fresh = log.new_revisions(revisions, log.loaded_hashes(hashes, logs, self.by), self.by)
         people = [
@@ -90,19 +94,19 @@ class Warehouse:
             ("committers", "committer_email", ["committer"], False),
         ]
         for name, key, attributes, distinct in people:
-            stored = self._read_if_any(name)
+            stored = self._stored_if_any(name)
             members = new_members(fresh, key, attributes, order, self.by, stored, distinct)
             self._write(name, members, "append")
-        dims = [self.read(name) for name, *_ in people]
+        dims = [self._stored(name) for name, *_ in people]
         self._write("releases", log.releases(tags, dims[0], self.by), "overwrite")
         self._write("commit_logs", log.commit_logs(fresh, *dims, self.by), "append")
 
     def load_file_sizes(self, files: DataFrame) -> None:
         """Append measured files, with a ``commit_hash`` to resolve or a commit id."""
         if COMMIT not in files.columns:
-            hashes = self.read("commit_hashes")
+            hashes = self._stored("commit_hashes")
             files = lookup(files, "commit_hash", hashes, "commit_hash", COMMIT, self.by, unique=True)
-        stored = self._read_if_any("file_size_per_commit")
+        stored = self._stored_if_any("file_size_per_commit")
         if stored is not None:
             files = without_known(files, stored, [*self.by, COMMIT, "provider"])
         self._write("file_size_per_commit", files, "append")
@@ -117,22 +121,22 @@ class Warehouse:
         """Replace ids and facts, as items known before may have closed since."""
         id_column = f"{kind}_id"
         self._write(f"{kind}_ids", tracker.item_ids(items, id_column, self.by), "overwrite")
-        ids = self.read(f"{kind}_ids")
+        ids = self._stored(f"{kind}_ids")
         facts = tracker.normalised_items(items, id_column, ids, self.by)
         self._write(f"{kind}s", facts, "overwrite")
 
     # --- metrics ---------------------------------------------------------------
 
     def _log_days(self) -> DataFrame:
-        logs = self.read("commit_logs")
+        logs = self._stored("commit_logs")
         day = utc_day(logs, "committed_datetime").alias("day")
         return logs.select(*self.by, COMMIT, "committer_id", day)
 
     def _with_log(self, name: str) -> DataFrame:
-        return size.join_log(self.read(name), self._log_days(), [*self.by, COMMIT])
+        return size.join_log(self._stored(name), self._log_days(), [*self.by, COMMIT])
 
     def project_size(self) -> None:
-        files = self.read("file_size_per_commit")
+        files = self._stored("file_size_per_commit")
         per_commit = size.size_per_commit(files, COMMIT, self.by)
         self._write("project_size_per_commit", per_commit, "overwrite")
         sizes = self._with_log("project_size_per_commit")
@@ -140,7 +144,7 @@ class Warehouse:
         self._write("project_size_per_day", daily.withColumnRenamed("day", "date"), "overwrite")
 
     def project_productivity(self) -> None:
-        sizes = self.read("project_size_per_commit")
+        sizes = self._stored("project_size_per_commit")
         changes = productivity.productivity_per_commit(sizes, [COMMIT], self.by, dense=True)
         self._write("project_productivity_per_commit", changes, "overwrite")
         changes = self._with_log("project_productivity_per_commit")
@@ -161,7 +165,7 @@ class Warehouse:
         self._spoilage("pull_request")
 
     def _spoilage(self, kind: str) -> None:
-        items = self.read(f"{kind}s")
+        items = self._stored(f"{kind}s")
         spans = items.select(
             *self.by,
             utc_day(items, "created_at").alias("created"),
@@ -171,7 +175,7 @@ class Warehouse:
         self._write(f"{kind}_spoilage_per_day", daily, "overwrite")
 
     def issue_density(self) -> None:
-        sizes = self.read("project_size_per_day").withColumnRenamed("date", "day")
-        counts = self.read("issue_spoilage_per_day")
+        sizes = self._stored("project_size_per_day").withColumnRenamed("date", "day")
+        counts = self._stored("issue_spoilage_per_day")
         density = open_items.issue_density_per_day(sizes, counts, self.by)
         self._write("issue_density_per_day", density, "overwrite")
