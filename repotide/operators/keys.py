@@ -148,7 +148,10 @@ def lookup_list(
     return full.unionByName(empty)
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def orphans(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str, by: Sequence[str] = ()
+) -> DataFrame:
     """Distinct non-null references of ``child`` that ``parent`` does not hold."""
-    refs = child.select(column).filter(F.col(column).isNotNull()).distinct()
-    return refs.join(parent.select(F.col(parent_column).alias(column)), column, "left_anti")
+    refs = child.select(*by, column).filter(F.col(column).isNotNull()).distinct()
+    held = parent.select(*by, F.col(parent_column).alias(column))
+    return refs.join(held, [*by, column], "left_anti")

@@ -70,6 +70,21 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+# References between stored tables (table, column, table whose
+# id it holds).
+FOREIGN_KEYS = [
+    ("releases", "commit_hash_id", "commit_hashes"),
+    ("bus_factor_per_day", "committer_id", "committers"),
+    ("commit_logs", "commit_hash_id", "commit_hashes"),
+    ("commit_logs", "author_id", "authors"),
+    ("commit_logs", "committer_id", "committers"),
+    ("file_size_per_commit", "commit_hash_id", "commit_hashes"),
+    ("issues", "issue_id_key", "issue_ids"),
+    ("pull_requests", "pull_request_id_key", "pull_request_ids"),
+    ("project_productivity_per_commit", "commit_hash_id", "commit_hashes"),
+    ("project_size_per_commit", "commit_hash_id", "commit_hashes"),
+]
+
 _LIST = T.ArrayType(TEXT)
 
 # One commit as landed; times are ISO text with an offset.

@@ -12,14 +12,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repotide.functions.time import AsOf, utc_day
-from repotide.operators.keys import lookup, new_members, without_known
+from repotide.operators.keys import lookup, new_members, orphans, without_known
 from repotide.operators.quality import require
 from repotide.plans import contribution, log, open_items, productivity, size, tracker
-from repotide.schemas import TABLES
-from repotide.sources.tables import scan_table
+from repotide.schemas import FOREIGN_KEYS, TABLES
+from repotide.sources.tables import scan_table, union_sources
 
 COMMIT = "commit_hash_id"
 
@@ -74,6 +75,25 @@ class Warehouse:
         writer = require(df, self._schema(name)).write.mode(mode)
         writer.partitionBy(*self.partition_by).parquet(self._path(name))
 
+    def orphans(self) -> DataFrame:
+        """References that point nowhere: table, column, repository and value.
+
+        Tables not stored yet are passed over, as is the committer that stands
+        for a day without commits.
+        """
+        reports = []
+        for table, column, target in FOREIGN_KEYS:
+            child, parent = self._stored_if_any(table), self._stored_if_any(target)
+            if child is None or parent is None:
+                continue
+            lost = orphans(child, column, parent, "id", self.by).withColumnRenamed(column, "value")
+            reports.append(
+                lost.filter(F.col("value") != contribution.NOBODY).select(
+                    F.lit(table).alias("table"), F.lit(column).alias("column"), *self.by, "value"
+                )
+            )
+        return union_sources(reports)
+
     # --- loads ----------------------------------------------------------------
 
     def load_log(self, revisions: DataFrame, tags: DataFrame, order: Sequence[str]) -> None:

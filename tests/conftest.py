@@ -43,7 +43,7 @@ def many_ranges(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-@pytest.fixture(params=["one partition", "seven partitions", "shuffled"])
+@pytest.fixture(params=["one partition", "shuffled over seven"])
 def spread(request):
     """Lay the same rows out in different ways."""
     from pyspark.sql import functions as F
@@ -51,8 +51,6 @@ def spread(request):
     def apply(df):
         if request.param == "one partition":
             return df.coalesce(1)
-        if request.param == "seven partitions":
-            return df.repartition(7)
-        return df.repartition(3, F.hash(*df.columns) % 3).orderBy(F.hash(*df.columns))
+        return df.repartition(7).sortWithinPartitions(F.hash(*df.columns))
 
     return apply

@@ -215,7 +215,15 @@ def test_warehouse_loads_are_repeatable(spark, tmp_path):
     assert [r.open_events for r in house.read("pull_request_spoilage_per_day").orderBy("start").collect()] == [0, 1, 1, 1]
     density = house.read("issue_density_per_day").orderBy("start").collect()
     assert [(r.lines, r.open_events) for r in density] == [(4, 0), (4, 1), (4, 1), (4, 1), (4, 1)]
-    assert [(r.committer_id, r.delta_lines) for r in house.read("bus_factor_per_day").collect()] == [(0, 3)]
+    bus_factor = sorted((r.committer_id, r.delta_lines) for r in house.read("bus_factor_per_day").collect())
+    assert bus_factor == [(0, 3)]
+    assert house.orphans().count() == 0
+    files.select(
+        "repo", F.lit(99).cast("long").alias("commit_hash_id"), *files.columns[2:]
+    ).write.mode("append").parquet(f"{tmp_path}/file_size_per_commit")
+    assert [tuple(r) for r in house.orphans().collect()] == [
+        ("file_size_per_commit", "commit_hash_id", 1, 99)
+    ]
 
 
 def test_broken_off_load_is_done_again(spark, tmp_path):
