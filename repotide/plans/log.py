@@ -8,6 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repotide.operators.keys import dimension, lookup, lookup_list, without_known
+from repotide.session import shared_dir
+
+
+# What the ids of a log are worked out from.
+_NARROW = [
+    "commit_hash",
+    "author",
+    "author_email",
+    "committer",
+    "committer_email",
+    "co_author_emails",
+    "parents",
+]
+# What a log row carries along unchanged.
+_CARRIED = ["authored_datetime", "committed_datetime", "encoding", "message", "gpgsign"]
 
 
 def new_revisions(
@@ -17,6 +32,21 @@ def new_revisions(
     return without_known(revisions, stored_hashes, [*by, "commit_hash"])
 
 
+def fresh_revisions(
+    revisions: DataFrame, loaded: DataFrame | None, order: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """The narrow columns of the revisions to load.
+
+    They feed all dimensions and lookups, so what is left of a comparison with
+    the ``loaded`` hashes is kept in a checkpoint and not worked out again.
+    """
+    narrow = revisions.select(*dict.fromkeys([*by, *_NARROW, *order]))
+    if loaded is None:
+        return narrow
+    shared_dir(revisions.sparkSession)
+    return new_revisions(narrow, loaded, by).checkpoint()
+
+
 def loaded_hashes(
     hashes: DataFrame, logs: DataFrame | None, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -54,10 +84,15 @@ def commit_logs(
     authors: DataFrame,
     committers: DataFrame,
     by: Sequence[str] = (),
+    wide: DataFrame | None = None,
 ) -> DataFrame:
-    """Revisions with ids in place of hashes and people."""
+    """Revisions with ids in place of hashes and people.
+
+    Times and messages come from ``wide``, which may hold further revisions;
+    left out, ``revisions`` has them itself.
+    """
+    wide = revisions if wide is None else wide
     keys = [*by, "commit_hash"]
-    plain = ["authored_datetime", "committed_datetime", "encoding", "message", "gpgsign"]
     log = revisions.select(*keys, "author_email", "committer_email")
     log = lookup(log, "author_email", authors, "author_email", "author_id", by, unique=True)
     log = lookup(log, "committer_email", committers, "committer_email", "committer_id", by, unique=True)
@@ -71,8 +106,8 @@ def commit_logs(
     ids = ["commit_hash_id", "author_id", "committer_id", "co_author_ids", "parent_hash_ids"]
     narrow = log.join(co_authors, keys).join(parents, keys).select(*keys, *ids)
     # messages are wide: they are moved once, past all lookups
-    carried = [c for c in plain if c in revisions.columns]
-    return revisions.select(*keys, *carried).join(narrow, keys).select(*by, *ids, *carried)
+    carried = [c for c in _CARRIED if c in wide.columns]
+    return wide.select(*keys, *carried).join(narrow, keys).select(*by, *ids, *carried)
 
 
 def normalise(
@@ -84,8 +119,8 @@ def normalise(
 ) -> dict[str, DataFrame]:
     """The five tables of a log.
 
-    ``order`` is the oldest-to-newest order of the revisions, unique within
-    ``by``. Given the ``stored`` tables, only unknown revisions are processed,
+    ``order`` is the oldest-to-newest order of the revisions, which like their
+    hashes is unique within ``by``. Given the ``stored`` tables, only unknown revisions are processed,
     stored ids stay, and parents and people resolve against stored and new
     rows alike, so loading a log in parts equals loading it at once.
     ``commit_logs`` and ``releases`` hold the new rows only; the dimensions
@@ -95,7 +130,7 @@ def normalise(
     stored = stored or {}
     known = stored.get("commit_hashes")
     loaded = None if known is None else loaded_hashes(known, stored.get("commit_logs"), by)
-    fresh = revisions if loaded is None else new_revisions(revisions, loaded, by)
+    fresh = fresh_revisions(revisions, loaded, order, by)
     hashes = dimension(fresh, "commit_hash", [], order, by, known, distinct=True)
     authors = dimension(fresh, "author_email", ["author"], order, by, stored.get("authors"))
     committers = dimension(
@@ -105,7 +140,7 @@ def normalise(
         "commit_hashes": hashes,
         "authors": authors,
         "committers": committers,
-        "commit_logs": commit_logs(fresh, hashes, authors, committers, by),
+        "commit_logs": commit_logs(fresh, hashes, authors, committers, by, wide=revisions),
         "releases": releases(tags, hashes, by)
         if loaded is None
         else new_releases(tags, hashes, loaded, by),

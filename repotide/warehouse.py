@@ -102,12 +102,11 @@ class Warehouse:
         The log itself is written last. A load that breaks off is thus done
         again, with the ids of the hashes and people it had already stored.
         """
-        hashes = self._stored_if_any("commit_hashes")
-        fresh = revisions
-        if hashes is not None:
-            logs = self._stored_if_any("commit_logs")
-            if logs is not None:
-                fresh = log.new_revisions(revisions, log.loaded_hashes(hashes, logs, self.by), self.by)
+        hashes, logs = self._stored_if_any("commit_hashes"), self._stored_if_any("commit_logs")
+        loaded = None
+        if hashes is not None and logs is not None:
+            loaded = log.loaded_hashes(hashes, logs, self.by)
+        fresh = log.fresh_revisions(revisions, loaded, order, self.by)
         people = [
             ("commit_hashes", "commit_hash", [], True),
             ("authors", "author_email", ["author"], False),
@@ -119,7 +118,7 @@ class Warehouse:
             self._write(name, members, "append")
         dims = [self._stored(name) for name, *_ in people]
         self._write("releases", log.releases(tags, dims[0], self.by), "overwrite")
-        self._write("commit_logs", log.commit_logs(fresh, *dims, self.by), "append")
+        self._write("commit_logs", log.commit_logs(fresh, *dims, self.by, wide=revisions), "append")
 
     def load_file_sizes(self, files: DataFrame) -> None:
         """Append measured files, with a ``commit_hash`` to resolve or a commit id."""
