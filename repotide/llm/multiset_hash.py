@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash, in DataFrame functions only.
 
-A text is taken as the multiset of its paragraphs: lines, cut after sentence
-ends and bars, and at the next space after 160 characters. A paragraph's 120
+A text is taken as the multiset of its paragraphs: lines, long ones cut after
+each sentence end or bar that a space follows. A paragraph's 120
 hash bits are its wide vector; a fingerprint adds the vectors up, lane by lane
 modulo 2^20, three lanes to a number and the numbers modulo 2^60, next to the
 count of paragraphs. So order does not matter, equal texts have equal
@@ -28,9 +28,9 @@ _ROWS_PER_CHUNK, _MOST_CHUNKS, _FAN = 512, 4096, 64
 
 
 def paragraphs(text: Column) -> Column:
-    ended = F.regexp_replace(text, r"([.!?|]) ", "$1\n")
-    short = F.regexp_replace(ended, r"([^\n]{160}[^ \n]*) ", "$1\n")
-    return F.split(short, "\n", -1)
+    for mark in (".", "!", "?", "|"):
+        text = F.replace(text, F.lit(f"{mark} "), F.lit(f"{mark}\n"))
+    return F.split(text, "\n", -1)
 
 
 def paragraph_hashes(text: Column) -> Column:
@@ -113,18 +113,15 @@ def shown(sums: Column) -> Column:
     return F.array_join(F.transform(sums, lambda s: F.hex(s)), ".")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and next_text: the following row by id, after the last the first.
+def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` (doc_id, text and more) with the ``columns`` of the following row by
+    id as ``next_<column>``; the first row follows the last.
 
     Ids are cut into chunks at approximate quantiles, which are ids of rows
     themselves: such a row opens its chunk and is also sent to the end of the
     chunk before. Chunks need no order among them, and no row count of one
     depends on how the ids are spread.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
     ids = rows.select("doc_id")
     total, known, first = ids.agg(
         F.count(F.lit(1)), F.count("doc_id"), F.min("doc_id")
@@ -163,41 +160,37 @@ def with_next(docs: DataFrame) -> DataFrame:
             ).otherwise(nothing),
         )
     )
-    following = F.lead("text").over(
-        Window.partitionBy("chunk").orderBy("end", "doc_id", "text")
-    )
+    order = Window.partitionBy("chunk").orderBy("end", "doc_id", "text")
     return (
-        rows.select("doc_id", "text", F.inline(places))
-        .withColumn("next_text", following)
+        rows.select(*rows.columns, F.inline(places))
+        .select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
         .filter(~F.col("tail"))
-        .select("doc_id", "text", "next_text")
+        .drop("chunk", "tail", "end")
     )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of its text edited by the next one, and how near
     both and the next text are."""
-    rows = with_next(docs)
+    hashed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ).withColumn("own", paragraph_hashes(F.col("text")))
+    rows = with_next(hashed.withColumn("own", summed(F.col("own"))), ["text", "own"])
     half = F.floor(F.length("text") / 2).cast("int")
-    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn(
-        "edited",
-        F.concat(
-            F.substring("text", F.lit(1), F.length("text") - half),
-            F.substring("next_text", F.lit(1), half),
-        ),
+    edited = F.concat(
+        F.substring("text", F.lit(1), F.length("text") - half),
+        F.substring("next_text", F.lit(1), half),
     )
-    hashed = rows.select(
-        "doc_id",
-        "n_chars",
+    edits = rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), "own",
+        F.col("next_own").alias("next"), edited.alias("edited"),
+    ).select(
+        "doc_id", "n_chars", "own", "next",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        paragraph_hashes(F.col("text")).alias("own"),
         paragraph_hashes(F.col("edited")).alias("edit"),
-        paragraph_hashes(F.col("next_text")).alias("next"),
-    )
-    sums = hashed.select(
-        "doc_id", "n_chars", "edited_sha256",
-        *[summed(F.col(c)).alias(c) for c in ("own", "edit", "next")],
     )
+    sums = edits.withColumn("edit", summed(F.col("edit")))
     signed = sums.select(
         "*", *[projection(F.col(c)).alias(f"{c}_signs") for c in ("own", "edit", "next")]
     )
