@@ -13,6 +13,7 @@ from repotide.llm import (
     line_rules,
     mixing,
     multiset_hash,
+    ngram_join,
     quality_convnet,
     toxicity_chain,
     training_order,
@@ -63,6 +64,11 @@ def op6_line_rules(spark, sf_dir):
     return line_rules.clean_lines(documents(spark, sf_dir), with_text=False)
 
 
+@query
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op9_multiset_hash(spark, sf_dir):
     return multiset_hash.fingerprints(documents(spark, sf_dir))
