@@ -168,13 +168,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Spans:
-    """64-bit hashes of any byte ranges of ``data``, by prefix sums modulo 2^64."""
+    """64-bit hashes of any ranges of ``data`` (bytes, or code points), by prefix
+    sums modulo 2^64."""
 
     def __init__(self, data: np.ndarray) -> None:
         up, self.down = _powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
+        codes = _CODES[data] if data.dtype == np.uint8 else mix(data, 1)
         with np.errstate(over="ignore"):
-            np.cumsum(_CODES[data] * up[:-1], out=self.sums[1:])
+            np.cumsum(codes * up[:-1], out=self.sums[1:])
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):

@@ -498,13 +498,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without an id all stay; of rows with the same kept id one stays.
     """
     found = near_duplicates(docs)
-    kept = found.filter("doc_id = component_id OR n_shingles = 0").select(
-        F.col("doc_id").alias("_kept")
-    ).filter("_kept IS NOT NULL").distinct()
-    kept = stored(kept, "kept")
+    kept = stored(
+        found.filter("doc_id = component_id")
+        .groupBy(F.col("doc_id").alias("_kept"))
+        .agg(F.count(F.lit(1)).alias("_rows")),
+        "kept",
+    )
     if kept.count() <= _BROADCAST_ROWS:
         kept = F.broadcast(kept)
     known = docs.filter("doc_id IS NOT NULL").join(
         kept, F.col("doc_id").cast("long") == F.col("_kept")
-    ).select(*docs.columns)
-    return known.unionByName(docs.filter("doc_id IS NULL"))
+    )
+    one = known.filter("_rows = 1").unionByName(
+        known.filter("_rows > 1").dropDuplicates(["_kept"])
+    )
+    return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))

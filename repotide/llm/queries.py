@@ -14,6 +14,7 @@ from repotide.llm import (
     mixing,
     multiset_hash,
     ngram_join,
+    piece_sampling,
     quality_convnet,
     toxicity_chain,
     training_order,
@@ -64,6 +65,11 @@ def op6_line_rules(spark, sf_dir):
     return line_rules.clean_lines(documents(spark, sf_dir), with_text=False)
 
 
+@query
+def op7_piece_sampling(spark, sf_dir):
+    return piece_sampling.encode(documents(spark, sf_dir), piece_sampling.read_model())
+
+
 @query
 def op8_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(documents(spark, sf_dir))
