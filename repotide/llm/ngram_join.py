@@ -6,9 +6,11 @@ sequence as one). Two texts link when 100 x intersection >= 75 x union; the
 result is every document's component. No link is missed:
 
 * Texts with equal sets are one node, known by a 64-bit sum over the set.
-* A link needs a common run among the first 25 % of both sets in any one order
-  of all runs. The order is by hash, with runs that a small sample shows to be
-  frequent put last; the sample changes the work, never the result.
+* A link needs common runs among the first 30 % of both sets in any one order
+  of all runs, and one in 20 of a set's runs at that. The order is by hash,
+  with runs that a small sample shows to be frequent put last; the sample
+  changes the work, never the result. Nodes whose prefix shares fewer runs
+  with any others drop out.
 * First, nodes that share one of their first runs are checked against one
   leader per run, and checked again by component, so large groups of near
   copies shrink to few components without comparing all their pairs.
@@ -30,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repotide.llm.common import (
@@ -49,6 +51,8 @@ from repotide.llm.common import (
 )
 
 RUN, PERCENT, SEED = 5, 75, 71
+#: One more run in common is asked for with every so many runs of a set.
+SPARE = 20
 _SAMPLE, _FREQUENT, _MOST_FREQUENT = 3000, 3, 50_000
 _FIRST, _BLOCK = 3, 600
 _ROWS_PER_TASK = 1 << 20
@@ -94,7 +98,18 @@ def run_sets(texts: Texts, frequent: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    return size - -(-percent * size // 100) + 1
+    """Runs of a set among which a link has ``1 + size // SPARE`` runs in common."""
+    return size - -(-percent * size // 100) + 1 + size // SPARE
+
+
+def least_common(size: Column) -> Column:
+    """Runs that a node's prefix has in common with that of any node it links to.
+
+    If two sets link, the first ``l`` runs of their intersection lie in both
+    prefixes, ``l`` being the smaller of their promised numbers, and the other
+    set has at least 75 % of this one's size.
+    """
+    return 1 + F.floor(F.ceil(size * PERCENT / 100) / SPARE)
 
 
 def bitmap(runs: np.ndarray) -> bytes:
@@ -275,6 +290,26 @@ class _Join:
         return each.join(lead, "run").filter("comp <> _comp").select("a", F.col("node").alias("b"))
 
 
+def _enough(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows (run, node, ...) of nodes that have enough of them for a link."""
+    often = (
+        rows.groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
+        .join(reps.select("node", "size"), "node")
+        .filter(F.col("_n") >= least_common(F.col("size")))
+        .select("node")
+    )
+    return rows.join(often, "node")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows (run, node, comp) of runs that more than one component has."""
+    runs = (
+        rows.groupBy("run").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"))
+        .filter("_low <> _high").select("run")
+    )
+    return rows.join(runs, "run")
+
+
 def _with_comp(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
     if comps is None:
         return keys.withColumn("comp", F.col("node"))
@@ -463,14 +498,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     total = first.agg(F.sum(F.size("first"))).first()[0] or 0
     every = first.select(F.explode("first").alias("run"), "node")
     shared = stored(_shared(every, total), "shared")
+    shared = stored(_enough(shared, join.reps), "enough")
     comps = join.add(join.stars(shared, comps))
 
-    held = _with_comp(shared, comps)
-    mixed = (
-        held.groupBy("run").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"))
-        .filter("_low <> _high").select("run")
-    )
-    rows = held.join(mixed, "run").join(join.sketches, "node")
+    mixed = _enough(_mixed(_with_comp(shared, comps)), join.reps)
+    mixed = stored(_enough(_mixed(mixed), join.reps), "mixed")
+    rows = _mixed(mixed).join(join.sketches, "node")
     comps = join.add(_tiles(rows.select("run", "node", "comp", "size", "bits")))
 
     smallest = (
