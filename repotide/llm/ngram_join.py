@@ -14,9 +14,9 @@ result is every document's component. No link is missed:
 * First, nodes that share one of their first runs are checked against one
   leader per run, and checked again by component, so large groups of near
   copies shrink to few components without comparing all their pairs.
-* What is left are runs that more than one component shares. Nodes of such a
-  run meet in tiles by size band (a link needs sizes within 3:4), large tiles
-  in blocks. Nodes of one component need no comparison. Parity bitmaps, a bit
+* What is left are runs that more than one component shares. Nodes of a run
+  with few nodes meet at once, each pair once over all such runs. Nodes of other runs meet in tiles by size band (a link needs sizes within
+  3:4), large tiles in blocks. Nodes of one component need no comparison. Parity bitmaps, a bit
   per run, bound the overlap from above: every bit that differs needs a run
   that only one side has. Only pairs the bound leaves are checked exactly, by
   intersecting their sorted sets.
@@ -54,7 +54,7 @@ RUN, PERCENT, SEED = 5, 75, 71
 #: One more run in common is asked for with every so many runs of a set.
 SPARE = 20
 _SAMPLE, _FREQUENT, _MOST_FREQUENT = 3000, 3, 50_000
-_FIRST, _BLOCK = 3, 600
+_FIRST, _FEW, _BLOCK = 3, 16, 600
 _ROWS_PER_TASK = 1 << 20
 _BROADCAST_ROWS = 1 << 20
 _TOP = np.uint64(1 << 63)
@@ -345,6 +345,40 @@ def _shared(first: DataFrame, total: int) -> DataFrame:
     return rare.mapInArrow(each, "run long, node long").unionByName(first.filter(often).distinct())
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Pairs of nodes (run, node, comp, size) of runs with at most ``_FEW`` of them,
+    each once.
+
+    Rows lie sorted by run, so each is compared with the ones right after it.
+    """
+    ordered = rows.select("run", "node", "comp", "size").repartition("run")
+    ordered = ordered.sortWithinPartitions("run", "node")
+
+    def each(batches):
+        held = np.zeros((4, 0), np.int64)
+        for batch in batches:
+            own = np.stack([batch.column(k).to_numpy() for k in range(4)])
+            table = np.concatenate((held, own), axis=1)
+            last = np.searchsorted(table[0], table[0, -1]) if table.shape[1] else 0
+            held = table[:, last:]
+            yield met(table[:, :last])
+        yield met(held)
+
+    def met(table):
+        run, node, comp, size = table
+        left, right = [], []
+        for far in range(1, _FEW):
+            low, high = np.minimum(size[:-far], size[far:]), np.maximum(size[:-far], size[far:])
+            both = (run[:-far] == run[far:]) & (comp[:-far] != comp[far:])
+            both &= 100 * low >= PERCENT * high
+            left.append(node[:-far][both])
+            right.append(node[far:][both])
+        a, b = np.concatenate(left), np.concatenate(right)
+        return batch_of(a=np.minimum(a, b), b=np.maximum(a, b))
+
+    return ordered.mapInArrow(each, "a long, b long").distinct()
+
+
 def _tiles(rows: DataFrame) -> DataFrame:
     """Candidate pairs of (run, node, comp, size, bits), by run and size band.
 
@@ -503,8 +537,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     mixed = _enough(_mixed(_with_comp(shared, comps)), join.reps)
     mixed = stored(_enough(_mixed(mixed), join.reps), "mixed")
-    rows = _mixed(mixed).join(join.sketches, "node")
-    comps = join.add(_tiles(rows.select("run", "node", "comp", "size", "bits")))
+    often = mixed.groupBy("run").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_low"), F.max("comp").alias("_high")
+    ).filter("_low <> _high")
+    few = mixed.join(often.filter(F.col("_n") <= _FEW).select("run"), "run")
+    many = mixed.join(often.filter(F.col("_n") > _FEW).select("run"), "run")
+    pairs = _few(few.join(join.reps.select("node", "size"), "node")).unionByName(
+        _tiles(many.join(join.sketches, "node").select("run", "node", "comp", "size", "bits"))
+    )
+    comps = join.add(pairs)
 
     smallest = (
         _with_comp(join.reps.select("node", "doc_id"), comps)
