@@ -277,13 +277,17 @@ class _Join:
         self.links = found if self.links is None else self.links.unionByName(found)
         return components(self.links)
 
-    # a leader per run: its smallest component's smallest node
+    # a leader per run, chosen by a hash that differs from run to run: copies
+    # with many edits are close to some leaders only
     def stars(self, keys: DataFrame, comps: DataFrame | None) -> DataFrame:
         held = _with_comp(keys, comps)
         each = held.groupBy("run", "comp").agg(F.min("node").alias("node"))
         lead = (
             each.groupBy("run")
-            .agg(F.min(F.struct("comp", "node")).alias("lead"), F.count(F.lit(1)).alias("n"))
+            .agg(
+                F.min(F.struct(F.xxhash64("comp", F.col("run") % 4), "comp", "node")).alias("lead"),
+                F.count(F.lit(1)).alias("n"),
+            )
             .filter("n > 1")
             .select("run", F.col("lead.comp").alias("_comp"), F.col("lead.node").alias("a"))
         )
@@ -379,9 +383,12 @@ def _few(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(each, "a long, b long").distinct()
 
 
-def _tiles(rows: DataFrame) -> DataFrame:
+def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
     """Candidate pairs of (run, node, comp, size, bits), by run and size band.
 
+    With ``nearest``, a node gives at most one pair per tile, the one of fewest
+    differing bits; else all that the bound leaves.
+
     A band's tile holds its own nodes and those of the next band. Tiles of more
     than ``_BLOCK`` nodes are split into blocks, and blocks meet in pairs.
     """
@@ -446,7 +453,7 @@ def _tiles(rows: DataFrame) -> DataFrame:
                 may &= own[x] != own[y]
             x, y = x[may], y[may]
             if len(x):
-                good = _close(x, y, bits, size)
+                good = _close(x, y, bits, size, nearest)
                 left.append(np.minimum(node[x[good]], node[y[good]]))
                 right.append(np.maximum(node[x[good]], node[y[good]]))
         none = np.zeros(0, np.int64)
@@ -457,24 +464,28 @@ def _tiles(rows: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(each, "a long, b long")
 
 
-def _close(x: np.ndarray, y: np.ndarray, bits: list[bytes], size: np.ndarray) -> np.ndarray:
+def _close(
+    x: np.ndarray, y: np.ndarray, bits: list[bytes], size: np.ndarray, nearest: bool
+) -> np.ndarray:
     """Which pairs the bit counts leave; each bitmap is folded to the narrowest."""
-    if len(x) < 16:
-        return np.array(
-            [overlap_possible(bits[p], size[p], bits[q], size[q]) for p, q in zip(x, y)], bool
-        )
     used = np.unique(np.concatenate((x, y)))
     width = min(len(bits[k]) for k in used)
     folded = np.stack(
         [np.bitwise_xor.reduce(np.frombuffer(bits[k], np.uint8).reshape(-1, width), 0) for k in used]
     )
     p, q = np.searchsorted(used, x), np.searchsorted(used, y)
-    good = np.zeros(len(x), bool)
+    good, far = np.zeros(len(x), bool), np.zeros(len(x), np.int64)
     step = max(1, (1 << 22) // width)
     for at in range(0, len(x), step):
         part = slice(at, at + step)
-        differing = _BYTE_BITS[folded[p[part]] ^ folded[q[part]]].sum(1, dtype=np.int64)
-        good[part] = _possible(differing, size[x[part]] + size[y[part]])
+        far[part] = _BYTE_BITS[folded[p[part]] ^ folded[q[part]]].sum(1, dtype=np.int64)
+        good[part] = _possible(far[part], size[x[part]] + size[y[part]])
+    if nearest:
+        places = np.flatnonzero(good)
+        good[:] = False
+        for side in (p, q):
+            order = places[np.lexsort((far[places], side[places]))]
+            good[order[np.concatenate(([True], side[order[1:]] != side[order[:-1]]))[: len(order)]]] = True
     return good
 
 
@@ -537,15 +548,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     mixed = _enough(_mixed(_with_comp(shared, comps)), join.reps)
     mixed = stored(_enough(_mixed(mixed), join.reps), "mixed")
-    often = mixed.groupBy("run").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_low"), F.max("comp").alias("_high")
-    ).filter("_low <> _high")
+    often = mixed.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
     few = mixed.join(often.filter(F.col("_n") <= _FEW).select("run"), "run")
-    many = mixed.join(often.filter(F.col("_n") > _FEW).select("run"), "run")
-    pairs = _few(few.join(join.reps.select("node", "size"), "node")).unionByName(
-        _tiles(many.join(join.sketches, "node").select("run", "node", "comp", "size", "bits"))
-    )
-    comps = join.add(pairs)
+    many = stored(mixed.join(often.filter(F.col("_n") > _FEW).select("run"), "run"), "many")
+    # nearest nodes of other components first: groups of distant copies shrink
+    # to the components that no pair joins, and few pairs are left to list
+    for nearest in (True, True, False):
+        now = _mixed(_with_comp(many.select("run", "node"), comps)).join(join.sketches, "node")
+        pairs = _tiles(now.select("run", "node", "comp", "size", "bits"), nearest)
+        if not nearest:
+            pairs = pairs.unionByName(_few(few.join(join.reps.select("node", "size"), "node")))
+        comps = join.add(pairs)
 
     smallest = (
         _with_comp(join.reps.select("node", "doc_id"), comps)
