@@ -505,11 +505,13 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while (now := _state(edges)) != state:
         state = now
+        # narrow rows: few tasks, so that a small graph makes few small files
+        tasks = max(8, now[0] // 500_000)
         both = edges.unionByName(edges.select(F.col("m").alias("v"), F.col("v").alias("m")))
         lows = both.groupBy("v").agg(F.min("m").alias("_low"))
         low = F.least("v", "_low")
         large = both.join(lows, "v").filter("m > v").select(F.col("m").alias("v"), low.alias("m"))
-        large = large.distinct()
+        large = large.coalesce(tasks)
         lows = large.groupBy("v").agg(F.min("m").alias("_low"))
         small = large.join(lows, "v").select(
             F.inline(
@@ -519,7 +521,7 @@ def components(links: DataFrame) -> DataFrame:
                 )
             )
         )
-        edges = stored(small.filter("v <> m").distinct(), "edges")
+        edges = stored(small.filter("v <> m").coalesce(tasks).distinct().coalesce(tasks), "edges")
     roots = edges.select(F.col("m").alias("v"), "m").distinct()
     return stored(
         edges.unionByName(roots).groupBy(F.col("v").alias("node")).agg(F.min("m").alias("comp")),
@@ -553,7 +555,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     many = stored(mixed.join(often.filter(F.col("_n") > _FEW).select("run"), "run"), "many")
     # nearest nodes of other components first: groups of distant copies shrink
     # to the components that no pair joins, and few pairs are left to list
-    for nearest in (True, True, False):
+    for nearest in (True, False):
         now = _mixed(_with_comp(many.select("run", "node"), comps)).join(join.sketches, "node")
         pairs = _tiles(now.select("run", "node", "comp", "size", "bits"), nearest)
         if not nearest:
