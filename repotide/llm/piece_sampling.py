@@ -45,7 +45,7 @@ MARK = 0x2581
 #: Stands for a mark that the text itself holds; no code point has this number.
 _OWN_MARK = 0x110000
 _SLOTS = 1 << 18
-_PIECE = 1 << 19
+_PIECE = 1 << 20
 
 
 class Vocabulary:
@@ -91,6 +91,11 @@ class Vocabulary:
             np.array([n << 21 | c for n, c in nodes], np.int64), np.array(list(nodes.values()))
         )
 
+        self.root = np.full(_OWN_MARK + 1, -1, np.int32)
+        for (node, char), child in nodes.items():
+            if not node:
+                self.root[char] = child
+
     def alone(self) -> np.ndarray:
         """Whether a code point stands apart from its neighbours."""
         table = np.ones(_OWN_MARK + 1, bool)
@@ -152,6 +157,7 @@ class Lattices(NamedTuple):
     piece: np.ndarray  # -1: byte pieces
     logp: np.ndarray
     upto: np.ndarray  # probability of the state's edges up to this one
+    rest: np.ndarray  # log-probability of the state's other edges
 
 
 def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.ndarray) -> Lattices:
@@ -166,7 +172,7 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
     left = ends[owner] - np.arange(len(chars))
     starts, stops, pieces = [], [], []
     at = np.arange(len(chars))
-    node = vocab.step(np.zeros(len(chars), np.int32), chars)
+    node = vocab.root[chars]
     for length in range(1, vocab.longest + 1):
         live = node >= 0
         at, node = at[live], node[live]
@@ -187,22 +193,30 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
         if not len(at):
             break
         node = vocab.step(node, chars[at + length])
-    start, length, piece = map(np.concatenate, (starts, stops, pieces))
+    # Backward sums take all states at one distance from their chunk's end at a
+    # time, so edges are laid out by that distance; every state has one at least.
+    short = left.astype(np.uint16) if len(left) and left.max() < 1 << 16 else left
+    ordered = np.argsort(short, kind="stable")
+    edges = np.zeros(len(chars), np.int64)
+    for part in starts:
+        edges[part] += 1
+    bounds = np.concatenate(([0], np.cumsum(edges[ordered])))
+    heads = bounds[:-1]
+    slot = np.empty(len(chars), np.int64)
+    slot[ordered] = heads
+    start = np.repeat(ordered, edges[ordered])
+    length, piece = np.empty(len(start), np.int64), np.empty(len(start), np.int32)
+    for part, stop, found in zip(starts, stops, pieces):
+        own = slot[part]
+        length[own], piece[own] = stop, found
+        slot[part] += 1
     weight = np.where(piece >= 0, vocab.weight[piece], vocab.byte_weight * wide[start])
-
-    # backward sums, all states at one distance from their chunk's end at a time
-    order = np.lexsort((start, left[start]))
-    start, length, piece, weight = start[order], length[order], piece[order], weight[order]
     origin = state[start]
     to = origin + length
     total = np.zeros(len(chars) + chunks)
     logp = np.empty(len(start))
-    new = np.ones(len(start), bool)
-    new[1:] = start[1:] != start[:-1]
-    heads = np.flatnonzero(new)
-    far = left[start[heads]]
+    far = left[ordered]
     levels = np.concatenate(([0], np.flatnonzero(np.diff(far)) + 1, [len(heads)]))
-    bounds = np.concatenate((heads, [len(start)]))
     for a, b in zip(levels[:-1].tolist(), levels[1:].tolist()):
         lo, hi = bounds[a], bounds[b]
         x = weight[lo:hi] + total[to[lo:hi]]
@@ -221,8 +235,11 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
     count = np.zeros(len(chars) + chunks, np.int64)
     count[origin[heads]] = np.diff(bounds)
     final = count == 0
+    lone = np.repeat(np.diff(bounds) == 1, np.diff(bounds))
+    with np.errstate(divide="ignore"):
+        rest = np.where(lone, -np.inf, np.log(np.maximum(-np.expm1(logp), 1e-300)))
     return Lattices(
-        ends - sizes + np.arange(chunks), final, np.stack([first[:-1], count], 1), to, piece, logp, upto
+        ends - sizes + np.arange(chunks), final, np.stack([first[:-1], count], 1), to, piece, logp, upto, rest
     )
 
 
@@ -291,18 +308,16 @@ class _Batch:
     def path(self, edges: np.ndarray):
         """Places of the pieces, their texts, and the log-probability up to each."""
         at = np.flatnonzero(edges >= 0)
-        row = np.searchsorted(self.starts, at, side="right") - 1
+        cut = np.searchsorted(at, self.starts)
+        row = np.repeat(np.arange(self.count), np.diff(cut))
         logp = self.net.logp[edges[at]]
         run = np.concatenate(([0.0], np.cumsum(logp)))
-        cut = np.searchsorted(at, self.starts)
         return at, row, run[:-1] - run[cut[row]], run[cut[1:]] - run[cut[:-1]], cut
 
     def regions(self, at, row, before, edges, value, salt):
         """Largest perturbed value of what is left beside each edge of a path."""
-        rest = -np.expm1(self.net.logp[edges[at]])
-        several = self.net.first[self._state(at, edges), 1] > 1
-        with np.errstate(divide="ignore"):
-            where = np.where(several, before + np.log(np.maximum(rest, 1e-300)), -np.inf)
+        rest = self.net.rest[edges[at]]
+        where = before + rest
         noise = -np.log(_uniform(self.keys[row], at - self.starts[row], salt))
         return _cut_gumbel(where, value[row], noise)
 
