@@ -31,7 +31,7 @@ MOST = 3
 SEED = 53
 _BUCKET_BITS = 10
 #: Words that the dynamic program is left to place, at least.
-_RESERVE = 4096
+_RESERVE = 1 << 15
 
 
 def word_count(text: str = "text") -> F.Column:
@@ -69,7 +69,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
     to ``budget``; no count is exceeded.
 
     Each length first gives its even share. Single documents in seeded order
-    then bring the rest down to a few thousand words, and those are placed by
+    then bring the rest down to some ten thousand words, and those are placed by
     an exact bounded-knapsack program over all lengths; a sum over the budget
     wins only if it is nearer than any below.
     """
