@@ -30,6 +30,16 @@ def without_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataF
     return df.join(right, null_safe(df, right, [(k, f"_known_{k}") for k in keys]), "left_anti")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Of rows with equal keys the first in ``order``; of equal places the smallest row."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return (
+        df.groupBy(*keys)
+        .agg(F.min(F.struct(*[o for o in order if o not in keys], *rest)).alias("_row"))
+        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    )
+
+
 def first_seen(
     df: DataFrame, key: str, attributes: Sequence[str], order: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:

@@ -9,19 +9,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_NESTED = (T.ArrayType, T.StructType, T.MapType)
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _number(column: str, have: T.DataType) -> Column:
+    """A text or number as a decimal, null where it is none that a bigint could hold."""
+    number = F.col(column).try_cast("decimal(38,9)")
+    return F.when(number.between(F.lit(_LEAST), F.lit(_MOST)), number)
+
+
+def _value(column: str, have: T.DataType, want: T.DataType) -> Column:
+    """The column in the wanted type; rows that passed the check lose nothing."""
+    if have == want:
+        return F.col(column)
+    if isinstance(want, T.LongType) and isinstance(have, T.StringType):
+        return _number(column, have).cast(want)
+    return F.col(column).cast(want)
+
+
 def _problem(column: str, have: T.DataType, want: T.StructField) -> Column:
     """The broken rule of one column as text, or null."""
     value = F.col(column)
     checks = [(value.isNull(), "null")] if not want.nullable else []
     if isinstance(want.dataType, T.LongType):
-        if isinstance(have, (T.DoubleType, T.FloatType, T.DecimalType)):
+        if isinstance(have, (T.DoubleType, T.FloatType)):
+            checks.append((value.isNotNull() & value.try_cast("bigint").isNull(), "type"))
             checks.append((value != F.floor(value), "fraction"))
+        elif isinstance(have, T.DecimalType):
+            checks.append((value.isNotNull() & value.try_cast("bigint").isNull(), "type"))
+            checks.append((value % 1 != 0, "fraction"))
         elif isinstance(have, T.StringType):
-            number = value.try_cast("decimal(38,9)")
+            number = _number(want.name, have)
             checks.append((value.isNotNull() & number.isNull(), "type"))
             checks.append((number != F.floor(number), "fraction"))
         elif not isinstance(have, (T.IntegralType, T.BooleanType)):
             checks.append((value.isNotNull(), "type"))
+    elif isinstance(want.dataType, _NESTED):
+        # nested values have to be what is declared; no part of one is cast
+        if have.simpleString() != want.dataType.simpleString():
+            checks.append((value.isNotNull(), "type"))
     elif isinstance(want.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         if isinstance(have, T.StringType):
             checks.append((value.isNotNull() & value.try_cast("timestamp").isNull(), "type"))
@@ -79,6 +106,10 @@ def require(df: DataFrame, model: T.StructType, keep: Sequence[str] = ()) -> Dat
     for want in model.fields:
         rule = _problem(want.name, kinds[want.name], want)
         failure = F.raise_error(F.concat(F.lit(f"column {want.name} breaks rule "), rule))
-        value = F.col(want.name).try_cast(want.dataType)
+        kind = kinds[want.name]
+        if isinstance(want.dataType, _NESTED) and kind.simpleString() != want.dataType.simpleString():
+            value = F.lit(None).cast(want.dataType)  # only a null gets past the check
+        else:
+            value = _value(want.name, kind, want.dataType)
         columns.append(F.when(rule.isNotNull(), failure).otherwise(value).alias(want.name))
     return df.select(*columns)

@@ -39,7 +39,10 @@ def page_items(pages: DataFrame, field: str, id_column: str) -> DataFrame:
 
 
 def page_completeness(pages: DataFrame, field: str) -> DataFrame:
-    """Announced items, distinct items received, and pages that did not arrive."""
+    """Announced items, distinct items received, and pages that did not arrive.
+
+    An empty tracker still answers with one page.
+    """
     items = pages.select(
         F.explode(f"data.repository.{field}.edges.node.id").alias("id")
     ).agg(F.count_distinct("id").alias("received"))
@@ -50,7 +53,9 @@ def page_completeness(pages: DataFrame, field: str) -> DataFrame:
     return landed.select(
         "expected",
         F.coalesce(items.scalar(), F.lit(0)).alias("received"),
-        (F.ceil(F.col("expected") / PAGE_SIZE) - F.col("_pages")).alias("missing_pages"),
+        (F.greatest(F.ceil(F.col("expected") / PAGE_SIZE), F.lit(1)) - F.col("_pages")).alias(
+            "missing_pages"
+        ),
     )
 
 

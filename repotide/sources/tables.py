@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,16 @@ def scan_table(
     return require(table, schema) if checked else table
 
 
+def read_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A table, or None if nothing is stored there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def sql_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Run an ad-hoc SQL text over named tables."""
     for name, table in tables.items():
@@ -73,12 +84,14 @@ def append_new_keys(
 ) -> bool:
     """Append the rows whose key the table at ``path`` does not hold.
 
-    With ``whole_batch`` a single known or repeated key rejects the batch:
+    A table that is not there yet is created. With ``whole_batch`` a single known or repeated key rejects the batch:
     nothing is written and False is returned. Writing the same batch twice
     leaves the table as after the first time.
     """
     spark = batch.sparkSession
-    stored = spark.read.schema(batch.schema).parquet(path)
+    stored = read_if_any(spark, path, batch.schema)
+    if stored is None:
+        stored = spark.createDataFrame([], batch.schema)
     if whole_batch:
         repeated = batch.groupBy(*keys).count().filter("count > 1")
         right = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])

@@ -2,25 +2,27 @@
 
 Each step reads stored tables, computes one or two and writes them under their
 names, so the steps can run one after the other on their own schedule. Loads
-append what is new; metrics replace what was there. Every table carries the
-``by`` columns beside its declared ones.
+keep what is stored and add what is new: ids stay, items landed again replace
+their earlier state, and releases are replaced for the repositories given.
+Metrics replace what was there. A table is replaced by writing its successor
+beside it and then changing names, so a step that breaks off loses nothing.
+Every table carries the ``by`` columns beside its declared ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repotide.functions.time import AsOf, utc_day
-from repotide.operators.keys import lookup, new_members, orphans, without_known
+from repotide.operators.keys import lookup, new_members, one_per_key, orphans, without_known
 from repotide.operators.quality import require
 from repotide.plans import contribution, log, open_items, productivity, size, tracker
 from repotide.schemas import FOREIGN_KEYS, TABLES
-from repotide.sources.tables import scan_table, union_sources
+from repotide.sources.tables import read_if_any, scan_table, union_sources
 
 COMMIT = "commit_hash_id"
 
@@ -55,26 +57,58 @@ class Warehouse:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str, checked: bool = True) -> DataFrame:
-        """A stored table; a row that does not fit its schema fails the job."""
+    def read(self, name: str, checked: bool = False) -> DataFrame:
+        """A stored table.
+
+        Rows were checked when they were written, so the scan is bare and
+        filters prune folders and files. ``checked`` tests every row again.
+        """
+        self._finish(name)
         return scan_table(self.spark, self._path(name), self._schema(name), checked)
 
+    def sql(self, text: str) -> DataFrame:
+        """Run an SQL text over the stored tables, without leaving views behind."""
+        session = self.spark.newSession()
+        for name in TABLES:
+            table = self._stored_if_any(name)
+            if table is not None:
+                session.read.schema(table.schema).parquet(self._path(name)).createOrReplaceTempView(name)
+        return session.sql(text)
+
     def _stored(self, name: str) -> DataFrame:
-        """A table of our own, whose rows were checked when they were written."""
-        return self.read(name, checked=False)
+        return self.read(name)
 
     def _stored_if_any(self, name: str) -> DataFrame | None:
-        try:
-            return self._stored(name)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _write(self, name: str, df: DataFrame, mode: str) -> None:
-        writer = require(df, self._schema(name)).write.mode(mode)
+        self._finish(name)
+        return read_if_any(self.spark, self._path(name), self._schema(name))
+
+    def _files(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _finish(self, name: str) -> None:
+        """Complete a replacement that broke off after the old table went."""
+        place, files = self._files(self._path(name))
+        following, _ = self._files(f"{self._path(name)}.next")
+        done, _ = self._files(f"{self._path(name)}.next/_SUCCESS")
+        if not files.exists(place) and files.exists(done):
+            files.rename(following, place)
+
+    def _append(self, name: str, df: DataFrame) -> None:
+        self._finish(name)
+        writer = require(df, self._schema(name)).write.mode("append")
         writer.partitionBy(*self.partition_by).parquet(self._path(name))
 
+    def _replace(self, name: str, df: DataFrame) -> None:
+        """Write the successor beside the table, then put it in its place."""
+        following = f"{self._path(name)}.next"
+        writer = require(df, self._schema(name)).write.mode("overwrite")
+        writer.partitionBy(*self.partition_by).parquet(following)
+        place, files = self._files(self._path(name))
+        files.delete(place, True)
+        self._finish(name)
+        self.spark.catalog.refreshByPath(self._path(name))
+
     def orphans(self) -> DataFrame:
         """References that point nowhere: table, column, repository and value.
 
@@ -99,9 +133,13 @@ class Warehouse:
     def load_log(self, revisions: DataFrame, tags: DataFrame, order: Sequence[str]) -> None:
         """Normalise and append the revisions that have no log row yet.
 
+        A revision that landed more than once counts once, in its first place.
+        ``tags`` are all tags of the repositories they belong to; releases of
+        other repositories stay.
         The log itself is written last. A load that breaks off is thus done
         again, with the ids of the hashes and people it had already stored.
         """
+        revisions = one_per_key(revisions, [*self.by, "commit_hash"], order)
         hashes, logs = self._stored_if_any("commit_hashes"), self._stored_if_any("commit_logs")
         loaded = None
         if hashes is not None and logs is not None:
@@ -115,20 +153,30 @@ class Warehouse:
         for name, key, attributes, distinct in people:
             stored = self._stored_if_any(name)
             members = new_members(fresh, key, attributes, order, self.by, stored, distinct)
-            self._write(name, members, "append")
+            self._append(name, members)
         dims = [self._stored(name) for name, *_ in people]
-        self._write("releases", log.releases(tags, dims[0], self.by), "overwrite")
-        self._write("commit_logs", log.commit_logs(fresh, *dims, self.by, wide=revisions), "append")
+        found, earlier = log.releases(tags, dims[0], self.by), self._stored_if_any("releases")
+        if earlier is not None and self.by:
+            others = without_known(earlier, tags.select(*self.by).distinct(), self.by)
+            found = found.unionByName(others.select(*found.columns))
+        self._replace("releases", found)
+        self._append("commit_logs", log.commit_logs(fresh, *dims, self.by, wide=revisions))
 
     def load_file_sizes(self, files: DataFrame) -> None:
-        """Append measured files, with a ``commit_hash`` to resolve or a commit id."""
+        """Append measured files, with a ``commit_hash`` to resolve or a commit id.
+
+        A file of a commit that landed more than once counts once.
+        """
         if COMMIT not in files.columns:
             hashes = self._stored("commit_hashes")
             files = lookup(files, "commit_hash", hashes, "commit_hash", COMMIT, self.by, unique=True)
+        keys = [*self.by, COMMIT, "provider"]
+        columns = [f.name for f in self._schema("file_size_per_commit").fields]
+        files = one_per_key(files.select(*columns), keys, [])
         stored = self._stored_if_any("file_size_per_commit")
         if stored is not None:
-            files = without_known(files, stored, [*self.by, COMMIT, "provider"])
-        self._write("file_size_per_commit", files, "append")
+            files = without_known(files, stored, keys)
+        self._append("file_size_per_commit", files)
 
     def load_issues(self, items: DataFrame) -> None:
         self._load_items("issue", items)
@@ -137,12 +185,30 @@ class Warehouse:
         self._load_items("pull_request", items)
 
     def _load_items(self, kind: str, items: DataFrame) -> None:
-        """Replace ids and facts, as items known before may have closed since."""
-        id_column = f"{kind}_id"
-        self._write(f"{kind}_ids", tracker.item_ids(items, id_column, self.by), "overwrite")
+        """Add new items and replace the facts of those landed again.
+
+        Stored ids stay and new ones continue after them. Ids are appended
+        first: a load that breaks off is done again with the same ids.
+        """
+        id_column, facts = f"{kind}_id", f"{kind}s"
+        latest = one_per_key(
+            items.withColumns({"_page": -F.col("page"), "_order": F.col("pos")}),
+            [*self.by, id_column],
+            ["_page", "_order"],
+        )
+        known = self._stored_if_any(f"{kind}_ids")
+        members = new_members(
+            items, id_column, [], tracker.ITEM_ORDER, self.by, known
+        ).select("id", *self.by, id_column)
+        self._append(f"{kind}_ids", members)
         ids = self._stored(f"{kind}_ids")
-        facts = tracker.normalised_items(items, id_column, ids, self.by)
-        self._write(f"{kind}s", facts, "overwrite")
+        landed = tracker.normalised_items(latest, id_column, ids, self.by)
+        earlier = self._stored_if_any(facts)
+        if earlier is not None:
+            keys = [*self.by, f"{id_column}_key"]
+            rest = without_known(earlier, landed.select(*keys), keys)
+            landed = landed.unionByName(rest.select(*landed.columns))
+        self._replace(facts, landed)
 
     # --- metrics ---------------------------------------------------------------
 
@@ -157,25 +223,23 @@ class Warehouse:
     def project_size(self) -> None:
         files = self._stored("file_size_per_commit")
         per_commit = size.size_per_commit(files, COMMIT, self.by)
-        self._write("project_size_per_commit", per_commit, "overwrite")
+        self._replace("project_size_per_commit", per_commit)
         sizes = self._with_log("project_size_per_commit")
         daily = size.size_per_day(sizes, [COMMIT], self.by, self.as_of)
-        self._write("project_size_per_day", daily.withColumnRenamed("day", "date"), "overwrite")
+        self._replace("project_size_per_day", daily.withColumnRenamed("day", "date"))
 
     def project_productivity(self) -> None:
         sizes = self._stored("project_size_per_commit")
         changes = productivity.productivity_per_commit(sizes, [COMMIT], self.by, dense=True)
-        self._write("project_productivity_per_commit", changes, "overwrite")
+        self._replace("project_productivity_per_commit", changes)
         changes = self._with_log("project_productivity_per_commit")
         daily = productivity.productivity_per_day(changes, [COMMIT], self.by, self.as_of)
-        self._write(
-            "project_productivity_per_day", daily.withColumnRenamed("day", "date"), "overwrite"
-        )
+        self._replace("project_productivity_per_day", daily.withColumnRenamed("day", "date"))
 
     def bus_factor(self) -> None:
         changes = self._with_log("project_productivity_per_commit")
         daily = contribution.contribution_per_day(changes, self.by)
-        self._write("bus_factor_per_day", daily.withColumnRenamed("day", "date"), "overwrite")
+        self._replace("bus_factor_per_day", daily.withColumnRenamed("day", "date"))
 
     def issue_spoilage(self) -> None:
         self._spoilage("issue")
@@ -191,10 +255,10 @@ class Warehouse:
             utc_day(items, "closed_at").alias("closed"),
         )
         daily = open_items.open_items_per_day(spans, self._log_days(), self.by, self.as_of)
-        self._write(f"{kind}_spoilage_per_day", daily, "overwrite")
+        self._replace(f"{kind}_spoilage_per_day", daily)
 
     def issue_density(self) -> None:
         sizes = self._stored("project_size_per_day").withColumnRenamed("date", "day")
         counts = self._stored("issue_spoilage_per_day")
         density = open_items.issue_density_per_day(sizes, counts, self.by)
-        self._write("issue_density_per_day", density, "overwrite")
+        self._replace("issue_density_per_day", density)
