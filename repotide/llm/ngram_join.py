@@ -16,9 +16,10 @@ result is every document's component. No link is missed:
   copies shrink to few components without comparing all their pairs.
 * What is left are runs that more than one component shares. Nodes of a run
   with few nodes meet at once, each pair once over all such runs. Nodes of other runs meet in tiles by size band (a link needs sizes within
-  3:4), large tiles in blocks. Nodes of one component need no comparison. Parity bitmaps, a bit
-  per run, bound the overlap from above: every bit that differs needs a run
-  that only one side has. Only pairs the bound leaves are checked exactly, by
+  3:4), large tiles in blocks. Nodes of one component need no comparison. Parity bitmaps, four
+  bits per run, bound the overlap from above: every bit that differs needs a
+  run that only one side has. A pair is left to the tile of its first common
+  run: where too little of either set comes after a run, it is passed over. Only pairs the bound leaves are checked exactly, by
   intersecting their sorted sets.
 
 Empty and null texts have no runs and link with nothing. Rows without an id
@@ -113,9 +114,9 @@ def least_common(size: Column) -> Column:
 
 
 def bitmap(runs: np.ndarray) -> bytes:
-    """Parity bits, at least one per run, a power of two of them."""
+    """Parity bits, at least four per run, a power of two of them."""
     bits = 64
-    while bits < len(runs):
+    while bits < 4 * len(runs):
         bits *= 2
     at = (mix(runs & ~_TOP, 5) & np.uint64(bits - 1)).astype(np.int64)
     odd = np.bincount(at, minlength=bits).astype(np.uint8) & 1
@@ -321,7 +322,7 @@ def _with_comp(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def _shared(first: DataFrame, total: int) -> DataFrame:
-    """(run, node) of the runs that more than one node has.
+    """(run, node, place) of the runs that more than one node has.
 
     Frequent runs are shared by definition and pass; the others are dealt out
     by run and looked through in tasks of about a million rows.
@@ -330,23 +331,24 @@ def _shared(first: DataFrame, total: int) -> DataFrame:
     rare = first.filter(~often).repartition(max(1, math.ceil(total / _ROWS_PER_TASK)), "run")
 
     def each(batches):
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        parts = [[b.column(k).to_numpy() for k in range(3)] for b in batches]
         if not parts:
             return
-        runs = np.concatenate([p[0] for p in parts])
-        nodes = np.concatenate([p[1] for p in parts])
+        runs, nodes, places = (np.concatenate([p[k] for p in parts]) for k in range(3))
         order = np.lexsort((nodes, runs))
-        runs, nodes = runs[order], nodes[order]
+        runs, nodes, places = runs[order], nodes[order], places[order]
         new = np.ones(len(runs), bool)
         new[1:] = (runs[1:] != runs[:-1]) | (nodes[1:] != nodes[:-1])
-        runs, nodes = runs[new], nodes[new]
+        runs, nodes, places = runs[new], nodes[new], places[new]
         same = runs[1:] == runs[:-1]
         several = np.zeros(len(runs), bool)
         several[1:] |= same
         several[:-1] |= same
-        yield batch_of(run=runs[several], node=nodes[several])
+        yield batch_of(run=runs[several], node=nodes[several], place=places[several])
 
-    return rare.mapInArrow(each, "run long, node long").unionByName(first.filter(often).distinct())
+    return rare.mapInArrow(each, "run long, node long, place int").unionByName(
+        first.filter(often).distinct()
+    )
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -384,7 +386,7 @@ def _few(rows: DataFrame) -> DataFrame:
 
 
 def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
-    """Candidate pairs of (run, node, comp, size, bits), by run and size band.
+    """Candidate pairs of (run, node, place, comp, size, bits), by run and size band.
 
     With ``nearest``, a node gives at most one pair per tile, the one of fewest
     differing bits; else all that the bound leaves.
@@ -415,7 +417,7 @@ def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     tiled = placed.select("*", other.alias("_other")).select(
         "run", "band", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"),
-        "own", "home", "node", "comp", "size", "bits",
+        "own", "home", "node", "place", "comp", "size", "bits",
     )
     keys = ["run", "band", "i", "j"]
     sorted_ = tiled.repartition(*keys).sortWithinPartitions(*keys)
@@ -438,6 +440,9 @@ def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
 
     def compared(table, cuts):
         node, comp, size = (table.column(k).to_numpy() for k in ("node", "comp", "size"))
+        # runs from this one on, itself included: if it is a pair's first common
+        # run, no more than that can be in the intersection
+        rest = size - table.column("place").to_numpy()
         home, own = table.column("home").to_numpy(), table.column("own").to_numpy()
         i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
         bits = table.column("bits").to_pylist()
@@ -449,6 +454,8 @@ def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
             x, y = x + s, y + s
             low, high = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
             may = (comp[x] != comp[y]) & (home[x] | home[y]) & (100 * low >= PERCENT * high)
+            enough = (100 + PERCENT) * np.minimum(rest[x], rest[y])
+            may &= enough >= PERCENT * (size[x] + size[y])
             if i[s] != j[s]:
                 may &= own[x] != own[y]
             x, y = x[may], y[may]
@@ -543,7 +550,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = join.add(join.stars(leads, None))
 
     total = first.agg(F.sum(F.size("first"))).first()[0] or 0
-    every = first.select(F.explode("first").alias("run"), "node")
+    every = first.select("node", F.posexplode("first").alias("place", "run")).select(
+        "run", "node", "place"
+    )
     shared = stored(_shared(every, total), "shared")
     shared = stored(_enough(shared, join.reps), "enough")
     comps = join.add(join.stars(shared, comps))
@@ -556,8 +565,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # nearest nodes of other components first: groups of distant copies shrink
     # to the components that no pair joins, and few pairs are left to list
     for nearest in (True, False):
-        now = _mixed(_with_comp(many.select("run", "node"), comps)).join(join.sketches, "node")
-        pairs = _tiles(now.select("run", "node", "comp", "size", "bits"), nearest)
+        now = _mixed(_with_comp(many.select("run", "node", "place"), comps)).join(join.sketches, "node")
+        pairs = _tiles(now.select("run", "node", "place", "comp", "size", "bits"), nearest)
         if not nearest:
             pairs = pairs.unionByName(_few(few.join(join.reps.select("node", "size"), "node")))
         comps = join.add(pairs)
