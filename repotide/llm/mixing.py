@@ -110,6 +110,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
 
 
 def _plan_source(rows: pd.DataFrame) -> pd.DataFrame:
+    # a shuffle brings rows in any order, and the seeded order counts places
+    rows = rows.sort_values("size", ignore_index=True)
     lengths, counts = rows["size"].to_numpy(), rows["n"].to_numpy()
     target, total = float(rows["target"].iloc[0]), int(rows["source_size"].iloc[0])
     rounds = int(target // total) if total else 0

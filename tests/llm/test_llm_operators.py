@@ -9,6 +9,7 @@ import string
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +242,18 @@ def test_targets_stop_at_three_times_the_source(spark):
     assert all(abs(r["target"] - wanted[r["source"]]) < 1e-6 for r in rows) and len(rows) == 6
 
 
+def test_plan_of_a_source_does_not_depend_on_row_order():
+    size = np.arange(0, 3000)
+    rows = pd.DataFrame({"size": size, "n": 3, "source": "a"})
+    rows["source_size"] = int((rows["size"] * rows["n"]).sum())
+    rows["target"] = rows["source_size"] * 0.37
+    plans = [
+        mixing._plan_source(rows.sample(frac=1, random_state=k)).sort_values("size") for k in range(3)
+    ]
+    for other in plans[1:]:
+        assert plans[0]["extra"].tolist() == other["extra"].tolist()
+
+
 def test_budget_is_met_as_well_as_can_be():
     random = np.random.default_rng(0)
     for _ in range(60):
