@@ -237,6 +237,80 @@ def order_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unchecked_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipping opens an item and the order day closes it, so many run backwards."""
+    lines, log = table(spark, sf_dir, "lineitem"), commit_log(spark, sf_dir)
+    return lines.join(log, lines.l_orderkey == log.commit_id).select(
+        "repo",
+        F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("item"),
+        F.col("l_shipdate").cast("date").alias("created"),
+        F.when(F.col("l_linestatus") == "F", F.col("day")).alias("closed"),
+    )
+
+
+def land_order_revisions(spark: SparkSession, sf_dir: str, path: str, late: bool) -> None:
+    """Add one half of the orders' log to a folder of JSON lines.
+
+    The place in the log is the order's number, whose days run back and forth.
+    The half of the ``late`` numbers also holds every tenth early one again.
+    """
+    rows = order_revisions(spark, sf_dir).withColumnRenamed("commit_id", "ordinal")
+    middle = rows.agg(F.expr("(min(ordinal) + max(ordinal)) div 2")).first()[0] or 0
+    early = F.col("ordinal") <= middle
+    chosen = (~early | (F.col("ordinal") % 10 == 0)) if late else early
+    at = _iso(F.col("committed_datetime"), 2)
+    landed = rows.filter(chosen).drop("day")
+    landed.withColumns({"authored_datetime": at, "committed_datetime": at}).write.mode(
+        "append"
+    ).json(path)
+
+
+def land_order_files(spark: SparkSession, sf_dir: str) -> str:
+    """The orders' file sizes as CSV in two folders whose columns are ordered differently."""
+    path = scratch_path(spark, "sizes")
+    files = order_files(spark, sf_dir)
+    names = ["repo", "commit_hash", "language", "provider", *MEASURES]
+    even = F.pmod(F.xxhash64("provider"), F.lit(2)) == 0
+    files.filter(even).select(*names).write.option("header", True).csv(f"{path}/a")
+    turned = files.filter(~even).select(*[F.col(n).alias(n.upper()) for n in reversed(names)])
+    turned.write.option("header", True).csv(f"{path}/b")
+    return f"{path}/*"
+
+
+def land_order_pages(spark: SparkSession, sf_dir: str, field: str) -> str:
+    """The orders' issues as API pages of their repositories."""
+    path = scratch_path(spark, "pages")
+    items = order_issues(spark, sf_dir)
+    per_repo = items.groupBy("repo").agg(F.count(F.lit(1)).alias("total"))
+    pages = F.greatest(F.floor(F.col("total") / PAGE_SIZE), F.lit(1))
+    node = F.struct(
+        F.col("issue_id").alias("id"),
+        _iso(F.col("created_at"), 2).alias("createdAt"),
+        _iso(F.col("closed_at"), -5).alias("closedAt"),
+    )
+    edges = F.sort_array(F.collect_list(F.struct(node.alias("node"))))
+    info = F.struct(
+        F.concat(F.lit("c"), "page").alias("endCursor"),
+        (F.col("page") < F.col("_last")).alias("hasNextPage"),
+    )
+    content = F.struct(F.col("total").alias("totalCount"), "edges", info.alias("pageInfo"))
+    (
+        items.drop("page")
+        .join(per_repo, "repo")
+        .withColumns({"page": F.pmod(F.xxhash64("issue_id"), pages), "_last": pages - 1})
+        .groupBy("repo", "page", "total", "_last")
+        .agg(edges.alias("edges"))
+        .select(
+            "repo",
+            "page",
+            F.when(F.col("page") > 0, F.concat(F.lit("c"), F.col("page") - 1)).alias("after"),
+            F.struct(F.struct(content.alias(field)).alias("repository")).alias("data"),
+        )
+        .write.json(path)
+    )
+    return path
+
+
 def earlier_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     until = F.lit(EARLIER_LOAD_UNTIL).cast("timestamp")
     return revisions(spark, sf_dir).filter(F.col("committed_datetime") < until)

@@ -40,11 +40,19 @@ _PARTS = {
         SELECT repo, day, {_M} FROM (
             SELECT *, row_number() OVER (PARTITION BY repo, day ORDER BY commit_id DESC) AS rn
             FROM joined) WHERE rn = 1)""",
+    # a log whose days run back and forth: the series starts with the day that
+    # ends first in the log, days before it are cut
+    "last_in_log": f"""last AS (
+        SELECT repo, day, {_M} FROM (
+            SELECT *, first_value(day) OVER (PARTITION BY repo ORDER BY commit_id) AS first_day
+            FROM (SELECT *, row_number() OVER (PARTITION BY repo, day ORDER BY commit_id DESC) AS rn
+                  FROM joined) WHERE rn = 1)
+        WHERE day >= first_day)""",
     "size_day": f"""size_day AS (
         SELECT s.repo, s.day, {_each('''last_value(l."{m}" IGNORE NULLS) OVER w AS "{m}"''')}
         FROM (SELECT repo, unnest(generate_series(min(day), DATE '{ORDERS_AS_OF}',
                                                   INTERVAL 1 DAY))::date AS day
-              FROM joined GROUP BY repo) s
+              FROM last GROUP BY repo) s
         LEFT JOIN last l ON l.repo = s.repo AND l.day = s.day
         WINDOW w AS (PARTITION BY s.repo ORDER BY s.day
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
@@ -175,7 +183,11 @@ _register(
     "pages",
     """SELECT 'c' || (page - 1) AS cursor FROM pages_of p
        WHERE first_type = 'view'
-         AND EXISTS (SELECT 1 FROM pages_of q WHERE q.page = p.page - 1 AND q.first_type <> 'view')""",
+         AND EXISTS (SELECT 1 FROM pages_of q WHERE q.page = p.page - 1 AND q.first_type <> 'view')
+       UNION ALL
+       SELECT NULL FROM pages_of p
+       WHERE page = 0 AND first_type = 'view'
+         AND EXISTS (SELECT 1 FROM pages_of q WHERE q.first_type <> 'view')""",
 )
 _register(
     "text_size",
@@ -284,6 +296,39 @@ _DENSITY = f"{_SIZES} last size_day start issues open_items density"
 _register("issue_density_per_day", _DENSITY, "SELECT * FROM density")
 _register("issue_density_from_daily_tables", _DENSITY, "SELECT * FROM density")
 _register("stored_issue_density_per_day", _DENSITY, "SELECT * FROM density")
+_register(
+    "landed_issue_density_per_day",
+    _DENSITY.replace(" last ", " last_in_log "),
+    "SELECT * FROM density",
+)
+_register(
+    "page_completeness_per_repository",
+    "log issues",
+    "SELECT repo, count(*) AS expected, count(*) AS received FROM items GROUP BY repo",
+)
+_register(
+    "stored_issues_in_two_loads",
+    "log issues",
+    """SELECT repo, concat_ws('/', created, coalesce(closed::varchar, 'open'), n) AS issue_id,
+              created::timestamp AS created_at, closed::timestamp AS closed_at
+       FROM (SELECT *, row_number() OVER (PARTITION BY repo, created, closed) - 1 AS n FROM items)""",
+)
+_register(
+    "stored_releases_by_repo",
+    "log",
+    """SELECT repo, 'o' || commit_id AS commit_hash FROM log JOIN orders ON o_orderkey = commit_id
+       WHERE o_orderpriority = '1-URGENT'""",
+)
+_register(
+    "rejected_items",
+    "log",
+    """SELECT * FROM (
+         SELECT repo, concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS item,
+                l_shipdate::date AS created,
+                CASE WHEN l_linestatus = 'F' THEN day END AS closed
+         FROM lineitem JOIN log ON l_orderkey = commit_id)
+       WHERE created IS NULL OR closed < created""",
+)
 _register(
     "issue_density_ratio",
     _DENSITY,

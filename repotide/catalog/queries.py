@@ -267,6 +267,11 @@ def issue_density_ratio(spark, sf_dir):
     return open_items.issue_density_ratio(issue_density_per_day(spark, sf_dir), b.REPO)
 
 
+@query
+def rejected_items(spark, sf_dir):
+    return open_items.rejected_items(b.unchecked_issues(spark, sf_dir))
+
+
 # --- keys and the normalised log -------------------------------------------
 
 
@@ -425,6 +430,60 @@ def stored_issue_density_per_day(spark, sf_dir):
     return house.read("issue_density_per_day")
 
 
+REPO_TYPE = {"repo": T.LongType()}
+
+
+@query
+def landed_issue_density_per_day(spark, sf_dir):
+    """Landed JSON, CSV and pages of many repositories; the log comes as a stream."""
+    house = Warehouse(spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF)
+    log_path, state = scratch_path(spark, "log"), scratch_path(spark, "state")
+    for late in (False, True):
+        b.land_order_revisions(spark, sf_dir, log_path, late)
+        stream = revisions.stream_revisions(spark, log_path, REPO_TYPE)
+        loading = house.load_log_stream(stream, b.order_tags(spark, sf_dir), ["ordinal"], state)
+        loading.awaitTermination()
+    csv = b.land_order_files(spark, sf_dir)
+    house.load_file_sizes(sizes.read_file_sizes(spark, csv, commit="commit_hash", by=REPO_TYPE))
+    landed = b.land_order_pages(spark, sf_dir, pages.ISSUES)
+    items = pages.read_pages(spark, landed, pages.ISSUES, by=REPO_TYPE)
+    house.load_issues(pages.page_items(items, pages.ISSUES, "issue_id", b.REPO))
+    house.project_size()
+    house.issue_spoilage()
+    house.issue_density()
+    return house.read("issue_density_per_day")
+
+
+@query
+def page_completeness_per_repository(spark, sf_dir):
+    landed = b.land_order_pages(spark, sf_dir, pages.ISSUES)
+    read = pages.read_pages(spark, landed, pages.ISSUES, by=REPO_TYPE)
+    return pages.page_completeness(read, pages.ISSUES, b.REPO).drop("missing_pages")
+
+
+@query
+def stored_issues_in_two_loads(spark, sf_dir):
+    """Issues first landed while open, then all again in their last state."""
+    house = Warehouse(spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF)
+    items = b.order_issues(spark, sf_dir)
+    open_then = items.withColumn("closed_at", F.lit(None).cast("timestamp"))
+    house.load_issues(open_then.filter("repo % 2 = 0"))
+    house.load_issues(items)
+    ids = house.read("issue_ids").withColumnRenamed("id", "issue_id_key")
+    return house.read("issues").join(ids, ["repo", "issue_id_key"]).drop("issue_id_key")
+
+
+@query
+def stored_releases_by_repo(spark, sf_dir):
+    """Two loads of different repositories: the second leaves the first's releases."""
+    house = Warehouse(spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF)
+    raw, tags = b.order_revisions(spark, sf_dir), b.order_tags(spark, sf_dir)
+    for part in ("repo % 2 = 0", "repo % 2 = 1"):
+        house.load_log(raw.filter(part), tags.filter(part), b.LOG_ORDER)
+    hashes = house.read("commit_hashes").withColumnRenamed("id", "commit_hash_id")
+    return house.read("releases").join(hashes, ["repo", "commit_hash_id"]).drop("commit_hash_id")
+
+
 # --- quality ----------------------------------------------------------------
 
 

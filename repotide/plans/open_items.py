@@ -17,6 +17,11 @@ def project_start(log: DataFrame, by: Sequence[str] = (), day: str = "day") -> D
     return log.groupBy(*by).agg(F.min(day).alias("start"))
 
 
+def rejected_items(items: DataFrame, created: str = "created", closed: str = "closed") -> DataFrame:
+    """Items that no count can hold: closed before they were created, or never created."""
+    return items.filter(F.col(created).isNull() | (F.col(closed) < F.col(created)))
+
+
 def open_item_steps(
     items: DataFrame,
     log: DataFrame,
@@ -30,7 +35,8 @@ def open_item_steps(
 
     ``created`` and ``closed`` are days; an item without ``closed`` is open
     until ``as_of``. It counts from its creation to the day before it closes.
-    Items closed before they were created are left out. Only ``by`` and
+    Items closed before they were created are left out (``rejected_items``
+    lists them). Only ``by`` and
     ``day`` of ``log`` are used, for the start.
 
     Opening adds 1 and closing takes 1 away, so a running sum over the days

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 MEASURES = ["lines", "code", "comments", "blanks", "bytes"]
@@ -87,7 +89,8 @@ FOREIGN_KEYS = [
 
 _LIST = T.ArrayType(TEXT)
 
-# One commit as landed; times are ISO text with an offset.
+# Field names of landed commits and pages. One commit as landed;
+# times are ISO text with an offset, ``ordinal`` is its place in the log.
 REVISION = T.StructType(
     [
         T.StructField("author", TEXT),
@@ -103,10 +106,17 @@ REVISION = T.StructType(
         T.StructField("message", TEXT),
         T.StructField("gpgsign", TEXT),
         T.StructField("parents", _LIST),
+        T.StructField("ordinal", LONG),
     ]
 )
 
 
+def keyed(by: Mapping[str, T.DataType] | None, schema: T.StructType) -> T.StructType:
+    """``schema`` after the columns that tell repositories apart."""
+    own = [T.StructField(name, kind) for name, kind in (by or {}).items()]
+    return T.StructType([*own, *schema.fields])
+
+
 def page_schema(field: str) -> T.StructType:
     """One landed API page; ``field`` is ``issues`` or ``pullRequests``.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if re.fullmatch(r"local(\[.*\])?", context.master) is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="repotide-")
     if context.getCheckpointDir() is None:

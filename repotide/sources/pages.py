@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repotide.functions.time import parse_instant
-from repotide.schemas import page_schema
+from repotide.operators.keys import without_known
+from repotide.schemas import keyed, page_schema
 
 ISSUES = "issues"
 PULL_REQUESTS = "pullRequests"
@@ -14,22 +18,31 @@ PULL_REQUESTS = "pullRequests"
 PAGE_SIZE = 100
 
 
-def read_pages(spark: SparkSession, path: str, field: str, one_per_file: bool = False) -> DataFrame:
+def read_pages(
+    spark: SparkSession,
+    path: str,
+    field: str,
+    one_per_file: bool = False,
+    by: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
     """Pages as nested records; one JSON text per line, or one per file."""
     return (
-        spark.read.schema(page_schema(field))
+        spark.read.schema(keyed(by, page_schema(field)))
         .option("mode", "FAILFAST")
         .option("multiLine", one_per_file)
         .json(path)
     )
 
 
-def page_items(pages: DataFrame, field: str, id_column: str) -> DataFrame:
+def page_items(
+    pages: DataFrame, field: str, id_column: str, by: Sequence[str] = ()
+) -> DataFrame:
     """One row per item with its page and its position in the page."""
     node = "_edge.node"
     return pages.select(
-        "page", F.posexplode(f"data.repository.{field}.edges").alias("pos", "_edge")
+        *by, "page", F.posexplode(f"data.repository.{field}.edges").alias("pos", "_edge")
     ).select(
+        *by,
         "page",
         "pos",
         F.col(f"{node}.id").alias(id_column),
@@ -38,33 +51,37 @@ def page_items(pages: DataFrame, field: str, id_column: str) -> DataFrame:
     )
 
 
-def page_completeness(pages: DataFrame, field: str) -> DataFrame:
+def page_completeness(pages: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame:
     """Announced items, distinct items received, and pages that did not arrive.
 
     An empty tracker still answers with one page.
     """
-    items = pages.select(
-        F.explode(f"data.repository.{field}.edges.node.id").alias("id")
-    ).agg(F.count_distinct("id").alias("received"))
-    landed = pages.agg(
-        F.max(f"data.repository.{field}.totalCount").alias("expected"),
-        F.count_distinct(F.coalesce("after", F.lit(""))).alias("_pages"),
+    content = f"data.repository.{field}"
+    landed = pages.select(
+        *by,
+        F.col(f"{content}.totalCount").alias("total"),
+        F.coalesce("after", F.lit("")).alias("after"),
+        F.explode_outer(f"{content}.edges.node.id").alias("id"),
+    )
+    counted = landed.groupBy(*by).agg(
+        F.max("total").alias("expected"),
+        F.count_distinct("id").alias("received"),
+        F.count_distinct("after").alias("_pages"),
     )
-    return landed.select(
-        "expected",
-        F.coalesce(items.scalar(), F.lit(0)).alias("received"),
-        (F.greatest(F.ceil(F.col("expected") / PAGE_SIZE), F.lit(1)) - F.col("_pages")).alias(
-            "missing_pages"
-        ),
+    wanted = F.greatest(F.ceil(F.col("expected") / PAGE_SIZE), F.lit(1))
+    return counted.select(
+        *by, "expected", "received", (wanted - F.col("_pages")).alias("missing_pages")
     )
 
 
-def page_gaps(pages: DataFrame, field: str) -> DataFrame:
-    """Cursors a page pointed to as its successor that no landed page asked for."""
+def page_gaps(pages: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame:
+    """Cursors a page pointed to as its successor that no landed page asked for.
+
+    The first page is asked for without a cursor: where other pages landed and
+    it did not, the cursor is null.
+    """
     info = f"data.repository.{field}.pageInfo"
-    asked = (
-        pages.filter(F.col(f"{info}.hasNextPage"))
-        .select(F.col(f"{info}.endCursor").alias("cursor"))
-        .distinct()
-    )
-    return asked.join(pages.select(F.col("after").alias("cursor")), "cursor", "left_anti")
+    following = F.when(F.col(f"{info}.hasNextPage"), F.array(F.lit(None), F.col(f"{info}.endCursor")))
+    first = F.array(F.lit(None).cast("string"))
+    asked = pages.select(*by, F.explode(F.coalesce(following, first)).alias("cursor")).distinct()
+    return without_known(asked, pages.select(*by, F.col("after").alias("cursor")), [*by, "cursor"])

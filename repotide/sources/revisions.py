@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repotide.functions.references import co_author_emails, co_author_names
 from repotide.functions.time import parse_instant
-from repotide.schemas import REVISION
+from repotide.schemas import REVISION, keyed
 
 
-def read_revisions(spark: SparkSession, path: str) -> DataFrame:
+def read_revisions(
+    spark: SparkSession, path: str, by: Mapping[str, T.DataType] | None = None
+) -> DataFrame:
     """Commit records, one JSON text per line, with times as instants.
 
     Records without co-author lists get them from the trailers of the message.
+    ``ordinal``, the place in the log, orders them within ``by``.
     """
-    raw = spark.read.schema(REVISION).option("mode", "FAILFAST").json(path)
+    return _typed(_reader(spark.read, by).json(path))
+
+
+def stream_revisions(
+    spark: SparkSession, path: str, by: Mapping[str, T.DataType] | None = None
+) -> DataFrame:
+    """``read_revisions`` as a stream of the files that land in a folder."""
+    return _typed(_reader(spark.readStream, by).json(path))
+
+
+def _reader(reader, by: Mapping[str, T.DataType] | None):
+    return reader.schema(keyed(by, REVISION)).option("mode", "FAILFAST")
+
+
+def _typed(raw: DataFrame) -> DataFrame:
     return raw.select(
         *[
             {

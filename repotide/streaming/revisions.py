@@ -22,8 +22,10 @@ def load_new_revisions(
     def store(batch: DataFrame, _batch_id: int) -> None:
         # the batch is read for the key comparison and for the write
         batch.persist()
-        append_new_keys(batch, target, keys)
-        batch.unpersist()
+        try:
+            append_new_keys(batch, target, keys)
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store)

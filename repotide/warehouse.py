@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from repotide.functions.time import AsOf, utc_day
 from repotide.operators.keys import lookup, new_members, one_per_key, orphans, without_known
@@ -162,6 +163,34 @@ class Warehouse:
         self._replace("releases", found)
         self._append("commit_logs", log.commit_logs(fresh, *dims, self.by, wide=revisions))
 
+    def load_log_stream(
+        self, revisions: DataFrame, tags: DataFrame, order: Sequence[str], checkpoint: str
+    ) -> StreamingQuery:
+        """``load_log`` for each batch of a stream, until what has landed is loaded.
+
+        ``order`` must run on from batch to batch, as the place in the log does.
+        A batch replayed after a failure finds its rows stored.
+        """
+
+        def load(batch: DataFrame, _batch_id: int) -> None:
+            # the load reads its input several times, the stream's files once
+            batch.persist()
+            try:
+                self.load_log(batch, tags, order)
+            finally:
+                batch.unpersist()
+
+        return (
+            revisions.writeStream.foreachBatch(load)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def rejected(self, kind: str) -> DataFrame:
+        """Stored items (``issue`` or ``pull_request``) that the daily counts leave out."""
+        return open_items.rejected_items(self._stored(f"{kind}s"), "created_at", "closed_at")
+
     def load_file_sizes(self, files: DataFrame) -> None:
         """Append measured files, with a ``commit_hash`` to resolve or a commit id.
 

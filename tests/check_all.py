@@ -28,7 +28,7 @@ def main(sf_dir: str, names: list[str]) -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries, sql = entry.queries(), entry.oracle_sql()
     failed = 0
-    for name in names or queries:
+    for name in names or sorted(sql):
         try:
             problem, took = difference(spark, sf_dir, name, queries[name], sql[name])
         except Exception:

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from repotide.catalog.queries import QUERIES
 from repotide.operators.keys import lookup
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -28,21 +28,21 @@ def no_broadcast(spark):
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in sorted(entry.queries()) if n not in WRITERS and not n.startswith("stored_")]
+    "name", [n for n in sorted(QUERIES) if n not in WRITERS and not n.startswith(("stored_", "landed_"))]
 )
 def test_no_cross_join_and_no_python(spark, no_broadcast, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "Python", "SortAggregate"):
         assert bad not in plan, plan
 
 
 def test_scans_read_only_what_they_need(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    plan = plan_of(entry.queries()["size_per_commit"](spark, SF_DIR))
+    plan = plan_of(QUERIES["size_per_commit"](spark, SF_DIR))
     assert set(re.findall(r"l_\w+", plan.split("ReadSchema")[1])) == {
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     }
-    plan = plan_of(entry.queries()["union_sources"](spark, SF_DIR))
+    plan = plan_of(QUERIES["union_sources"](spark, SF_DIR))
     assert "EqualTo(l_returnflag,A)" in plan
 
 

@@ -83,6 +83,7 @@ def test_missing_pages(spark, tmp_path):
         ("middle", [0, 2, 3], 250, ["c0"]),
         ("two", [0, 3], 150, ["c0"]),
         ("tail", [0, 1, 2], 300, ["c2"]),
+        ("first", [1, 2, 3], 250, [None]),
     ]:
         read = pages.read_pages(spark, land(tmp_path / name, [complete[k] for k in kept]), "issues")
         assert tuple(pages.page_completeness(read, "issues").first()) == (350, received, 4 - len(kept))
@@ -113,6 +114,56 @@ def test_sizes_by_file_name(spark, tmp_path):
     ]
 
 
+SIZE_ROW = {"Language": "C", "Provider": "p", "Lines": 1, "Code": 2, "Comments": 3, "Blanks": 4, "Bytes": 5}
+
+
+def size_file(folder, name, columns, rows, commit="commit_hash"):
+    folder.mkdir(exist_ok=True)
+    text = [",".join(columns), *[",".join(str(({commit: name} | SIZE_ROW)[c]) for c in columns) for _ in range(rows)]]
+    (folder / f"{name}.csv").write_text("\n".join(text) + "\n")
+
+
+def test_sizes_by_name_whatever_the_order(spark, tmp_path):
+    columns = ["commit_hash", *SIZE_ROW]
+    size_file(tmp_path / "s", "h 1", columns, 2)
+    size_file(tmp_path / "s", "h2", columns[::-1], 1)
+    (tmp_path / "s" / "empty.csv").write_text("")
+    read = sizes.read_file_sizes(spark, str(tmp_path / "s"), commit="commit_hash")
+    want = [(name, "C", "p", 1, 2, 3, 4, 5) for name in ("h 1", "h 1", "h2")]
+    assert sorted(map(tuple, read.collect())) == want
+    named = sizes.read_file_sizes(spark, str(tmp_path / "s"), None, r"/(h\d)\.csv", commit="commit_hash")
+    assert sorted(r.commit_hash for r in named.collect()) == ["", "", "h2"]
+
+
+@pytest.mark.parametrize("row", ["h,C,p,1,2", "h,C,p,1,2,3,4,x", "h,C,p,1,2,3,4,99999999999999999999"])
+def test_bad_size_rows_fail(spark, tmp_path, row):
+    (tmp_path / "bad.csv").write_text("commit_hash,language,provider,lines,code,comments,blanks,bytes\n" + row + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        sizes.read_file_sizes(spark, str(tmp_path / "bad.csv"), commit="commit_hash").collect()
+
+
+def test_size_file_without_header_fails(spark, tmp_path):
+    size_file(tmp_path / "s", "good", ["commit_hash", *SIZE_ROW], 1)
+    (tmp_path / "s" / "other.csv").write_text("h,C,p,1,2,3,4,5\n")
+    with pytest.raises(ValueError, match="other.csv"):
+        sizes.read_file_sizes(spark, str(tmp_path / "s"), commit="commit_hash")
+
+
+def test_no_size_file_with_lines(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    read = sizes.read_file_sizes(spark, str(tmp_path / "empty.csv"))
+    assert read.count() == 0 and read.columns[0] == "commit_hash_id"
+
+
+def test_pages_by_repository(spark, tmp_path):
+    records = [{"repo": 1, **page(0, ["a", "b"], 150)}, {"repo": 2, **page(0, [], 0, True)}]
+    (tmp_path / "p.json").write_text("\n".join(json.dumps(r) for r in records))
+    read = pages.read_pages(spark, str(tmp_path / "p.json"), "issues", by={"repo": T.LongType()})
+    assert sorted(map(tuple, pages.page_completeness(read, "issues", ["repo"]).collect())) == [(1, 150, 2, 1), (2, 0, 0, 0)]
+    assert [tuple(r) for r in pages.page_gaps(read, "issues", ["repo"]).collect()] == [(1, "c0")]
+    assert sorted(r.repo for r in pages.page_items(read, "issues", "issue_id", ["repo"]).collect()) == [1, 1]
+
+
 def test_revisions_take_co_authors_from_the_message(spark, tmp_path):
     message = "Fix\n\nCo-authored-by: Ann B <a@x>\nco-authored-by: No One <n@x>\nCo-authored-by: C <c@x>"
     record = {"commit_hash": "h", "committed_datetime": "2024-01-01T23:30:00-05:00",
