@@ -322,7 +322,6 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.when(k >= 90, F.array(F.lit("v"), F.lit("w"))).otherwise(F.array(F.lit("v")))
     return (
         table(spark, sf_dir, "events")
-        .filter("event_type = 'purchase'")
         .select("event_id", k.alias("k"), F.explode(names).alias("series"))
         .select(
             F.concat("series", "event_id").alias("tag"),

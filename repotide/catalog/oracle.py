@@ -126,8 +126,7 @@ _PARTS = {
         SELECT 'h' || event_id AS commit_hash, event_id, ts, k >= 10 AS resolves
         FROM (SELECT event_id, ts, k,
                      unnest(CASE WHEN k >= 90 THEN ['v', 'w'] ELSE ['v'] END) AS series
-              FROM (SELECT *, (props->>'$.k')::int AS k FROM events)
-              WHERE event_type = 'purchase'))""",
+              FROM (SELECT *, (props->>'$.k')::int AS k FROM events)))""",
     "pages": """pages_of AS (
         SELECT event_id // 100 AS page, arg_min(event_type, event_id) AS first_type,
                count(*) AS n FROM events GROUP BY 1)""",

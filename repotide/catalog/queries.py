@@ -74,7 +74,7 @@ def union_sources(spark, sf_dir):
     files = b.file_size(spark, sf_dir)
     known = ["A", "N", "R"]
     slices = [files.filter(F.col("language") == flag) for flag in known]
-    slices.append(files.filter(~F.col("language").isin(known)))
+    slices.append(files.filter(~F.coalesce(F.col("language").isin(known), F.lit(False))))
     return tables.union_sources(slices).select("commit_id", "provider", *MEASURES)
 
 
