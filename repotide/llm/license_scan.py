@@ -1,12 +1,14 @@
 """License scans by conditional compression.
 
-Lines with a cue word, and lines directly between two of them, form candidate
-blocks. Each block is compressed alone and once with every template as a raw
-zstandard dictionary; templates are ranked by how much smaller the block gets.
-The best ones are confirmed by the exact words: the block is aligned with the
-template, words around the aligned part are left out, and the differing words
-decide. No difference is ``exact``; some, up to a fifth of the template's
-words, is ``variant``; else the block stays ``unknown``.
+A cue word makes its surroundings a candidate, whatever the lines: for each
+template, as many words on both sides as the template has, and a fifth more.
+These words are compressed alone and once with the template as a raw zstandard
+dictionary; templates are ranked by how much smaller the words get. The best
+ones are confirmed by the exact words: windows that overlap are merged, the
+template is aligned with the part of them that differs in the fewest words, and
+the differing words decide. No difference is ``exact``; some, up to a fifth of
+the template's words, is ``variant``. Cues outside of all confirmed notices, at
+most two lines apart, are one ``unknown`` row.
 
 Null and empty texts, and texts without a cue, give no rows. Other columns of
 the documents play no part. Rows with one id are scanned each for themselves.
@@ -14,9 +16,10 @@ the documents play no part. Rows with one id are scanned each for themselves.
 
 from __future__ import annotations
 
-import difflib
 import re
+from bisect import bisect_right
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +74,8 @@ TEMPLATES = {
     ),
     "all-rights-reserved": "All rights reserved.",
 }
+#: One changed word, beside the place where an alignment begins.
+_CHANGE = 1 << 32
 _WORDS = re.compile(r"[^\W_]+(?:[.\-'/][^\W_]+)*")
 
 
@@ -92,80 +97,199 @@ def _compressors(templates: tuple[tuple[str, str], ...]):
 
 
 def differences(template: list[str], block: list[str]) -> list[str]:
-    """Wording differences of the block's part that aligns with the template."""
-    steps = difflib.SequenceMatcher(None, template, block, autojunk=False).get_opcodes()
-    while steps and steps[0][0] == "insert":
-        steps = steps[1:]
-    while steps and steps[-1][0] == "insert":
-        steps = steps[:-1]
-    return [
-        f"{' '.join(template[a:b])} -> {' '.join(block[c:d])}"
-        for kind, a, b, c, d in steps
-        if kind != "equal"
-    ]
+    """The fewest changes of words that make the template the block, side by side ones as one."""
+    m, n = len(template), len(block)
+    own = np.array(block, object)
+    along, costs = np.arange(n + 1), [np.arange(n + 1)]
+    for word in template:
+        step = costs[-1] + 1
+        step[1:] = np.minimum(step[1:], costs[-1][:-1] + (own != word))
+        costs.append(np.minimum.accumulate(step - along) + along)
+    steps, i, j = [], m, n
+    while i or j:
+        here = costs[i][j]
+        if i and j and here == costs[i - 1][j - 1] + (template[i - 1] != block[j - 1]):
+            i, j = i - 1, j - 1
+            steps.append((i, j, template[i : i + 1], block[j : j + 1]))
+        elif i and here == costs[i - 1][j] + 1:
+            i -= 1
+            steps.append((i, j, template[i : i + 1], []))
+        else:
+            j -= 1
+            steps.append((i, j, [], block[j : j + 1]))
+    unlike, open_ = [], False
+    for _, _, old, new in reversed(steps):
+        if old == new:
+            open_ = False
+            continue
+        if not open_:
+            unlike.append(([], []))
+        open_ = True
+        unlike[-1][0].extend(old)
+        unlike[-1][1].extend(new)
+    return [f"{' '.join(old)} -> {' '.join(new)}" for old, new in unlike]
 
 
-def scan_block(block: bytes, templates: dict[str, str] = TEMPLATES) -> tuple:
-    """license, verdict, reduction, runner-up and differences of one block."""
+def occurrences(template: list[int], words: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(changed, begin, end) of places that are the template but for ``most`` words at most.
+
+    Every end has its cheapest begin (the first of equals), in one pass over the template's
+    words; ends are taken in order of their changes, the last of equals beside each other first.
+    """
+    begin = np.arange(len(words) + 1)
+    along, row = begin * _CHANGE, begin
+    for word in template:
+        step = row + _CHANGE
+        step[1:] = np.minimum(step[1:], row[:-1] + (words != word) * _CHANGE)
+        row = np.minimum.accumulate(step - along) + along
+    changed, begin = row // _CHANGE, row % _CHANGE
+    ends = np.flatnonzero(changed <= most)
+    found: list[tuple[int, int, int]] = []
+    free = np.ones(len(words), bool)
+    for end in ends[np.lexsort((-ends, changed[ends]))].tolist():
+        first = int(begin[end])
+        if first < end and free[first:end].all():
+            free[first:end] = False
+            found.append((int(changed[end]), first, end))
+    return found
+
+
+class Notice(NamedTuple):
+    """A confirmed notice, or a place with cues that no template explains."""
+
+    first: int  # offsets in the text
+    end: int
+    license: str | None
+    verdict: str
+    reduction: float
+    runner_up: str | None
+    differences: list[str]
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
+    """The notices of a lower-case text, and its cues outside of them, from first to last."""
+    cues = sorted({m.start() for cue in CUES for m in re.finditer(re.escape(cue), text)})
+    if not cues or not templates:
+        return [Notice(at, at, None, "unknown", 0.0, None, []) for at in cues[:1]]
     plain, with_template, words = _compressors(tuple(templates.items()))
-    text = block.decode(errors="replace").lower()
-    raw = text.encode()
-    alone = len(plain.compress(raw))
-    ranked = sorted(
-        ((alone - len(c.compress(raw))) / alone, name) for name, c in with_template.items()
-    )[::-1]
-    own, best = _WORDS.findall(text), None
-    for reduction, name in [r for r in ranked if r[0] >= LEAST_REDUCTION][:CONFIRMED]:
-        unlike = differences(words[name], own)
-        changed = sum(
-            max(len(part.split()) for part in step.split(" -> ")) for step in unlike
+    spans = [m.span() for m in _WORDS.finditer(text)]
+    begins = [a for a, _ in spans]
+    hits = sorted({bisect_right(begins, at) - 1 for at in cues})
+    tokens = [text[a:b] for a, b in spans]
+    numbers: dict[str, int] = {}
+    ids = np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int64)
+    alone: dict[bytes, int] = {}
+    gains: dict[tuple[bytes, str], float] = {}
+
+    def gain(first: int, end: int, name: str) -> float:
+        """How much smaller the words from ``first`` get with the template."""
+        raw = text[spans[max(first, 0)][0] : spans[min(end, len(spans)) - 1][1]].encode()
+        if (raw, name) not in gains:
+            if raw not in alone:
+                alone[raw] = len(plain.compress(raw))
+            saved = alone[raw] - len(with_template[name].compress(raw))
+            gains[raw, name] = saved / alone[raw]
+        return gains[raw, name]
+
+    likely: dict[str, list[tuple[int, int]]] = {}
+    reach = {n: len(own) + int(MOST_DIFFERENT * len(own)) for n, own in words.items()}
+    for hit in hits:
+        tried = [(gain(hit - r, hit + r + 1, name), name) for name, r in reach.items()]
+        tried = sorted(t for t in tried if t[0] >= LEAST_REDUCTION)[::-1]
+        for _, name in tried[:CONFIRMED]:
+            r = reach[name]
+            likely.setdefault(name, []).append((max(hit - r, 0), min(hit + r + 1, len(spans))))
+    found = []
+    for name, windows in likely.items():
+        own = words[name]
+        numbered = [numbers.get(w, -1) for w in own]
+        for a, b in _merged(windows):
+            for changed, first, end in occurrences(
+                numbered, ids[a:b], int(MOST_DIFFERENT * len(own))
+            ):
+                found.append((changed, -len(own), name, a + first, a + end))
+    taken: list[tuple[int, int]] = []
+    notices = []
+
+    def note(first: int, end: int, name: str | None) -> Notice:
+        ranked = sorted(
+            ((gain(first - (0 if name else r), end + (0 if name else r), n), n) for n, r in reach.items())
+        )[::-1]
+        unlike = differences(words[name], tokens[first:end]) if name else []
+        verdict = ("variant" if unlike else "exact") if name else "unknown"
+        best = next((g for g, n in ranked if n == name), ranked[0][0])
+        others = [n for _, n in (ranked if name else ranked[1:]) if n != name]
+        return Notice(
+            spans[first][0], spans[end - 1][1], name, verdict, best, others[0] if others else None, unlike
         )
-        if changed <= MOST_DIFFERENT * len(words[name]):
-            found = (changed, -len(words[name]), -reduction, name, unlike)
-            best = min(best, found) if best else found
-    second = ranked[1][1] if len(ranked) > 1 else None
-    if best is None:
-        return None, "unknown", ranked[0][0] if ranked else 0.0, second, []
-    changed, _, reduction, name, unlike = best
-    if second == name:
-        second = ranked[0][1]
-    return name, "variant" if unlike else "exact", -reduction, second, unlike
-
-
-def blocks(texts: Texts) -> list[tuple[int, int, int, int, int]]:
-    """(text, first line, last line, first byte, end byte) of every candidate block."""
+
+    for _, _, name, first, end in sorted(found):
+        a, b = (text.count("\n", 0, spans[x][0]) for x in (first, end - 1))
+        if all(b + 2 < c or a > d + 2 for c, d in taken):
+            taken.append((a, b))
+            notices.append((first, end, name))
+    bounds = sorted((first, end) for first, end, _ in notices)
+    firsts = [first for first, _ in bounds]
+    group: list[int] = []
+    for hit in hits:
+        before = bisect_right(firsts, hit)
+        if before and hit < bounds[before - 1][1]:
+            continue
+        if (
+            group
+            and text.count("\n", spans[group[1] - 1][0], spans[hit][0]) <= 2
+            and bisect_right(firsts, group[0]) == before
+        ):
+            group[1] = hit + 1
+            continue
+        if group:
+            notices.append((*group, None))
+        group = [hit, hit + 1]
+    if group:
+        notices.append((*group, None))
+    return [note(*n) for n in sorted(notices, key=lambda n: n[:2])]
+
+
+def scan_block(block: bytes, templates: dict[str, str] = TEMPLATES) -> tuple:
+    """license, verdict, reduction, runner-up and differences of the block's longest notice."""
+    found = scan_text(block.decode(errors="replace").lower(), templates)
+    if not found:
+        return None, "unknown", 0.0, None, []
+    return max(found, key=lambda n: (n.license is not None, n.end - n.first))[2:]
+
+
+def with_cues(texts: Texts) -> list[int]:
+    """The texts that hold a cue."""
     raw = LOWER[texts.data].tobytes()
     hits = sorted({at for cue in CUES for at in find_all(raw, cue.encode())})
-    if not hits:
-        return []
     owner = np.searchsorted(texts.starts, hits, side="right") - 1
-    found: list[list[int]] = []
-    base, line, seen = 0, 0, -1
-    for at, text in zip(hits, owner.tolist()):
-        begin, stop = int(texts.starts[text]), int(texts.starts[text + 1])
-        if text != seen:
-            seen, base, line = text, begin, 0
-        line += raw.count(b"\n", base, at)
-        base = at
-        first = max(raw.rfind(b"\n", begin, at) + 1, begin)
-        end = raw.find(b"\n", at, stop)
-        end = stop if end < 0 else end
-        if found and found[-1][0] == text and line - found[-1][2] <= 2:
-            found[-1][2], found[-1][4] = line, max(end, found[-1][4])
-        else:
-            found.append([text, line, line, first, end])
-    return [tuple(f) for f in found]
+    return np.unique(owner).tolist()
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """One row per candidate block of any document."""
+    """One row per notice of any document, and per place with cues but no known notice."""
 
     def run(batch):
         rows = []
         for texts in texts_of(batch.column(1)):
-            for text, first, last, begin, end in blocks(texts):
-                verdict = scan_block(texts.data[begin:end].tobytes(), templates)
-                rows.append((texts.first + text, first, last, *verdict))
+            for at in with_cues(texts):
+                raw = texts.data[texts.starts[at] : texts.starts[at + 1]].tobytes()
+                text = raw.decode(errors="replace").lower()
+                line, seen = 0, 0
+                for found in scan_text(text, templates):
+                    line, seen = line + text.count("\n", seen, found.first), found.first
+                    last = line + text.count("\n", found.first, found.end)
+                    rows.append((texts.first + at, line, last, *found[2:]))
         columns = list(zip(*rows)) if rows else [()] * 8
         return batch_of(
             doc_id=batch.column(0).take(pa.array(columns[0], pa.int64())),

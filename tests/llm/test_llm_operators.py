@@ -6,6 +6,7 @@ import collections
 import hashlib
 import re
 import string
+import textwrap
 import zlib
 
 import numpy as np
@@ -195,6 +196,17 @@ def test_license_places(spark):
     assert [(r["first_line"], r["license"]) for r in found] == [(1, "MIT"), (5, "all-rights-reserved")]
 
 
+@pytest.mark.parametrize("name", ["MIT-text", "BSD-3-Clause", "Apache-2.0-header"])
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_wrapped_licenses(spark, name, mark):
+    lines = textwrap.wrap(license_scan.TEMPLATES[name], 60)
+    text = "\n".join(["some code", "", *[mark + line for line in lines], "", "more code"])
+    found = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r["license"], r["verdict"], r["first_line"], r["last_line"]) for r in found] == [
+        (name, "exact", 2, 1 + len(lines))
+    ]
+
+
 # --- mixing -----------------------------------------------------------------
 
 def test_mix_meets_its_targets(spark, docs):
