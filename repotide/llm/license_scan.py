@@ -2,14 +2,18 @@
 
 A cue word makes its surroundings a candidate, whatever the lines: for each
 template, as many words on both sides as the template has, and a fifth more.
-These words are compressed alone and once with the template as a raw zstandard
-dictionary; templates are ranked by how much smaller the words get. The best
-ones are confirmed by the exact words: windows that overlap are merged, the
-template is aligned with the part of them that differs in the fewest words, and
-the differing words decide. No difference is ``exact``; some, up to a fifth of
-the template's words, is ``variant``. Cues outside of all confirmed notices, at
+Exact words decide: windows that hold enough of the template's words are merged
+where they overlap, and the template is aligned with the part that differs in
+the fewest words. No difference is ``exact``; some, up to a fifth of the
+template's words, is ``variant``. Cues outside of all confirmed notices, at
 most two lines apart, are one ``unknown`` row.
 
+Each row's words (those of an unknown row with their windows) are compressed
+alone and once with every template as a raw zstandard dictionary. The bytes
+saved, to the template's own compressed size, are its ``reduction``; the best
+other template is the ``runner_up``. Compression ranks but rules nothing out: a
+notice of a few words saves fewer bytes than the prose around it makes noise.
+
 Null and empty texts, and texts without a cue, give no rows. Other columns of
 the documents play no part. Rows with one id are scanned each for themselves.
 """
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from repotide.llm.common import LOWER, Texts, batch_of, find_all, map_arrow, texts_of
 
-LEVEL, LEAST_REDUCTION, CONFIRMED, MOST_DIFFERENT = 6, 0.15, 4, 0.2
+LEVEL, MOST_DIFFERENT = 6, 0.2
 # Cue words, lower case.
 CUES = (
     "all rights reserved",
@@ -93,7 +97,8 @@ def _compressors(templates: tuple[tuple[str, str], ...]):
         for name, text in templates
     }
     words = {name: _WORDS.findall(text.lower()) for name, text in templates}
-    return plain, with_template, words
+    own_size = {name: len(plain.compress(text.lower().encode())) for name, text in templates}
+    return plain, with_template, words, own_size
 
 
 def differences(template: list[str], block: list[str]) -> list[str]:
@@ -130,7 +135,7 @@ def differences(template: list[str], block: list[str]) -> list[str]:
     return [f"{' '.join(old)} -> {' '.join(new)}" for old, new in unlike]
 
 
-def occurrences(template: list[int], words: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+def occurrences(template: np.ndarray, words: np.ndarray, most: int) -> list[tuple[int, int, int]]:
     """(changed, begin, end) of places that are the template but for ``most`` words at most.
 
     Every end has its cheapest begin (the first of equals), in one pass over the template's
@@ -181,7 +186,7 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
     cues = sorted({m.start() for cue in CUES for m in re.finditer(re.escape(cue), text)})
     if not cues or not templates:
         return [Notice(at, at, None, "unknown", 0.0, None, []) for at in cues[:1]]
-    plain, with_template, words = _compressors(tuple(templates.items()))
+    plain, with_template, words, own_size = _compressors(tuple(templates.items()))
     spans = [m.span() for m in _WORDS.finditer(text)]
     begins = [a for a, _ in spans]
     hits = sorted({bisect_right(begins, at) - 1 for at in cues})
@@ -192,31 +197,32 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
     gains: dict[tuple[bytes, str], float] = {}
 
     def gain(first: int, end: int, name: str) -> float:
-        """How much smaller the words from ``first`` get with the template."""
+        """Bytes that the words from ``first`` save with the template, to the template's own size."""
         raw = text[spans[max(first, 0)][0] : spans[min(end, len(spans)) - 1][1]].encode()
         if (raw, name) not in gains:
             if raw not in alone:
                 alone[raw] = len(plain.compress(raw))
             saved = alone[raw] - len(with_template[name].compress(raw))
-            gains[raw, name] = saved / alone[raw]
+            gains[raw, name] = saved / own_size[name]
         return gains[raw, name]
 
-    likely: dict[str, list[tuple[int, int]]] = {}
     reach = {n: len(own) + int(MOST_DIFFERENT * len(own)) for n, own in words.items()}
-    for hit in hits:
-        tried = [(gain(hit - r, hit + r + 1, name), name) for name, r in reach.items()]
-        tried = sorted(t for t in tried if t[0] >= LEAST_REDUCTION)[::-1]
-        for _, name in tried[:CONFIRMED]:
-            r = reach[name]
-            likely.setdefault(name, []).append((max(hit - r, 0), min(hit + r + 1, len(spans))))
+    present = np.zeros(len(numbers) + 1, bool)
     found = []
-    for name, windows in likely.items():
-        own = words[name]
-        numbered = [numbers.get(w, -1) for w in own]
-        for a, b in _merged(windows):
-            for changed, first, end in occurrences(
-                numbered, ids[a:b], int(MOST_DIFFERENT * len(own))
-            ):
+    for name, own in words.items():
+        most, r = int(MOST_DIFFERENT * len(own)), reach[name]
+        numbered = np.array([numbers.get(w, -1) for w in own])
+        if (numbered >= 0).sum() < len(own) - most:
+            continue
+        likely = []
+        for hit in hits:
+            a, b = max(hit - r, 0), min(hit + r + 1, len(spans))
+            present[ids[a:b]] = True
+            if present[numbered].sum() >= len(own) - most:
+                likely.append((a, b))
+            present[ids[a:b]] = False
+        for a, b in _merged(likely):
+            for changed, first, end in occurrences(numbered, ids[a:b], most):
                 found.append((changed, -len(own), name, a + first, a + end))
     taken: list[tuple[int, int]] = []
     notices = []

@@ -207,6 +207,19 @@ def test_wrapped_licenses(spark, name, mark):
     ]
 
 
+@pytest.mark.parametrize("name", license_scan.TEMPLATES)
+def test_licenses_inside_paragraphs(docs, name):
+    prose = " ".join(
+        r["text"] for r in docs.filter("lang = 'en' AND n_chars > 2000").orderBy("doc_id").limit(9).collect()
+    )
+    prose = re.sub("(?i)" + "|".join(license_scan.CUES), "", prose).replace("\n", " ").lower()
+    notice = license_scan.TEMPLATES[name].lower()
+    for n in (0, 40, 80, 160, 320, 5000):
+        text = f"{prose[:n]} {notice} {prose[n : 2 * n]}"
+        found = license_scan.scan_text(text)
+        assert [(f.license, f.verdict) for f in found] == [(name, "exact")], n
+
+
 # --- mixing -----------------------------------------------------------------
 
 def test_mix_meets_its_targets(spark, docs):
