@@ -5,7 +5,8 @@ template, as many words on both sides as the template has, and a fifth more.
 Exact words decide: windows that hold enough of the template's words are merged
 where they overlap, and the template is aligned with the part that differs in
 the fewest words. No difference is ``exact``; some, up to a fifth of the
-template's words, is ``variant``. Cues outside of all confirmed notices, at
+template's words, is ``variant``. Every confirmed notice whose words do not
+overlap a better one's is a row, so a line may have several. Cues outside of all confirmed notices, at
 most two lines apart, are one ``unknown`` row.
 
 Each row's words (those of an unknown row with their windows) are compressed
@@ -224,7 +225,7 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
         for a, b in _merged(likely):
             for changed, first, end in occurrences(numbered, ids[a:b], most):
                 found.append((changed, -len(own), name, a + first, a + end))
-    taken: list[tuple[int, int]] = []
+    free = np.ones(len(spans), bool)
     notices = []
 
     def note(first: int, end: int, name: str | None) -> Notice:
@@ -240,9 +241,8 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
         )
 
     for _, _, name, first, end in sorted(found):
-        a, b = (text.count("\n", 0, spans[x][0]) for x in (first, end - 1))
-        if all(b + 2 < c or a > d + 2 for c, d in taken):
-            taken.append((a, b))
+        if free[first:end].all():
+            free[first:end] = False
             notices.append((first, end, name))
     bounds = sorted((first, end) for first, end, _ in notices)
     firsts = [first for first, _ in bounds]

@@ -220,6 +220,15 @@ def test_licenses_inside_paragraphs(docs, name):
         assert [(f.license, f.verdict) for f in found] == [(name, "exact")], n
 
 
+@pytest.mark.parametrize("between", ["\n", " ", " and some words, then: "])
+def test_several_notices_in_one_place(spark, between):
+    names = ["Apache-2.0", "MIT", "all-rights-reserved", "GPL-3.0", "CC-BY-SA-4.0", "MIT", "CC0-1.0"]
+    text = between.join(license_scan.TEMPLATES[n] for n in names)
+    found = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r["license"], r["verdict"]) for r in found] == [(n, "exact") for n in names]
+    assert [r["first_line"] for r in found] == [k if between == "\n" else 0 for k in range(len(names))]
+
+
 # --- mixing -----------------------------------------------------------------
 
 def test_mix_meets_its_targets(spark, docs):
