@@ -9,8 +9,10 @@ perturbed value is known before it is opened, and the region with the largest
 value is opened next. Opening one draws its best path edge by edge; every edge
 not taken leaves a region whose value is a Gumbel variable cut at the path's
 own. The first region left unopened gives the threshold from which each
-sample's inclusion probability follows; the weight p/q of a sample makes sums
-over samples unbiased.
+sample's inclusion probability q follows; the weight p/q of a sample makes sums
+over samples unbiased. q comes as ``log_inclusion`` too, so the weight is
+exp(log_prob - log_inclusion) for texts of any length; ``inclusion`` itself is 0
+where it is below the smallest double, as it is for texts of some hundred words.
 
 No piece goes on after a space mark that follows other characters, and
 characters that no longer piece contains stand alone, so the lattice of a text
@@ -338,7 +340,24 @@ class Sample(NamedTuple):
     cuts: list[np.ndarray]
     logp: np.ndarray  # samples x texts; nan: no such sample
     value: np.ndarray
-    inclusion: np.ndarray
+    log_inclusion: np.ndarray
+
+    @property
+    def inclusion(self) -> np.ndarray:
+        """The probabilities themselves; 0 where they are below the smallest double."""
+        return np.exp(self.log_inclusion)
+
+
+def _log_inclusion(logp: np.ndarray, threshold: np.ndarray) -> np.ndarray:
+    """log(1 - exp(-exp(logp - threshold))); 0 without a threshold, nan without a sample."""
+    with np.errstate(all="ignore"):
+        apart = logp - threshold
+        rate = np.exp(apart)
+        log = np.where(
+            rate > 0.5, np.log1p(-np.exp(-rate)), apart + np.log(-np.expm1(-rate) / rate)
+        )
+        # so far below, 1 - exp(-rate) is the rate itself
+        return np.where(apart < -40, apart, log)
 
 
 def sample_texts(
@@ -430,13 +449,7 @@ def sample_texts(
             np.concatenate((np.array(rows, np.int64), batch.row[later])),
             turn + 1,
         )
-    with np.errstate(invalid="ignore", over="ignore"):
-        inclusion = -np.expm1(-np.exp(np.clip(logp - threshold, -700, 700)))
-    inclusion[np.isnan(logp)] = np.nan
-    inclusion[:, ~np.isfinite(threshold)] = np.where(
-        np.isnan(logp[:, ~np.isfinite(threshold)]), np.nan, 1.0
-    )
-    return Sample(ids, cuts, logp, value, inclusion)
+    return Sample(ids, cuts, logp, value, _log_inclusion(logp, threshold))
 
 
 def _ids(batch: _Batch, edges: np.ndarray, at: np.ndarray, cut: np.ndarray, alive: np.ndarray):
@@ -455,7 +468,7 @@ def _ids(batch: _Batch, edges: np.ndarray, at: np.ndarray, cut: np.ndarray, aliv
 def encode(
     docs: DataFrame, vocab: Vocabulary, k: int = SAMPLES, seed: int = SEED, key: str = "doc_id"
 ) -> DataFrame:
-    """doc_id, sample, ids, log_prob, perturbed, inclusion: up to ``k`` rows per document."""
+    """doc_id, sample, ids, log_prob, perturbed, inclusion, log_inclusion: up to ``k`` rows per document."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
     held: list[np.ndarray] = []
 
@@ -468,6 +481,7 @@ def encode(
         for texts in texts_of(batch.column(2), _PIECE):
             mine = keys[texts.first : texts.first + texts.count]
             found = sample_texts(words, held[0], texts, mine, k)
+            measures = (found.logp, found.value, found.inclusion, found.log_inclusion)
             for turn in range(len(found.ids)):
                 real = ~np.isnan(found.logp[turn])
                 lists = pa.ListArray.from_arrays(
@@ -480,9 +494,9 @@ def encode(
                             batch.column(0).take(pa.array(rows + texts.first)),
                             pa.array(np.full(len(rows), turn, np.int32)),
                             lists,
-                            *[pa.array(x[turn][real]) for x in (found.logp, found.value, found.inclusion)],
+                            *[pa.array(x[turn][real]) for x in measures],
                         ],
-                        names=["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion"],
+                        names=_EMPTY.schema.names,
                     )
                 )
         if not parts:
@@ -494,7 +508,7 @@ def encode(
     return map_arrow(
         rows, run,
         "doc_id long, sample int, ids array<int>, log_prob double, perturbed double,"
-        " inclusion double",
+        " inclusion double, log_inclusion double",
     )
 
 
@@ -504,6 +518,7 @@ _EMPTY = pa.RecordBatch.from_pylist(
         [
             ("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())),
             ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()),
+            ("log_inclusion", pa.float64()),
         ]
     ),
 )

@@ -353,6 +353,30 @@ def test_pieces_round_trip_and_differ(spark, docs, odd):
     assert again == seen
 
 
+def test_long_texts_come_back_with_their_inclusion(spark, docs, odd):
+    vocab, far = piece_sampling.read_model(), set()
+    for table in (docs, odd):
+        texts = collections.defaultdict(set)
+        for r in table.collect():
+            texts[r["doc_id"]].add(r["text"] or "")
+        for r in piece_sampling.decode(piece_sampling.encode(table, vocab, k=3), vocab).collect():
+            assert r["text"] in texts[r["doc_id"]] and r["log_inclusion"] <= 0
+            assert abs(r["inclusion"] - np.exp(r["log_inclusion"])) < 1e-12
+            if r["log_prob"] < -710:  # q is p / exp(threshold) there, the threshold near 0
+                far.add(round(r["log_inclusion"], 6))
+                assert abs(r["log_prob"] - r["log_inclusion"]) < 50
+    assert len(far) > 4 and min(far) < -50_000
+
+
+def test_inclusion_far_from_the_threshold():
+    apart = np.array([-5e5, -800.0, -41.0, -39.0, -1.0, 0.0, 3.0, 800.0])
+    log = piece_sampling._log_inclusion(apart[None], np.zeros(len(apart)))[0]
+    near = [np.log(-np.expm1(-np.exp(x))) for x in apart[3:7]]
+    assert np.allclose(log, [*apart[:3], *near, 0.0], rtol=1e-6, atol=0)
+    none = piece_sampling._log_inclusion(np.array([[-5.0, np.nan]]), np.full(2, -np.inf))[0]
+    assert none[0] == 0 and np.isnan(none[1])
+
+
 def test_samples_follow_the_lattice():
     vocab = piece_sampling.read_model()
     ids = {t.decode().replace(" ", "▁"): i for i, t in enumerate(vocab.raw) if i > 258}
