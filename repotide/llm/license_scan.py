@@ -6,7 +6,8 @@ Exact words decide: windows that hold enough of the template's words are merged
 where they overlap, and the template is aligned with the part that differs in
 the fewest words. No difference is ``exact``; some, up to a fifth of the
 template's words, is ``variant``. Every confirmed notice whose words do not
-overlap a better one's is a row, so a line may have several. Cues outside of all confirmed notices, at
+overlap a better one's is a row, so a line may have several; better is what
+explains more words, a changed one taking one away. Cues outside of all confirmed notices, at
 most two lines apart, are one ``unknown`` row.
 
 Each row's words (those of an unknown row with their windows) are compressed
@@ -33,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repotide.llm.common import LOWER, Texts, batch_of, find_all, map_arrow, texts_of
+from repotide.llm.license_texts import TEXTS
 
 LEVEL, MOST_DIFFERENT = 6, 0.2
-# Cue words, lower case.
+# Cue words, lower case; lines and marks may part them.
 CUES = (
     "all rights reserved",
     "copyright",
+    "hereby granted",
     "licence",
     "license",
     "permission is hereby",
@@ -47,7 +50,7 @@ CUES = (
     "spdx-",
     "warranty",
 )
-# Short notices of public licenses.
+# Short notices of public licenses, with whole texts and headers.
 TEMPLATES = {
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -58,10 +61,6 @@ TEMPLATES = {
         " to in writing, software distributed under the License is distributed on an \"AS IS\""
         " BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are"
-        " permitted provided that the following conditions are met:"
-    ),
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
@@ -78,9 +77,10 @@ TEMPLATES = {
         " merge, publish, distribute, sublicense, and/or sell copies of the Software"
     ),
     "all-rights-reserved": "All rights reserved.",
-}
+} | TEXTS
 #: One changed word, beside the place where an alignment begins.
 _CHANGE = 1 << 32
+_CUES = [re.compile(r"[\W_]+".join(map(re.escape, cue.split()))) for cue in CUES]
 _WORDS = re.compile(r"[^\W_]+(?:[.\-'/][^\W_]+)*")
 
 
@@ -184,7 +184,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
     """The notices of a lower-case text, and its cues outside of them, from first to last."""
-    cues = sorted({m.start() for cue in CUES for m in re.finditer(re.escape(cue), text)})
+    cues = sorted({m.start() for cue in _CUES for m in cue.finditer(text)})
     if not cues or not templates:
         return [Notice(at, at, None, "unknown", 0.0, None, []) for at in cues[:1]]
     plain, with_template, words, own_size = _compressors(tuple(templates.items()))
@@ -224,7 +224,7 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
             present[ids[a:b]] = False
         for a, b in _merged(likely):
             for changed, first, end in occurrences(numbered, ids[a:b], most):
-                found.append((changed, -len(own), name, a + first, a + end))
+                found.append((2 * changed - len(own), changed, name, a + first, a + end))
     free = np.ones(len(spans), bool)
     notices = []
 
@@ -275,9 +275,10 @@ def scan_block(block: bytes, templates: dict[str, str] = TEMPLATES) -> tuple:
 
 
 def with_cues(texts: Texts) -> list[int]:
-    """The texts that hold a cue."""
+    """The texts that hold the longest word of a cue."""
     raw = LOWER[texts.data].tobytes()
-    hits = sorted({at for cue in CUES for at in find_all(raw, cue.encode())})
+    marks = {max(cue.split(), key=len).encode() for cue in CUES}
+    hits = sorted({at for mark in marks for at in find_all(raw, mark)})
     owner = np.searchsorted(texts.starts, hits, side="right") - 1
     return np.unique(owner).tolist()
 

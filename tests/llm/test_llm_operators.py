@@ -229,6 +229,34 @@ def test_several_notices_in_one_place(spark, between):
     assert [r["first_line"] for r in found] == [k if between == "\n" else 0 for k in range(len(names))]
 
 
+@pytest.mark.parametrize("name", license_scan.TEXTS)
+@pytest.mark.parametrize("mark", ["", " * "])
+def test_whole_texts_and_headers(name, mark):
+    lines = textwrap.wrap(license_scan.TEMPLATES[name], 76)
+    text = "\n".join(["Some code, by someone.", *[mark + line for line in lines], "", "more code"])
+    found = license_scan.scan_text(text.lower())
+    assert [(f.license, f.verdict) for f in found] == [(name, "exact")]
+
+
+def test_cues_parted_by_lines(spark):
+    text = "One.\n# All\n# rights\n# reserved.\n\n" + "word " * 99 + "\n * Permission is\n * hereby granted."
+    found = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r["license"], r["first_line"]) for r in found] == [("all-rights-reserved", 1), (None, 6)]
+
+
+def test_licenses_that_share_sentences():
+    texts = license_scan.TEMPLATES
+    named = texts["BSD-3-Clause"].replace("the copyright holder nor", "Some Company Ltd. nor")
+    for text, wanted in (
+        (named, ("BSD-3-Clause", "variant")),
+        (texts["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* "), ("BSD-2-Clause", "variant")),
+        (texts["BSD-opening"], ("BSD-opening", "exact")),
+        (texts["GPL-2.0-or-later"].replace("version 2", "version 3"), ("GPL-2.0-or-later", "variant")),
+        (texts["MIT-full"].replace("AUTHORS", "SELLERS"), ("MIT-full", "variant")),
+    ):
+        assert [(f.license, f.verdict) for f in license_scan.scan_text(text.lower())] == [wanted]
+
+
 # --- mixing -----------------------------------------------------------------
 
 def test_mix_meets_its_targets(spark, docs):
