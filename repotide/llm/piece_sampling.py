@@ -36,12 +36,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repotide.llm.common import Spans, Texts, map_arrow, mix, texts_of
 
-MODEL, SAMPLES, SEED = "/opt/tokenizers/piece_bpe_32k.model", 2, 97
+MODEL, SAMPLES, SEED = "/opt/tokenizers/piece_bpe_32k.model", 3, 97
 RANK_SHIFT = 10.0
 MARK = 0x2581
 #: Stands for a mark that the text itself holds; no code point has this number.
@@ -70,6 +71,7 @@ class Vocabulary:
         self.raw = [t.replace("▁", " ").encode() for t in texts]
         for byte, at in enumerate(byte_ids):
             self.raw[at] = bytes([byte])
+        self.spelled = pa.array(self.raw, pa.large_binary())
         nodes: dict[tuple[int, int], int] = {}
         ends: dict[int, int] = {}
         joined = set()
@@ -468,7 +470,11 @@ def _ids(batch: _Batch, edges: np.ndarray, at: np.ndarray, cut: np.ndarray, aliv
 def encode(
     docs: DataFrame, vocab: Vocabulary, k: int = SAMPLES, seed: int = SEED, key: str = "doc_id"
 ) -> DataFrame:
-    """doc_id, sample, ids, log_prob, perturbed, inclusion, log_inclusion: up to ``k`` rows per document."""
+    """doc_id, sample, ids, log_prob, perturbed, inclusion, log_inclusion, round_trip: up to ``k`` rows per document.
+
+    ``round_trip`` says whether the ids decode to the text, byte by byte; a null text counts as
+    empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
     held: list[np.ndarray] = []
 
@@ -484,10 +490,12 @@ def encode(
             measures = (found.logp, found.value, found.inclusion, found.log_inclusion)
             for turn in range(len(found.ids)):
                 real = ~np.isnan(found.logp[turn])
+                rows = np.flatnonzero(real)
+                back = _raw_texts(words, found.ids[turn], found.cuts[turn])
+                back = [back[r] == texts.data[texts.starts[r] : texts.starts[r + 1]].tobytes() for r in rows.tolist()]
                 lists = pa.ListArray.from_arrays(
                     pa.array(found.cuts[turn], pa.int32()), pa.array(found.ids[turn], pa.int32())
                 ).filter(pa.array(real))
-                rows = np.flatnonzero(real)
                 parts.append(
                     pa.RecordBatch.from_arrays(
                         [
@@ -495,6 +503,7 @@ def encode(
                             pa.array(np.full(len(rows), turn, np.int32)),
                             lists,
                             *[pa.array(x[turn][real]) for x in measures],
+                            pa.array(back, pa.bool_()),
                         ],
                         names=_EMPTY.schema.names,
                     )
@@ -508,7 +517,7 @@ def encode(
     return map_arrow(
         rows, run,
         "doc_id long, sample int, ids array<int>, log_prob double, perturbed double,"
-        " inclusion double, log_inclusion double",
+        " inclusion double, log_inclusion double, round_trip boolean",
     )
 
 
@@ -518,16 +527,25 @@ _EMPTY = pa.RecordBatch.from_pylist(
         [
             ("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())),
             ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()),
-            ("log_inclusion", pa.float64()),
+            ("log_inclusion", pa.float64()), ("round_trip", pa.bool_()),
         ]
     ),
 )
 
 
+def _raw_texts(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """The bytes of each list of piece ids, without the space that encoding puts in front."""
+    spelled = vocab.spelled.take(pa.array(ids))
+    at = np.frombuffer(spelled.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+    raw = spelled.buffers()[2].to_pybytes() if at[-1] else b""
+    bounds = at[cuts].tolist()
+    return [raw[a:b].removeprefix(b" ") for a, b in zip(bounds, bounds[1:])]
+
+
 def decode_ids(vocab: Vocabulary, ids) -> str:
     """The text of one list of piece ids; bytes that are no UTF-8 become U+FFFD."""
-    raw = b"".join([vocab.raw[i] for i in ids])
-    return raw[1:].decode(errors="replace") if raw[:1] == b" " else raw.decode(errors="replace")
+    raw = _raw_texts(vocab, np.array(ids, np.int32), np.array([0, len(ids)]))[0]
+    return raw.decode(errors="replace")
 
 
 def decode(encoded: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -536,7 +554,11 @@ def decode(encoded: DataFrame, vocab: Vocabulary) -> DataFrame:
     place = encoded.columns.index("ids")
 
     def run(batch):
-        texts = [None if x is None else decode_ids(shared.value, x) for x in batch.column(place).to_pylist()]
+        lists = batch.column(place)
+        cuts = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())))
+        raw = _raw_texts(shared.value, lists.flatten().to_numpy(), cuts)
+        there = lists.is_valid().to_pylist()
+        texts = [x.decode(errors="replace") if real else None for x, real in zip(raw, there)]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"]
         )

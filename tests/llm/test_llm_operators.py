@@ -396,6 +396,20 @@ def test_long_texts_come_back_with_their_inclusion(spark, docs, odd):
     assert len(far) > 4 and min(far) < -50_000
 
 
+def test_op7_says_whether_texts_come_back(spark, docs, odd):
+    rows = QUERIES["op7_piece_sampling"](spark, SF_DIR).select("doc_id", "sample", "round_trip").collect()
+    assert all(r["round_trip"] for r in rows) and {r["sample"] for r in rows} == {0, 1, 2}
+    assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.collect()}
+    assert all(r["round_trip"] for r in piece_sampling.encode(odd, piece_sampling.read_model()).collect())
+    wrong = piece_sampling.read_model()
+    wrong.spelled = pa.array([x.replace(b"e", b"a") for x in wrong.raw], pa.large_binary())
+    found = piece_sampling.encode(docs, wrong).select("doc_id", "round_trip").collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all(r["round_trip"] == ("e" not in (texts[r["doc_id"]] or "")) for r in found)
+    none = spark.createDataFrame([(1, None), (2, []), (3, [5])], "id int, ids array<int>")
+    assert [r["text"] for r in piece_sampling.decode(none, wrong).orderBy("id").collect()][:2] == [None, ""]
+
+
 def test_inclusion_far_from_the_threshold():
     apart = np.array([-5e5, -800.0, -41.0, -39.0, -1.0, 0.0, 3.0, 800.0])
     log = piece_sampling._log_inclusion(apart[None], np.zeros(len(apart)))[0]
