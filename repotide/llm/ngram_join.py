@@ -57,6 +57,7 @@ SPARE = 20
 _SAMPLE, _FREQUENT, _MOST_FREQUENT = 3000, 3, 50_000
 _FIRST, _FEW, _BLOCK = 3, 16, 600
 _ROWS_PER_TASK = 1 << 20
+_ROWS_HELD = 1 << 18
 _BROADCAST_ROWS = 1 << 20
 _TOP = np.uint64(1 << 63)
 _BYTE_BITS = np.array([bin(x).count("1") for x in range(256)], np.uint8)
@@ -321,6 +322,46 @@ def _with_comp(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
     return keys.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
+def _one_per_node(first: DataFrame) -> DataFrame:
+    """Rows (node, first) without a node's repeats in one task: exact copies end before a shuffle."""
+
+    def each(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            new = []
+            for node in batch.column(0).to_pylist():
+                new.append(node not in seen)
+                seen.add(node)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    return first.mapInArrow(each, first.schema)
+
+
+def _distinct(batches) -> list[np.ndarray]:
+    """Runs, nodes and places of all batches, sorted, each run and node once.
+
+    Repeats go whenever the rows held have doubled, so memory follows the
+    distinct rows.
+    """
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+    parts, rows = [], 0
+
+    def once():
+        runs, nodes, places = (np.concatenate([h, *p]) for h, p in zip(held, zip(*parts)))
+        order = np.lexsort((nodes, runs))
+        runs, nodes, places = runs[order], nodes[order], places[order]
+        new = np.ones(len(runs), bool)
+        new[1:] = (runs[1:] != runs[:-1]) | (nodes[1:] != nodes[:-1])
+        return [runs[new], nodes[new], places[new]]
+
+    for batch in batches:
+        parts.append([batch.column(k).to_numpy() for k in range(3)])
+        rows += batch.num_rows
+        if rows > max(len(held[0]), _ROWS_HELD):
+            held, parts, rows = once(), [], 0
+    return once() if parts else held
+
+
 def _shared(first: DataFrame, total: int) -> DataFrame:
     """(run, node, place) of the runs that more than one node has.
 
@@ -331,15 +372,9 @@ def _shared(first: DataFrame, total: int) -> DataFrame:
     rare = first.filter(~often).repartition(max(1, math.ceil(total / _ROWS_PER_TASK)), "run")
 
     def each(batches):
-        parts = [[b.column(k).to_numpy() for k in range(3)] for b in batches]
-        if not parts:
+        runs, nodes, places = _distinct(batches)
+        if not len(runs):
             return
-        runs, nodes, places = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.lexsort((nodes, runs))
-        runs, nodes, places = runs[order], nodes[order], places[order]
-        new = np.ones(len(runs), bool)
-        new[1:] = (runs[1:] != runs[:-1]) | (nodes[1:] != nodes[:-1])
-        runs, nodes, places = runs[new], nodes[new], places[new]
         same = runs[1:] == runs[:-1]
         several = np.zeros(len(runs), bool)
         several[1:] |= same
@@ -550,7 +585,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = join.add(join.stars(leads, None))
 
     total = first.agg(F.sum(F.size("first"))).first()[0] or 0
-    every = first.select("node", F.posexplode("first").alias("place", "run")).select(
+    every = _one_per_node(first).select("node", F.posexplode("first").alias("place", "run")).select(
         "run", "node", "place"
     )
     shared = stored(_shared(every, total), "shared")

@@ -7,6 +7,7 @@ import hashlib
 import re
 import string
 import textwrap
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -492,6 +493,30 @@ def test_components_match_all_pairs(spark, docs):
     assert found == classes_by_hand(texts)
 
 
+def test_exact_copies_end_before_the_shuffle(spark):
+    first = spark.range(0, 6000, 1, 3).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("node"),
+        F.array(F.lit(5).cast("long"), F.lit(6).cast("long")).alias("first"),
+    )
+    assert ngram_join._one_per_node(first).filter("node = 7").count() == 3
+    assert ngram_join._one_per_node(first).filter("node <> 7").count() == 2000
+
+
+def test_repeated_rows_of_a_run_are_not_held():
+    runs = np.repeat(np.arange(10), 1000)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(runs), pa.array(runs * 0 + 7), pa.array(runs.astype(np.int32))], names=["run", "node", "place"]
+    )
+    tracemalloc.start()
+    copies = (pa.RecordBatch.from_arrays([pa.array(c.to_numpy().copy()) for c in batch.columns], names=["run", "node", "place"])
+              for _ in range(1000))
+    found = ngram_join._distinct(copies)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x.tolist() for x in found] == [list(range(10)), [7] * 10, list(range(10))]
+    assert peak < 50e6  # all rows are 200 MB
+
+
 def test_bitmaps_never_rule_out_a_link():
     random = np.random.default_rng(2)
     for _ in range(200):
