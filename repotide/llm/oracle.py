@@ -90,4 +90,39 @@ JOIN near x ON x.doc_id = e.doc_id AND x.kind = 'edit'
 JOIN near f ON f.doc_id = e.doc_id AND f.kind = 'next'
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_ngram_join": _JOIN, "op9_multiset_hash": _HASH}
+_COPIES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+_NEGATIVES = """
+WITH rows AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::double)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS alike,
+        CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.id <> b.id WHERE a.id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT alike
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_ngram_join": _JOIN,
+    "op9_multiset_hash": _HASH,
+    "op11_digest_runs": _COPIES,
+    "op12_hard_negatives": _NEGATIVES,
+}

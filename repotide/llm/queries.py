@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.llm import (
+    digest_runs,
+    hard_negatives,
     language_codes,
     license_scan,
     line_rules,
@@ -18,8 +20,9 @@ from repotide.llm import (
     quality_convnet,
     toxicity_chain,
     training_order,
+    whitening,
 )
-from repotide.llm.common import documents, labels
+from repotide.llm.common import documents, embeddings, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -83,3 +86,19 @@ def op9_multiset_hash(spark, sf_dir):
 @query
 def op10_training_order(spark, sf_dir):
     return training_order.materialise(documents(spark, sf_dir))
+
+
+@query
+def op11_digest_runs(spark, sf_dir):
+    return digest_runs.copies(documents(spark, sf_dir))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    rows = hard_negatives.from_embeddings(embeddings(spark, sf_dir))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(embeddings(spark, sf_dir))

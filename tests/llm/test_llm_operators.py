@@ -110,7 +110,7 @@ def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
