@@ -49,6 +49,9 @@ MARK = 0x2581
 _OWN_MARK = 0x110000
 _SLOTS = 1 << 18
 _PIECE = 1 << 20
+#: Shares and log-probabilities are added up as integers, so that a text's sums do not
+#: depend on the texts beside it.
+_SHARE, _LOG = float(1 << 53), float(1 << 36)
 
 
 class Vocabulary:
@@ -160,7 +163,7 @@ class Lattices(NamedTuple):
     to: np.ndarray
     piece: np.ndarray  # -1: byte pieces
     logp: np.ndarray
-    upto: np.ndarray  # probability of the state's edges up to this one
+    upto: np.ndarray  # probability of the state's edges up to this one, in 2^-53
     rest: np.ndarray  # log-probability of the state's other edges
 
 
@@ -230,10 +233,11 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
         all_ = most + np.log(np.add.reduceat(np.exp(x - each), seg))
         total[origin[heads[a:b]]] = all_
         logp[lo:hi] = x - np.repeat(all_, np.diff(bounds[a : b + 1]))
-    share = np.exp(logp)
-    upto = np.cumsum(share)
-    upto -= np.repeat(upto[heads] - share[heads], np.diff(bounds))
-    upto[bounds[1:] - 1] = 2.0
+    share = (np.exp(logp) * _SHARE).astype(np.int64)
+    with np.errstate(over="ignore"):
+        upto = np.cumsum(share)
+        upto -= np.repeat(upto[heads] - share[heads], np.diff(bounds))
+    upto[bounds[1:] - 1] = 1 << 54
     first = np.zeros(len(chars) + chunks + 1, np.int64)
     first[origin[heads]] = heads
     count = np.zeros(len(chars) + chunks, np.int64)
@@ -247,10 +251,15 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
     )
 
 
-def _uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
+def _drawn(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
+    """53 random bits."""
     with np.errstate(over="ignore"):
         bits = mix(key + place.astype(np.uint64) * np.uint64(0xD1342543DE82EF95), salt)
-    return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+    return (bits >> np.uint64(11)).view(np.int64)
+
+
+def _uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
+    return (_drawn(key, place, salt).astype(np.float64) + 0.5) / float(1 << 53)
 
 
 class _Batch:
@@ -297,12 +306,12 @@ class _Batch:
         live = ~net.final[state]
         place, state, row = place[live], state[live], row[live]
         while len(place):
-            u = _uniform(self.keys[row], place - self.starts[row], salt)
+            u = _drawn(self.keys[row], place - self.starts[row], salt)
             edge = net.first[state, 0]
-            open_ = np.flatnonzero(u > net.upto[edge])
+            open_ = np.flatnonzero(u >= net.upto[edge])
             while len(open_):
                 edge[open_] += 1
-                open_ = open_[u[open_] > net.upto[edge[open_]]]
+                open_ = open_[u[open_] >= net.upto[edge[open_]]]
             edges[place] = edge
             after = net.to[edge]
             place = place + (after - state)
@@ -314,9 +323,11 @@ class _Batch:
         at = np.flatnonzero(edges >= 0)
         cut = np.searchsorted(at, self.starts)
         row = np.repeat(np.arange(self.count), np.diff(cut))
-        logp = self.net.logp[edges[at]]
-        run = np.concatenate(([0.0], np.cumsum(logp)))
-        return at, row, run[:-1] - run[cut[row]], run[cut[1:]] - run[cut[:-1]], cut
+        run = np.zeros(len(at) + 1, np.int64)
+        with np.errstate(over="ignore"):
+            np.cumsum(np.rint(self.net.logp[edges[at]] * _LOG).astype(np.int64), out=run[1:])
+            before, whole = run[:-1] - run[cut[row]], run[cut[1:]] - run[cut[:-1]]
+        return at, row, before / _LOG, whole / _LOG, cut
 
     def regions(self, at, row, before, edges, value, salt):
         """Largest perturbed value of what is left beside each edge of a path."""
@@ -325,7 +336,7 @@ class _Batch:
         noise = -np.log(_uniform(self.keys[row], at - self.starts[row], salt))
         return _cut_gumbel(where, value[row], noise)
 
-    def _state(self, at: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    def state(self, at: np.ndarray) -> np.ndarray:
         net = self.net
         index = np.searchsorted(self.chunk, at, side="right") - 1
         return net.begin[self.kind[index]] + at - self.chunk[index]
@@ -374,10 +385,12 @@ def sample_texts(
     edges = np.full(len(batch.chars), -1, np.int64)
     batch.draw(edges, batch.chunk, net.begin[batch.kind], batch.row, 0)
     paths, left = [], []
-    used: dict[tuple[int, int, int], list[int]] = {}
+    # per turn: the path and the edge of it that each text branched from, and the edge it took
+    picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     alive = np.ones(n, bool)
     ids, cuts = [], []
     value[0] = root
+    chars = np.repeat(np.arange(n), np.diff(batch.starts))
     for turn in range(k):
         at, row, before, whole, cut = batch.path(edges)
         logp[turn, alive] = whole[alive]
@@ -388,85 +401,136 @@ def sample_texts(
         if turn:
             beside[at <= branch[row]] = -np.inf  # noqa: F821 - set by the turn before
         beside[~alive[row]] = -np.inf
-        paths.append((at, before, edges, cut))
+        paths.append((at, row, before, edges, cut))
         left.append(beside)
-        # the best region of each text over all paths so far
-        best, which = np.full(n, -np.inf), np.zeros(n, np.int64)
-        spot = np.zeros(n, np.int64)
-        for p, (beside_p, path_p) in enumerate(zip(left, paths)):
-            cut_p = path_p[3]
-            here = np.flatnonzero(np.diff(cut_p))
-            if not len(here):
-                continue
-            top = np.maximum.reduceat(beside_p, cut_p[here])
-            better = top > best[here]
-            for r in here[better].tolist():
-                spot[r] = cut_p[r] + int(beside_p[cut_p[r] : cut_p[r + 1]].argmax())
-            best[here[better]] = top[better]
-            which[here[better]] = p
+        best, which, spot = _next_regions(paths, left, n)
         threshold = best
         if turn + 1 == k:
             break
         alive = alive & np.isfinite(best)
         value[turn + 1, alive] = best[alive]
+        rows = np.flatnonzero(alive)
+        p, s = which[rows], spot[rows]
+        place, base, first = (np.zeros(len(rows), kind) for kind in (np.int64, np.float64, np.int64))
+        for q, (at_q, _, before_q, edges_q, _) in enumerate(paths):
+            here = p == q
+            place[here], base[here] = at_q[s[here]], before_q[s[here]]
+            first[here] = edges_q[place[here]]
+        state = batch.state(place)
+        head, count = net.first[state].T
+        used = [(np.ones(len(rows), bool), first)]
+        used += [((w[rows] == p) & (t[rows] == s), e[rows]) for w, t, e in picked]
+        gone = sum(same.astype(np.int64) for same, _ in used)
+        own = _left_edges(net, head, count, used)
+        key, spots = keys[rows], place - batch.starts[rows]
+        sums = np.cumsum(own, axis=1)
+        total = sums[:, -1] if len(rows) else np.zeros(0)
+        u = _uniform(key, spots, 3000 + turn) * total
+        pick = np.minimum((sums <= u[:, None]).sum(1), count - 1)
+        here = np.arange(len(rows))
+        while (none := own[here, pick] == 0).any():
+            pick[none] -= 1
+        taken = head + pick
+        rest = total - own[here, pick]
+        noise = -np.log(_uniform(key, spots, 4000 + turn))
+        open_ = (gone + 1 < count) & (rest > 0)
+        again = _cut_gumbel(base + np.log(np.where(open_, rest, 1.0)), best[rows], noise)
+        again[~open_] = -np.inf
+        for q in range(len(paths)):
+            left[q][s[p == q]] = again[p == q]
         branch = np.full(n, -1, np.int64)
+        branch[rows] = place
+        took = np.full(n, -1, np.int64)
+        took[rows] = taken
+        picked.append((which, spot, took))
         edges = np.full(len(batch.chars), -1, np.int64)
-        states, places, rows = [], [], []
-        for r in np.flatnonzero(alive).tolist():
-            p, s = int(which[r]), int(spot[r])
-            at_p, before_p, edges_p, _ = paths[p]
-            place = int(at_p[s])
-            state = int(batch._state(np.array([place]), edges_p)[0])
-            head, count = net.first[state].tolist()
-            gone = used.setdefault((r, p, s), [int(edges_p[place])])
-            own = np.exp(net.logp[head : head + count])
-            own[[g - head for g in gone]] = 0
-            u = _uniform(keys[r : r + 1], np.array([place - int(batch.starts[r])]), 3000 + turn)[0]
-            sums = np.cumsum(own)
-            pick = int(min(np.searchsorted(sums, u * sums[-1], side="right"), count - 1))
-            while own[pick] == 0:
-                pick -= 1
-            gone.append(head + pick)
-            rest = sums[-1] - own[pick]
-            if len(gone) < count and rest > 0:
-                noise = -np.log(
-                    _uniform(keys[r : r + 1], np.array([place - int(batch.starts[r])]), 4000 + turn)
-                )
-                left[p][s] = _cut_gumbel(before_p[s] + np.log(rest), best[r], noise[0])
-            else:
-                left[p][s] = -np.inf
-            branch[r] = place
-            begin = int(batch.starts[r])
-            edges[begin:place] = edges_p[begin:place]
-            edges[place] = head + pick
-            after = int(net.to[head + pick])
-            states.append(after)
-            places.append(place + after - state)
-            rows.append(r)
+        copied = np.arange(len(batch.chars)) < branch[chars]
+        for q, path_q in enumerate(paths):
+            own_q = copied & (which[chars] == q)
+            edges[own_q] = path_q[3][own_q]
+        edges[place] = taken
+        after = net.to[taken]
         later = alive[batch.row] & (batch.chunk > branch[batch.row])
         batch.draw(
             edges,
-            np.concatenate((np.array(places, np.int64), batch.chunk[later])),
-            np.concatenate((np.array(states, np.int64), net.begin[batch.kind[later]])),
-            np.concatenate((np.array(rows, np.int64), batch.row[later])),
+            np.concatenate((place + after - state, batch.chunk[later])),
+            np.concatenate((after, net.begin[batch.kind[later]])),
+            np.concatenate((rows, batch.row[later])),
             turn + 1,
         )
     return Sample(ids, cuts, logp, value, _log_inclusion(logp, threshold))
 
 
+def _next_regions(paths: list, left: list[np.ndarray], n: int):
+    """Each text's best region: its value, its path, and the edge of the path it lies beside."""
+    best, which, spot = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for p, (beside, path) in enumerate(zip(left, paths)):
+        row, cut = path[1], path[4]
+        here = np.flatnonzero(np.diff(cut))
+        if not len(here):
+            continue
+        top = np.full(n, -np.inf)
+        top[here] = np.maximum.reduceat(beside, cut[here])
+        most = np.flatnonzero(beside == top[row])[::-1]
+        first = np.zeros(n, np.int64)
+        first[row[most]] = most  # the last one written is the first of equals
+        better = top > best
+        best[better], which[better], spot[better] = top[better], p, first[better]
+    return best, which, spot
+
+
+def _left_edges(net: Lattices, head: np.ndarray, count: np.ndarray, used: list) -> np.ndarray:
+    """Probabilities of the states' edges, those in use and places beyond ``count`` as 0."""
+    step = np.arange(int(count.max(initial=1)))
+    there = step < count[:, None]
+    own = np.where(there, np.exp(net.logp[head[:, None] + np.where(there, step, 0)]), 0.0)
+    for same, edge in used:
+        own[np.flatnonzero(same), (edge - head)[same]] = 0.0
+    return own
+
+
 def _ids(batch: _Batch, edges: np.ndarray, at: np.ndarray, cut: np.ndarray, alive: np.ndarray):
     """Piece ids of a path, bytes spelled out, and where each text's begin."""
     piece = batch.net.piece[edges[at]]
     width = np.where(piece >= 0, 1, batch.wide[at])
     out = np.repeat(piece, width)
     begin = np.concatenate(([0], np.cumsum(width)))
-    for s in np.flatnonzero(piece < 0).tolist():
-        char = int(batch.chars[at[s]])
-        raw = chr(MARK if char == _OWN_MARK else char).encode()
-        out[begin[s] : begin[s + 1]] = batch.vocab.byte_ids[list(raw)]
+    bare = np.flatnonzero(piece < 0)
+    char = batch.chars[at[bare]]
+    char = np.where(char == _OWN_MARK, MARK, char)
+    for length in range(1, 5):
+        some = width[bare] == length
+        for turn in range(length):
+            out[begin[bare[some]] + turn] = batch.vocab.byte_ids[_utf8(char[some], length, turn)]
     return out.astype(np.int32), begin[cut]
 
 
+def _utf8(char: np.ndarray, length: int, turn: int) -> np.ndarray:
+    """A byte of characters that take ``length`` bytes."""
+    if length == 1:
+        return char
+    if turn == 0:
+        return (0xF00 >> length & 0xFF) | char >> 6 * (length - 1)
+    return 0x80 | char >> 6 * (length - 1 - turn) & 0x3F
+
+
+def _round_trips(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray, texts: Texts) -> np.ndarray:
+    """Whether each list of ids spells its text, byte by byte."""
+    spelled, bounds = _spelled(vocab, ids, cuts)
+    sizes = np.diff(texts.starts)
+    front = (sizes > 0).astype(np.int64)
+    same = np.diff(bounds) == sizes + front
+    # both sides end to end, only of texts whose sizes agree
+    given = spelled[np.repeat(same, np.diff(bounds))]
+    wanted = texts.data[np.repeat(same, sizes)]
+    starts = np.concatenate(([0], np.cumsum(sizes[same])))[:-1]
+    wanted = np.insert(wanted, starts[front[same] > 0], 32)
+    wrong = np.flatnonzero(given != wanted)
+    ends = np.cumsum((sizes + front)[same])
+    same[np.flatnonzero(same)[np.searchsorted(ends, wrong, side="right")]] = False
+    return same
+
+
 def encode(
     docs: DataFrame, vocab: Vocabulary, k: int = SAMPLES, seed: int = SEED, key: str = "doc_id"
 ) -> DataFrame:
@@ -491,8 +555,7 @@ def encode(
             for turn in range(len(found.ids)):
                 real = ~np.isnan(found.logp[turn])
                 rows = np.flatnonzero(real)
-                back = _raw_texts(words, found.ids[turn], found.cuts[turn])
-                back = [back[r] == texts.data[texts.starts[r] : texts.starts[r + 1]].tobytes() for r in rows.tolist()]
+                back = _round_trips(words, found.ids[turn], found.cuts[turn], texts)[rows]
                 lists = pa.ListArray.from_arrays(
                     pa.array(found.cuts[turn], pa.int32()), pa.array(found.ids[turn], pa.int32())
                 ).filter(pa.array(real))
@@ -503,7 +566,7 @@ def encode(
                             pa.array(np.full(len(rows), turn, np.int32)),
                             lists,
                             *[pa.array(x[turn][real]) for x in measures],
-                            pa.array(back, pa.bool_()),
+                            pa.array(back),
                         ],
                         names=_EMPTY.schema.names,
                     )
@@ -533,12 +596,18 @@ _EMPTY = pa.RecordBatch.from_pylist(
 )
 
 
-def _raw_texts(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
-    """The bytes of each list of piece ids, without the space that encoding puts in front."""
+def _spelled(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all lists of piece ids end to end, and where each begins."""
     spelled = vocab.spelled.take(pa.array(ids))
     at = np.frombuffer(spelled.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
-    raw = spelled.buffers()[2].to_pybytes() if at[-1] else b""
-    bounds = at[cuts].tolist()
+    raw = np.frombuffer(spelled.buffers()[2], np.uint8)[: at[-1]] if at[-1] else np.zeros(0, np.uint8)
+    return raw, at[cuts]
+
+
+def _raw_texts(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """The bytes of each list of piece ids, without the space that encoding puts in front."""
+    raw, bounds = _spelled(vocab, ids, cuts)
+    raw, bounds = raw.tobytes(), bounds.tolist()
     return [raw[a:b].removeprefix(b" ") for a, b in zip(bounds, bounds[1:])]
 
 
