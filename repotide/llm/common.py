@@ -58,6 +58,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    # steps end in written tables, so what they shuffled need not wait for a collection of garbage
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -77,7 +79,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and that no plan will read any more."""
+    for table in tables:
+        session = table.sparkSession
+        place = session._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        place.getFileSystem(session._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -45,6 +45,7 @@ from repotide.llm.common import (
     drawn,
     map_arrow,
     mix,
+    release,
     stored,
     texts_of,
     windows,
@@ -175,9 +176,20 @@ def frequent_runs(docs: DataFrame, total: int) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, node, bits, first: one row per document."""
+    """doc_id, n_shingles, node, bits, first: one row per document.
 
-    def run(batch):
+    ``bits`` and ``first`` are given once per node and task, by a row with an id,
+    so exact copies end before anything is shuffled.
+    """
+
+    def each(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            yield run(batch, seen)
+
+    def run(batch, seen):
+        ids = batch.column(0)
+        named = ids.is_valid().to_pylist()
         sizes, nodes, bits, first = [], [], [], []
         for texts in texts_of(batch.column(1)):
             runs, starts = run_sets(texts, frequent)
@@ -187,12 +199,15 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 node = mix(sums[starts[1:]] - sums[starts[:-1]], 13)
             nodes.append(node.view(np.int64))
             sizes.append(np.diff(starts))
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                own = runs[s:e]
-                bits.append(bitmap(own))
-                first.append(own[: prefix_length(e - s)].view(np.int64) if e > s else None)
+            for at, key in enumerate(nodes[-1].tolist()):
+                s, e = int(starts[at]), int(starts[at + 1])
+                new = e > s and named[texts.first + at] and key not in seen
+                if new:
+                    seen.add(key)
+                bits.append(bitmap(runs[s:e]) if new else None)
+                first.append(runs[s:e][: prefix_length(e - s)].view(np.int64) if new else None)
         return batch_of(
-            doc_id=batch.column(0),
+            doc_id=ids,
             n_shingles=np.concatenate(sizes),
             node=np.concatenate(nodes),
             bits=binaries(bits),
@@ -200,8 +215,8 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(
-        rows, run, "doc_id long, n_shingles long, node long, bits binary, first array<long>"
+    return rows.mapInArrow(
+        each, "doc_id long, n_shingles long, node long, bits binary, first array<long>"
     )
 
 
@@ -212,19 +227,23 @@ class _Join:
 
     def __init__(self, docs: DataFrame) -> None:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.all = stored(profiles(docs, frequent_runs(docs, docs.count())), "profiles")
-        known = self.all.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-        self.reps = stored(
+        found = stored(profiles(docs, frequent_runs(docs, docs.count())), "profiles")
+        known = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        # equal sets have equal bits and first runs, so any row's will do
+        self.nodes = stored(
             known.groupBy("node").agg(
-                F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size")
+                F.min("doc_id").alias("doc_id"),
+                F.max("n_shingles").alias("size"),
+                F.first("bits", ignorenulls=True).alias("bits"),
+                F.first("first", ignorenulls=True).alias("first"),
             ),
-            "classes",
+            "nodes",
         )
-        self.known = known
-        self.sketches = known.select("doc_id", "node", "bits").join(
-            self.reps, ["doc_id", "node"]
-        ).dropDuplicates(["node"]).select("node", "size", "bits")
-        self.links: DataFrame | None = None
+        self.all = stored(found.select("doc_id", "n_shingles", "node"), "documents")
+        release(found)
+        self.reps = self.nodes.select("node", "doc_id", "size")
+        self.sketches = self.nodes.select("node", "size", "bits")
+        self.comps: DataFrame | None = None
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that sizes and bit counts leave."""
@@ -241,9 +260,9 @@ class _Join:
         return map_arrow(both.filter("n * 100 >= m * 75 AND m * 100 >= n * 75"), run, "a long, b long")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sets are linked. Texts move only if a pair needs them."""
+        """Stored pairs (a, b) whose sets are linked. Texts move only if a pair needs them."""
         pairs = stored(pairs, "pairs")
-        needed = stored(
+        wanted = needed = stored(
             pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             .join(self.reps.select("node", "doc_id"), "node"),
             "needed",
@@ -271,13 +290,23 @@ class _Join:
                         at += 1
                 yield batch.filter(pa.array(keep)).select([0, 1])
 
-        return both.mapInArrow(each, "a long, b long")
+        found = stored(both.mapInArrow(each, "a long, b long"), "links")
+        release(pairs, wanted)
+        return found
 
     def add(self, pairs: DataFrame) -> DataFrame:
-        """Check pairs, keep the links, and return (node, comp) of all linked nodes."""
-        found = stored(self.verified(self.bounded(pairs.distinct())).distinct(), "links")
-        self.links = found if self.links is None else self.links.unionByName(found)
-        return components(self.links)
+        """Check pairs, keep the links, and return (node, comp) of all linked nodes.
+
+        What earlier links say is in their components: a node and its smallest one.
+        """
+        found = self.verified(self.bounded(pairs.distinct()))
+        links = found
+        if self.comps is not None:
+            known = self.comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+            links = found.unionByName(known)
+        earlier, self.comps = self.comps, components(links)
+        release(found, *([earlier] if earlier is not None else []))
+        return self.comps
 
     # a leader per run, chosen by a hash that differs from run to run: copies
     # with many edits are close to some leaders only
@@ -322,21 +351,6 @@ def _with_comp(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
     return keys.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _one_per_node(first: DataFrame) -> DataFrame:
-    """Rows (node, first) without a node's repeats in one task: exact copies end before a shuffle."""
-
-    def each(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            new = []
-            for node in batch.column(0).to_pylist():
-                new.append(node not in seen)
-                seen.add(node)
-            yield batch.filter(pa.array(new, pa.bool_()))
-
-    return first.mapInArrow(each, first.schema)
-
-
 def _distinct(batches) -> list[np.ndarray]:
     """Runs, nodes and places of all batches, sorted, each run and node once.
 
@@ -362,17 +376,68 @@ def _distinct(batches) -> list[np.ndarray]:
     return once() if parts else held
 
 
-def _shared(first: DataFrame, total: int) -> DataFrame:
+def _dealt(nodes: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, rows): the rare first runs with their nodes and places, dealt out by run.
+
+    Millions of rows of three numbers cost most of their time between Spark and
+    Python, so the rows of a bucket travel packed.
+    """
+
+    def each(batches):
+        held, rows = [], 0
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = np.diff(np.asarray(lists.offsets))
+            runs = lists.flatten().to_numpy(zero_copy_only=False)
+            place = np.arange(len(runs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            rare = runs >= 0  # frequent runs have the top bit
+            owner = np.repeat(batch.column(0).to_numpy(), sizes)
+            held.append((runs[rare], owner[rare], place[rare].astype(np.int32)))
+            rows += len(held[-1][0])
+            if rows > _ROWS_HELD:
+                yield packed(held)
+                held, rows = [], 0
+        if held:
+            yield packed(held)
+
+    def packed(held):
+        runs, nodes, places = (np.concatenate(p) for p in zip(*held))
+        bucket = (mix(runs, 17) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        runs, nodes, places, bucket = runs[order], nodes[order], places[order], bucket[order]
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
+        if not len(bucket):
+            cuts = cuts[:1]
+        parts = [slice(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return batch_of(
+            bucket=bucket[cuts[:-1]],
+            rows=binaries([runs[p].tobytes() + nodes[p].tobytes() + places[p].tobytes() for p in parts]),
+        )
+
+    return nodes.select("node", "first").mapInArrow(each, "bucket long, rows binary")
+
+
+def _unpacked(batches):
+    for batch in batches:
+        for raw in batch.column(1):
+            raw = raw.as_buffer()
+            n = raw.size // 20
+            yield batch_of(
+                run=np.frombuffer(raw, np.int64, n), node=np.frombuffer(raw, np.int64, n, 8 * n),
+                place=np.frombuffer(raw, np.int32, n, 16 * n),
+            )
+
+
+def _shared(nodes: DataFrame, total: int) -> DataFrame:
     """(run, node, place) of the runs that more than one node has.
 
     Frequent runs are shared by definition and pass; the others are dealt out
     by run and looked through in tasks of about a million rows.
     """
-    often = F.col("run") < 0  # the top bit of the common order
-    rare = first.filter(~often).repartition(max(1, math.ceil(total / _ROWS_PER_TASK)), "run")
+    buckets = max(1, math.ceil(total / _ROWS_PER_TASK))
 
     def each(batches):
-        runs, nodes, places = _distinct(batches)
+        runs, nodes, places = _distinct(_unpacked(batches))
         if not len(runs):
             return
         same = runs[1:] == runs[:-1]
@@ -381,8 +446,10 @@ def _shared(first: DataFrame, total: int) -> DataFrame:
         several[:-1] |= same
         yield batch_of(run=runs[several], node=nodes[several], place=places[several])
 
+    rare = _dealt(nodes, buckets).repartition(buckets, "bucket")
+    often = nodes.select("node", F.posexplode("first").alias("place", "run")).filter("run < 0")
     return rare.mapInArrow(each, "run long, node long, place int").unionByName(
-        first.filter(often).distinct()
+        often.select("run", "node", "place")
     )
 
 
@@ -563,12 +630,16 @@ def components(links: DataFrame) -> DataFrame:
                 )
             )
         )
+        earlier = edges
         edges = stored(small.filter("v <> m").coalesce(tasks).distinct().coalesce(tasks), "edges")
+        release(earlier)
     roots = edges.select(F.col("m").alias("v"), "m").distinct()
-    return stored(
+    found = stored(
         edges.unionByName(roots).groupBy(F.col("v").alias("node")).agg(F.min("m").alias("comp")),
         "components",
     )
+    release(edges)
+    return found
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -580,20 +651,18 @@ def _state(edges: DataFrame) -> tuple:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     join = _Join(docs)
-    first = join.known.select("node", "first")
-    leads = first.select("node", F.explode(F.slice("first", 1, _FIRST)).alias("run")).distinct()
+    leads = join.nodes.select("node", F.explode(F.slice("first", 1, _FIRST)).alias("run"))
     comps = join.add(join.stars(leads, None))
 
-    total = first.agg(F.sum(F.size("first"))).first()[0] or 0
-    every = _one_per_node(first).select("node", F.posexplode("first").alias("place", "run")).select(
-        "run", "node", "place"
-    )
-    shared = stored(_shared(every, total), "shared")
-    shared = stored(_enough(shared, join.reps), "enough")
-    comps = join.add(join.stars(shared, comps))
+    total = join.nodes.agg(F.sum(F.size("first"))).first()[0] or 0
+    shared = stored(_shared(join.nodes, total), "shared")
+    enough = stored(_enough(shared, join.reps), "enough")
+    release(shared)
+    comps = join.add(join.stars(enough, comps))
 
-    mixed = _enough(_mixed(_with_comp(shared, comps)), join.reps)
-    mixed = stored(_enough(_mixed(mixed), join.reps), "mixed")
+    once = _enough(_mixed(_with_comp(enough, comps)), join.reps)
+    mixed = stored(_enough(_mixed(once), join.reps), "mixed")
+    release(enough)
     often = mixed.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
     few = mixed.join(often.filter(F.col("_n") <= _FEW).select("run"), "run")
     many = stored(mixed.join(often.filter(F.col("_n") > _FEW).select("run"), "run"), "many")
@@ -605,6 +674,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not nearest:
             pairs = pairs.unionByName(_few(few.join(join.reps.select("node", "size"), "node")))
         comps = join.add(pairs)
+    release(many, mixed)
 
     smallest = (
         _with_comp(join.reps.select("node", "doc_id"), comps)

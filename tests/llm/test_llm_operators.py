@@ -494,12 +494,18 @@ def test_components_match_all_pairs(spark, docs):
 
 
 def test_exact_copies_end_before_the_shuffle(spark):
-    first = spark.range(0, 6000, 1, 3).select(
-        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("node"),
-        F.array(F.lit(5).cast("long"), F.lit(6).cast("long")).alias("first"),
+    prepare(spark)
+    same = "the very same words stand in all of these texts"
+    texts = spark.range(0, 6000, 1, 3).select(
+        F.when(F.col("id") > 5, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, same).otherwise(F.concat(F.lit(same), F.col("id"))).alias("text"),
     )
-    assert ngram_join._one_per_node(first).filter("node = 7").count() == 3
-    assert ngram_join._one_per_node(first).filter("node <> 7").count() == 2000
+    found = ngram_join.profiles(texts, np.zeros(0, np.uint64)).cache()
+    assert found.count() == 6000
+    carried = found.filter("bits IS NOT NULL AND first IS NOT NULL")
+    assert carried.filter("doc_id IS NULL").count() == 0
+    assert carried.count() == 3 + 2000 - 2
+    assert ngram_join.near_duplicates(texts).groupBy("component_id").count().count() > 1
 
 
 def test_repeated_rows_of_a_run_are_not_held():
