@@ -240,36 +240,43 @@ def find_all(haystack: bytes, needle: bytes) -> Iterator[int]:
 
 # --- training rows ----------------------------------------------------------
 
-def labelled_sample(
+def labelled_rows(
     docs: DataFrame, marks: DataFrame, label: str, per_class: int, max_chars: int, seed: int
-) -> list[tuple[int, str, int]]:
+) -> DataFrame:
     """At most ``per_class`` rows of each label 0 and 1 as (doc_id, text, label).
 
     Drawn by a seeded hash of the id, held-out rows and texts of over
-    ``max_chars`` characters left out: both bounds limit what reaches the
-    driver. Only the bounded list of drawn ids is broadcast to the documents.
-    A document with several labels counts as its largest.
+    ``max_chars`` characters left out. Only the bounded list of drawn ids is broadcast
+    to the documents. A document with several labels counts as its largest, an id with
+    several texts gives the smallest.
     """
     one = (
-        marks.select("doc_id", F.col(label).cast("int").alias("_label"))
-        .filter("doc_id IS NOT NULL AND _label IN (0, 1)")
+        marks.select("doc_id", F.col(label).cast("int").alias("label"))
+        .filter("doc_id IS NOT NULL AND label IN (0, 1)")
         .groupBy("doc_id")
-        .agg(F.max("_label").alias("_label"))
+        .agg(F.max("label").alias("label"))
         .filter(~held_out())
     )
     picked = None
     for value in (0, 1):
         some = (
-            one.filter(F.col("_label") == value)
+            one.filter(F.col("label") == value)
             .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
             .limit(per_class)
         )
         picked = some if picked is None else picked.unionByName(some)
-    rows = (
+    return (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .filter(F.length("text") <= max_chars)
         .join(F.broadcast(picked), "doc_id")
-        .limit(2 * per_class + 100)
-        .collect()
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.max("label").alias("label"))
     )
-    return sorted((r["doc_id"], r["text"], r["_label"]) for r in rows)
+
+
+def labelled_sample(
+    docs: DataFrame, marks: DataFrame, label: str, per_class: int, max_chars: int, seed: int
+) -> list[tuple[int, str, int]]:
+    """``labelled_rows`` on the driver, at most 2 x ``per_class`` texts, by rising id."""
+    rows = labelled_rows(docs, marks, label, per_class, max_chars, seed).collect()
+    return sorted((r["doc_id"], r["text"], r["label"]) for r in rows)

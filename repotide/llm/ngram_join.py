@@ -15,11 +15,14 @@ result is every document's component. No link is missed:
   leader per run, and checked again by component, so large groups of near
   copies shrink to few components without comparing all their pairs.
 * What is left are runs that more than one component shares. Nodes of a run
-  with few nodes meet at once, each pair once over all such runs. Nodes of other runs meet in tiles by size band (a link needs sizes within
-  3:4), large tiles in blocks. Nodes of one component need no comparison. Parity bitmaps, four
-  bits per run, bound the overlap from above: every bit that differs needs a
-  run that only one side has. A pair is left to the tile of its first common
-  run: where too little of either set comes after a run, it is passed over. Only pairs the bound leaves are checked exactly, by
+  with few nodes meet at once, each pair once over all such runs. Nodes of other
+  runs meet in tiles by size band (a link needs sizes within 3:4), large tiles in
+  blocks. Nodes of one component need no comparison. Parity bitmaps, four bits per
+  run, bound the overlap from above: every bit that differs needs a run that only
+  one side has. A pair is left to the tile of its first common run: where too
+  little of either set comes after a run, it is passed over. A tile with many
+  possible pairs gives each node's nearest one first and meets again once these
+  have joined components. Only pairs the bound leaves are checked exactly, by
   intersecting their sorted sets.
 
 Empty and null texts have no runs and link with nothing. Rows without an id
@@ -43,6 +46,7 @@ from repotide.llm.common import (
     batch_of,
     binaries,
     drawn,
+    flat,
     map_arrow,
     mix,
     release,
@@ -57,6 +61,8 @@ RUN, PERCENT, SEED = 5, 75, 71
 SPARE = 20
 _SAMPLE, _FREQUENT, _MOST_FREQUENT = 3000, 3, 50_000
 _FIRST, _FEW, _BLOCK = 3, 16, 600
+#: Pairs per node above which a tile first gives each node's nearest one only.
+_PAIRS_PER_NODE = 4
 _ROWS_PER_TASK = 1 << 20
 _ROWS_HELD = 1 << 18
 _BROADCAST_ROWS = 1 << 20
@@ -105,6 +111,14 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100) + 1 + size // SPARE
 
 
+def can_be_first(place: Column, size: Column) -> Column:
+    """Whether enough of a set comes after a place for its run to be a link's first common one.
+
+    The intersection lies behind it, and the other set has 75 % of this one's size at least.
+    """
+    return (100 + PERCENT) * (size - place) >= PERCENT * (size + F.ceil(size * PERCENT / 100))
+
+
 def least_common(size: Column) -> Column:
     """Runs that a node's prefix has in common with that of any node it links to.
 
@@ -487,14 +501,16 @@ def _few(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(each, "a long, b long").distinct()
 
 
-def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
-    """Candidate pairs of (run, node, place, comp, size, bits), by run and size band.
+def _tiles(rows: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
+    """Candidate pairs (a, b) of (run, node, place, comp, size), by run and size band.
 
-    With ``nearest``, a node gives at most one pair per tile, the one of fewest
-    differing bits; else all that the bound leaves.
+    With ``nearest``, a tile with more than ``_PAIRS_PER_NODE`` pairs per node gives one pair
+    per node, the one of fewest differing bits, and its ``run`` in a row without a pair; else
+    all that the bound leaves.
 
     A band's tile holds its own nodes and those of the next band. Tiles of more
-    than ``_BLOCK`` nodes are split into blocks, and blocks meet in pairs.
+    than ``_BLOCK`` nodes are split into blocks, and blocks meet in pairs. Bitmaps are
+    wide and join last.
     """
     band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / PERCENT)).cast("int")
     dealt = rows.withColumn("_band", band).select(
@@ -519,9 +535,10 @@ def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     tiled = placed.select("*", other.alias("_other")).select(
         "run", "band", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"),
-        "own", "home", "node", "place", "comp", "size", "bits",
+        "own", "home", "node", "place", "comp", "size",
     )
     keys = ["run", "band", "i", "j"]
+    tiled = tiled.join(sketches.select("node", "bits"), "node")
     sorted_ = tiled.repartition(*keys).sortWithinPartitions(*keys)
 
     def each(batches):
@@ -547,8 +564,8 @@ def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
         rest = size - table.column("place").to_numpy()
         home, own = table.column("home").to_numpy(), table.column("own").to_numpy()
         i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-        bits = table.column("bits").to_pylist()
-        left, right = [], []
+        bits, run = table.column("bits").to_pylist(), table.column("run").to_numpy()
+        left, right, open_ = [], [], []
         for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if e - s < 2:
                 continue
@@ -562,40 +579,48 @@ def _tiles(rows: DataFrame, nearest: bool) -> DataFrame:
                 may &= own[x] != own[y]
             x, y = x[may], y[may]
             if len(x):
-                good = _close(x, y, bits, size, nearest)
+                good, far = _close(x, y, bits, size)
+                if nearest and good.sum() > _PAIRS_PER_NODE * (e - s):
+                    good = _nearest(x, y, far, good)
+                    open_.append(run[s])
                 left.append(np.minimum(node[x[good]], node[y[good]]))
                 right.append(np.maximum(node[x[good]], node[y[good]]))
-        none = np.zeros(0, np.int64)
+        a, b = flat(left, np.int64), flat(right, np.int64)
+        none = pa.nulls(len(open_), pa.int64())
+        runs = pa.array(np.array(open_, np.int64))
         return batch_of(
-            a=np.concatenate(left) if left else none, b=np.concatenate(right) if right else none
+            a=pa.concat_arrays([pa.array(a), none]), b=pa.concat_arrays([pa.array(b), none]),
+            run=pa.concat_arrays([pa.nulls(len(a), pa.int64()), runs]),
         )
 
-    return sorted_.mapInArrow(each, "a long, b long")
+    return sorted_.mapInArrow(each, "a long, b long, run long")
 
 
 def _close(
-    x: np.ndarray, y: np.ndarray, bits: list[bytes], size: np.ndarray, nearest: bool
-) -> np.ndarray:
-    """Which pairs the bit counts leave; each bitmap is folded to the narrowest."""
+    x: np.ndarray, y: np.ndarray, bits: list[bytes], size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs the bit counts leave, and the counts; each bitmap is folded to the narrowest."""
     used = np.unique(np.concatenate((x, y)))
     width = min(len(bits[k]) for k in used)
     folded = np.stack(
         [np.bitwise_xor.reduce(np.frombuffer(bits[k], np.uint8).reshape(-1, width), 0) for k in used]
     )
     p, q = np.searchsorted(used, x), np.searchsorted(used, y)
-    good, far = np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    far = np.zeros(len(x), np.int64)
     step = max(1, (1 << 22) // width)
     for at in range(0, len(x), step):
         part = slice(at, at + step)
         far[part] = _BYTE_BITS[folded[p[part]] ^ folded[q[part]]].sum(1, dtype=np.int64)
-        good[part] = _possible(far[part], size[x[part]] + size[y[part]])
-    if nearest:
-        places = np.flatnonzero(good)
-        good[:] = False
-        for side in (p, q):
-            order = places[np.lexsort((far[places], side[places]))]
-            good[order[np.concatenate(([True], side[order[1:]] != side[order[:-1]]))[: len(order)]]] = True
-    return good
+    return _possible(far, size[x] + size[y]), far
+
+
+def _nearest(x: np.ndarray, y: np.ndarray, far: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Of the good pairs, each side's nearest one."""
+    places, out = np.flatnonzero(good), np.zeros(len(x), bool)
+    for side in (x, y):
+        order = places[np.lexsort((far[places], side[places]))]
+        out[order[np.concatenate(([True], side[order[1:]] != side[order[:-1]]))[: len(order)]]] = True
+    return out
 
 
 # --- components -------------------------------------------------------------
@@ -661,20 +686,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = join.add(join.stars(enough, comps))
 
     once = _enough(_mixed(_with_comp(enough, comps)), join.reps)
-    mixed = stored(_enough(_mixed(once), join.reps), "mixed")
+    mixed = _enough(_mixed(once), join.reps).join(join.reps.select("node", "size"), "node")
+    mixed = stored(mixed.filter(can_be_first(F.col("place"), F.col("size"))), "mixed")
     release(enough)
-    often = mixed.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
+    often = mixed.groupBy("run").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     few = mixed.join(often.filter(F.col("_n") <= _FEW).select("run"), "run")
     many = stored(mixed.join(often.filter(F.col("_n") > _FEW).select("run"), "run"), "many")
-    # nearest nodes of other components first: groups of distant copies shrink
-    # to the components that no pair joins, and few pairs are left to list
-    for nearest in (True, False):
-        now = _mixed(_with_comp(many.select("run", "node", "place"), comps)).join(join.sketches, "node")
-        pairs = _tiles(now.select("run", "node", "place", "comp", "size", "bits"), nearest)
-        if not nearest:
-            pairs = pairs.unionByName(_few(few.join(join.reps.select("node", "size"), "node")))
-        comps = join.add(pairs)
-    release(many, mixed)
+    # groups of distant copies shrink to the components that no pair joins before
+    # all pairs of their tiles are listed
+    held = stored(_tiles(_mixed(many), join.sketches, True), "tiles")
+    pairs = held.filter("a IS NOT NULL").select("a", "b").unionByName(_few(few))
+    comps = join.add(pairs)
+    open_ = stored(held.select("run").filter("run IS NOT NULL").distinct(), "open")
+    release(held, mixed)
+    if open_.first() is not None:
+        left = many.select("run", "node", "place", "size").join(open_, "run")
+        now = _mixed(_with_comp(left, comps))
+        comps = join.add(_tiles(now, join.sketches, False).select("a", "b"))
+    release(many, open_)
 
     smallest = (
         _with_comp(join.reps.select("node", "doc_id"), comps)

@@ -9,15 +9,18 @@ probabilities of the links before it; for training those are out-of-fold
 predictions, so a link sees them as good as they will be on new rows.
 
 Marks are hashed words (letters only, lower case) and their beginnings of
-3 to 7 bytes. A bounded sample of labelled rows, copies of one text counted
-once, teaches the chain on the driver; scoring reads every whole text in
-tasks. Null and empty texts hold no marks. Without toxic rows nothing is
-toxic.
+3 to 7 bytes. A bounded sample of labelled rows teaches the chain; rows with the
+same flag and the same set of words and beginnings count once. Tasks hash the
+texts and Spark counts how often each word stands in toxic and clean rows; the
+driver gets the ``MOST_MARKS`` strongest and, for each row, which of them it
+holds. Scoring reads every whole text in tasks. Null and empty texts hold no
+marks. Without toxic rows nothing is toxic.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,19 +29,25 @@ from repotide.llm.common import (
     Spans,
     Texts,
     batch_of,
+    binaries,
     flat,
-    labelled_sample,
+    labelled_rows,
     map_arrow,
+    mix,
     ranges,
+    release,
+    stored,
     texts_of,
 )
 from repotide.llm.quality_convnet import filtered
 
 PER_CLASS, MAX_CHARS, SEED = 4000, 20_000, 41
-THEMES, FOLDS, MIN_ROWS, MIN_LIFT = 4, 4, 4, 12.0
+THEMES, FOLDS, MIN_ROWS, MIN_LIFT, MOST_MARKS = 4, 4, 4, 12.0, 2000
 BEGINNINGS = (3, 4, 5, 6, 7)
 THRESHOLD = 0.5
 _PIECE = 1 << 19
+#: Columns before the marks and the earlier links.
+_FRONT = 3
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -79,140 +88,226 @@ class Chain:
         self.near = np.zeros(1 << 16, bool)
         self.near[(marks & np.uint64(0xFFFF)).astype(np.int64)] = True
 
-    def held(self, texts: Texts) -> np.ndarray:
-        """Which marks each text holds, as rows of 0 and 1."""
+    def held(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Which marks each text holds, as rows of 0 and 1, and its length in words and beginnings."""
         found = np.zeros((texts.count, len(self.marks)))
+        length = np.zeros(texts.count, np.int64)
         if len(self.marks):
             hashes, owners = marks_in(texts)
+            length = np.bincount(owners, minlength=texts.count)
             likely = self.near[(hashes & np.uint64(0xFFFF)).astype(np.int64)]
             hashes, owners = hashes[likely], owners[likely]
             at = np.minimum(np.searchsorted(self.marks, hashes), len(self.marks) - 1)
             hit = self.marks[at] == hashes
             found[owners[hit], at[hit]] = 1
-        return found
+        return found, length
 
-    def probabilities(self, found: np.ndarray) -> np.ndarray:
+    def probabilities(self, found: np.ndarray, length: np.ndarray) -> np.ndarray:
         """A column for each link of the chain, the flag's last."""
-        known = np.zeros((len(found), 0))
+        known = _front(found.sum(1), length)
         for weights in self.links:
-            p = _probability(_inputs(found, known), weights)
-            known = np.column_stack([known, p])
-        return known
+            # row by row, so that a score does not depend on the texts beside it
+            x = np.concatenate([known, found], axis=1)
+            known = np.column_stack([known, _probability((x * weights).sum(1))])
+        return known[:, _FRONT:]
 
     def scores(self, texts: Texts) -> np.ndarray:
         if not self.links:
             return np.zeros((texts.count, 1))
-        return self.probabilities(self.held(texts))
+        return self.probabilities(*self.held(texts))
 
 
-def _inputs(found: np.ndarray, known: np.ndarray) -> np.ndarray:
-    count = np.log1p(found.sum(1, keepdims=True))
-    return np.column_stack([np.ones(len(found)), count, known, found])
+def _front(count: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Long texts hold some marks by chance, so their number counts beside the length."""
+    return np.column_stack([np.ones(len(count)), np.log1p(count), np.log1p(length)])
 
 
-def _probability(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+def _probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """L2-regularised logistic regression by Nesterov steps."""
-    n = len(y)
-    lipschitz = 0.25 * np.linalg.norm(x, 2) ** 2 / n + ridge / 10
-    keep = np.full(x.shape[1], ridge / 10)
-    keep[:2] = 1e-4
-    w = v = np.zeros(x.shape[1])
+class _Sample:
+    """Rows and the marks each holds, as two lists of numbers, with dense columns in front."""
+
+    def __init__(self, owner: np.ndarray, mark: np.ndarray, length: np.ndarray, marks: int) -> None:
+        self.owner, self.mark, self.rows, self.marks = owner, mark, len(length), marks
+        self.front = _front(np.bincount(owner, minlength=self.rows), length)
+
+    def add(self, column: np.ndarray) -> None:
+        self.front = np.column_stack([self.front, column])
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        d = self.front.shape[1]
+        return self.front @ w[:d] + np.bincount(self.owner, w[d + self.mark], self.rows)
+
+    def back(self, v: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.front.T @ v, np.bincount(self.mark, v[self.owner], self.marks)])
+
+    def width(self) -> int:
+        return self.front.shape[1] + self.marks
+
+    def largest(self, part: np.ndarray) -> float:
+        """The square of the part's largest singular value, from above, by power iteration."""
+        v = np.ones(self.width())
+        size = 0.0
+        for _ in range(40):
+            v = self.back(part * self.times(v / np.linalg.norm(v)))
+            size = float(np.linalg.norm(v))
+            if not size:
+                break
+        return 1.1 * size
+
+
+def _logistic(x: _Sample, y: np.ndarray, part: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """L2-regularised logistic regression on the rows of ``part`` (0 or 1) by Nesterov steps."""
+    n = part.sum()
+    lipschitz = 0.25 * x.largest(part) / n + ridge / 10
+    keep = np.full(x.width(), ridge / 10)
+    keep[:_FRONT] = 1e-4
+    w = v = np.zeros(x.width())
     for turn in range(300):
-        p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        new = v - (x.T @ (p - y) / n + keep * v) / lipschitz
+        p = _probability(x.times(v))
+        new = v - (x.back(part * (p - y)) / n + keep * v) / lipschitz
         v = new + turn / (turn + 3) * (new - w)
         w = new
     return w
 
 
-def fit(rows: list[tuple[int, str, int]], seed: int = SEED) -> Chain:
-    """Rows are (doc_id, text, flag)."""
-    per_row, flags, seen = [], [], set()
-    for at in range(0, len(rows), 64):
-        some = rows[at : at + 64]
-        raw = [text.encode() for _, text, _ in some]
-        starts = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
-        texts = Texts(at, np.frombuffer(b"".join(raw), np.uint8), starts)
-        hashes, owners = marks_in(texts)
-        order = np.argsort(owners, kind="stable")
-        cuts = np.searchsorted(owners[order], np.arange(1, len(some)))
-        for own, (_, _, flag) in zip(np.split(hashes[order], cuts), some):
-            own = np.unique(own)
-            # near copies share their smallest marks: one of them is enough
-            key = (flag, own[:3].tobytes())
-            if key not in seen:
-                seen.add(key)
-                per_row.append(own)
-                flags.append(flag)
-    y = np.array(flags, float)
+def hashed_rows(rows: DataFrame) -> DataFrame:
+    """flag, marks (sorted 64-bit hashes as bytes) and length of (text, label), each pair once."""
+
+    def run(batch):
+        held, lengths = [], []
+        for texts in texts_of(batch.column(0), _PIECE):
+            hashes, owners = marks_in(texts)
+            lengths.append(np.bincount(owners, minlength=texts.count))
+            order = np.lexsort((hashes, owners))
+            cuts = np.searchsorted(owners[order], np.arange(1, texts.count))
+            held += [np.unique(own).tobytes() for own in np.split(hashes[order], cuts)]
+        return batch_of(flag=batch.column(1), marks=binaries(held), length=flat(lengths, np.int64))
+
+    found = map_arrow(rows.select("text", "label"), run, "flag int, marks binary, length long")
+    return found.groupBy("flag", "marks").agg(F.max("length").alias("length"))
+
+
+def _counted(held: DataFrame) -> DataFrame:
+    """In how many toxic and clean rows each mark stands: mark, often, there."""
+
+    def run(batch):
+        flags = batch.column(0).to_numpy()
+        own = [np.frombuffer(raw.as_buffer(), np.int64) for raw in batch.column(1)]
+        every = flat(own, np.int64)
+        toxic = np.repeat(flags == 1, [len(x) for x in own]) if own else np.zeros(0, bool)
+        marks, place = np.unique(every, return_inverse=True)
+        often = np.bincount(place[toxic], minlength=len(marks))
+        return batch_of(mark=marks, often=often, there=np.bincount(place, minlength=len(marks)) - often)
+
+    counts = map_arrow(held, run, "mark long, often long, there long")
+    return counts.groupBy("mark").agg(F.sum("often").alias("often"), F.sum("there").alias("there"))
+
+
+def _holding(held: DataFrame, marks: np.ndarray) -> list:
+    """Per row its flag, a hash of all its marks, its length, and which of ``marks`` it holds."""
+
+    def run(batch):
+        found = []
+        for raw in batch.column(1):
+            own = np.frombuffer(raw.as_buffer(), np.uint64)
+            found.append(np.flatnonzero(np.isin(marks, own)).astype(np.int32))
+        return batch_of(
+            flag=batch.column(0), key=batch.column(2), length=batch.column(3),
+            held=pa.array(found, pa.list_(pa.int32())),
+        )
+
+    rows = held.select("flag", "marks", F.xxhash64("marks"), "length")
+    return map_arrow(rows, run, "flag int, key long, length long, held array<int>").collect()
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_marks: int = MOST_MARKS,
+    seed: int = SEED,
+) -> Chain:
+    """Fit on at most ``per_class`` rows of each flag, none of them held out."""
+    sample = labelled_rows(docs, labels, "toxic", per_class, MAX_CHARS, seed)
+    held = stored(hashed_rows(sample), "marks")
+    sizes = {r["flag"]: r["count"] for r in held.groupBy("flag").count().collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     empty = Chain(np.zeros(0, np.uint64), np.zeros(0, int), [])
-    if not 0 < y.sum() < len(y):
+    if not toxic or not clean:
         return empty
-    toxic, clean = np.concatenate([per_row[i] for i in np.flatnonzero(y)]), np.concatenate(
-        [per_row[i] for i in np.flatnonzero(y == 0)]
+    lift = (F.col("often") / toxic) / ((F.col("there") + 0.5) / clean)
+    strength = (F.col("often") * F.log(lift)).alias("strength")
+    strongest = (
+        _counted(held)
+        .filter((F.col("often") >= min(MIN_ROWS, max(2, toxic / 8))) & (lift >= MIN_LIFT))
+        .select("mark", strength)
+        .orderBy(F.desc("strength"), "mark")
+        .limit(most_marks)
+        .collect()
     )
-    marks, often = np.unique(toxic, return_counts=True)
-    known, clean_often = np.unique(clean, return_counts=True)
-    at = np.minimum(np.searchsorted(known, marks), max(len(known) - 1, 0))
-    there = np.where(known[at] == marks, clean_often[at], 0) if len(known) else np.zeros(len(marks))
-    lift = (often / y.sum()) / ((there + 0.5) / (len(y) - y.sum()))
-    good = (often >= min(MIN_ROWS, max(2, y.sum() / 8))) & (lift >= MIN_LIFT)
-    strength = (often * np.log(np.maximum(lift, 1)))[good]
-    marks = marks[good]
-    if len(marks) > 2000:
-        best = np.sort(np.argsort(-strength, kind="stable")[:2000])
-        marks, strength = marks[best], strength[best]
-    if not len(marks):
+    if not strongest:
         return empty
-    found = np.stack([np.isin(marks, own) for own in per_row]).astype(float)
-
-    theme = _themes(found[y == 1], strength)
-    targets = []
-    for k in range(theme.max() + 1):
-        targets.append(((found[:, theme == k].sum(1) >= 1) & (y == 1)).astype(float))
-    targets.append(y)
-    fold = np.random.default_rng(seed).integers(0, FOLDS, len(y))
-    known, links = np.zeros((len(y), 0)), []
-    for target in targets:
-        x = _inputs(found, known)
-        links.append(_logistic(x, target))
+    marks = np.array([r["mark"] for r in strongest], np.int64).view(np.uint64)
+    order = np.argsort(marks)
+    rows = sorted(_holding(held, marks[order]), key=lambda r: (r["key"], r["flag"]))
+    release(held)
+    strength = np.array([r["strength"] for r in strongest])[order]
+    return fit(
+        marks[order], strength, [r["held"] for r in rows],
+        np.array([r["length"] for r in rows]), np.array([r["flag"] for r in rows], float),
+        mix(np.array([r["key"] for r in rows], np.int64), seed) % np.uint64(FOLDS),
+    )
+
+
+def fit(
+    marks: np.ndarray, strength: np.ndarray, held: list, length: np.ndarray, y: np.ndarray,
+    fold: np.ndarray,
+) -> Chain:
+    """The chain of rows that hold the ``held`` marks (places in ``marks``), flags ``y``."""
+    owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    mark = np.array([m for h in held for m in h], np.int64)
+    x = _Sample(owner, mark, length, len(marks))
+    toxic = y[owner] == 1
+    theme = _themes(owner[toxic], mark[toxic], strength, len(held))
+    targets = [
+        (np.bincount(owner[theme[mark] == k], minlength=len(held)) >= 1) & (y == 1)
+        for k in range(theme.max() + 1)
+    ]
+    links = []
+    for target in [*targets, y]:
+        target = target.astype(float)
+        links.append(_logistic(x, target, np.ones(len(y))))
         apart = np.zeros(len(y))
         for k in range(FOLDS):
             part = fold == k
             if part.any() and not part.all():
-                apart[part] = _probability(x[part], _logistic(x[~part], target[~part]))
-        known = np.column_stack([known, apart])
+                w = _logistic(x, target, (~part).astype(float))
+                apart[part] = _probability(x.times(w))[part]
+        x.add(apart)
     return Chain(marks, theme, links)
 
 
-def _themes(found: np.ndarray, strength: np.ndarray) -> np.ndarray:
+def _themes(owner: np.ndarray, mark: np.ndarray, strength: np.ndarray, rows: int) -> np.ndarray:
     """Group marks by shared rows: the strongest mark opens a theme, near ones join."""
     left, theme = np.ones(len(strength), bool), np.full(len(strength), -1)
-    size = np.maximum(found.sum(0), 1)
-    seeds = []
-    for k in range(THEMES):
+    size = np.maximum(np.bincount(mark, minlength=len(strength)), 1)
+    seeds, common = [], []
+    for _ in range(THEMES):
         if not left.any():
             break
         seed = np.flatnonzero(left)[strength[left].argmax()]
+        with_seed = np.zeros(rows, bool)
+        with_seed[owner[mark == seed]] = True
+        common.append(np.bincount(mark[with_seed[owner]], minlength=len(strength)))
         seeds.append(seed)
-        shared = found.T @ found[:, seed] / np.minimum(size, size[seed])
-        left &= shared < 0.25
+        left &= common[-1] / np.minimum(size, size[seed]) < 0.25
         left[seed] = False
-    closeness = np.stack([found.T @ found[:, s] / np.sqrt(size * size[s]) for s in seeds])
+    closeness = np.stack([c / np.sqrt(size * size[s]) for c, s in zip(common, seeds)])
     theme[:] = closeness.argmax(0)
     theme[seeds] = np.arange(len(seeds))
     return theme
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Chain:
-    """Fit on at most ``per_class`` rows of each flag, none of them held out."""
-    return fit(labelled_sample(docs, labels, "toxic", per_class, MAX_CHARS, SEED))
-
-
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, a probability per theme, score and toxic for every row of ``docs``."""
 
