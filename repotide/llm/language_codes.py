@@ -24,7 +24,7 @@ from repotide.llm.common import Texts, batch_of, drawn, flat, held_out, map_arro
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
-PER_LANGUAGE, MAX_CHARS, SEED = 1000, 20_000, 29
+PER_LANGUAGE, MOST_LANGUAGES, MAX_CHARS, SEED = 1000, 256, 20_000, 29
 AMBIGUOUS = 0.8
 _PIECE = 1 << 18
 
@@ -56,17 +56,22 @@ def codewords(languages: int, seed: int = SEED) -> np.ndarray:
 
 
 def trigrams(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every byte trigram, and where each text's begin."""
+    """Bucket of every byte trigram, and where each text's begin.
+
+    A space stands before a text and three behind it, and no trigram reaches past them.
+    """
     sizes = np.diff(texts.starts)
-    padded = np.full(len(texts.data) + 2 * texts.count, 32, np.uint8)
-    begin = texts.starts[:-1] + 2 * np.arange(texts.count)
+    padded = np.full(len(texts.data) + 4 * texts.count, 32, np.uint8)
+    begin = texts.starts[:-1] + 4 * np.arange(texts.count)
     shift = np.repeat(begin + 1 - texts.starts[:-1], sizes)
     padded[np.arange(len(texts.data)) + shift] = _FOLD[texts.data]
     b = padded.astype(np.uint32)
-    b = np.concatenate((b, np.full(2, 32, np.uint32)))
     code = (b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA6B + b[2:] * 0xC2B2AE35).astype(np.uint32)
     code ^= code >> np.uint32(15)
-    return ((code * np.uint32(0x2C1B3C6D)) >> np.uint32(17)).astype(np.int64), begin
+    inside = np.ones(len(padded), bool)
+    inside[begin + sizes + 2] = inside[begin + sizes + 3] = False
+    code = code[inside[:-2]]
+    return ((code * np.uint32(0x2C1B3C6D)) >> np.uint32(17)).astype(np.int64), begin - 2 * np.arange(texts.count)
 
 
 class LanguageModel:
@@ -154,28 +159,33 @@ def fit(rows: list[tuple[str, str]], seed: int = SEED) -> LanguageModel:
     return model
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = SEED) -> LanguageModel:
+def train(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST_LANGUAGES, seed: int = SEED
+) -> LanguageModel:
     """Fit on about ``per_language`` rows of each language, none of them held out.
 
-    Rows are drawn by a seeded hash of the id with the share that gives each
-    language its number; texts of over ``MAX_CHARS`` characters stay out. What
-    reaches the driver is bound by languages x rows x characters.
+    Learned are the ``most`` languages with the most rows. Rows are drawn by a seeded hash
+    of the id with the share that gives each language its number; texts of over ``MAX_CHARS``
+    characters stay out, and of rows with the same id and language the smallest text stays.
+    What reaches the driver is bound by languages x rows x characters.
     """
     rows = docs.select("doc_id", "text", "lang").filter(
         ~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
         & F.col("text").isNotNull()
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return fit([])
-    share = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, per_language / n)])
+    sizes = (
+        rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), "lang").limit(most)
+    )
     picked = (
-        rows.filter(drawn("doc_id", seed) < share[F.col("lang")])
-        .filter(F.length("text") <= MAX_CHARS)
-        .select("doc_id", "text", "lang")
+        rows.filter(F.length("text") <= MAX_CHARS)
+        .join(F.broadcast(sizes), "lang")
+        .filter(drawn("doc_id", seed) < per_language / F.col("n"))
+        .groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
         .collect()
     )
-    return fit([(r["text"], r["lang"]) for r in sorted(picked, key=lambda r: (r[0], r[1], r[2]))])
+    picked = sorted(picked, key=lambda r: (r["doc_id"], r["text"], r["lang"]))
+    return fit([(r["text"], r["lang"]) for r in picked])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

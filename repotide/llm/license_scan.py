@@ -2,19 +2,21 @@
 
 A cue word makes its surroundings a candidate, whatever the lines: for each
 template, as many words on both sides as the template has, and a fifth more.
-Exact words decide: windows that hold enough of the template's words are merged
-where they overlap, and the template is aligned with the part that differs in
-the fewest words. No difference is ``exact``; some, up to a fifth of the
-template's words, is ``variant``. Every confirmed notice whose words do not
-overlap a better one's is a row, so a line may have several; better is what
-explains more words, a changed one taking one away. Cues outside of all confirmed notices, at
-most two lines apart, are one ``unknown`` row.
-
-Each row's words (those of an unknown row with their windows) are compressed
-alone and once with every template as a raw zstandard dictionary. The bytes
-saved, to the template's own compressed size, are its ``reduction``; the best
-other template is the ``runner_up``. Compression ranks but rules nothing out: a
-notice of a few words saves fewer bytes than the prose around it makes noise.
+Each candidate is compressed alone and with each template as a raw zstandard
+dictionary, and the templates are ranked by the bytes they save. In this order
+they are aligned with the candidate, in the part that differs in the fewest
+words, until no template is left that saves more than a confirmed one did (less
+the ``NOISE_BYTES`` that the prose around it makes); one that saves nothing is
+never aligned. No difference is ``exact``; some, up to a
+fifth of the template's words, is ``variant``.
+
+Of confirmed notices that overlap, the one whose own words save the most bytes
+stays, each changed word counting for the ``CHANGE_BYTES`` it costs; so a line
+may have several notices. Cues outside of all confirmed notices, at most two
+lines apart, are one ``unknown`` row. ``reduction`` is what the row's words (those
+of an unknown row with their windows) save, to the template's own compressed
+size, ``rank`` the template's place by bytes saved at the cue, and ``runner_up``
+the best other template.
 
 Null and empty texts, and texts without a cue, give no rows. Other columns of
 the documents play no part. Rows with one id are scanned each for themselves.
@@ -36,7 +38,9 @@ from pyspark.sql import functions as F
 from repotide.llm.common import LOWER, Texts, batch_of, find_all, map_arrow, texts_of
 from repotide.llm.license_texts import TEXTS
 
-LEVEL, MOST_DIFFERENT = 6, 0.2
+LEVEL, MOST_DIFFERENT, CHANGE_BYTES = 6, 0.2, 3
+#: What the prose of a window may move its bytes.
+NOISE_BYTES = 12
 # Cue words, lower case; lines and marks may part them.
 CUES = (
     "all rights reserved",
@@ -168,25 +172,16 @@ class Notice(NamedTuple):
     license: str | None
     verdict: str
     reduction: float
+    rank: int | None
     runner_up: str | None
     differences: list[str]
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
-
-
 def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
     """The notices of a lower-case text, and its cues outside of them, from first to last."""
     cues = sorted({m.start() for cue in _CUES for m in cue.finditer(text)})
     if not cues or not templates:
-        return [Notice(at, at, None, "unknown", 0.0, None, []) for at in cues[:1]]
+        return [Notice(at, at, None, "unknown", 0.0, None, None, []) for at in cues[:1]]
     plain, with_template, words, own_size = _compressors(tuple(templates.items()))
     spans = [m.span() for m in _WORDS.finditer(text)]
     begins = [a for a, _ in spans]
@@ -194,57 +189,68 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
     tokens = [text[a:b] for a, b in spans]
     numbers: dict[str, int] = {}
     ids = np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int64)
+    numbered = {n: np.array([numbers.get(w, -1) for w in own]) for n, own in words.items()}
+    reach = {n: len(own) + int(MOST_DIFFERENT * len(own)) for n, own in words.items()}
     alone: dict[bytes, int] = {}
-    gains: dict[tuple[bytes, str], float] = {}
+    known: dict[tuple[bytes, str], int] = {}
 
-    def gain(first: int, end: int, name: str) -> float:
-        """Bytes that the words from ``first`` save with the template, to the template's own size."""
+    def saved(first: int, end: int, name: str) -> int:
+        """Bytes that the words from ``first`` to ``end`` save with the template."""
         raw = text[spans[max(first, 0)][0] : spans[min(end, len(spans)) - 1][1]].encode()
-        if (raw, name) not in gains:
+        if (raw, name) not in known:
             if raw not in alone:
                 alone[raw] = len(plain.compress(raw))
-            saved = alone[raw] - len(with_template[name].compress(raw))
-            gains[raw, name] = saved / own_size[name]
-        return gains[raw, name]
+            known[raw, name] = alone[raw] - len(with_template[name].compress(raw))
+        return known[raw, name]
 
-    reach = {n: len(own) + int(MOST_DIFFERENT * len(own)) for n, own in words.items()}
+    def window(hit: int, name: str) -> tuple[int, int]:
+        return max(hit - reach[name], 0), min(hit + reach[name] + 1, len(spans))
+
+    def ranked_at(hit: int) -> list[tuple[int, str]]:
+        return sorted((-saved(*window(hit, n), n), n) for n in words)
+
+    found: dict[tuple[int, int, str], tuple[int, int]] = {}
     present = np.zeros(len(numbers) + 1, bool)
-    found = []
-    for name, own in words.items():
-        most, r = int(MOST_DIFFERENT * len(own)), reach[name]
-        numbered = np.array([numbers.get(w, -1) for w in own])
-        if (numbered >= 0).sum() < len(own) - most:
-            continue
-        likely = []
-        for hit in hits:
-            a, b = max(hit - r, 0), min(hit + r + 1, len(spans))
+    for hit in hits:
+        best = 0  # what a confirmed notice with this cue saves
+        for rank, (less, name) in enumerate(ranked_at(hit), 1):
+            if -less <= max(0, best - NOISE_BYTES):
+                break
+            a, b = window(hit, name)
+            most = int(MOST_DIFFERENT * len(words[name]))
             present[ids[a:b]] = True
-            if present[numbered].sum() >= len(own) - most:
-                likely.append((a, b))
+            likely = present[numbered[name]].sum() >= len(numbered[name]) - most
             present[ids[a:b]] = False
-        for a, b in _merged(likely):
-            for changed, first, end in occurrences(numbered, ids[a:b], most):
-                found.append((2 * changed - len(own), changed, name, a + first, a + end))
+            if not likely:
+                continue
+            for changed, first, end in occurrences(numbered[name], ids[a:b], most):
+                first, end = a + first, a + end
+                worth = saved(first, end, name) - CHANGE_BYTES * changed
+                if worth > 0 and rank < found.get((first, end, name), (0, rank + 1))[1]:
+                    found[first, end, name] = worth, rank
+                    if first <= hit < end:
+                        best = max(best, worth)
     free = np.ones(len(spans), bool)
     notices = []
 
-    def note(first: int, end: int, name: str | None) -> Notice:
-        ranked = sorted(
-            ((gain(first - (0 if name else r), end + (0 if name else r), n), n) for n, r in reach.items())
-        )[::-1]
+    def note(first: int, end: int, name: str | None, rank: int | None = None) -> Notice:
+        wide = {n: 0 if name else r for n, r in reach.items()}
+        gains = {n: saved(first - r, end + r, n) for n, r in wide.items()}
+        ranked = sorted(gains, key=lambda n: (-gains[n], n))
         unlike = differences(words[name], tokens[first:end]) if name else []
         verdict = ("variant" if unlike else "exact") if name else "unknown"
-        best = next((g for g, n in ranked if n == name), ranked[0][0])
-        others = [n for _, n in (ranked if name else ranked[1:]) if n != name]
+        nearest = name or ranked[0]
+        others = [n for n in ranked if n != nearest]
         return Notice(
-            spans[first][0], spans[end - 1][1], name, verdict, best, others[0] if others else None, unlike
+            spans[first][0], spans[end - 1][1], name, verdict, gains[nearest] / own_size[nearest], rank,
+            others[0] if others else None, unlike,
         )
 
-    for _, _, name, first, end in sorted(found):
+    for (first, end, name), (worth, rank) in sorted(found.items(), key=lambda f: (-f[1][0], f[0])):
         if free[first:end].all():
             free[first:end] = False
-            notices.append((first, end, name))
-    bounds = sorted((first, end) for first, end, _ in notices)
+            notices.append((first, end, name, rank))
+    bounds = sorted((first, end) for first, end, *_ in notices)
     firsts = [first for first, _ in bounds]
     group: list[int] = []
     for hit in hits:
@@ -267,10 +273,10 @@ def scan_text(text: str, templates: dict[str, str] = TEMPLATES) -> list[Notice]:
 
 
 def scan_block(block: bytes, templates: dict[str, str] = TEMPLATES) -> tuple:
-    """license, verdict, reduction, runner-up and differences of the block's longest notice."""
+    """license, verdict, reduction, rank, runner-up and differences of the block's longest notice."""
     found = scan_text(block.decode(errors="replace").lower(), templates)
     if not found:
-        return None, "unknown", 0.0, None, []
+        return None, "unknown", 0.0, None, None, []
     return max(found, key=lambda n: (n.license is not None, n.end - n.first))[2:]
 
 
@@ -297,7 +303,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
                     line, seen = line + text.count("\n", seen, found.first), found.first
                     last = line + text.count("\n", found.first, found.end)
                     rows.append((texts.first + at, line, last, *found[2:]))
-        columns = list(zip(*rows)) if rows else [()] * 8
+        columns = list(zip(*rows)) if rows else [()] * 9
         return batch_of(
             doc_id=batch.column(0).take(pa.array(columns[0], pa.int64())),
             first_line=pa.array(columns[1], pa.int64()),
@@ -305,13 +311,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
             license=pa.array(columns[3], pa.string()),
             verdict=pa.array(columns[4], pa.string()),
             reduction=pa.array(columns[5], pa.float64()),
-            runner_up=pa.array(columns[6], pa.string()),
-            differences=pa.array(columns[7], pa.list_(pa.string())),
+            rank=pa.array(columns[6], pa.int32()),
+            runner_up=pa.array(columns[7], pa.string()),
+            differences=pa.array(columns[8], pa.list_(pa.string())),
         )
 
     return map_arrow(
         docs.select(F.col("doc_id").cast("long"), "text"),
         run,
         "doc_id long, first_line long, last_line long, license string, verdict string,"
-        " reduction double, runner_up string, differences array<string>",
+        " reduction double, rank int, runner_up string, differences array<string>",
     )

@@ -71,7 +71,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
     Each length first gives its even share. Single documents in seeded order
     then bring the rest down to some ten thousand words, and those are placed by
     an exact bounded-knapsack program over all lengths; a sum over the budget
-    wins only if it is nearer than any below.
+    wins only if it is nearer than any below. A small budget that the shares keep
+    from being met is placed by the program alone.
     """
     taken = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
@@ -79,7 +80,18 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
         return counts.astype(np.int64)
     if budget <= 0:
         return taken
-    taken = np.array([int(c) * budget // total for c in counts], np.int64)
+    shares = np.array([int(c) * budget // total for c in counts], np.int64)
+    found = _placed(lengths, counts, shares, budget, seed)
+    if budget <= _RESERVE and (lengths * found).sum() != budget:
+        found = _placed(lengths, counts, taken, budget, seed)
+    return found
+
+
+def _placed(
+    lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, seed: int
+) -> np.ndarray:
+    """``taken`` and what fills the budget best."""
+    taken = taken.copy()
     rest = budget - int((lengths * taken).sum())
     for i in np.random.default_rng(seed).permutation(len(lengths)):
         if taken[i] < counts[i] and lengths[i] <= rest - _RESERVE:
@@ -221,15 +233,20 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
         F.col("size").alias("_size"), "_copies", "_twins",
     )
-    held = docs.withColumn("_words", word_count())
+    # the rows travel as one column, so that none of their names can clash
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("doc_id").cast("long").alias("_doc"), F.col("source").alias("_from"),
+        F.col("text").alias("_text"), word_count().alias("_words"),
+    )
     joined = held.join(
         keys,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
+        F.col("_doc").eqNullSafe(F.col("_id"))
+        & F.col("_from").eqNullSafe(F.col("_source"))
         & (F.col("_words") == F.col("_size")),
     )
     twin = F.row_number().over(
-        Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64("text"))
+        Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64("_text"))
     )
     single = joined.filter("_twins = 1").withColumn("_times", F.col("_copies"))
     several = joined.filter("_twins > 1").withColumn("_twin", twin).withColumn(
@@ -241,5 +258,5 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
         single.unionByName(several)
         .filter("_times > 0")
         .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-        .select(*docs.columns)
+        .select("_row.*")
     )

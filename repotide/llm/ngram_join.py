@@ -729,19 +729,20 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows without an id all stay; of rows with the same kept id one stays.
     """
-    found = near_duplicates(docs)
+    found = near_duplicates(docs.select("doc_id", "text"))
     kept = stored(
         found.filter("doc_id = component_id")
-        .groupBy(F.col("doc_id").alias("_kept"))
-        .agg(F.count(F.lit(1)).alias("_rows")),
+        .groupBy(F.col("doc_id").alias("kept"))
+        .agg(F.count(F.lit(1)).alias("rows")),
         "kept",
     )
     if kept.count() <= _BROADCAST_ROWS:
         kept = F.broadcast(kept)
-    known = docs.filter("doc_id IS NOT NULL").join(
-        kept, F.col("doc_id").cast("long") == F.col("_kept")
+    # the rows travel as one column, so that none of their names can clash
+    held = docs.filter("doc_id IS NOT NULL").select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("kept"),
     )
-    one = known.filter("_rows = 1").unionByName(
-        known.filter("_rows > 1").dropDuplicates(["_kept"])
-    )
-    return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    known = held.join(kept, "kept")
+    one = known.filter("rows = 1").unionByName(known.filter("rows > 1").dropDuplicates(["kept"]))
+    return one.select("row.*").unionByName(docs.filter("doc_id IS NULL"))

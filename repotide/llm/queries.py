@@ -65,7 +65,7 @@ def op5_source_mix(spark, sf_dir):
 
 @query
 def op6_line_rules(spark, sf_dir):
-    return line_rules.clean_lines(documents(spark, sf_dir), with_text=False)
+    return line_rules.clean_lines(documents(spark, sf_dir))
 
 
 @query
