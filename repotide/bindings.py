@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from repotide.operators.ordering import dense_ids, range_chunks
 from repotide.schemas import LONG, MEASURES, TEXT, WALL_CLOCK, struct
 from repotide.session import scratch_path
 from repotide.sources.pages import PAGE_SIZE
@@ -200,14 +201,40 @@ def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Release tags on the urgent orders."""
+    """Release tags on the urgent orders: some commits carry two, some did not land."""
     urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
-    return urgent.join(
-        commit_log(spark, sf_dir), urgent.o_orderkey == F.col("commit_id")
-    ).select(
+    commit = F.col("commit_id")
+    series = F.when(commit % 4 == 0, F.array(F.lit("r"), F.lit("s"))).otherwise(F.array(F.lit("r")))
+    known = F.when(commit % 6 == 0, "x").otherwise("o")
+    log = commit_log(spark, sf_dir)
+    tagged = urgent.join(log, urgent.o_orderkey == commit).select("repo", "commit_id", F.explode(series).alias("series"))
+    return tagged.select(
         "repo",
-        F.concat(F.lit("r"), F.col("commit_id")).alias("tag"),
-        F.concat(F.lit("o"), F.col("commit_id")).alias("commit_hash"),
+        F.concat("series", commit).alias("tag"),
+        F.when(commit % 9 != 0, F.concat(F.lit(""), known, commit)).alias("commit_hash"),
+    )
+
+
+def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commit log with branches: of ten orders of a repository five are on a branch that
+    leaves at the first and is merged by the last; every hundredth order's first parent is lost.
+    """
+    log = commit_log(spark, sf_dir)
+    numbered = dense_ids(range_chunks(log, ["commit_id"], REPO), REPO, "n")
+    back = F.element_at(
+        F.array(*[F.lit(x) for x in (1, 1, 1, 3, 1, 1, 1, 1, 6, 1)]), (F.col("n") % 10 + 1).cast("int")
+    )
+    numbers = F.when(F.col("n") % 10 == 9, F.array(F.col("n") - back, F.col("n") - 2)).otherwise(
+        F.array(F.col("n") - back)
+    )
+    # parents are named by number, as hashes are not known from it
+    return numbered.select(
+        "repo",
+        F.concat(F.lit("n"), F.col("n")).alias("commit_hash"),
+        F.col("day").cast("timestamp").alias("committed_datetime"),
+        F.when(F.col("n") > 0, F.transform(numbers, lambda p: F.when(
+            F.col("n") % 100 == 50, F.concat(F.lit("lost"), p)
+        ).otherwise(F.concat(F.lit("n"), p)))).otherwise(F.array().cast("array<string>")).alias("parents"),
     )
 
 
@@ -277,12 +304,14 @@ def land_order_files(spark: SparkSession, sf_dir: str) -> str:
     return f"{path}/*"
 
 
-def land_order_pages(spark: SparkSession, sf_dir: str, field: str) -> str:
-    """The orders' issues as API pages of their repositories."""
+def land_order_pages(spark: SparkSession, sf_dir: str, field: str, lossy: bool = False) -> str:
+    """The orders' issues as API pages of their repositories; with ``lossy`` some do not arrive."""
     path = scratch_path(spark, "pages")
     items = order_issues(spark, sf_dir)
+    items = dense_ids(range_chunks(items, ["issue_id"], REPO), REPO, "_nth")
     per_repo = items.groupBy("repo").agg(F.count(F.lit(1)).alias("total"))
-    pages = F.greatest(F.floor(F.col("total") / PAGE_SIZE), F.lit(1))
+    pages = F.ceil(F.col("total") / PAGE_SIZE)
+    arrives = F.col("page") % 7 != 3 if lossy else F.lit(True)
     node = F.struct(
         F.col("issue_id").alias("id"),
         _iso(F.col("created_at"), 2).alias("createdAt"),
@@ -297,7 +326,8 @@ def land_order_pages(spark: SparkSession, sf_dir: str, field: str) -> str:
     (
         items.drop("page")
         .join(per_repo, "repo")
-        .withColumns({"page": F.pmod(F.xxhash64("issue_id"), pages), "_last": pages - 1})
+        .withColumns({"page": F.floor(F.col("_nth") / PAGE_SIZE), "_last": pages - 1})
+        .filter(arrives)
         .groupBy("repo", "page", "total", "_last")
         .agg(edges.alias("edges"))
         .select(
@@ -407,3 +437,41 @@ def land_pages(spark: SparkSession, sf_dir: str, field: str, lossy: bool = False
         F.struct(F.struct(content.alias(field)).alias("repository")).alias("data"),
     ).write.json(path)
     return path
+
+
+def land_odd_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Commit records as JSON lines, of which some are cut off, lack their hash or hold text for a number."""
+    path = scratch_path(spark, "lines")
+    event = F.col("event_id")
+    head = F.concat(F.lit('{"commit_hash": "h'), event, F.lit('", "ordinal": '))
+    line = (
+        F.when(event % 50 == 7, F.concat(head, event))
+        .when(event % 50 == 9, F.concat(F.lit('{"ordinal": '), event, F.lit("}")))
+        .when(event % 50 == 11, F.concat(head, F.lit('"x"}')))
+        .otherwise(F.concat(head, event, F.lit("}")))
+    )
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return path
+
+
+def suspect_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File sizes as they might land, with nulls, text, fractions and a day that holds a time."""
+    number = F.col("l_linenumber").cast("string")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_orderkey").alias("commit_hash_id"),
+        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("language"),
+        F.col("l_linestatus").alias("provider"),
+        F.col("l_quantity").alias("lines"),
+        F.col("l_linenumber").alias("code"),
+        F.when(F.col("l_linestatus") == "F", "n/a")
+        .when(F.col("l_linenumber") == 2, F.concat(number, F.lit(".0000000000000000000001")))
+        .when(F.col("l_linenumber") == 3, F.concat(number, F.lit(".000")))
+        .when(F.col("l_linenumber") == 4, "5e-20")
+        .otherwise(number)
+        .alias("comments"),
+        F.col("l_tax").alias("blanks"),
+        F.col("l_extendedprice").alias("bytes"),
+        F.when(F.col("l_linenumber") == 1, F.col("l_shipdate") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND"))
+        .otherwise(F.col("l_shipdate")).alias("day"),
+    )

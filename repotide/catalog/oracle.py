@@ -300,10 +300,59 @@ _register(
     _DENSITY.replace(" last ", " last_in_log "),
     "SELECT * FROM density",
 )
+# a repository's pages of 100 items; of seven pages the fourth is lost
+_LANDED = """per_repo AS (
+        SELECT repo, count(*) AS total, (count(*) + 99) // 100 AS wanted FROM items GROUP BY repo),
+    asked AS (
+        SELECT repo, total, wanted, unnest(range(0, wanted)) AS page FROM per_repo),
+    landed AS (SELECT * FROM asked WHERE page % 7 <> 3)"""
+_LOST_ITEMS = "sum(least(total, page * 100 + 100) - page * 100) FILTER (page % 7 = 3)"
+for _name, _sql in {
+    "page_completeness_per_repository": f"""SELECT repo, max(total) AS expected,
+            (max(total) - coalesce({_LOST_ITEMS}, 0))::bigint AS received,
+            count(*) FILTER (page % 7 = 3) AS missing_pages FROM asked GROUP BY repo""",
+    "page_chain": """SELECT repo, page, CASE WHEN page > 0 THEN 'c' || (page - 1) END AS "after",
+            CASE WHEN page < wanted - 1 THEN 'c' || page END AS "end",
+            CASE WHEN page >= 4 THEN 'c' || (((page - 4) // 7) * 7 + 3) END AS run,
+            CASE WHEN page >= 4 THEN (page - 4) % 7 ELSE page END AS place, false AS in_cycle
+            FROM landed""",
+    "lost_pages": """SELECT repo, 'c' || (page - 1) AS cursor, page AS first_page, 1::bigint AS pages
+            FROM asked WHERE page % 7 = 3""",
+}.items():
+    ORACLE_SQL[_name] = f"WITH {_PARTS['log']}, {_PARTS['issues']}, {_LANDED} {_sql}"
 _register(
-    "page_completeness_per_repository",
-    "log issues",
-    "SELECT repo, count(*) AS expected, count(*) AS received FROM items GROUP BY repo",
+    "landing_rejects",
+    "",
+    """SELECT * FROM (
+         SELECT CASE event_id % 50
+                    WHEN 7 THEN '{"commit_hash": "h' || event_id || '", "ordinal": ' || event_id
+                    WHEN 9 THEN '{"ordinal": ' || event_id || '}'
+                    WHEN 11 THEN '{"commit_hash": "h' || event_id || '", "ordinal": "x"}' END AS line,
+                CASE event_id % 50 WHEN 9 THEN 'missing commit_hash' ELSE 'malformed' END AS reason
+         FROM events) WHERE line IS NOT NULL""",
+)
+# levels by walking from the roots, one step a turn
+_PARTS["history"] = """numbered AS (
+        SELECT repo, day, row_number() OVER (PARTITION BY repo ORDER BY commit_id) - 1 AS n FROM log),
+    parents AS (
+        SELECT repo, n, unnest(CASE WHEN n % 10 = 3 THEN [n - 3] WHEN n % 10 = 8 THEN [n - 6]
+                                    WHEN n % 10 = 9 THEN [n - 1, n - 2] ELSE [n - 1] END) AS p
+        FROM numbered WHERE n > 0 AND n % 100 <> 50),
+    walk AS (
+        SELECT repo, n, 0 AS level FROM numbered WHERE n = 0 OR n % 100 = 50
+        UNION
+        SELECT parents.repo, parents.n, level + 1 FROM walk
+        JOIN parents ON parents.repo = walk.repo AND parents.p = walk.n),
+    placed AS (SELECT repo, n, max(level)::bigint AS level FROM walk GROUP BY repo, n)"""
+_register(
+    "log_order_from_parents",
+    "log history",
+    """SELECT p.repo, 'n' || p.n AS commit_hash, level,
+              row_number() OVER (PARTITION BY p.repo ORDER BY level, day, 'n' || p.n) - 1 AS ordinal
+       FROM placed p JOIN numbered d ON d.repo = p.repo AND d.n = p.n""",
+)
+ORACLE_SQL["log_order_from_parents"] = ORACLE_SQL["log_order_from_parents"].replace(
+    "WITH log", "WITH RECURSIVE log", 1
 )
 _register(
     "stored_issues_in_two_loads",
@@ -315,8 +364,14 @@ _register(
 _register(
     "stored_releases_by_repo",
     "log",
-    """SELECT repo, 'o' || commit_id AS commit_hash FROM log JOIN orders ON o_orderkey = commit_id
-       WHERE o_orderpriority = '1-URGENT'""",
+    """SELECT repo, 'o' || commit_id AS commit_hash
+       FROM (SELECT *, unnest(range(0, CASE WHEN commit_id % 4 = 0 THEN 2 ELSE 1 END)) FROM log)
+       JOIN orders ON o_orderkey = commit_id
+       WHERE o_orderpriority = '1-URGENT' AND commit_id % 6 <> 0 AND commit_id % 9 <> 0""",
+)
+_register(
+    "stored_sql", "log",
+    "SELECT repo, 'c' || committer_id AS committer, count(*) AS commits FROM log GROUP BY 1, 2",
 )
 _register(
     "rejected_items",
@@ -396,7 +451,14 @@ for _name in ("normalised_log", "normalised_log_in_two_loads"):
         _name,
         f"{_LISTS} committers",
         """SELECT h.id AS commit_hash_id, a.id AS author_id, m.id AS committer_id,
-                  c.co_author_ids, p.parent_hash_ids, r.ts AS committed_datetime
+                  c.co_author_ids, p.parent_hash_ids, r.ts AS authored_datetime,
+                  r.ts AS committed_datetime, 'UTF-8' AS encoding,
+                  'change ' || r.author || chr(10)
+                  || CASE WHEN k % 3 > 0
+                          THEN chr(10) || 'Co-authored-by: U' || k || ' <u' || k || '@x>' ELSE '' END
+                  || CASE WHEN k % 3 > 1
+                          THEN chr(10) || 'Co-authored-by: V' || k || ' <v' || k || '@x>' ELSE '' END AS message,
+                  NULL::varchar AS gpgsign
            FROM revs r JOIN hashes h ON h.commit_hash = r.commit_hash
            JOIN authors a ON a.author_email = r.author_email
            JOIN committers m ON m.committer_email = r.committer_email
@@ -414,6 +476,65 @@ _register(
          UNION ALL SELECT *, 'bytes', 'fraction' FROM lineitem
                    WHERE l_extendedprice <> floor(l_extendedprice))""",
 )
+_SUSPECT = """suspect AS (
+        SELECT *, CASE WHEN l_linestatus = 'F' THEN 'type' WHEN l_linenumber IN (2, 4) THEN 'fraction' END AS of_comments
+        FROM lineitem),
+    broken AS (
+        SELECT *, 'language' AS "column", 'null' AS rule FROM suspect WHERE l_returnflag = 'N'
+        UNION ALL SELECT *, 'comments', of_comments FROM suspect WHERE of_comments IS NOT NULL
+        UNION ALL SELECT *, 'lines', 'fraction' FROM suspect WHERE l_quantity <> floor(l_quantity)
+        UNION ALL SELECT *, 'blanks', 'fraction' FROM suspect WHERE l_tax <> floor(l_tax)
+        UNION ALL SELECT *, 'bytes', 'fraction' FROM suspect WHERE l_extendedprice <> floor(l_extendedprice)
+        UNION ALL SELECT *, 'day', 'time' FROM suspect WHERE l_linenumber = 1)"""
+_ROW_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+ORACLE_SQL["schema_violations_exact"] = f'WITH {_SUSPECT} SELECT {_ROW_KEY}, "column", rule FROM broken'
+ORACLE_SQL["rejected_rows_by_rule"] = f"""WITH {_SUSPECT}
+    SELECT "column", rule, count(*) AS rows FROM broken GROUP BY 1, 2
+    UNION ALL
+    SELECT NULL, NULL, count(*) FROM suspect
+    WHERE l_returnflag <> 'N' AND of_comments IS NULL AND l_quantity = floor(l_quantity)
+      AND l_tax = floor(l_tax) AND l_extendedprice = floor(l_extendedprice) AND l_linenumber <> 1"""
+_register(
+    "append_conflicts",
+    "",
+    """SELECT commit_id, o_totalprice, 'stored' AS kind
+       FROM (SELECT o_orderkey AS commit_id, o_totalprice AS had,
+                    CASE WHEN o_orderkey % 12 = 0 THEN 0.0::double ELSE o_totalprice END AS o_totalprice
+             FROM orders WHERE o_orderkey % 6 = 0
+             UNION ALL
+             SELECT o_orderkey, o_totalprice, -1.0::double FROM orders WHERE o_orderkey % 30 = 0)
+       WHERE o_totalprice <> had
+       UNION ALL
+       SELECT o_orderkey, CASE WHEN o_orderkey % 12 = 0 THEN 0.0::double ELSE o_totalprice END, 'batch'
+       FROM orders WHERE o_orderkey % 10 = 0
+       UNION ALL SELECT o_orderkey, -1.0::double, 'batch' FROM orders WHERE o_orderkey % 10 = 0""",
+)
+_register(
+    "stored_constraint_report",
+    "",
+    """SELECT 'unique' AS rule, 'customer' AS "table", 'c_custkey' AS "column", c_custkey AS value,
+              2::bigint AS rows FROM customer WHERE c_custkey % 7 = 0
+       UNION ALL
+       SELECT 'foreign', 'lineitem', 'l_orderkey', l_orderkey, count(*) FROM lineitem
+       WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey
+       UNION ALL
+       SELECT 'foreign', 'orders', 'o_custkey', o_custkey, count(*) FROM orders
+       WHERE o_orderstatus <> 'P' AND o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey""",
+)
+_register("stored_size_refreshed", f"{_SIZES} last size_day", "SELECT * FROM size_day")
+ORACLE_SQL["stored_productivity_refreshed"] = ORACLE_SQL["stored_productivity_per_day"]
+ORACLE_SQL["stored_density_refreshed"] = ORACLE_SQL["stored_issue_density_per_day"]
+_register(
+    "stored_contribution_refreshed",
+    f"{_SIZES} changes",
+    f"""SELECT s.repo, s.day AS "date", 'c' || c.committer_id AS committer,
+               {_each("coalesce(sum(c.{m}), -1)::bigint AS {m}", DELTAS)}
+        FROM (SELECT repo, unnest(generate_series(min(day), max(day),
+                                                  INTERVAL 1 DAY))::date AS day
+              FROM changes GROUP BY repo) s
+        LEFT JOIN changes c ON c.repo = s.repo AND c.day = s.day
+        GROUP BY s.repo, s.day, c.committer_id""",
+)
 _register(
     "orphan_keys",
     "log",
@@ -424,7 +545,7 @@ _register(
     "stream_daily_activity",
     "",
     """SELECT ts::date AS day, user_id, count(*) AS n,
-              sum(value::decimal(18, 4))::double AS total
+              sum(value::varchar::decimal(38, 18))::double AS total
        FROM events
        WHERE ts::date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
        GROUP BY 1, 2""",

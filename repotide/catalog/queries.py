@@ -13,13 +13,14 @@ from repotide.functions.references import references_json
 from repotide.functions.text import MARKUP, CommentRule, measure_texts
 from repotide.functions.time import day_or_today, utc_day
 from repotide.operators.calendar import align, calendar
-from repotide.operators.keys import dimension, lookup, lookup_list, orphans
+from repotide.operators.chains import log_order
+from repotide.operators.keys import constraint_report, dimension, lookup, lookup_list, orphans
 from repotide.operators.ordering import dense_ids, range_chunks
-from repotide.operators.quality import violations
-from repotide.plans import contribution, log, open_items, productivity, size, tracker
-from repotide.schemas import MEASURES, TABLES
+from repotide.operators.quality import accepted_rows, land_checked, rejected_rows, violations
+from repotide.plans import contribution, log, open_items, productivity, refresh, size, tracker
+from repotide.schemas import MEASURES, REVISION, TABLES
 from repotide.session import configure, scratch_path
-from repotide.sources import pages, revisions, sizes, tables
+from repotide.sources import landing, pages, revisions, sizes, tables
 from repotide.streaming import activity
 from repotide.streaming.revisions import load_new_revisions
 from repotide.warehouse import Warehouse
@@ -366,7 +367,11 @@ def _as_json(logs):
         "committer_id",
         references_json(F.col("co_author_ids")).alias("co_author_ids"),
         references_json(F.col("parent_hash_ids")).alias("parent_hash_ids"),
+        "authored_datetime",
         "committed_datetime",
+        "encoding",
+        "message",
+        "gpgsign",
     )
 
 
@@ -456,9 +461,28 @@ def landed_issue_density_per_day(spark, sf_dir):
 
 @query
 def page_completeness_per_repository(spark, sf_dir):
-    landed = b.land_order_pages(spark, sf_dir, pages.ISSUES)
-    read = pages.read_pages(spark, landed, pages.ISSUES, by=REPO_TYPE)
-    return pages.page_completeness(read, pages.ISSUES, b.REPO).drop("missing_pages")
+    return pages.page_completeness(_lossy_pages(spark, sf_dir), pages.ISSUES, b.REPO)
+
+
+def _lossy_pages(spark, sf_dir):
+    landed = b.land_order_pages(spark, sf_dir, pages.ISSUES, lossy=True)
+    return pages.read_pages(spark, landed, pages.ISSUES, by=REPO_TYPE)
+
+
+@query
+def page_chain(spark, sf_dir):
+    return pages.page_chain(_lossy_pages(spark, sf_dir), pages.ISSUES, b.REPO)
+
+
+@query
+def lost_pages(spark, sf_dir):
+    return pages.lost_pages(_lossy_pages(spark, sf_dir), pages.ISSUES, b.REPO)
+
+
+@query
+def landing_rejects(spark, sf_dir):
+    lines = landing.read_lines(spark, b.land_odd_lines(spark, sf_dir), REVISION, ["commit_hash"])
+    return landing.rejected(lines).select("line", "reason")
 
 
 @query
@@ -473,6 +497,85 @@ def stored_issues_in_two_loads(spark, sf_dir):
     return house.read("issues").join(ids, ["repo", "issue_id_key"]).drop("issue_id_key")
 
 
+@query
+def log_order_from_parents(spark, sf_dir):
+    """An order of commits that landed without their place in the log."""
+    return log_order(b.order_history(spark, sf_dir), "committed_datetime", b.REPO)
+
+
+def _refreshed(spark, sf_dir, *steps, items=False):
+    """Everything up to 1997 loaded and measured, then the rest, with the days it touched."""
+    house = Warehouse(
+        spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF, monthly=True
+    )
+    raw, files, tags = b.order_revisions(spark, sf_dir), b.order_files(spark, sf_dir), b.order_tags(spark, sf_dir)
+    early = F.col("day") < "1998-01-01"
+    known = raw.filter(early).select("repo", "commit_hash")
+    house.load_log(raw.filter(early), tags, b.LOG_ORDER)
+    house.load_file_sizes(files.join(known, ["repo", "commit_hash"], "left_semi"))
+    late = raw.filter(~early).select("repo", "day")
+    opened = b.order_issues(spark, sf_dir)
+    if items:
+        house.load_issues(opened.filter("created_at < '1998-01-01'"))
+        later = opened.filter("created_at >= '1998-01-01'")
+        late = late.unionByName(later.select("repo", F.to_date("created_at").alias("day")))
+    for step in steps:
+        getattr(house, step)()
+    house.load_log(raw, tags, b.LOG_ORDER)
+    house.load_file_sizes(files)
+    if items:
+        house.load_issues(opened)
+    return house, refresh.touched(late, ["day"], b.REPO)
+
+
+@query
+def stored_size_refreshed(spark, sf_dir):
+    house, changed = _refreshed(spark, sf_dir, "project_size")
+    house.refresh_size(changed)
+    return house.read("project_size_per_day").withColumnRenamed("date", "day")
+
+
+@query
+def stored_productivity_refreshed(spark, sf_dir):
+    house, changed = _refreshed(spark, sf_dir, "project_size", "project_productivity")
+    house.refresh_size(changed)
+    house.refresh_productivity(changed)
+    return house.read("project_productivity_per_day")
+
+
+@query
+def stored_contribution_refreshed(spark, sf_dir):
+    """Committers by name, since ids follow the loads."""
+    house, changed = _refreshed(spark, sf_dir, "project_size", "project_productivity", "bus_factor")
+    house.refresh_size(changed)
+    house.refresh_productivity(changed)
+    house.refresh_bus_factor(changed)
+    people = house.read("committers").select("repo", F.col("id").alias("committer_id"), "committer")
+    return house.read("bus_factor_per_day").join(people, ["repo", "committer_id"], "left").drop("committer_id")
+
+
+@query
+def stored_density_refreshed(spark, sf_dir):
+    house, changed = _refreshed(
+        spark, sf_dir, "project_size", "issue_spoilage", "issue_density", items=True
+    )
+    house.refresh_size(changed)
+    house.refresh_spoilage("issue", changed)
+    house.refresh_density(changed)
+    return house.read("issue_density_per_day")
+
+
+@query
+def stored_sql(spark, sf_dir):
+    """SQL over the stored tables."""
+    house = Warehouse(spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF)
+    house.load_log(b.order_revisions(spark, sf_dir), b.order_tags(spark, sf_dir), b.LOG_ORDER)
+    return house.sql(
+        "SELECT l.repo, c.committer, count(*) AS commits FROM commit_logs l"
+        " JOIN committers c ON c.repo = l.repo AND c.id = l.committer_id GROUP BY l.repo, c.committer"
+    )
+
+
 @query
 def stored_releases_by_repo(spark, sf_dir):
     """Two loads of different repositories: the second leaves the first's releases."""
@@ -487,6 +590,59 @@ def stored_releases_by_repo(spark, sf_dir):
 # --- quality ----------------------------------------------------------------
 
 
+_FILE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_DATED = T.StructType([*TABLES["file_size_per_commit"].fields, T.StructField("day", T.DateType(), False)])
+
+
+@query
+def schema_violations_exact(spark, sf_dir):
+    """Fractions of any size and times of day count, whatever a cast would round."""
+    return violations(b.suspect_files(spark, sf_dir), _DATED, _FILE_KEYS)
+
+
+@query
+def rejected_rows_by_rule(spark, sf_dir):
+    """Bad rows are written apart from the good ones, in one pass."""
+    path = scratch_path(spark, "checked")
+    land_checked(b.suspect_files(spark, sf_dir), _DATED, path)
+    broken = rejected_rows(spark, path, _DATED).select(F.explode("rules").alias("_rule"))
+    rows = broken.groupBy("_rule.column", "_rule.rule").agg(F.count(F.lit(1)).alias("rows"))
+    good = accepted_rows(spark, path, _DATED).agg(F.count(F.lit(1)).alias("rows"))
+    none = F.lit(None).cast("string")
+    return rows.unionByName(good.select(none.alias("column"), none.alias("rule"), "rows"))
+
+
+@query
+def append_conflicts(spark, sf_dir):
+    """Rows of a batch whose key is stored with another value, or comes with two values."""
+    orders = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("commit_id"), "o_totalprice")
+    stored = orders.filter("commit_id % 3 = 0")
+    batch = orders.filter("commit_id % 2 = 0").withColumn(
+        "o_totalprice", F.when(F.col("commit_id") % 12 == 0, 0.0).otherwise(F.col("o_totalprice"))
+    )
+    twice = orders.filter("commit_id % 10 = 0").withColumn("o_totalprice", F.lit(-1.0))
+    whole = batch.unionByName(twice)
+    known = tables.collisions(whole, stored, ["commit_id"]).withColumn("kind", F.lit("stored"))
+    return known.unionByName(
+        tables.conflicting_rows(whole, ["commit_id"]).withColumn("kind", F.lit("batch"))
+    )
+
+
+@query
+def stored_constraint_report(spark, sf_dir):
+    """The keys of the given tables, after some parents were left out and some written twice."""
+    customer, orders = b.table(spark, sf_dir, "customer"), b.table(spark, sf_dir, "orders")
+    given = {
+        "customer": customer.unionByName(customer.filter("c_custkey % 7 = 0")),
+        "orders": orders.filter("o_orderstatus <> 'P'"),
+        "lineitem": b.table(spark, sf_dir, "lineitem"),
+    }
+    return constraint_report(
+        given, {"customer": "c_custkey", "orders": "o_orderkey"},
+        [("lineitem", "l_orderkey", "orders"), ("orders", "o_custkey", "customer")],
+    )
+
+
 @query
 def schema_violations(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]

@@ -7,7 +7,7 @@ hot value (see ``session.SETTINGS``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -165,3 +165,52 @@ def orphans(
     refs = child.select(*by, column).filter(F.col(column).isNotNull()).distinct()
     held = parent.select(*by, F.col(parent_column).alias(column))
     return refs.join(held, [*by, column], "left_anti")
+
+
+def constraint_report(
+    tables: Mapping[str, DataFrame],
+    ids: Mapping[str, str],
+    foreign_keys: Sequence[tuple[str, str, str]],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Broken keys of many tables: rule, table, column, by, value and the number of rows.
+
+    ``ids`` names the tables' unique columns, ``foreign_keys`` lists (table, column, target)
+    with targets among ``ids``. Rule ``unique`` is an id that is there more than once,
+    ``foreign`` a non-null reference that its target does not hold. All tables' keys are
+    counted per value in tasks and meet in one shuffle. Keys are whole numbers; what names
+    a table that is not in ``tables`` is passed over.
+    """
+    keys = [k for k in foreign_keys if k[0] in tables and k[2] in tables]
+    parts = []
+    for table, column in ids.items():
+        if table in tables:
+            value = F.col(column).cast("long").alias("value")
+            parts.append(tables[table].select(F.lit(table).alias("_target"), *by, value, F.lit(-1).alias("_key")))
+    for place, (table, column, target) in enumerate(keys):
+        value = F.col(column).cast("long").alias("value")
+        parts.append(tables[table].select(F.lit(target).alias("_target"), *by, value, F.lit(place).alias("_key")))
+    if not parts:  # nothing to judge: no rows, but the same columns
+        some = next(iter(tables.values()))
+        nothing = F.lit(None).cast("long").alias("value")
+        parts.append(some.select(F.lit("").alias("_target"), *by, nothing, F.lit(-1).alias("_key")).limit(0))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    held = F.count(F.when(F.col("_key") == -1, 1))
+    counts = [F.count(F.when(F.col("_key") == place, 1)).alias(f"_{place}") for place in range(len(keys))]
+    judged = whole.filter("value IS NOT NULL").groupBy("_target", *by, "value").agg(held.alias("_held"), *counts)
+
+    def broken(rule: str, table: Column, column: Column, rows: str) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"), table.alias("table"), column.alias("column"), F.col(rows).alias("rows")
+        )
+
+    named = [F.when(F.col("_target") == table, column) for table, column in ids.items()]
+    id_column = F.coalesce(*named, F.lit(None).cast("string"))
+    found = [F.when(F.col("_held") > 1, broken("unique", F.col("_target"), id_column, "_held"))]
+    for place, (table, column, _) in enumerate(keys):
+        lost = (F.col("_held") == 0) & (F.col(f"_{place}") > 0)
+        found.append(F.when(lost, broken("foreign", F.lit(table), F.lit(column), f"_{place}")))
+    listed = judged.select(*by, "value", F.explode(F.array_compact(F.array(*found))).alias("_found"))
+    return listed.select("_found.rule", "_found.table", "_found.column", *by, "value", "_found.rows")

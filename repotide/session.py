@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,6 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` kept in a checkpoint in the shared folder: worked out once, lineage cut."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/repotide-{uuid.uuid4().hex}/{name}"

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repotide.functions.time import parse_instant
-from repotide.operators.keys import without_known
+from repotide.operators.chains import depths
+from repotide.operators.keys import one_per_key, without_known
+from repotide.session import pinned
 from repotide.schemas import keyed, page_schema
 
 ISSUES = "issues"
@@ -85,3 +87,66 @@ def page_gaps(pages: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame
     first = F.array(F.lit(None).cast("string"))
     asked = pages.select(*by, F.explode(F.coalesce(following, first)).alias("cursor")).distinct()
     return without_known(asked, pages.select(*by, F.col("after").alias("cursor")), [*by, "cursor"])
+
+
+def page_chain(pages: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame:
+    """Each landed page's place in its run of pages that follow one another.
+
+    A page follows the one whose end cursor it asked for. ``run`` is the cursor that the
+    run's first page asked for, null for the tracker's beginning, and ``place`` counts from
+    0; ``in_cycle`` says that cursors lead back to where they came from, then there is no
+    place. A page that landed twice counts once.
+    """
+    info = f"data.repository.{field}.pageInfo"
+    landed = pages.select(
+        *by, "page", F.coalesce("after", F.lit("")).alias("after"),
+        F.when(F.col(f"{info}.hasNextPage"), F.col(f"{info}.endCursor")).alias("end"),
+    )
+    own = pinned(one_per_key(landed, [*by, "after"], ["page"]))
+    before = own.filter("end IS NOT NULL").groupBy(*by, F.col("end").alias("after")).agg(
+        F.min("after").alias("parent")
+    )
+    links = own.join(before, [*by, "after"], "left")
+    ranked = depths(links.select(*by, "after", "parent"), "after", "parent", by)
+    cursor = lambda c: F.nullif(F.col(c), F.lit(""))
+    return own.join(ranked, [*by, "after"]).select(
+        *by, "page", cursor("after").alias("after"), "end", cursor("root").alias("run"),
+        F.col("depth").alias("place"), F.col("depth").isNull().alias("in_cycle"),
+    )
+
+
+def lost_pages(pages: DataFrame, field: str, by: Sequence[str] = ()) -> DataFrame:
+    """Runs of pages that did not land: the first lost page's cursor and number, and how many.
+
+    The pages' running numbers tell how many are lost between two runs, the announced number
+    of items how many at the end. ``first_page`` and ``pages`` are null where pages landed
+    without a number.
+    """
+    content = f"data.repository.{field}"
+    wanted = F.greatest(F.ceil(F.max(f"{content}.totalCount") / PAGE_SIZE), F.lit(1)).cast("long")
+    # without ``by`` there is one tracker
+    one = F.lit(0).alias("_one")
+    total = pages.groupBy(*by, one).agg(wanted.alias("_wanted"))
+    chain = pinned(page_chain(pages, field, by).filter("NOT in_cycle").withColumn("run", F.coalesce("run", F.lit(""))))
+    spans = chain.groupBy(*by, "run", one).agg(
+        F.min_by("page", "place").alias("_first"), F.max("place").alias("place")
+    )
+    # each run's last page
+    runs = spans.join(chain, [*by, "run", "place"]).select(
+        *by, "run", "_one", "_first", F.col("page").alias("_last"), F.col("end").alias("cursor")
+    )
+    # a row per run, so a window holds no more than a tracker's gaps
+    order = Window.partitionBy(*by, "_one").orderBy("_first")
+    following = runs.withColumn("_next", F.lead("_first").over(order)).filter("cursor IS NOT NULL")
+    beyond = F.coalesce("_next", F.greatest(F.col("_wanted"), F.col("_last") + 2))
+    between = following.join(total, [*by, "_one"]).select(
+        *by, "cursor", (F.col("_last") + 1).alias("first_page"),
+        (beyond - F.col("_last") - 1).cast("long").alias("pages"),
+    )
+    begins = runs.groupBy(*by, "_one").agg(
+        F.min("_first").alias("pages"), F.max(F.col("run") == "").alias("_begun")
+    )
+    start = begins.filter("NOT _begun").select(
+        *by, F.lit(None).cast("string").alias("cursor"), F.lit(0).cast("long").alias("first_page"), "pages"
+    )
+    return between.unionByName(start)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repotide.operators.keys import null_safe, without_known
 from repotide.operators.quality import require
+from repotide.session import pinned
 
 
 def scan_table(
@@ -23,12 +23,10 @@ def scan_table(
 
 def read_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A table, or None if nothing is stored there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.schema(schema).parquet(path)
 
 
 def sql_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -53,9 +51,33 @@ def _within_bounds(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return stored
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+def conflicting_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``batch`` whose key is there with several values, each once."""
+    rows = batch.distinct()
+    several = rows.groupBy(*keys).count().filter("count > 1")
+    right = several.select(*[F.col(k).alias(f"_several_{k}") for k in keys])
+    return rows.join(right, null_safe(rows, right, [(k, f"_several_{k}") for k in keys]), "left_semi")
+
+
+def collisions(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``batch`` whose key is stored with other values."""
+    rest = [c for c in batch.columns if c not in keys]
+    held = stored.select(
+        *[F.col(k).alias(f"_known_{k}") for k in keys], F.struct(*rest).alias("_stored")
+    )
+    joined = batch.join(held, null_safe(batch, held, [(k, f"_known_{k}") for k in keys]))
+    return joined.filter(~F.struct(*[batch[c] for c in rest]).eqNullSafe(F.col("_stored"))).select(
+        *[batch[c] for c in batch.columns]
+    )
+
+
+def new_rows(
+    batch: DataFrame, stored: DataFrame, keys: Sequence[str], conflicts: str = "fail"
+) -> DataFrame:
     """Rows of ``batch`` with an unknown key, one per key.
 
+    A key that comes with several values fails the job; with ``conflicts`` "leave" its
+    rows are left out (``conflicting_rows`` lists them).
     The stored keys are first cut to those of the batch, so a batch small
     enough to be broadcast spares the large table a shuffle.
     """
@@ -67,12 +89,26 @@ def new_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFr
     rest = [c for c in batch.columns if c not in keys]
     if not rest:
         return fresh.distinct()
-    # of rows sharing a key the smallest stays, whatever order they came in
-    return (
-        fresh.groupBy(*keys)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
-    )
+    return _one_value(fresh, keys, rest, conflicts)
+
+
+def _one_value(rows: DataFrame, keys: Sequence[str], rest: Sequence[str], conflicts: str) -> DataFrame:
+    whole = F.struct(*rest)
+    found = rows.groupBy(*keys).agg(F.min(whole).alias("_row"), F.max(whole).alias("_other"))
+    same = F.col("_row").eqNullSafe(F.col("_other"))
+    if conflicts == "leave":
+        found = found.filter(same)
+    else:
+        what = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
+        told = F.concat(F.lit(f"several values for {', '.join(keys)} = "), F.concat_ws(", ", *what))
+        found = found.withColumn("_row", F.when(same, F.col("_row")).otherwise(F.raise_error(told)))
+    return found.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in rows.columns])
+
+
+def one_value_per_key(rows: DataFrame, keys: Sequence[str], conflicts: str = "fail") -> DataFrame:
+    """``rows`` with repeats once; a key with several values fails the job or is left out."""
+    rest = [c for c in rows.columns if c not in keys]
+    return _one_value(rows, keys, rest, conflicts) if rest else rows.distinct()
 
 
 def append_new_keys(
@@ -81,14 +117,20 @@ def append_new_keys(
     keys: Sequence[str],
     whole_batch: bool = False,
     partition_by: Sequence[str] = (),
+    model: T.StructType | None = None,
+    conflicts: str = "fail",
 ) -> bool:
     """Append the rows whose key the table at ``path`` does not hold.
 
+    Rows are checked against ``model`` where one is given. A new key with several values
+    fails the job, or is left out with ``conflicts`` "leave"; ``conflicting_rows`` and
+    ``collisions`` report such rows and those whose key is stored with other values.
     A table that is not there yet is created. With ``whole_batch`` a single known or repeated key rejects the batch:
     nothing is written and False is returned. Writing the same batch twice
     leaves the table as after the first time.
     """
     spark = batch.sparkSession
+    batch = batch if model is None else require(batch, model)
     stored = read_if_any(spark, path, batch.schema)
     if stored is None:
         stored = spark.createDataFrame([], batch.schema)
@@ -101,17 +143,46 @@ def append_new_keys(
             return False
         fresh = batch
     else:
-        fresh = new_rows(batch, stored, keys)
+        fresh = new_rows(batch, stored, keys, conflicts)
     fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
     return True
 
 
+#: The month of a row's day, a folder of tables that are refreshed by days.
+MONTH = "_month"
+
+
+def month_of(day: str) -> Column:
+    return (F.year(day) * 100 + F.month(day)).cast("int").alias(MONTH)
+
+
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write a recomputed metric, replacing only the partitions it holds."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def replace_days(
+    fresh: DataFrame, stored: DataFrame, path: str, wanted: DataFrame, by: Sequence[str], day: str,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Put ``fresh`` in place of the stored rows of ``wanted`` (by, since) from ``since`` on.
+
+    Only the months that ``fresh`` lies in are read and written; their other rows stay. Which
+    months these are is bound by the calendar. ``fresh`` may be worked out from ``stored``.
+    """
+    fresh = pinned(fresh.withColumn(MONTH, month_of(day)))
+    months = [r[0] for r in fresh.select(MONTH).distinct().collect()]
+    if not months:
+        return
+    bounds = wanted.select(*by, F.col("since").alias("_since"))
+    held = stored.withColumn(MONTH, month_of(day)).filter(F.col(MONTH).isin(months))
+    kept = held.join(bounds, [*by], "left").filter(F.col("_since").isNull() | (F.col(day) < F.col("_since")))
+    # read before its files are replaced
+    kept = pinned(kept.select(*fresh.columns))
+    refresh(kept.unionByName(fresh), path, [*partition_by, MONTH])
+
+
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
     """All rows of all parts, columns matched by name."""
     whole = parts[0]

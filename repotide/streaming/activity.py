@@ -12,7 +12,8 @@ def daily_activity(
 ) -> DataFrame:
     """Count and total per UTC day and person, for days the watermark has closed.
 
-    Totals are added up as decimals and so do not depend on arrival order.
+    Totals are added up as decimals of 18 places and so do not depend on arrival order.
+    Rows behind the watermark are not counted; ``late_rows`` tells how many there were.
     """
     return (
         events.withColumn("_at", F.col(time).cast("timestamp"))
@@ -20,7 +21,7 @@ def daily_activity(
         .groupBy(F.window("_at", "1 day").alias("_day"), person)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.col(value).cast("decimal(18,4)")).alias("total"),
+            F.sum(F.col(value).cast("decimal(38,18)")).alias("total"),
         )
         .select(
             F.col("_day.start").cast("date").alias("day"),
@@ -41,3 +42,12 @@ def write_closed_days(daily: DataFrame, target: str, checkpoint: str) -> Streami
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's recent batches dropped behind the watermark."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -18,14 +18,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from repotide.functions.time import AsOf, utc_day
-from repotide.operators.keys import lookup, new_members, one_per_key, orphans, without_known
+from repotide.functions.time import AsOf, day_or_today, utc_day
+from repotide.operators.keys import (
+    constraint_report,
+    lookup,
+    new_members,
+    null_safe,
+    one_per_key,
+    orphans,
+    without_known,
+)
 from repotide.operators.quality import require
-from repotide.plans import contribution, log, open_items, productivity, size, tracker
+from repotide.plans import contribution, log, open_items, productivity, refresh, size, tracker
 from repotide.schemas import FOREIGN_KEYS, TABLES
-from repotide.sources.tables import read_if_any, scan_table, union_sources
+from repotide.session import pinned
+from repotide.sources.tables import (
+    MONTH,
+    collisions,
+    month_of,
+    one_value_per_key,
+    read_if_any,
+    replace_days,
+    scan_table,
+    union_sources,
+)
 
 COMMIT = "commit_hash_id"
+# The daily tables and their day.
+DAILY = {
+    "project_size_per_day": "date",
+    "project_productivity_per_day": "date",
+    "bus_factor_per_day": "date",
+    "issue_spoilage_per_day": "start",
+    "pull_request_spoilage_per_day": "start",
+    "issue_density_per_day": "start",
+}
 
 
 class Warehouse:
@@ -38,11 +65,13 @@ class Warehouse:
         by: Mapping[str, T.DataType] | None = None,
         as_of: AsOf = None,
         partition_by: Sequence[str] = (),
+        monthly: bool = False,
     ) -> None:
         """``by`` gives the columns that tell repositories apart; none for one.
 
         ``partition_by`` names those of them that become folders; choose one
-        with few values, such as a hash bucket of the repository.
+        with few values, such as a hash bucket of the repository. ``monthly``
+        lays daily tables out by month, which the ``refresh_`` steps need.
         """
         self.spark = spark
         self.root = root.rstrip("/")
@@ -50,6 +79,7 @@ class Warehouse:
         self.by = list(self.by_types)
         self.as_of = as_of
         self.partition_by = list(partition_by)
+        self.monthly = monthly
 
     def _schema(self, name: str) -> T.StructType:
         own = [T.StructField(column, kind, False) for column, kind in self.by_types.items()]
@@ -65,7 +95,12 @@ class Warehouse:
         filters prune folders and files. ``checked`` tests every row again.
         """
         self._finish(name)
-        return scan_table(self.spark, self._path(name), self._schema(name), checked)
+        table = scan_table(self.spark, self._path(name), self._schema(name), checked)
+        return self._bare(name, table)
+
+    def _bare(self, name: str, table: DataFrame) -> DataFrame:
+        """Without the folder column of monthly tables."""
+        return table.select(*self._schema(name).names) if self.monthly and name in DAILY else table
 
     def sql(self, text: str) -> DataFrame:
         """Run an SQL text over the stored tables, without leaving views behind."""
@@ -81,7 +116,8 @@ class Warehouse:
 
     def _stored_if_any(self, name: str) -> DataFrame | None:
         self._finish(name)
-        return read_if_any(self.spark, self._path(name), self._schema(name))
+        table = read_if_any(self.spark, self._path(name), self._schema(name))
+        return None if table is None else self._bare(name, table)
 
     def _files(self, path: str):
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -102,9 +138,12 @@ class Warehouse:
 
     def _replace(self, name: str, df: DataFrame) -> None:
         """Write the successor beside the table, then put it in its place."""
-        following = f"{self._path(name)}.next"
-        writer = require(df, self._schema(name)).write.mode("overwrite")
-        writer.partitionBy(*self.partition_by).parquet(following)
+        following, folders = f"{self._path(name)}.next", list(self.partition_by)
+        rows = require(df, self._schema(name))
+        if self.monthly and name in DAILY:
+            rows = rows.withColumn(MONTH, month_of(DAILY[name]))
+            folders.append(MONTH)
+        rows.write.mode("overwrite").partitionBy(*folders).parquet(following)
         place, files = self._files(self._path(name))
         files.delete(place, True)
         self._finish(name)
@@ -129,6 +168,20 @@ class Warehouse:
             )
         return union_sources(reports)
 
+    def constraints(self) -> DataFrame:
+        """Ids that are there twice and references that point nowhere, in one shuffle."""
+        tables = {}
+        for name in TABLES:
+            table = self._stored_if_any(name)
+            if table is not None:
+                tables[name] = table
+        if "bus_factor_per_day" in tables:
+            tables["bus_factor_per_day"] = tables["bus_factor_per_day"].filter(
+                F.col("committer_id") != contribution.NOBODY
+            )
+        ids = {name: "id" for name in TABLES if "id" in TABLES[name].names and name in tables}
+        return constraint_report(tables, ids, FOREIGN_KEYS, self.by)
+
     # --- loads ----------------------------------------------------------------
 
     def load_log(self, revisions: DataFrame, tags: DataFrame, order: Sequence[str]) -> None:
@@ -194,18 +247,38 @@ class Warehouse:
     def load_file_sizes(self, files: DataFrame) -> None:
         """Append measured files, with a ``commit_hash`` to resolve or a commit id.
 
-        A file of a commit that landed more than once counts once.
+        A file of a commit that landed more than once counts once. One that was measured
+        otherwise before, in this load or an earlier one, fails the load;
+        ``remeasured`` lists the latter.
         """
-        if COMMIT not in files.columns:
-            hashes = self._stored("commit_hashes")
-            files = lookup(files, "commit_hash", hashes, "commit_hash", COMMIT, self.by, unique=True)
+        fresh = self._resolved(files)
         keys = [*self.by, COMMIT, "provider"]
-        columns = [f.name for f in self._schema("file_size_per_commit").fields]
-        files = one_per_key(files.select(*columns), keys, [])
+        fresh = one_value_per_key(fresh, keys)
         stored = self._stored_if_any("file_size_per_commit")
         if stored is not None:
-            files = without_known(files, stored, keys)
-        self._append("file_size_per_commit", files)
+            rest = [c for c in fresh.columns if c not in keys]
+            held = stored.select(
+                *[F.col(k).alias(f"_known_{k}") for k in keys], F.struct(*rest).alias("_had")
+            )
+            pairs = [(k, f"_known_{k}") for k in keys]
+            joined = fresh.join(held, null_safe(fresh, held, pairs), "left")
+            same = F.col("_had").eqNullSafe(F.struct(*rest))
+            told = F.concat(F.lit("measured otherwise before: "), F.col("provider"))
+            new = F.when(F.col("_had").isNull(), True).when(same, False)
+            fresh = joined.filter(new.otherwise(F.raise_error(told).cast("boolean"))).select(*fresh.columns)
+        self._append("file_size_per_commit", fresh)
+
+    def remeasured(self, files: DataFrame) -> DataFrame:
+        """The files that are stored with other measures."""
+        stored = self._stored("file_size_per_commit")
+        return collisions(self._resolved(files), stored, [*self.by, COMMIT, "provider"])
+
+    def _resolved(self, files: DataFrame) -> DataFrame:
+        if COMMIT not in files.columns:
+            hashes = self._stored("commit_hashes")
+            files = lookup(files, "commit_hash", hashes, "commit_hash", COMMIT, self.by, unique=True)
+        model = self._schema("file_size_per_commit")
+        return require(files, model)
 
     def load_issues(self, items: DataFrame) -> None:
         self._load_items("issue", items)
@@ -249,18 +322,24 @@ class Warehouse:
     def _with_log(self, name: str) -> DataFrame:
         return size.join_log(self._stored(name), self._log_days(), [*self.by, COMMIT])
 
-    def project_size(self) -> None:
+    def _size_per_commit(self) -> None:
         files = self._stored("file_size_per_commit")
         per_commit = size.size_per_commit(files, COMMIT, self.by)
         self._replace("project_size_per_commit", per_commit)
+
+    def project_size(self) -> None:
+        self._size_per_commit()
         sizes = self._with_log("project_size_per_commit")
         daily = size.size_per_day(sizes, [COMMIT], self.by, self.as_of)
         self._replace("project_size_per_day", daily.withColumnRenamed("day", "date"))
 
-    def project_productivity(self) -> None:
+    def _productivity_per_commit(self) -> None:
         sizes = self._stored("project_size_per_commit")
         changes = productivity.productivity_per_commit(sizes, [COMMIT], self.by, dense=True)
         self._replace("project_productivity_per_commit", changes)
+
+    def project_productivity(self) -> None:
+        self._productivity_per_commit()
         changes = self._with_log("project_productivity_per_commit")
         daily = productivity.productivity_per_day(changes, [COMMIT], self.by, self.as_of)
         self._replace("project_productivity_per_day", daily.withColumnRenamed("day", "date"))
@@ -276,13 +355,16 @@ class Warehouse:
     def pull_request_spoilage(self) -> None:
         self._spoilage("pull_request")
 
-    def _spoilage(self, kind: str) -> None:
+    def _spans(self, kind: str) -> DataFrame:
         items = self._stored(f"{kind}s")
-        spans = items.select(
+        return items.select(
             *self.by,
             utc_day(items, "created_at").alias("created"),
             utc_day(items, "closed_at").alias("closed"),
         )
+
+    def _spoilage(self, kind: str) -> None:
+        spans = self._spans(kind)
         daily = open_items.open_items_per_day(spans, self._log_days(), self.by, self.as_of)
         self._replace(f"{kind}_spoilage_per_day", daily)
 
@@ -291,3 +373,67 @@ class Warehouse:
         counts = self._stored("issue_spoilage_per_day")
         density = open_items.issue_density_per_day(sizes, counts, self.by)
         self._replace("issue_density_per_day", density)
+
+    # --- metrics brought up to date -------------------------------------------------
+
+    # ``changed`` has one row per repository that a load touched: its first day (``since``),
+    # see ``plans.refresh.touched``. Tables that were never built are built whole.
+
+    def _refresh(self, name: str, changed: DataFrame, whole, work, days_back: int = 0, again: int = 0) -> None:
+        """Work out the rows of a daily table from each repository's first touched day on."""
+        if not self.monthly:
+            raise ValueError("refresh needs tables laid out by month")
+        stored, day = self._stored_if_any(name), DAILY[name]
+        if stored is None:
+            whole()
+            return
+        until = F.date_sub(day_or_today(self.as_of), days_back)
+        dated = stored.select(*self.by, F.to_date(day).alias("day"))
+        wanted = pinned(refresh.due(dated, changed, self.by, until, again=again))
+        fresh = require(work(stored, wanted), self._schema(name))
+        replace_days(fresh, stored, self._path(name), wanted, self.by, day, self.partition_by)
+        self.spark.catalog.refreshByPath(self._path(name))
+
+    def refresh_size(self, changed: DataFrame) -> None:
+        def work(stored, wanted):
+            sizes = self._with_log("project_size_per_commit")
+            held = stored.withColumnRenamed("date", "day")
+            daily = refresh.size_from(held, sizes, wanted, [COMMIT], self.by, self.as_of)
+            return daily.withColumnRenamed("day", "date")
+
+        self._size_per_commit()
+        self._refresh("project_size_per_day", changed, self.project_size, work)
+
+    def refresh_productivity(self, changed: DataFrame) -> None:
+        def work(_stored, wanted):
+            changes = self._with_log("project_productivity_per_commit")
+            daily = refresh.productivity_from(changes, wanted, [COMMIT], self.by, self.as_of)
+            return daily.withColumnRenamed("day", "date")
+
+        self._productivity_per_commit()
+        self._refresh("project_productivity_per_day", changed, self.project_productivity, work)
+
+    def refresh_bus_factor(self, changed: DataFrame) -> None:
+        def work(stored, wanted):
+            changes = self._with_log("project_productivity_per_commit")
+            held = stored.withColumnRenamed("date", "day")
+            daily = refresh.contribution_from(held, changes, wanted, self.by)
+            return daily.withColumnRenamed("day", "date")
+
+        self._refresh("bus_factor_per_day", changed, self.bus_factor, work)
+
+    def refresh_spoilage(self, kind: str, changed: DataFrame) -> None:
+        def work(stored, wanted):
+            return refresh.open_items_from(
+                stored, self._spans(kind), self._log_days(), wanted, self.by, self.as_of
+            )
+
+        self._refresh(f"{kind}_spoilage_per_day", changed, lambda: self._spoilage(kind), work, 1)
+
+    def refresh_density(self, changed: DataFrame) -> None:
+        """After size and issue spoilage. The last day had no count of its own, so it is done again."""
+        def work(_stored, wanted):
+            sizes = self._stored("project_size_per_day").withColumnRenamed("date", "day")
+            return refresh.density_from(sizes, self._stored("issue_spoilage_per_day"), wanted, self.by)
+
+        self._refresh("issue_density_per_day", changed, self.issue_density, work, 0, 1)
