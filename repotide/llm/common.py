@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from repotide.session import configure, scratch_path
 
-ROWS_PER_BATCH = "500"
+#: Arrow batches live outside of the heap on one side and in the worker on the other.
+ROWS_PER_BATCH, BYTES_PER_BATCH = "500", "8m"
 PIECE_BYTES = 1 << 20
 #: Bytes between words: space, tab to carriage return.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -58,6 +59,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     # steps end in written tables, so what they shuffled need not wait for a collection of garbage
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
