@@ -475,3 +475,32 @@ def suspect_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 1, F.col("l_shipdate") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND"))
         .otherwise(F.col("l_shipdate")).alias("day"),
     )
+
+
+# Commits by year of landing: one file of a stream after the other, in order of time.
+_LANDINGS = ["1900-01-01", "1997-01-01", "1999-01-01", "2001-01-01", "2100-01-01"]
+
+
+def land_sizes_and_log(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Sizes and log rows of commits as they land: two folders of files in order of time.
+
+    A size is measured 0 to 3 days after its commit; those of the third day are too late for
+    a span of two. Every fifth commit's records land twice.
+    """
+    commit = F.col("commit_id")
+    twice = F.explode(F.sequence(F.lit(1), F.when(commit % 5 == 0, 2).otherwise(1))).alias("_time")
+    committed = F.col("day").cast("timestamp").alias("committed_at")
+    log = commit_log(spark, sf_dir).select("repo", commit, "committer_id", "day", committed)
+    measured = F.date_add("day", (commit % 4).cast("int")).cast("timestamp").alias("measured_at")
+    dated = log.select(commit, measured)
+    sums = file_size(spark, sf_dir).groupBy("commit_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    sizes = sums.join(dated, "commit_id")
+    paths = []
+    for name, rows, time in (("log", log, "committed_at"), ("sizes", sizes, "measured_at")):
+        path = scratch_path(spark, name)
+        rows = rows.select("*", twice).drop("_time")
+        for low, high in zip(_LANDINGS, _LANDINGS[1:]):
+            part = rows.filter((F.col(time) >= F.lit(low).cast("timestamp")) & (F.col(time) < F.lit(high).cast("timestamp")))
+            part.coalesce(1).write.mode("append").parquet(path)
+        paths.append(path)
+    return paths[0], paths[1]

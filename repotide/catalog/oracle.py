@@ -550,3 +550,11 @@ _register(
        WHERE ts::date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
        GROUP BY 1, 2""",
 )
+_register("stream_revisions_by_folder", "", "SELECT * FROM events")
+_register(
+    "stream_size_log_join",
+    _SIZES,
+    f"SELECT repo, commit_id, committer_id, day, {_M} FROM joined WHERE commit_id % 4 <= 2",
+)
+ORACLE_SQL["stored_productivity_in_buckets"] = ORACLE_SQL["stored_productivity_per_day"]
+_register("stored_size_log_join", _SIZES, f"SELECT repo, day, {_M} FROM joined")

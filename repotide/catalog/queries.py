@@ -21,7 +21,9 @@ from repotide.plans import contribution, log, open_items, productivity, refresh,
 from repotide.schemas import MEASURES, REVISION, TABLES
 from repotide.session import configure, scratch_path
 from repotide.sources import landing, pages, revisions, sizes, tables
+from repotide.sources.clustered import append_by_folder, read_by_folder
 from repotide.streaming import activity
+from repotide.streaming import sizes as size_stream
 from repotide.streaming.revisions import load_new_revisions
 from repotide.warehouse import Warehouse
 
@@ -405,10 +407,10 @@ def pull_requests_normalised(spark, sf_dir):
     return _normalised(spark, sf_dir, pages.PULL_REQUESTS, "pull_request_id")
 
 
-def _stored(spark, sf_dir):
+def _stored(spark, sf_dir, buckets=0):
     """Log and file sizes loaded into stored tables, in two loads."""
     house = Warehouse(
-        spark, scratch_path(spark, "tables"), {"repo": T.LongType()}, b.ORDERS_AS_OF
+        spark, scratch_path(spark, "tables"), {"repo": T.LongType()}, b.ORDERS_AS_OF, buckets=buckets
     )
     raw = b.order_revisions(spark, sf_dir)
     tags = b.order_tags(spark, sf_dir)
@@ -692,3 +694,51 @@ def stream_daily_activity(spark, sf_dir):
     target = scratch_path(spark, "activity")
     activity.write_closed_days(daily, target, scratch_path(spark, "state")).awaitTermination()
     return spark.read.schema(daily.schema).parquet(target)
+
+
+@query
+def stream_revisions_by_folder(spark, sf_dir):
+    """Whole rows, beside what an earlier load stored in folders by the key's hash."""
+    target = scratch_path(spark, "revisions")
+    until = F.lit(b.EARLIER_LOAD_UNTIL).cast("timestamp_ntz")
+    earlier = b.table(spark, sf_dir, "events").filter(F.col("ts") < until)
+    append_by_folder(earlier, target, ["event_id"], folders=16)
+    stream, state = _event_stream(spark, sf_dir), scratch_path(spark, "state")
+    load_new_revisions(stream, target, state, ["event_id"], folders=16).awaitTermination()
+    return read_by_folder(spark, target, b.GIVEN["events"])
+
+
+@query
+def stream_size_log_join(spark, sf_dir):
+    """Both streams file by file, every fifth record landed twice, sizes up to two days apart."""
+    landed_log, landed_sizes = b.land_sizes_and_log(spark, sf_dir)
+
+    def stream(path):
+        files = spark.readStream.schema(spark.read.parquet(path).schema)
+        return files.option("maxFilesPerTrigger", 1).parquet(path)
+
+    joined = size_stream.size_log_join(
+        stream(landed_sizes), stream(landed_log), ["commit_id"], "measured_at", "committed_at", "2 days"
+    )
+    rows = joined.select("repo", "commit_id", "committer_id", "day", *MEASURES)
+    target = scratch_path(spark, "joined")
+    size_stream.write_joined(rows, target, scratch_path(spark, "state")).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(target)
+
+
+@query
+def stored_productivity_in_buckets(spark, sf_dir):
+    """The tables per commit in buckets of the commit, loaded in two loads."""
+    house = _stored(spark, sf_dir, buckets=8)
+    house.project_productivity()
+    return house.read("project_productivity_per_day")
+
+
+@query
+def stored_size_log_join(spark, sf_dir):
+    """Sizes of stored commits with their log rows; no rows move for the join."""
+    house = _stored(spark, sf_dir, buckets=8)
+    logs = house.read("commit_logs")
+    logs = logs.select("repo", "commit_hash_id", utc_day(logs, "committed_datetime").alias("day"))
+    sizes_of = house.read("project_size_per_commit")
+    return size.join_log(sizes_of, logs, house.commit_key).drop("commit_hash_id")

@@ -32,6 +32,7 @@ from repotide.operators.quality import require
 from repotide.plans import contribution, log, open_items, productivity, refresh, size, tracker
 from repotide.schemas import FOREIGN_KEYS, TABLES
 from repotide.session import pinned
+from repotide.sources.clustered import open_bucketed, reopen_bucketed, write_bucketed
 from repotide.sources.tables import (
     MONTH,
     collisions,
@@ -53,6 +54,8 @@ DAILY = {
     "pull_request_spoilage_per_day": "start",
     "issue_density_per_day": "start",
 }
+# Tables with one row per commit, which ``buckets`` lays out for their joins.
+PER_COMMIT = ["commit_logs", "project_size_per_commit", "project_productivity_per_commit"]
 
 
 class Warehouse:
@@ -66,12 +69,16 @@ class Warehouse:
         as_of: AsOf = None,
         partition_by: Sequence[str] = (),
         monthly: bool = False,
+        buckets: int = 0,
     ) -> None:
         """``by`` gives the columns that tell repositories apart; none for one.
 
         ``partition_by`` names those of them that become folders; choose one
         with few values, such as a hash bucket of the repository. ``monthly``
         lays daily tables out by month, which the ``refresh_`` steps need.
+        ``buckets`` lays the tables per commit out in that many buckets of the
+        commit, so that joining them moves no rows; it is settled by the first
+        use of the folder, and these tables then have no folders of their own.
         """
         self.spark = spark
         self.root = root.rstrip("/")
@@ -80,6 +87,9 @@ class Warehouse:
         self.as_of = as_of
         self.partition_by = list(partition_by)
         self.monthly = monthly
+        self.buckets = buckets
+        self.commit_key = [*self.by, COMMIT]
+        self._settle_buckets()
 
     def _schema(self, name: str) -> T.StructType:
         own = [T.StructField(column, kind, False) for column, kind in self.by_types.items()]
@@ -88,6 +98,27 @@ class Warehouse:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _settle_buckets(self) -> None:
+        """Note the number of buckets in the folder, or hold it against the one noted there."""
+        place, files = self._files(f"{self.root}/_buckets")
+        if files.exists(place):
+            (noted,) = [int(f.getPath().getName()) for f in files.listStatus(place)]
+        else:
+            stored = any(files.exists(self._files(self._path(name))[0]) for name in PER_COMMIT)
+            noted = 0 if stored or not self.buckets else self.buckets
+            if noted:
+                files.create(self._files(f"{self.root}/_buckets/{noted}")[0]).close()
+        if noted != self.buckets:
+            raise ValueError(f"{self.root} is laid out in {noted} buckets, not {self.buckets}")
+
+    def _in_buckets(self, name: str) -> bool:
+        return bool(self.buckets) and name in PER_COMMIT
+
+    def _row_order(self, name: str) -> list[str]:
+        """What rows are sorted by inside a file, so that filters skip row groups."""
+        columns = self._schema(name).names
+        return [*self.by, DAILY[name] if name in DAILY else columns[len(self.by)]]
+
     def read(self, name: str, checked: bool = False) -> DataFrame:
         """A stored table.
 
@@ -95,8 +126,11 @@ class Warehouse:
         filters prune folders and files. ``checked`` tests every row again.
         """
         self._finish(name)
-        table = scan_table(self.spark, self._path(name), self._schema(name), checked)
-        return self._bare(name, table)
+        model = self._schema(name)
+        if self._in_buckets(name):
+            table = open_bucketed(self.spark, self._path(name), model, self.commit_key, self.buckets)
+            return require(table, model) if checked else table
+        return self._bare(name, scan_table(self.spark, self._path(name), model, checked))
 
     def _bare(self, name: str, table: DataFrame) -> DataFrame:
         """Without the folder column of monthly tables."""
@@ -117,6 +151,8 @@ class Warehouse:
     def _stored_if_any(self, name: str) -> DataFrame | None:
         self._finish(name)
         table = read_if_any(self.spark, self._path(name), self._schema(name))
+        if table is not None and self._in_buckets(name):
+            return self.read(name)
         return None if table is None else self._bare(name, table)
 
     def _files(self, path: str):
@@ -133,8 +169,12 @@ class Warehouse:
 
     def _append(self, name: str, df: DataFrame) -> None:
         self._finish(name)
-        writer = require(df, self._schema(name)).write.mode("append")
-        writer.partitionBy(*self.partition_by).parquet(self._path(name))
+        rows = require(df, self._schema(name))
+        if self._in_buckets(name):
+            write_bucketed(rows, self._path(name), self.commit_key, self.buckets)
+            return
+        rows = rows.sortWithinPartitions(*dict.fromkeys([*self.partition_by, *self._row_order(name)]))
+        rows.write.mode("append").partitionBy(*self.partition_by).parquet(self._path(name))
 
     def _replace(self, name: str, df: DataFrame) -> None:
         """Write the successor beside the table, then put it in its place."""
@@ -143,10 +183,18 @@ class Warehouse:
         if self.monthly and name in DAILY:
             rows = rows.withColumn(MONTH, month_of(DAILY[name]))
             folders.append(MONTH)
-        rows.write.mode("overwrite").partitionBy(*folders).parquet(following)
         place, files = self._files(self._path(name))
+        if self._in_buckets(name):
+            files.delete(self._files(following)[0], True)
+            write_bucketed(rows, following, self.commit_key, self.buckets)
+        else:
+            rows = rows.sortWithinPartitions(*dict.fromkeys([*folders, *self._row_order(name)]))
+            rows.write.mode("overwrite").partitionBy(*folders).parquet(following)
         files.delete(place, True)
         self._finish(name)
+        if self._in_buckets(name):
+            for path in (following, self._path(name)):
+                reopen_bucketed(self.spark, path, self.commit_key, self.buckets)
         self.spark.catalog.refreshByPath(self._path(name))
 
     def orphans(self) -> DataFrame:

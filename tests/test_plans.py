@@ -13,7 +13,13 @@ from repotide.operators.keys import lookup
 
 SF_DIR = "/root/testdata/sf0.001"
 # these query themselves while they are built; their results are plain scans
-WRITERS = {"append_new_keys", "stream_new_revisions", "stream_daily_activity"}
+WRITERS = {
+    "append_new_keys",
+    "stream_new_revisions",
+    "stream_daily_activity",
+    "stream_revisions_by_folder",
+    "stream_size_log_join",
+}
 
 
 def plan_of(df):
