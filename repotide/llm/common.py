@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
@@ -133,6 +134,24 @@ def texts_of(column: pa.Array, piece: int = PIECE_BYTES) -> Iterator[Texts]:
         at = to
 
 
+def tidy(each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``each``, giving memory it has freed back to the machine at the task's end.
+
+    Workers wait for later tasks, also of other stages, beside the executor's own memory.
+    """
+
+    def run(batches):
+        try:
+            yield from each(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str):
     """``run`` over each Arrow batch of ``df``."""
 
@@ -140,7 +159,7 @@ def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch], sc
         for batch in batches:
             yield run(batch)
 
-    return df.mapInArrow(each, schema)
+    return df.mapInArrow(tidy(each), schema)
 
 
 def batch_of(**columns) -> pa.RecordBatch:

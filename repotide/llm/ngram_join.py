@@ -52,6 +52,7 @@ from repotide.llm.common import (
     release,
     stored,
     texts_of,
+    tidy,
     windows,
     words_in,
 )
@@ -230,7 +231,7 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        each, "doc_id long, n_shingles long, node long, bits binary, first array<long>"
+        tidy(each), "doc_id long, n_shingles long, node long, bits binary, first array<long>"
     )
 
 
@@ -304,7 +305,7 @@ class _Join:
                         at += 1
                 yield batch.filter(pa.array(keep)).select([0, 1])
 
-        found = stored(both.mapInArrow(each, "a long, b long"), "links")
+        found = stored(both.mapInArrow(tidy(each), "a long, b long"), "links")
         release(pairs, wanted)
         return found
 
@@ -428,7 +429,7 @@ def _dealt(nodes: DataFrame, buckets: int) -> DataFrame:
             rows=binaries([runs[p].tobytes() + nodes[p].tobytes() + places[p].tobytes() for p in parts]),
         )
 
-    return nodes.select("node", "first").mapInArrow(each, "bucket long, rows binary")
+    return nodes.select("node", "first").mapInArrow(tidy(each), "bucket long, rows binary")
 
 
 def _unpacked(batches):
@@ -462,7 +463,7 @@ def _shared(nodes: DataFrame, total: int) -> DataFrame:
 
     rare = _dealt(nodes, buckets).repartition(buckets, "bucket")
     often = nodes.select("node", F.posexplode("first").alias("place", "run")).filter("run < 0")
-    return rare.mapInArrow(each, "run long, node long, place int").unionByName(
+    return rare.mapInArrow(tidy(each), "run long, node long, place int").unionByName(
         often.select("run", "node", "place")
     )
 
@@ -498,7 +499,7 @@ def _few(rows: DataFrame) -> DataFrame:
         a, b = np.concatenate(left), np.concatenate(right)
         return batch_of(a=np.minimum(a, b), b=np.maximum(a, b))
 
-    return ordered.mapInArrow(each, "a long, b long").distinct()
+    return ordered.mapInArrow(tidy(each), "a long, b long").distinct()
 
 
 def _tiles(rows: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
@@ -593,7 +594,7 @@ def _tiles(rows: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
             run=pa.concat_arrays([pa.nulls(len(a), pa.int64()), runs]),
         )
 
-    return sorted_.mapInArrow(each, "a long, b long, run long")
+    return sorted_.mapInArrow(tidy(each), "a long, b long, run long")
 
 
 def _close(

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.llm.common import Spans, Texts, map_arrow, mix, texts_of
+from repotide.llm.common import Spans, Texts, batch_of, map_arrow, mix, texts_of, tidy
 
 MODEL, SAMPLES, SEED = "/opt/tokenizers/piece_bpe_32k.model", 3, 97
 RANK_SHIFT = 10.0
@@ -542,58 +542,44 @@ def encode(
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
     held: list[np.ndarray] = []
 
-    def run(batch):
+    def each(batches):
         words = shared.value
         if not held:
             held.append(words.alone())
-        keys = mix(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64), seed)
-        parts = []
-        for texts in texts_of(batch.column(2), _PIECE):
-            mine = keys[texts.first : texts.first + texts.count]
-            found = sample_texts(words, held[0], texts, mine, k)
-            measures = (found.logp, found.value, found.inclusion, found.log_inclusion)
-            for turn in range(len(found.ids)):
-                real = ~np.isnan(found.logp[turn])
-                rows = np.flatnonzero(real)
-                back = _round_trips(words, found.ids[turn], found.cuts[turn], texts)[rows]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(found.cuts[turn], pa.int32()), pa.array(found.ids[turn], pa.int32())
-                ).filter(pa.array(real))
-                parts.append(
-                    pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).take(pa.array(rows + texts.first)),
-                            pa.array(np.full(len(rows), turn, np.int32)),
-                            lists,
-                            *[pa.array(x[turn][real]) for x in measures],
-                            pa.array(back),
-                        ],
-                        names=_EMPTY.schema.names,
-                    )
-                )
-        if not parts:
-            return _EMPTY
-        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        for batch in batches:
+            keys = mix(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64), seed)
+            for texts in texts_of(batch.column(2), _PIECE):
+                mine = keys[texts.first : texts.first + texts.count]
+                yield from sampled(words, batch.column(0), texts, mine)
+
+    def sampled(words, ids, texts, mine):
+        found = sample_texts(words, held[0], texts, mine, k)
+        measures = (found.logp, found.value, found.inclusion, found.log_inclusion)
+        for turn in range(len(found.ids)):
+            real = ~np.isnan(found.logp[turn])
+            rows = np.flatnonzero(real)
+            back = _round_trips(words, found.ids[turn], found.cuts[turn], texts)[rows]
+            lists = pa.ListArray.from_arrays(
+                pa.array(found.cuts[turn], pa.int32()), pa.array(found.ids[turn], pa.int32())
+            ).filter(pa.array(real))
+            yield batch_of(
+                doc_id=ids.take(pa.array(rows + texts.first)),
+                sample=np.full(len(rows), turn, np.int32),
+                ids=lists,
+                **{name: x[turn][real] for name, x in zip(_MEASURES, measures)},
+                round_trip=back,
+            )
 
     own = F.col(key).cast("long")
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(own), "text")
-    return map_arrow(
-        rows, run,
+    return rows.mapInArrow(
+        tidy(each),
         "doc_id long, sample int, ids array<int>, log_prob double, perturbed double,"
         " inclusion double, log_inclusion double, round_trip boolean",
     )
 
 
-_EMPTY = pa.RecordBatch.from_pylist(
-    [],
-    pa.schema(
-        [
-            ("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())),
-            ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()),
-            ("log_inclusion", pa.float64()), ("round_trip", pa.bool_()),
-        ]
-    ),
-)
+_MEASURES = ("log_prob", "perturbed", "inclusion", "log_inclusion")
 
 
 def _spelled(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

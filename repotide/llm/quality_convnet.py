@@ -214,6 +214,8 @@ def keep_good(docs: DataFrame, model: ConvNet) -> DataFrame:
 def filtered(docs: DataFrame, verdict, piece: int) -> DataFrame:
     """Rows whose text passes ``verdict``, in one pass that moves nothing."""
     place = docs.columns.index("text")
+    # by number, as names with a dot cannot be handed to tasks
+    rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
 
     def run(batch):
         import pyarrow as pa
@@ -221,4 +223,4 @@ def filtered(docs: DataFrame, verdict, piece: int) -> DataFrame:
         parts = [verdict(t) for t in texts_of(batch.column(place), piece)]
         return batch.filter(pa.array(flat(parts, bool)))
 
-    return map_arrow(docs, run, docs.schema)
+    return map_arrow(rows, run, rows.schema).toDF(*docs.columns)
