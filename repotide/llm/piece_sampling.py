@@ -164,7 +164,13 @@ class Lattices(NamedTuple):
     piece: np.ndarray  # -1: byte pieces
     logp: np.ndarray
     upto: np.ndarray  # probability of the state's edges up to this one, in 2^-53
-    rest: np.ndarray  # log-probability of the state's other edges
+    lone: np.ndarray  # whether an edge is its state's only one
+
+    def rest(self, edges: np.ndarray) -> np.ndarray:
+        """For each of ``edges``, the log-probability of its state's other edges."""
+        with np.errstate(divide="ignore"):
+            other = np.log(np.maximum(-np.expm1(self.logp[edges]), 1e-300))
+        return np.where(self.lone[edges], -np.inf, other)
 
 
 def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.ndarray) -> Lattices:
@@ -244,10 +250,8 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
     count[origin[heads]] = np.diff(bounds)
     final = count == 0
     lone = np.repeat(np.diff(bounds) == 1, np.diff(bounds))
-    with np.errstate(divide="ignore"):
-        rest = np.where(lone, -np.inf, np.log(np.maximum(-np.expm1(logp), 1e-300)))
     return Lattices(
-        ends - sizes + np.arange(chunks), final, np.stack([first[:-1], count], 1), to, piece, logp, upto, rest
+        ends - sizes + np.arange(chunks), final, np.stack([first[:-1], count], 1), to, piece, logp, upto, lone
     )
 
 
@@ -331,7 +335,7 @@ class _Batch:
 
     def regions(self, at, row, before, edges, value, salt):
         """Largest perturbed value of what is left beside each edge of a path."""
-        rest = self.net.rest[edges[at]]
+        rest = self.net.rest(edges[at])
         where = before + rest
         noise = -np.log(_uniform(self.keys[row], at - self.starts[row], salt))
         return _cut_gumbel(where, value[row], noise)
