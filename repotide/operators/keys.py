@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repotide.operators.ordering import dense_ids, range_chunks
+from repotide.session import pinned
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -75,8 +76,14 @@ def new_members(
         seen = first_seen(df, key, attributes, order, by)
     if stored is not None:
         seen = without_known(seen, stored, [*by, key])
-    numbered = dense_ids(range_chunks(seen, seen_order, by), by)
-    numbered = numbered.select("id", *by, *attributes, key)
+    return numbered_after(seen, seen_order, by, stored).select("id", *by, *attributes, key)
+
+
+def numbered_after(
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), stored: DataFrame | None = None
+) -> DataFrame:
+    """``df`` with an ``id`` in ``order``, from 0 or after the largest stored id of the same ``by``."""
+    numbered = dense_ids(range_chunks(df, order, by), by)
     return numbered if stored is None else _after_stored(numbered, stored, by)
 
 
@@ -99,7 +106,8 @@ def _after_stored(numbered: DataFrame, stored: DataFrame, by: Sequence[str]) ->
     if not by:
         start = stored.agg(following).first()[0]
         return numbered.withColumn("id", F.col("id") + F.lit(start))
-    starts = stored.groupBy(*by).agg(following.alias("_start"))
+    # pinned, as the new members may be appended to ``stored`` before they are read again
+    starts = pinned(stored.groupBy(*by).agg(following.alias("_start")))
     return (
         numbered.join(starts, [*by], "left")
         .withColumn("id", F.col("id") + F.coalesce("_start", F.lit(0)))

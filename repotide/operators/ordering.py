@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from repotide.session import shared_dir
+from repotide.session import pinned
 
 CHUNK = "_chunk"
 PLACE = "_place"
@@ -35,12 +35,11 @@ def range_chunks(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) ->
     """Cut ``df`` into sorted ranges of (by, order).
 
     ``_chunk`` numbers the ranges and ``_place`` the rows of a range. Range
-    bounds are sampled anew by every run of a plan, so both are pinned with a
-    checkpoint in the shared folder before anyone relies on them. ``order``
+    bounds are sampled anew by every run of a plan, so both are pinned in the
+    shared folder before anyone relies on them. ``order``
     must be unique within ``by`` for even cuts and stable results.
     """
-    shared_dir(df.sparkSession)
-    return (
+    return pinned(
         df.repartitionByRange(*by, *order)
         .sortWithinPartitions(*by, *order)
         .withColumns(
@@ -49,7 +48,6 @@ def range_chunks(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) ->
                 PLACE: F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)),
             }
         )
-        .checkpoint()
     )
 
 
@@ -93,7 +91,8 @@ def dense_ids(
     """Number the rows of each ``by`` from 0 in their order, without gaps.
 
     A row's id is its place in the range plus a shift that is the same for all
-    rows of a group in a range, so the rows themselves are not sorted again.
+    rows of a group in a range, so the rows themselves are not sorted again. The
+    shifts are pinned: there are few, and joining them moves no rows.
     """
     cut = [*by, CHUNK]
     earlier = (
@@ -103,7 +102,7 @@ def dense_ids(
         F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     rows_before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    shifts = spans.select(*cut, (rows_before - F.col("_first")).alias("_shift"))
+    shifts = pinned(spans.select(*cut, (rows_before - F.col("_first")).alias("_shift")))
     kept = [c for c in chunked.columns if c not in (CHUNK, PLACE)]
     return chunked.join(shifts, cut).select(
         (F.col(PLACE) + F.col("_shift")).alias(id_column), *kept

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repotide.operators.keys import dimension, lookup, lookup_list, without_known
-from repotide.session import shared_dir
+from repotide.session import pinned
 
 
 # What the ids of a log are worked out from.
@@ -38,13 +38,12 @@ def fresh_revisions(
     """The narrow columns of the revisions to load.
 
     They feed all dimensions and lookups, so what is left of a comparison with
-    the ``loaded`` hashes is kept in a checkpoint and not worked out again.
+    the ``loaded`` hashes is pinned and not worked out again.
     """
     narrow = revisions.select(*dict.fromkeys([*by, *_NARROW, *order]))
     if loaded is None:
         return narrow
-    shared_dir(revisions.sparkSession)
-    return new_revisions(narrow, loaded, by).checkpoint()
+    return pinned(new_revisions(narrow, loaded, by))
 
 
 def loaded_hashes(

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,10 +49,26 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def _fits_parquet(schema: T.StructType) -> bool:
+    names = [name.lower() for name in schema.names]
+    kinds = schema.simpleString()
+    return bool(names) and len(set(names)) == len(names) and "void" not in kinds and "interval" not in kinds
+
+
 def pinned(df: DataFrame) -> DataFrame:
-    """``df`` kept in a checkpoint in the shared folder: worked out once, lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` kept in a file of the shared folder: worked out once, lineage cut.
+
+    The file is Parquet, so readers take the columns they need and a join knows its size
+    beforehand: a small one is broadcast without the other side being moved first. Rows that
+    Parquet cannot hold go to a checkpoint.
+    """
+    spark = df.sparkSession
+    if not _fits_parquet(df.schema):
+        shared_dir(spark)
+        return df.checkpoint()
+    path = scratch_path(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,6 +111,35 @@ def one_value_per_key(rows: DataFrame, keys: Sequence[str], conflicts: str = "fa
     return _one_value(rows, keys, rest, conflicts) if rest else rows.distinct()
 
 
+def unseen_rows(batch: DataFrame, stored: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
+    """The rows of ``batch`` whose key is not in ``stored``, repeats once.
+
+    A key that has several values, in the batch or there and in ``stored``, fails the job;
+    the error tells its ``name``. Both sides meet in one shuffle by key.
+    """
+    rows = batch.withColumn("_landed", F.lit(1))
+    if stored is not None:
+        rows = rows.unionByName(stored.select(*batch.columns).withColumn("_landed", F.lit(0)))
+    values = (
+        rows.repartition(*keys)
+        .groupBy(*batch.columns)
+        .agg(F.max("_landed").alias("_landed"), F.min("_landed").alias("_new"))
+    )
+    of_key = Window.partitionBy(*keys)
+    counted = values.withColumns(
+        {"_values": F.count(F.lit(1)).over(of_key), "_several": F.sum("_landed").over(of_key)}
+    )
+    what = F.coalesce(F.col(name).cast("string"), F.lit("null"))
+    fails = lambda told: F.raise_error(F.concat(F.lit(f"{told}: "), what)).cast("boolean")
+    wanted = (
+        F.when(F.col("_landed") == 0, False)
+        .when(F.col("_several") > 1, fails(f"several values for {', '.join(keys)}, {name}"))
+        .when(F.col("_values") > 1, fails("measured otherwise before"))
+        .otherwise(F.col("_new") == 1)
+    )
+    return counted.filter(wanted).select(*batch.columns)
+
+
 def append_new_keys(
     batch: DataFrame,
     path: str,

@@ -23,7 +23,7 @@ from repotide.operators.keys import (
     constraint_report,
     lookup,
     new_members,
-    null_safe,
+    numbered_after,
     one_per_key,
     orphans,
     without_known,
@@ -37,11 +37,11 @@ from repotide.sources.tables import (
     MONTH,
     collisions,
     month_of,
-    one_value_per_key,
     read_if_any,
     replace_days,
     scan_table,
     union_sources,
+    unseen_rows,
 )
 
 COMMIT = "commit_hash_id"
@@ -241,7 +241,8 @@ class Warehouse:
         The log itself is written last. A load that breaks off is thus done
         again, with the ids of the hashes and people it had already stored.
         """
-        revisions = one_per_key(revisions, [*self.by, "commit_hash"], order)
+        # dimensions, lookups and the log itself all read it
+        revisions = pinned(one_per_key(revisions, [*self.by, "commit_hash"], order))
         hashes, logs = self._stored_if_any("commit_hashes"), self._stored_if_any("commit_logs")
         loaded = None
         if hashes is not None and logs is not None:
@@ -299,22 +300,9 @@ class Warehouse:
         otherwise before, in this load or an earlier one, fails the load;
         ``remeasured`` lists the latter.
         """
-        fresh = self._resolved(files)
-        keys = [*self.by, COMMIT, "provider"]
-        fresh = one_value_per_key(fresh, keys)
         stored = self._stored_if_any("file_size_per_commit")
-        if stored is not None:
-            rest = [c for c in fresh.columns if c not in keys]
-            held = stored.select(
-                *[F.col(k).alias(f"_known_{k}") for k in keys], F.struct(*rest).alias("_had")
-            )
-            pairs = [(k, f"_known_{k}") for k in keys]
-            joined = fresh.join(held, null_safe(fresh, held, pairs), "left")
-            same = F.col("_had").eqNullSafe(F.struct(*rest))
-            told = F.concat(F.lit("measured otherwise before: "), F.col("provider"))
-            new = F.when(F.col("_had").isNull(), True).when(same, False)
-            fresh = joined.filter(new.otherwise(F.raise_error(told).cast("boolean"))).select(*fresh.columns)
-        self._append("file_size_per_commit", fresh)
+        keys = [*self.by, COMMIT, "provider"]
+        self._append("file_size_per_commit", unseen_rows(self._resolved(files), stored, keys, "provider"))
 
     def remeasured(self, files: DataFrame) -> DataFrame:
         """The files that are stored with other measures."""
@@ -341,18 +329,17 @@ class Warehouse:
         first: a load that breaks off is done again with the same ids.
         """
         id_column, facts = f"{kind}_id", f"{kind}s"
-        latest = one_per_key(
-            items.withColumns({"_page": -F.col("page"), "_order": F.col("pos")}),
-            [*self.by, id_column],
-            ["_page", "_order"],
-        )
         known = self._stored_if_any(f"{kind}_ids")
-        members = new_members(
-            items, id_column, [], tracker.ITEM_ORDER, self.by, known
-        ).select("id", *self.by, id_column)
-        self._append(f"{kind}_ids", members)
-        ids = self._stored(f"{kind}_ids")
-        landed = tracker.normalised_items(latest, id_column, ids, self.by)
+        latest = pinned(tracker.latest_items(items, id_column, self.by, known))
+        unknown = F.col("id").isNull()
+        for column in self.by:  # rows of no repository get no id, which the check of the facts finds
+            unknown = unknown & F.col(column).isNotNull()
+        places = [f"_order_{i}" for i in range(len(tracker.ITEM_ORDER))]
+        members = numbered_after(latest.filter(unknown).drop("id"), places, self.by, known)
+        self._append(f"{kind}_ids", members.select("id", *self.by, id_column))
+        landed = latest.filter(~unknown).unionByName(members).select(
+            *self.by, F.col("id").alias(f"{id_column}_key"), "created_at", "closed_at"
+        )
         earlier = self._stored_if_any(facts)
         if earlier is not None:
             keys = [*self.by, f"{id_column}_key"]
