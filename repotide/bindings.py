@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from repotide.operators.ordering import dense_ids, range_chunks
 from repotide.schemas import LONG, MEASURES, TEXT, WALL_CLOCK, struct
-from repotide.session import scratch_path
+from repotide.session import pinned, scratch_path
 from repotide.sources.pages import PAGE_SIZE
 from repotide.sources.tables import scan_table
 
@@ -238,15 +238,24 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file sizes with repository and commit hash, one row per file of a commit."""
-    files, log = file_size(spark, sf_dir), commit_log(spark, sf_dir).select("repo", "commit_id")
-    return (
+def order_files(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """The file sizes with repository and commit hash, one row per file of a commit.
+
+    With ``before`` only those of commits that are in the log before that day.
+    """
+    files, log = file_size(spark, sf_dir), commit_log(spark, sf_dir).select("repo", "commit_id", "day")
+    # grouped by the number that the join moved rows by, so they are not moved again
+    sums = (
         files.join(log, "commit_id")
-        .withColumn("commit_hash", F.concat(F.lit("o"), F.col("commit_id")))
-        .groupBy("repo", "commit_hash", "provider")
-        .agg(F.min("language").alias("language"), *[F.sum(m).alias(m) for m in MEASURES])
+        .groupBy("commit_id", "repo", "provider")
+        .agg(
+            F.min("language").alias("language"), *[F.sum(m).alias(m) for m in MEASURES], F.min("day").alias("_first")
+        )
     )
+    if before is not None:
+        sums = sums.filter(F.col("_first") < before)
+    commit_hash = F.concat(F.lit("o"), F.col("commit_id")).alias("commit_hash")
+    return sums.select("repo", commit_hash, "provider", "language", *MEASURES)
 
 
 def order_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +318,7 @@ def land_order_pages(spark: SparkSession, sf_dir: str, field: str, lossy: bool =
     path = scratch_path(spark, "pages")
     items = order_issues(spark, sf_dir)
     items = dense_ids(range_chunks(items, ["issue_id"], REPO), REPO, "_nth")
-    per_repo = items.groupBy("repo").agg(F.count(F.lit(1)).alias("total"))
+    per_repo = pinned(items.groupBy("repo").agg(F.count(F.lit(1)).alias("total")))
     pages = F.ceil(F.col("total") / PAGE_SIZE)
     arrives = F.col("page") % 7 != 3 if lossy else F.lit(True)
     node = F.struct(
@@ -477,15 +486,16 @@ def suspect_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Commits by year of landing: one file of a stream after the other, in order of time.
+# Commits by year of landing: one landing of a stream after the other, in order of time.
 _LANDINGS = ["1900-01-01", "1997-01-01", "1999-01-01", "2001-01-01", "2100-01-01"]
+LANDINGS = list(zip(_LANDINGS, _LANDINGS[1:]))
 
 
-def land_sizes_and_log(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Sizes and log rows of commits as they land: two folders of files in order of time.
+def sizes_and_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sizes (at ``measured_at``) and log rows (at ``committed_at``) of commits.
 
     A size is measured 0 to 3 days after its commit; those of the third day are too late for
-    a span of two. Every fifth commit's records land twice.
+    a span of two. Every fifth commit's records come twice.
     """
     commit = F.col("commit_id")
     twice = F.explode(F.sequence(F.lit(1), F.when(commit % 5 == 0, 2).otherwise(1))).alias("_time")
@@ -495,12 +505,11 @@ def land_sizes_and_log(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     dated = log.select(commit, measured)
     sums = file_size(spark, sf_dir).groupBy("commit_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
     sizes = sums.join(dated, "commit_id")
-    paths = []
-    for name, rows, time in (("log", log, "committed_at"), ("sizes", sizes, "measured_at")):
-        path = scratch_path(spark, name)
-        rows = rows.select("*", twice).drop("_time")
-        for low, high in zip(_LANDINGS, _LANDINGS[1:]):
-            part = rows.filter((F.col(time) >= F.lit(low).cast("timestamp")) & (F.col(time) < F.lit(high).cast("timestamp")))
-            part.coalesce(1).write.mode("append").parquet(path)
-        paths.append(path)
-    return paths[0], paths[1]
+    # every landing reads them
+    return tuple(pinned(rows.select("*", twice).drop("_time")) for rows in (sizes, log))
+
+
+def land_between(rows: DataFrame, time: str, landing: tuple[str, str], path: str) -> None:
+    """Add the rows of one landing to a folder, in as many files as they have partitions."""
+    low, high = [F.lit(day).cast("timestamp") for day in landing]
+    rows.filter((F.col(time) >= low) & (F.col(time) < high)).write.mode("append").parquet(path)

@@ -19,7 +19,7 @@ from repotide.operators.ordering import dense_ids, range_chunks
 from repotide.operators.quality import accepted_rows, land_checked, rejected_rows, violations
 from repotide.plans import contribution, log, open_items, productivity, refresh, size, tracker
 from repotide.schemas import MEASURES, REVISION, TABLES
-from repotide.session import configure, scratch_path
+from repotide.session import configure, pinned, scratch_path
 from repotide.sources import landing, pages, revisions, sizes, tables
 from repotide.sources.clustered import append_by_folder, read_by_folder
 from repotide.streaming import activity
@@ -512,9 +512,8 @@ def _refreshed(spark, sf_dir, *steps, items=False):
     )
     raw, files, tags = b.order_revisions(spark, sf_dir), b.order_files(spark, sf_dir), b.order_tags(spark, sf_dir)
     early = F.col("day") < "1998-01-01"
-    known = raw.filter(early).select("repo", "commit_hash")
     house.load_log(raw.filter(early), tags, b.LOG_ORDER)
-    house.load_file_sizes(files.join(known, ["repo", "commit_hash"], "left_semi"))
+    house.load_file_sizes(b.order_files(spark, sf_dir, before="1998-01-01"))
     late = raw.filter(~early).select("repo", "day")
     opened = b.order_issues(spark, sf_dir)
     if items:
@@ -527,7 +526,7 @@ def _refreshed(spark, sf_dir, *steps, items=False):
     house.load_file_sizes(files)
     if items:
         house.load_issues(opened)
-    return house, refresh.touched(late, ["day"], b.REPO)
+    return house, pinned(refresh.touched(late, ["day"], b.REPO))
 
 
 @query
@@ -710,19 +709,21 @@ def stream_revisions_by_folder(spark, sf_dir):
 
 @query
 def stream_size_log_join(spark, sf_dir):
-    """Both streams file by file, every fifth record landed twice, sizes up to two days apart."""
-    landed_log, landed_sizes = b.land_sizes_and_log(spark, sf_dir)
-
-    def stream(path):
-        files = spark.readStream.schema(spark.read.parquet(path).schema)
-        return files.option("maxFilesPerTrigger", 1).parquet(path)
-
-    joined = size_stream.size_log_join(
-        stream(landed_sizes), stream(landed_log), ["commit_id"], "measured_at", "committed_at", "2 days"
-    )
-    rows = joined.select("repo", "commit_id", "committer_id", "day", *MEASURES)
-    target = scratch_path(spark, "joined")
-    size_stream.write_joined(rows, target, scratch_path(spark, "state")).awaitTermination()
+    """Both streams landing by landing, every fifth record landed twice, sizes up to two days apart."""
+    sizes_of, log_of = b.sizes_and_log(spark, sf_dir)
+    landed_sizes, landed_log = scratch_path(spark, "sizes"), scratch_path(spark, "log")
+    target, state = scratch_path(spark, "joined"), scratch_path(spark, "state")
+    # a landing is many files in no order, so it is one batch; the next run goes on from its state
+    for landing in b.LANDINGS:
+        b.land_between(sizes_of, "measured_at", landing, landed_sizes)
+        b.land_between(log_of, "committed_at", landing, landed_log)
+        joined = size_stream.size_log_join(
+            spark.readStream.schema(sizes_of.schema).parquet(landed_sizes),
+            spark.readStream.schema(log_of.schema).parquet(landed_log),
+            ["commit_id"], "measured_at", "committed_at", "2 days",
+        )
+        rows = joined.select("repo", "commit_id", "committer_id", "day", *MEASURES)
+        size_stream.write_joined(rows, target, state).awaitTermination()
     return spark.read.schema(rows.schema).parquet(target)
 
 
