@@ -94,9 +94,9 @@ def file_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def issues(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    log = commit_log(spark, sf_dir)
+    log = commit_log(spark, sf_dir) if log is None else log
     shipped = F.col("l_shipdate").cast("date")
     return lines.join(log, lines.l_orderkey == log.commit_id).select(
         "repo",
@@ -176,9 +176,12 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The commit log as raw revisions of many repositories."""
-    log = commit_log(spark, sf_dir)
+def order_revisions(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
+    """The commit log as raw revisions of many repositories.
+
+    Here and below ``log`` is ``commit_log``, which a query that needs it often has pinned.
+    """
+    log = commit_log(spark, sf_dir) if log is None else log
     person = F.concat(F.lit("c"), F.col("committer_id"))
     nobody = F.array().cast("array<string>")
     return log.select(
@@ -200,13 +203,13 @@ def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_tags(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
     """Release tags on the urgent orders: some commits carry two, some did not land."""
     urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
     commit = F.col("commit_id")
     series = F.when(commit % 4 == 0, F.array(F.lit("r"), F.lit("s"))).otherwise(F.array(F.lit("r")))
     known = F.when(commit % 6 == 0, "x").otherwise("o")
-    log = commit_log(spark, sf_dir)
+    log = commit_log(spark, sf_dir) if log is None else log
     tagged = urgent.join(log, urgent.o_orderkey == commit).select("repo", "commit_id", F.explode(series).alias("series"))
     return tagged.select(
         "repo",
@@ -238,29 +241,40 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_files(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+def order_files(
+    spark: SparkSession, sf_dir: str, before: str | None = None, log: DataFrame | None = None
+) -> DataFrame:
     """The file sizes with repository and commit hash, one row per file of a commit.
 
     With ``before`` only those of commits that are in the log before that day.
     """
-    files, log = file_size(spark, sf_dir), commit_log(spark, sf_dir).select("repo", "commit_id", "day")
-    # grouped by the number that the join moved rows by, so they are not moved again
+    dated = dated_files(spark, sf_dir, log)
+    return (dated if before is None else dated.filter(F.col("first_day") < before)).drop("first_day")
+
+
+def dated_files(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
+    """``order_files`` with the first day that their commit is in the log."""
+    log = commit_log(spark, sf_dir) if log is None else log
+    # a commit that is in a repository's log n times counts its files n times
+    places = log.repartition("commit_id").groupBy("commit_id", "repo").agg(
+        F.count(F.lit(1)).alias("_times"), F.min("day").alias("first_day")
+    )
+    # both sides are moved by the number of the join, and files sorted once for their sums and for it
     sums = (
-        files.join(log, "commit_id")
-        .groupBy("commit_id", "repo", "provider")
-        .agg(
-            F.min("language").alias("language"), *[F.sum(m).alias(m) for m in MEASURES], F.min("day").alias("_first")
-        )
+        file_size(spark, sf_dir).filter("commit_id IS NOT NULL").repartition("commit_id")
+        .groupBy("commit_id", "provider")
+        .agg(F.min("language").alias("language"), *[F.sum(m).alias(m) for m in MEASURES])
     )
-    if before is not None:
-        sums = sums.filter(F.col("_first") < before)
     commit_hash = F.concat(F.lit("o"), F.col("commit_id")).alias("commit_hash")
-    return sums.select("repo", commit_hash, "provider", "language", *MEASURES)
+    times = [(F.col(m) * F.col("_times")).alias(m) for m in MEASURES]
+    return sums.join(places, "commit_id").select(
+        "repo", commit_hash, "provider", "language", *times, "first_day"
+    )
 
 
-def order_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_issues(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
     """The issues as tracker items; the given rows have no unique key to order by."""
-    spans = issues(spark, sf_dir)
+    spans = issues(spark, sf_dir, log)
     counted = spans.groupBy("repo", "created", "closed").count()
     copies = F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("count"))).alias("pos", "_copy")
     return counted.select("repo", "created", "closed", copies).select(
@@ -284,13 +298,20 @@ def unchecked_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_order_revisions(spark: SparkSession, sf_dir: str, path: str, late: bool) -> None:
+# Landed texts are compressed; such a file is read by one task, so none gets too long.
+_LANDED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+_LANDED_PAGES = {"compression": "gzip", "maxRecordsPerFile": 10_000}
+
+
+def land_order_revisions(
+    spark: SparkSession, sf_dir: str, path: str, late: bool, log: DataFrame | None = None
+) -> None:
     """Add one half of the orders' log to a folder of JSON lines.
 
     The place in the log is the order's number, whose days run back and forth.
     The half of the ``late`` numbers also holds every tenth early one again.
     """
-    rows = order_revisions(spark, sf_dir).withColumnRenamed("commit_id", "ordinal")
+    rows = order_revisions(spark, sf_dir, log).withColumnRenamed("commit_id", "ordinal")
     middle = rows.agg(F.expr("(min(ordinal) + max(ordinal)) div 2")).first()[0] or 0
     early = F.col("ordinal") <= middle
     chosen = (~early | (F.col("ordinal") % 10 == 0)) if late else early
@@ -298,25 +319,27 @@ def land_order_revisions(spark: SparkSession, sf_dir: str, path: str, late: bool
     landed = rows.filter(chosen).drop("day")
     landed.withColumns({"authored_datetime": at, "committed_datetime": at}).write.mode(
         "append"
-    ).json(path)
+    ).options(**_LANDED).json(path)
 
 
-def land_order_files(spark: SparkSession, sf_dir: str) -> str:
+def land_order_files(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> str:
     """The orders' file sizes as CSV in two folders whose columns are ordered differently."""
     path = scratch_path(spark, "sizes")
-    files = order_files(spark, sf_dir)
+    files = pinned(order_files(spark, sf_dir, log=log))
     names = ["repo", "commit_hash", "language", "provider", *MEASURES]
     even = F.pmod(F.xxhash64("provider"), F.lit(2)) == 0
-    files.filter(even).select(*names).write.option("header", True).csv(f"{path}/a")
+    files.filter(even).select(*names).write.options(header=True, **_LANDED).csv(f"{path}/a")
     turned = files.filter(~even).select(*[F.col(n).alias(n.upper()) for n in reversed(names)])
-    turned.write.option("header", True).csv(f"{path}/b")
+    turned.write.options(header=True, **_LANDED).csv(f"{path}/b")
     return f"{path}/*"
 
 
-def land_order_pages(spark: SparkSession, sf_dir: str, field: str, lossy: bool = False) -> str:
+def land_order_pages(
+    spark: SparkSession, sf_dir: str, field: str, lossy: bool = False, log: DataFrame | None = None
+) -> str:
     """The orders' issues as API pages of their repositories; with ``lossy`` some do not arrive."""
     path = scratch_path(spark, "pages")
-    items = order_issues(spark, sf_dir)
+    items = order_issues(spark, sf_dir, log).select("repo", "issue_id", "created_at", "closed_at")
     items = dense_ids(range_chunks(items, ["issue_id"], REPO), REPO, "_nth")
     per_repo = pinned(items.groupBy("repo").agg(F.count(F.lit(1)).alias("total")))
     pages = F.ceil(F.col("total") / PAGE_SIZE)
@@ -333,8 +356,7 @@ def land_order_pages(spark: SparkSession, sf_dir: str, field: str, lossy: bool =
     )
     content = F.struct(F.col("total").alias("totalCount"), "edges", info.alias("pageInfo"))
     (
-        items.drop("page")
-        .join(per_repo, "repo")
+        items.join(per_repo, "repo")
         .withColumns({"page": F.floor(F.col("_nth") / PAGE_SIZE), "_last": pages - 1})
         .filter(arrives)
         .groupBy("repo", "page", "total", "_last")
@@ -345,7 +367,7 @@ def land_order_pages(spark: SparkSession, sf_dir: str, field: str, lossy: bool =
             F.when(F.col("page") > 0, F.concat(F.lit("c"), F.col("page") - 1)).alias("after"),
             F.struct(F.struct(content.alias(field)).alias("repository")).alias("data"),
         )
-        .write.json(path)
+        .write.options(**_LANDED_PAGES).json(path)
     )
     return path
 

@@ -138,6 +138,12 @@ def lookup(
     return joined.select(*[df[c] for c in df.columns], ids["_id"].alias(out))
 
 
+def no_references(dim_column: str) -> Column:
+    """What ``lookup_list`` gives for an empty array."""
+    nothing = F.array(F.struct(F.lit(None).cast("long").alias(dim_column)))
+    return nothing.cast(f"array<struct<{dim_column}: bigint>>")
+
+
 def lookup_list(
     df: DataFrame,
     keys: Sequence[str],
@@ -147,23 +153,27 @@ def lookup_list(
     out: str,
     by: Sequence[str] = (),
     unique: bool = False,
+    empty: bool = True,
 ) -> DataFrame:
     """``keys`` plus the ids of an array's values, in order, as structs.
 
     Unknown values give a null id, an empty array gives one null id. Empty
     arrays skip the join, so they do not pile up on one null key. ``keys``
-    must identify a row and include ``by``.
+    must identify a row and include ``by``. Without ``empty`` rows with empty arrays
+    are left out.
     """
     entry = f"array<struct<{dim_column}: bigint>>"
     slim = df.select(*keys, F.coalesce(column, F.array().cast("array<string>")).alias("_values"))
-    nothing = F.array(F.struct(F.lit(None).cast("long").alias(dim_column))).cast(entry)
-    empty = slim.filter(F.size("_values") == 0).select(*keys, nothing.alias(out))
     single = slim.select(*keys, F.posexplode("_values").alias("_pos", "_one"))
     found = lookup(single, "_one", dim, dim_column, "_ref", by, unique)
     pair = F.struct("_pos", F.struct(F.col("_ref").alias(dim_column)).alias("_entry"))
     listed = found.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
     full = listed.select(*keys, F.transform("_pairs", lambda p: p["_entry"]).cast(entry).alias(out))
-    return full.unionByName(empty)
+    if not empty:
+        return full
+    return full.unionByName(
+        slim.filter(F.size("_values") == 0).select(*keys, no_references(dim_column).alias(out))
+    )
 
 
 def orphans(

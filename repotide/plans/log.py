@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.operators.keys import dimension, lookup, lookup_list, without_known
+from repotide.operators.keys import dimension, lookup, lookup_list, no_references, without_known
 from repotide.session import pinned
 
 
@@ -84,11 +84,13 @@ def commit_logs(
     committers: DataFrame,
     by: Sequence[str] = (),
     wide: DataFrame | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Revisions with ids in place of hashes and people.
 
     Times and messages come from ``wide``, which may hold further revisions;
-    left out, ``revisions`` has them itself.
+    left out, ``revisions`` has them itself. ``distinct`` says that no hash repeats
+    in ``revisions``, so commits without references need not be moved for them.
     """
     wide = revisions if wide is None else wide
     keys = [*by, "commit_hash"]
@@ -96,14 +98,15 @@ def commit_logs(
     log = lookup(log, "author_email", authors, "author_email", "author_id", by, unique=True)
     log = lookup(log, "committer_email", committers, "committer_email", "committer_id", by, unique=True)
     log = lookup(log, "commit_hash", hashes, "commit_hash", "commit_hash_id", by, unique=True)
-    co_authors = lookup_list(
-        revisions, keys, "co_author_emails", authors, "author_email", "co_author_ids", by, unique=True
-    )
-    parents = lookup_list(
-        revisions, keys, "parents", hashes, "commit_hash", "parent_hash_ids", by, unique=True
-    )
     ids = ["commit_hash_id", "author_id", "committer_id", "co_author_ids", "parent_hash_ids"]
-    narrow = log.join(co_authors, keys).join(parents, keys).select(*keys, *ids)
+    people = ("co_author_emails", authors, "author_email", "co_author_ids")
+    origins = ("parents", hashes, "commit_hash", "parent_hash_ids")
+    for column, dim, value, out in (people, origins):
+        listed = lookup_list(revisions, keys, column, dim, value, out, by, unique=True, empty=not distinct)
+        log = log.join(listed, keys, "left" if distinct else "inner")
+        if distinct:
+            log = log.withColumn(out, F.coalesce(out, no_references(value)))
+    narrow = log.select(*keys, *ids)
     # messages are wide: they are moved once, past all lookups
     carried = [c for c in _CARRIED if c in wide.columns]
     return wide.select(*keys, *carried).join(narrow, keys).select(*by, *ids, *carried)

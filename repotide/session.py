@@ -17,6 +17,8 @@ SETTINGS = {
     # join split its partition even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stored and pinned tables are written often and take a quarter less than with snappy.
+    "spark.sql.parquet.compression.codec": "zstd",
     # Days times people of open windows need not fit the executors' heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -26,9 +26,13 @@ def _files_by_header(spark: SparkSession, path: str, names: list[str]) -> dict[s
     """
     cells = F.transform(F.split(F.lower("value"), ","), lambda cell: F.trim(cell, F.lit('" \r')))
     is_header = F.size(F.array_intersect(cells, F.array(*map(F.lit, names)))) == len(names)
+    # few other lines hold the names at all, so only few are taken apart
+    has_names = F.lit(True)
+    for name in names:
+        has_names = has_names & F.lower("value").contains(name)
     found = (
         spark.read.text(path)
-        .select(F.col(_FILE).alias("file"), F.when(is_header, F.col("value")).alias("header"))
+        .select(F.col(_FILE).alias("file"), F.when(has_names & is_header, F.col("value")).alias("header"))
         .groupBy("file")
         .agg(F.collect_set("header").alias("headers"))
         .collect()

@@ -111,33 +111,42 @@ def one_value_per_key(rows: DataFrame, keys: Sequence[str], conflicts: str = "fa
     return _one_value(rows, keys, rest, conflicts) if rest else rows.distinct()
 
 
-def unseen_rows(batch: DataFrame, stored: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
+def unseen_rows(
+    batch: DataFrame, stored: DataFrame | None, keys: Sequence[str], name: str, told: Sequence[str] = ()
+) -> DataFrame:
     """The rows of ``batch`` whose key is not in ``stored``, repeats once.
 
     A key that has several values, in the batch or there and in ``stored``, fails the job;
-    the error tells its ``name``. Both sides meet in one shuffle by key.
+    the error tells its ``name`` and the columns ``told`` (default: the key's). Both sides meet in one shuffle and one sort by key, in
+    which landed rows come first and each row is held against the one before it.
     """
     rows = batch.withColumn("_landed", F.lit(1))
     if stored is not None:
         rows = rows.unionByName(stored.select(*batch.columns).withColumn("_landed", F.lit(0)))
-    values = (
-        rows.repartition(*keys)
-        .groupBy(*batch.columns)
-        .agg(F.max("_landed").alias("_landed"), F.min("_landed").alias("_new"))
-    )
-    of_key = Window.partitionBy(*keys)
-    counted = values.withColumns(
-        {"_values": F.count(F.lit(1)).over(of_key), "_several": F.sum("_landed").over(of_key)}
+    rest = [c for c in batch.columns if c not in keys]
+    of_key = Window.partitionBy(*keys).orderBy(F.desc("_landed"))
+    so_far = of_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    compared = rows.withColumns(
+        {
+            # null only for a key's first row, so it also tells whether there is one before
+            "_before": F.lag("_landed").over(of_key),
+            "_any": F.first("_landed").over(so_far),
+            "_last": F.lead("_landed").over(of_key).isNull(),
+            **{f"_before_{c}": F.lag(c).over(of_key) for c in rest},
+        }
     )
+    same = F.lit(True)
+    for c in rest:
+        same = same & F.col(c).eqNullSafe(F.col(f"_before_{c}"))
+    differs = F.col("_before").isNotNull() & ~same
     what = F.coalesce(F.col(name).cast("string"), F.lit("null"))
-    fails = lambda told: F.raise_error(F.concat(F.lit(f"{told}: "), what)).cast("boolean")
+    fails = lambda why: F.raise_error(F.concat(F.lit(f"{why}: "), what)).cast("boolean")
     wanted = (
-        F.when(F.col("_landed") == 0, False)
-        .when(F.col("_several") > 1, fails(f"several values for {', '.join(keys)}, {name}"))
-        .when(F.col("_values") > 1, fails("measured otherwise before"))
-        .otherwise(F.col("_new") == 1)
+        F.when(differs & (F.col("_landed") == 1), fails(f"several values for {', '.join(told or keys)}, {name}"))
+        .when(differs & (F.col("_any") == 1), fails("measured otherwise before"))
+        .otherwise(F.col("_last") & (F.col("_landed") == 1))
     )
-    return counted.filter(wanted).select(*batch.columns)
+    return compared.filter(wanted).select(*batch.columns)
 
 
 def append_new_keys(

@@ -169,11 +169,16 @@ class Warehouse:
 
     def _append(self, name: str, df: DataFrame) -> None:
         self._finish(name)
-        rows = require(df, self._schema(name))
         if self._in_buckets(name):
+            rows = require(df, self._schema(name))
             write_bucketed(rows, self._path(name), self.commit_key, self.buckets)
             return
-        rows = rows.sortWithinPartitions(*dict.fromkeys([*self.partition_by, *self._row_order(name)]))
+        if self.partition_by:
+            rows = require(df, self._schema(name))
+            rows = rows.sortWithinPartitions(*dict.fromkeys([*self.partition_by, *self._row_order(name)]))
+        else:
+            # sorted before the check, past which Spark no longer knows of an order that is there
+            rows = require(df.sortWithinPartitions(*self._row_order(name)), self._schema(name))
         rows.write.mode("append").partitionBy(*self.partition_by).parquet(self._path(name))
 
     def _replace(self, name: str, df: DataFrame) -> None:
@@ -263,7 +268,7 @@ class Warehouse:
             others = without_known(earlier, tags.select(*self.by).distinct(), self.by)
             found = found.unionByName(others.select(*found.columns))
         self._replace("releases", found)
-        self._append("commit_logs", log.commit_logs(fresh, *dims, self.by, wide=revisions))
+        self._append("commit_logs", log.commit_logs(fresh, *dims, self.by, wide=revisions, distinct=True))
 
     def load_log_stream(
         self, revisions: DataFrame, tags: DataFrame, order: Sequence[str], checkpoint: str
@@ -302,7 +307,29 @@ class Warehouse:
         """
         stored = self._stored_if_any("file_size_per_commit")
         keys = [*self.by, COMMIT, "provider"]
-        self._append("file_size_per_commit", unseen_rows(self._resolved(files), stored, keys, "provider"))
+        if stored is None and self._lands_as_stored(files):
+            fresh = unseen_rows(self._with_ids(files), None, [*keys, "commit_hash"], "provider", keys)
+        else:
+            fresh = unseen_rows(self._resolved(files), stored, keys, "provider")
+        self._append("file_size_per_commit", fresh)
+
+    def _lands_as_stored(self, files: DataFrame) -> bool:
+        """Whether files name their commit by hash and hold the types of the stored table."""
+        kinds = {field.name: field.dataType for field in files.schema.fields}
+        wanted = {f.name: f.dataType for f in self._schema("file_size_per_commit").fields if f.name != COMMIT}
+        wanted["commit_hash"] = T.StringType()
+        return COMMIT not in kinds and all(kinds.get(name) == kind for name, kind in wanted.items())
+
+    def _with_ids(self, files: DataFrame) -> DataFrame:
+        """Files with their commit's id beside its hash.
+
+        Not null-safe, as no stored hash is null: the rows stay where this join moved them,
+        and comparing those of a commit moves them no more.
+        """
+        key = [*self.by, "commit_hash"]
+        ids = self._stored("commit_hashes").select(*key, F.col("id").alias(COMMIT))
+        columns = self._schema("file_size_per_commit").names
+        return files.join(ids, key, "left").select(*columns, "commit_hash")
 
     def remeasured(self, files: DataFrame) -> DataFrame:
         """The files that are stored with other measures."""
