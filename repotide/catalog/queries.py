@@ -407,16 +407,17 @@ def pull_requests_normalised(spark, sf_dir):
     return _normalised(spark, sf_dir, pages.PULL_REQUESTS, "pull_request_id")
 
 
-def _stored(spark, sf_dir, buckets=0):
+def _stored(spark, sf_dir, buckets=0, log_rows=None):
     """Log and file sizes loaded into stored tables, in two loads."""
     house = Warehouse(
         spark, scratch_path(spark, "tables"), {"repo": T.LongType()}, b.ORDERS_AS_OF, buckets=buckets
     )
-    raw = b.order_revisions(spark, sf_dir)
-    tags = b.order_tags(spark, sf_dir)
+    log_rows = pinned(b.commit_log(spark, sf_dir)) if log_rows is None else log_rows
+    raw = b.order_revisions(spark, sf_dir, log_rows)
+    tags = b.order_tags(spark, sf_dir, log_rows)
     house.load_log(raw.filter(F.col("day") < "1998-01-01"), tags, b.LOG_ORDER)
     house.load_log(raw, tags, b.LOG_ORDER)
-    house.load_file_sizes(b.order_files(spark, sf_dir))
+    house.load_file_sizes(b.order_files(spark, sf_dir, log=log_rows))
     house.project_size()
     return house
 
@@ -430,8 +431,9 @@ def stored_productivity_per_day(spark, sf_dir):
 
 @query
 def stored_issue_density_per_day(spark, sf_dir):
-    house = _stored(spark, sf_dir)
-    house.load_issues(b.order_issues(spark, sf_dir))
+    log_rows = pinned(b.commit_log(spark, sf_dir))
+    house = _stored(spark, sf_dir, log_rows=log_rows)
+    house.load_issues(b.order_issues(spark, sf_dir, log_rows))
     house.issue_spoilage()
     house.issue_density()
     return house.read("issue_density_per_day")
@@ -445,14 +447,15 @@ def landed_issue_density_per_day(spark, sf_dir):
     """Landed JSON, CSV and pages of many repositories; the log comes as a stream."""
     house = Warehouse(spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF)
     log_path, state = scratch_path(spark, "log"), scratch_path(spark, "state")
+    log_rows = pinned(b.commit_log(spark, sf_dir))
+    tags = b.order_tags(spark, sf_dir, log_rows)
     for late in (False, True):
-        b.land_order_revisions(spark, sf_dir, log_path, late)
+        b.land_order_revisions(spark, sf_dir, log_path, late, log_rows)
         stream = revisions.stream_revisions(spark, log_path, REPO_TYPE)
-        loading = house.load_log_stream(stream, b.order_tags(spark, sf_dir), ["ordinal"], state)
-        loading.awaitTermination()
-    csv = b.land_order_files(spark, sf_dir)
+        house.load_log_stream(stream, tags, ["ordinal"], state).awaitTermination()
+    csv = b.land_order_files(spark, sf_dir, log_rows)
     house.load_file_sizes(sizes.read_file_sizes(spark, csv, commit="commit_hash", by=REPO_TYPE))
-    landed = b.land_order_pages(spark, sf_dir, pages.ISSUES)
+    landed = b.land_order_pages(spark, sf_dir, pages.ISSUES, log=log_rows)
     items = pages.read_pages(spark, landed, pages.ISSUES, by=REPO_TYPE)
     house.load_issues(pages.page_items(items, pages.ISSUES, "issue_id", b.REPO))
     house.project_size()
@@ -510,12 +513,15 @@ def _refreshed(spark, sf_dir, *steps, items=False):
     house = Warehouse(
         spark, scratch_path(spark, "tables"), REPO_TYPE, b.ORDERS_AS_OF, monthly=True
     )
-    raw, files, tags = b.order_revisions(spark, sf_dir), b.order_files(spark, sf_dir), b.order_tags(spark, sf_dir)
+    # both loads read them
+    log_rows = pinned(b.commit_log(spark, sf_dir))
+    files = pinned(b.dated_files(spark, sf_dir, log_rows))
+    raw, tags = b.order_revisions(spark, sf_dir, log_rows), b.order_tags(spark, sf_dir, log_rows)
     early = F.col("day") < "1998-01-01"
     house.load_log(raw.filter(early), tags, b.LOG_ORDER)
-    house.load_file_sizes(b.order_files(spark, sf_dir, before="1998-01-01"))
+    house.load_file_sizes(files.filter(F.col("first_day") < "1998-01-01").drop("first_day"))
     late = raw.filter(~early).select("repo", "day")
-    opened = b.order_issues(spark, sf_dir)
+    opened = b.order_issues(spark, sf_dir, log_rows)
     if items:
         house.load_issues(opened.filter("created_at < '1998-01-01'"))
         later = opened.filter("created_at >= '1998-01-01'")
@@ -523,7 +529,7 @@ def _refreshed(spark, sf_dir, *steps, items=False):
     for step in steps:
         getattr(house, step)()
     house.load_log(raw, tags, b.LOG_ORDER)
-    house.load_file_sizes(files)
+    house.load_file_sizes(files.drop("first_day"))
     if items:
         house.load_issues(opened)
     return house, pinned(refresh.touched(late, ["day"], b.REPO))
