@@ -52,6 +52,10 @@ _PIECE = 1 << 20
 #: Shares and log-probabilities are added up as integers, so that a text's sums do not
 #: depend on the texts beside it.
 _SHARE, _LOG = float(1 << 53), float(1 << 36)
+#: Edges of a path that tell how large a draw must be to matter further on.
+_FIRST_EDGES = 64
+#: More than rounding can add to a region's value.
+_MARGIN = 1e-3
 
 
 class Vocabulary:
@@ -113,14 +117,17 @@ class Vocabulary:
         """The trie node after one more character, or -1."""
         key = node.astype(np.int64) << 21 | char
         slot = _slot(key)
-        out = np.full(len(key), -1, np.int32)
-        open_ = np.arange(len(key))
+        there = self.keys[slot]
+        out = np.where(there == key, self.steps[slot], -1)
+        open_ = np.flatnonzero((there != key) & (there >= 0))
+        key, slot = key[open_], slot[open_]
         while len(open_):
+            slot = (slot + 1) & (len(self.keys) - 1)
             there = self.keys[slot]
-            hit = there == key[open_]
+            hit = there == key
             out[open_[hit]] = self.steps[slot[hit]]
-            more = ~hit & (there >= 0)
-            open_, slot = open_[more], (slot[more] + 1) & (len(self.keys) - 1)
+            more = np.flatnonzero(~hit & (there >= 0))
+            open_, key, slot = open_[more], key[more], slot[more]
         return out
 
 
@@ -158,12 +165,12 @@ class Lattices(NamedTuple):
     """Lattices of all distinct chunks of a batch; states are numbered through."""
 
     begin: np.ndarray  # first state of each chunk
-    final: np.ndarray  # whether a state ends its chunk
-    first: np.ndarray  # first edge of each state
-    to: np.ndarray
+    first: np.ndarray  # first edge of each state, -1 where a chunk ends
+    many: np.ndarray  # number of each state's edges
+    length: np.ndarray  # characters of each edge
     piece: np.ndarray  # -1: byte pieces
     logp: np.ndarray
-    upto: np.ndarray  # probability of the state's edges up to this one, in 2^-53
+    share: np.ndarray  # probability in 2^-53; 2 for a state's last edge, which takes what is left
     lone: np.ndarray  # whether an edge is its state's only one
 
     def rest(self, edges: np.ndarray) -> np.ndarray:
@@ -218,14 +225,16 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
     slot = np.empty(len(chars), np.int64)
     slot[ordered] = heads
     start = np.repeat(ordered, edges[ordered])
-    length, piece = np.empty(len(start), np.int64), np.empty(len(start), np.int32)
+    length, piece = np.empty(len(start), np.int32), np.empty(len(start), np.int32)
     for part, stop, found in zip(starts, stops, pieces):
         own = slot[part]
         length[own], piece[own] = stop, found
         slot[part] += 1
-    weight = np.where(piece >= 0, vocab.weight[piece], vocab.byte_weight * wide[start])
-    origin = state[start]
-    to = origin + length
+    bare = np.flatnonzero(piece < 0)
+    weight = vocab.weight[piece]
+    weight[bare] = vocab.byte_weight * wide[start[bare]]
+    to = state[start] + length
+    origin, many = state[ordered], edges[ordered]
     total = np.zeros(len(chars) + chunks)
     logp = np.empty(len(start))
     far = left[ordered]
@@ -235,35 +244,60 @@ def lattices(vocab: Vocabulary, chars: np.ndarray, sizes: np.ndarray, wide: np.n
         x = weight[lo:hi] + total[to[lo:hi]]
         seg = heads[a:b] - lo
         most = np.maximum.reduceat(x, seg)
-        each = np.repeat(most, np.diff(bounds[a : b + 1]))
+        each = np.repeat(most, many[a:b])
         all_ = most + np.log(np.add.reduceat(np.exp(x - each), seg))
-        total[origin[heads[a:b]]] = all_
-        logp[lo:hi] = x - np.repeat(all_, np.diff(bounds[a : b + 1]))
-    share = (np.exp(logp) * _SHARE).astype(np.int64)
-    with np.errstate(over="ignore"):
-        upto = np.cumsum(share)
-        upto -= np.repeat(upto[heads] - share[heads], np.diff(bounds))
-    upto[bounds[1:] - 1] = 1 << 54
-    first = np.zeros(len(chars) + chunks + 1, np.int64)
-    first[origin[heads]] = heads
+        total[origin[a:b]] = all_
+        logp[lo:hi] = x - np.repeat(all_, many[a:b])
+    last = np.zeros(len(start), bool)
+    last[bounds[1:] - 1] = True
+    drawn = np.flatnonzero(~last)
+    share = np.full(len(start), 1 << 54)
+    share[drawn] = np.exp(logp[drawn]) * _SHARE
+    first = np.full(len(chars) + chunks, -1, np.int64)
+    first[origin] = heads
     count = np.zeros(len(chars) + chunks, np.int64)
-    count[origin[heads]] = np.diff(bounds)
-    final = count == 0
-    lone = np.repeat(np.diff(bounds) == 1, np.diff(bounds))
+    count[origin] = many
+    lone = np.zeros(len(start), bool)
+    lone[heads[many == 1]] = True
     return Lattices(
-        ends - sizes + np.arange(chunks), final, np.stack([first[:-1], count], 1), to, piece, logp, upto, lone
+        ends - sizes + np.arange(chunks), first, count, length, piece, logp, share, lone
     )
 
 
+def _placed(place: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return place.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+
+
 def _drawn(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
     """53 random bits."""
     with np.errstate(over="ignore"):
-        bits = mix(key + place.astype(np.uint64) * np.uint64(0xD1342543DE82EF95), salt)
+        bits = mix(key + _placed(place), salt)
     return (bits >> np.uint64(11)).view(np.int64)
 
 
 def _uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
-    return (_drawn(key, place, salt).astype(np.float64) + 0.5) / float(1 << 53)
+    """A number between 0 and 1, both left out."""
+    drawn = (_drawn(key, place, salt).astype(np.float64) + 0.5) / float(1 << 53)
+    return np.minimum(drawn, 1 - 2.0**-53)
+
+
+def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, end to end."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
+
+
+class Beside(NamedTuple):
+    """A path, and the best of what is left beside those of its edges where that matters."""
+
+    at: np.ndarray  # places of all edges
+    taken: np.ndarray
+    cut: np.ndarray  # where each text's begin
+    here: np.ndarray  # the edges that matter, as numbers along the path
+    row: np.ndarray
+    before: np.ndarray  # log-probability of the path up to the edge
+    first: np.ndarray  # where each text's edges that matter begin
+    value: np.ndarray  # largest perturbed value; -inf: nothing is left
 
 
 class _Batch:
@@ -297,53 +331,92 @@ class _Batch:
         wide[chars == _OWN_MARK] = 3
         self.wide = wide
         hashes = Spans(chars).hashes(self.chunk, self.chunk + sizes)
-        _, example, self.kind = np.unique(hashes, return_index=True, return_inverse=True)
+        # kinds are numbered as they first occur, so that frequent ones lie together
+        self.kind = pa.array(hashes).dictionary_encode().indices.to_numpy().astype(np.int64)
+        example = np.zeros(self.kind.max(initial=-1) + 1, np.int64)
+        example[self.kind[::-1]] = np.arange(len(self.kind))[::-1]
         own = sizes[example]
-        where = np.repeat(self.chunk[example] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        where = _spans(self.chunk[example], own)
         self.net = lattices(vocab, chars[where], own, wide[where])
+        self.origin = self.net.begin[self.kind]
         self.row = np.searchsorted(self.starts, self.chunk, side="right") - 1
-        self.keys = keys
+        with np.errstate(over="ignore"):
+            self.keys = keys - _placed(self.starts[:-1])  # so that draws go by the place in the text
 
     def draw(self, edges: np.ndarray, place: np.ndarray, state: np.ndarray, row: np.ndarray, salt: int):
         """Follow each (place, state) to its chunk's end by drawn edges, into ``edges``."""
         net = self.net
-        live = ~net.final[state]
-        place, state, row = place[live], state[live], row[live]
-        while len(place):
-            u = _drawn(self.keys[row], place - self.starts[row], salt)
-            edge = net.first[state, 0]
-            open_ = np.flatnonzero(u >= net.upto[edge])
+        edge, key = net.first[state], self.keys[row]
+        while True:
+            live = np.flatnonzero(edge >= 0)
+            if not len(live):
+                break
+            place, state, key, edge = place[live], state[live], key[live], edge[live]
+            over = _drawn(key, place, salt) - net.share[edge]
+            open_ = np.flatnonzero(over >= 0)
+            over, next_ = over[open_], edge[open_]
             while len(open_):
-                edge[open_] += 1
-                open_ = open_[u[open_] >= net.upto[edge[open_]]]
+                next_ += 1
+                edge[open_] = next_
+                over -= net.share[next_]
+                more = np.flatnonzero(over >= 0)
+                open_, over, next_ = open_[more], over[more], next_[more]
             edges[place] = edge
-            after = net.to[edge]
-            place = place + (after - state)
-            live = ~net.final[after]
-            place, state, row = place[live], after[live], row[live]
+            length = net.length[edge]
+            place, state = place + length, state + length
+            edge = net.first[state]
 
     def path(self, edges: np.ndarray):
-        """Places of the pieces, their texts, and the log-probability up to each."""
+        """Places of the pieces, their edges, log-probabilities summed up, and where texts begin."""
         at = np.flatnonzero(edges >= 0)
         cut = np.searchsorted(at, self.starts)
-        row = np.repeat(np.arange(self.count), np.diff(cut))
+        taken = edges[at]
         run = np.zeros(len(at) + 1, np.int64)
         with np.errstate(over="ignore"):
-            np.cumsum(np.rint(self.net.logp[edges[at]] * _LOG).astype(np.int64), out=run[1:])
-            before, whole = run[:-1] - run[cut[row]], run[cut[1:]] - run[cut[:-1]]
-        return at, row, before / _LOG, whole / _LOG, cut
-
-    def regions(self, at, row, before, edges, value, salt):
-        """Largest perturbed value of what is left beside each edge of a path."""
-        rest = self.net.rest(edges[at])
-        where = before + rest
-        noise = -np.log(_uniform(self.keys[row], at - self.starts[row], salt))
-        return _cut_gumbel(where, value[row], noise)
+            np.cumsum(np.rint(self.net.logp[taken] * _LOG).astype(np.int64), out=run[1:])
+        return at, taken, run, cut
+
+    def regions(self, at, taken, run, cut, value, branch, salt: int, wanted: int) -> Beside:
+        """What is left beside a path's edges after ``branch``, as far as it can be wanted.
+
+        A value is at most its Gumbel variable above the log-probability up to its edge, which
+        only falls along the path. So the ``wanted`` largest values of a text's first edges
+        tell from which draw on a later edge's value can be larger; the rest is not worked out.
+        """
+
+        def beside(here, row):
+            with np.errstate(over="ignore"):
+                before = (run[here] - run[cut[row]]) / _LOG
+            noise = -np.log(_uniform(self.keys[row], at[here], salt))
+            most = _cut_gumbel(before + self.net.rest(taken[here]), value[row], noise)
+            return before, np.where(at[here] > branch[row], most, -np.inf)
+
+        size, width = np.diff(cut), max(_FIRST_EDGES, wanted)
+        ahead = np.minimum(size, width)
+        here, row = _spans(cut[:-1], ahead), np.repeat(np.arange(self.count), ahead)
+        before, found = beside(here, row)
+        grid = np.full((self.count, width), -np.inf)
+        grid[row, here - cut[row]] = found
+        least = np.partition(grid, width - wanted, axis=1)[:, width - wanted]
+        with np.errstate(over="ignore"):
+            above = least - (run[cut[:-1] + ahead] - run[cut[:-1]]) / _LOG - _MARGIN
+            draw = (np.exp(-np.exp(-above)) * _SHARE).astype(np.int64) - 4  # 4: for rounding
+        later = _drawn(np.repeat(self.keys, size), at, salt) >= np.repeat(draw, size)
+        later[here] = False
+        later = np.flatnonzero(later)
+        if len(later):
+            owner = np.searchsorted(cut, later, side="right") - 1
+            more = beside(later, owner)
+            order = np.argsort(np.concatenate((here, later)), kind="stable")
+            here, row, before, found = (
+                np.concatenate(pair)[order]
+                for pair in ((here, later), (row, owner), (before, more[0]), (found, more[1]))
+            )
+        return Beside(at, taken, cut, here, row, before, np.searchsorted(here, cut), found)
 
     def state(self, at: np.ndarray) -> np.ndarray:
-        net = self.net
         index = np.searchsorted(self.chunk, at, side="right") - 1
-        return net.begin[self.kind[index]] + at - self.chunk[index]
+        return self.origin[index] + at - self.chunk[index]
 
 
 def _cut_gumbel(where, most, noise):
@@ -387,27 +460,24 @@ def sample_texts(
     none = np.zeros(n, np.int64)
     root = -np.log(-np.log(_uniform(keys, none, 1000)))
     edges = np.full(len(batch.chars), -1, np.int64)
-    batch.draw(edges, batch.chunk, net.begin[batch.kind], batch.row, 0)
-    paths, left = [], []
+    batch.draw(edges, batch.chunk, batch.origin, batch.row, 0)
+    paths: list[Beside] = []
     # per turn: the path and the edge of it that each text branched from, and the edge it took
     picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    alive = np.ones(n, bool)
+    alive, branch = np.ones(n, bool), np.full(n, -1, np.int64)
     ids, cuts = [], []
     value[0] = root
-    chars = np.repeat(np.arange(n), np.diff(batch.starts))
     for turn in range(k):
-        at, row, before, whole, cut = batch.path(edges)
+        at, edge, run, cut = batch.path(edges)
+        with np.errstate(over="ignore"):
+            whole = (run[cut[1:]] - run[cut[:-1]]) / _LOG
         logp[turn, alive] = whole[alive]
-        mine, offsets = _ids(batch, edges, at, cut, alive)
+        mine, offsets = _ids(batch, edge, at, cut)
         ids.append(mine)
         cuts.append(offsets)
-        beside = batch.regions(at, row, before, edges, np.where(alive, value[turn], 0.0), 2000 + turn)
-        if turn:
-            beside[at <= branch[row]] = -np.inf  # noqa: F821 - set by the turn before
-        beside[~alive[row]] = -np.inf
-        paths.append((at, row, before, edges, cut))
-        left.append(beside)
-        best, which, spot = _next_regions(paths, left, n)
+        # up to k - 1 - turn of the path's regions are opened, and one more may be the threshold
+        paths.append(batch.regions(at, edge, run, cut, value[turn], branch, 2000 + turn, k - turn))
+        best, which, spot = _next_regions(paths, n)
         threshold = best
         if turn + 1 == k:
             break
@@ -416,60 +486,60 @@ def sample_texts(
         rows = np.flatnonzero(alive)
         p, s = which[rows], spot[rows]
         place, base, first = (np.zeros(len(rows), kind) for kind in (np.int64, np.float64, np.int64))
-        for q, (at_q, _, before_q, edges_q, _) in enumerate(paths):
+        for q, path in enumerate(paths):
             here = p == q
-            place[here], base[here] = at_q[s[here]], before_q[s[here]]
-            first[here] = edges_q[place[here]]
+            edge = path.here[s[here]]
+            place[here], base[here], first[here] = path.at[edge], path.before[s[here]], path.taken[edge]
         state = batch.state(place)
-        head, count = net.first[state].T
+        head, count = net.first[state], net.many[state]
         used = [(np.ones(len(rows), bool), first)]
         used += [((w[rows] == p) & (t[rows] == s), e[rows]) for w, t, e in picked]
         gone = sum(same.astype(np.int64) for same, _ in used)
         own = _left_edges(net, head, count, used)
-        key, spots = keys[rows], place - batch.starts[rows]
+        key = batch.keys[rows]
         sums = np.cumsum(own, axis=1)
         total = sums[:, -1] if len(rows) else np.zeros(0)
-        u = _uniform(key, spots, 3000 + turn) * total
+        u = _uniform(key, place, 3000 + turn) * total
         pick = np.minimum((sums <= u[:, None]).sum(1), count - 1)
         here = np.arange(len(rows))
         while (none := own[here, pick] == 0).any():
             pick[none] -= 1
         taken = head + pick
         rest = total - own[here, pick]
-        noise = -np.log(_uniform(key, spots, 4000 + turn))
+        noise = -np.log(_uniform(key, place, 4000 + turn))
         open_ = (gone + 1 < count) & (rest > 0)
         again = _cut_gumbel(base + np.log(np.where(open_, rest, 1.0)), best[rows], noise)
         again[~open_] = -np.inf
-        for q in range(len(paths)):
-            left[q][s[p == q]] = again[p == q]
         branch = np.full(n, -1, np.int64)
         branch[rows] = place
         took = np.full(n, -1, np.int64)
         took[rows] = taken
         picked.append((which, spot, took))
         edges = np.full(len(batch.chars), -1, np.int64)
-        copied = np.arange(len(batch.chars)) < branch[chars]
-        for q, path_q in enumerate(paths):
-            own_q = copied & (which[chars] == q)
-            edges[own_q] = path_q[3][own_q]
+        for q, path in enumerate(paths):
+            here = p == q
+            path.value[s[here]] = again[here]
+            begin = path.cut[rows[here]]
+            copied = _spans(begin, path.here[s[here]] - begin)
+            edges[path.at[copied]] = path.taken[copied]
         edges[place] = taken
-        after = net.to[taken]
+        length = net.length[taken]
         later = alive[batch.row] & (batch.chunk > branch[batch.row])
         batch.draw(
             edges,
-            np.concatenate((place + after - state, batch.chunk[later])),
-            np.concatenate((after, net.begin[batch.kind[later]])),
+            np.concatenate((place + length, batch.chunk[later])),
+            np.concatenate((state + length, batch.origin[later])),
             np.concatenate((rows, batch.row[later])),
             turn + 1,
         )
     return Sample(ids, cuts, logp, value, _log_inclusion(logp, threshold))
 
 
-def _next_regions(paths: list, left: list[np.ndarray], n: int):
+def _next_regions(paths: list[Beside], n: int):
     """Each text's best region: its value, its path, and the edge of the path it lies beside."""
     best, which, spot = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for p, (beside, path) in enumerate(zip(left, paths)):
-        row, cut = path[1], path[4]
+    for p, path in enumerate(paths):
+        row, cut, beside = path.row, path.first, path.value
         here = np.flatnonzero(np.diff(cut))
         if not len(here):
             continue
@@ -493,20 +563,24 @@ def _left_edges(net: Lattices, head: np.ndarray, count: np.ndarray, used: list)
     return own
 
 
-def _ids(batch: _Batch, edges: np.ndarray, at: np.ndarray, cut: np.ndarray, alive: np.ndarray):
+def _ids(batch: _Batch, edge: np.ndarray, at: np.ndarray, cut: np.ndarray):
     """Piece ids of a path, bytes spelled out, and where each text's begin."""
-    piece = batch.net.piece[edges[at]]
-    width = np.where(piece >= 0, 1, batch.wide[at])
-    out = np.repeat(piece, width)
-    begin = np.concatenate(([0], np.cumsum(width)))
-    bare = np.flatnonzero(piece < 0)
+    out = batch.net.piece[edge]
+    bare = np.flatnonzero(out < 0)
+    width = batch.wide[at[bare]]
+    moved = np.concatenate(([0], np.cumsum(width - 1)))
+    begin = bare + moved[:-1]
+    if moved[-1]:
+        every = np.ones(len(out), np.int64)
+        every[bare] = width
+        out = np.repeat(out, every)
     char = batch.chars[at[bare]]
     char = np.where(char == _OWN_MARK, MARK, char)
     for length in range(1, 5):
-        some = width[bare] == length
+        some = width == length
         for turn in range(length):
-            out[begin[bare[some]] + turn] = batch.vocab.byte_ids[_utf8(char[some], length, turn)]
-    return out.astype(np.int32), begin[cut]
+            out[begin[some] + turn] = batch.vocab.byte_ids[_utf8(char[some], length, turn)]
+    return out, cut + moved[np.searchsorted(bare, cut)]
 
 
 def _utf8(char: np.ndarray, length: int, turn: int) -> np.ndarray:

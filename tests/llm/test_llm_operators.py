@@ -423,6 +423,49 @@ def test_inclusion_far_from_the_threshold():
     assert none[0] == 0 and np.isnan(none[1])
 
 
+def _sampled(vocab, texts, k):
+    keys = np.arange(1, len(texts) + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    piece = next(texts_of(pa.array(texts)))
+    found = piece_sampling.sample_texts(vocab, vocab.alone(), piece, keys, k)
+    return [*found.ids, *found.cuts, found.logp, found.value, found.log_inclusion]
+
+
+def test_regions_are_worked_out_only_where_they_can_be_opened(monkeypatch):
+    vocab, seen = piece_sampling.read_model(), []
+    plain = piece_sampling._cut_gumbel
+
+    def counted(where, most, noise):
+        seen.append(len(where))
+        return plain(where, most, noise)
+
+    monkeypatch.setattr(piece_sampling, "_cut_gumbel", counted)
+    found = _sampled(vocab, ["the cat sat on another mat and thought of nothing " * 400] * 3, 3)
+    assert sum(seen) < 0.1 * sum(len(ids) for ids in found[:3])
+
+
+def test_regions_left_out_change_no_sample(monkeypatch):
+    vocab = piece_sampling.read_model()
+    texts = [
+        "the cat sat on another mat and thought of nothing " * 40,
+        "", None, "a", " ", "\n" * 300 + "the end", "7" * 500 + " of it", "\u2581" * 90 + "cat",
+        "\u4f60\u597d\u4e16\u754c" * 200 + "thinking", "\U0001f600" * 100, "\x00" * 200 + "tion",
+    ]
+    for k in (1, 3, 80):
+        monkeypatch.setattr(piece_sampling, "_FIRST_EDGES", 1 << 14)
+        whole = _sampled(vocab, texts, k)
+        for first in (1, 7, 64):
+            monkeypatch.setattr(piece_sampling, "_FIRST_EDGES", first)
+            for a, b in zip(_sampled(vocab, texts, k), whole, strict=True):
+                assert np.array_equal(a, b, equal_nan=True)
+
+
+def test_draws_stay_between_0_and_1(monkeypatch):
+    for bits in (0, (1 << 64) - 1):
+        monkeypatch.setattr(piece_sampling, "mix", lambda x, salt=0: np.full(len(x), bits, np.uint64))
+        drawn = piece_sampling._uniform(np.zeros(1, np.uint64), np.zeros(1, np.int64), 0)
+        assert 0 < drawn[0] < 1
+
+
 def test_samples_follow_the_lattice():
     vocab = piece_sampling.read_model()
     ids = {t.decode().replace(" ", "▁"): i for i, t in enumerate(vocab.raw) if i > 258}
