@@ -194,6 +194,16 @@ def month_of(day: str) -> Column:
     return (F.year(day) * 100 + F.month(day)).cast("int").alias(MONTH)
 
 
+def folder_by_folder(rows: DataFrame, folders: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``rows`` moved so that a task writes whole folders, sorted by ``order`` in each.
+
+    Else each task writes a file to every folder, and as many files as tasks times months are
+    listed by the driver and read in as many tasks. A folder that is large, or one that holds
+    most rows, is split between tasks.
+    """
+    return rows.hint("rebalance", *folders).sortWithinPartitions(*dict.fromkeys([*folders, *order]))
+
+
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write a recomputed metric, replacing only the partitions it holds."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -218,7 +228,8 @@ def replace_days(
     kept = held.join(bounds, [*by], "left").filter(F.col("_since").isNull() | (F.col(day) < F.col("_since")))
     # read before its files are replaced
     kept = pinned(kept.select(*fresh.columns))
-    refresh(kept.unionByName(fresh), path, [*partition_by, MONTH])
+    folders = [*partition_by, MONTH]
+    refresh(folder_by_folder(kept.unionByName(fresh), folders, [*by, day]), path, folders)
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:

@@ -36,6 +36,7 @@ from repotide.sources.clustered import open_bucketed, reopen_bucketed, write_buc
 from repotide.sources.tables import (
     MONTH,
     collisions,
+    folder_by_folder,
     month_of,
     read_if_any,
     replace_days,
@@ -185,7 +186,8 @@ class Warehouse:
         """Write the successor beside the table, then put it in its place."""
         following, folders = f"{self._path(name)}.next", list(self.partition_by)
         rows = require(df, self._schema(name))
-        if self.monthly and name in DAILY:
+        by_month = self.monthly and name in DAILY
+        if by_month:
             rows = rows.withColumn(MONTH, month_of(DAILY[name]))
             folders.append(MONTH)
         place, files = self._files(self._path(name))
@@ -193,7 +195,10 @@ class Warehouse:
             files.delete(self._files(following)[0], True)
             write_bucketed(rows, following, self.commit_key, self.buckets)
         else:
-            rows = rows.sortWithinPartitions(*dict.fromkeys([*folders, *self._row_order(name)]))
+            if by_month:
+                rows = folder_by_folder(rows, folders, self._row_order(name))
+            else:
+                rows = rows.sortWithinPartitions(*dict.fromkeys([*folders, *self._row_order(name)]))
             rows.write.mode("overwrite").partitionBy(*folders).parquet(following)
         files.delete(place, True)
         self._finish(name)
