@@ -22,6 +22,8 @@ SETTINGS = {
     # Rows in memory take 15 to 18 times their files here (ids, short texts), a broadcast table more: by
     # the files' size alone, a million people of 4 MB were broadcast and filled the driver.
     "spark.sql.sources.fileCompressionFactor": "20.0",
+    # Both sides of a join lie in one store, not in four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     # Days times people of open windows need not fit the executors' heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

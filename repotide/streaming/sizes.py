@@ -43,13 +43,29 @@ def size_log_join(
     return joined.drop(*[f"_log_{c}" for c in on])
 
 
-def write_joined(joined: DataFrame, target: str, checkpoint: str):
-    """Append the joined rows to a Parquet table, each once, until all that landed is read."""
-    return (
-        joined.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+# Whether state counts its rows: it then looks each row up before it puts or drops it.
+COUNTED = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
+
+def write_joined(joined: DataFrame, target: str, checkpoint: str, counted: bool = True):
+    """Append the joined rows to a Parquet table, each once, until all that landed is read.
+
+    Without ``counted`` the query's progress does not tell how many rows its state holds.
+    """
+    conf = joined.sparkSession.conf
+    before = conf.get(COUNTED, None)
+    conf.set(COUNTED, str(counted).lower())
+    try:  # a query keeps the settings it was started with
+        return (
+            joined.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        if before is None:
+            conf.unset(COUNTED)
+        else:
+            conf.set(COUNTED, before)
