@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repotide.operators.keys import lookup
-from repotide.session import pinned
+from repotide.session import configure, pinned
 from repotide.sources.tables import MONTH, replace_days
 from repotide.warehouse import Warehouse
 
@@ -51,6 +51,7 @@ def test_monthly_table_has_a_file_a_month(spark, tmp_path, many_ranges):
 
 def test_table_of_many_packed_rows_is_not_broadcast(spark):
     """A few MB of files hold rows that would fill a small driver."""
+    configure(spark)  # as each query does; those on texts set the factor otherwise
     person = F.concat(F.lit("c"), F.col("id"), F.lit("@x")).alias("email")
     people = pinned(spark.range(1_000_000).select((F.col("id") % 25).alias("repo"), person, "id"))
     path = people.inputFiles()[0].removeprefix("file:")
